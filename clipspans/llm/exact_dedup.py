@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from clipspans.llm.common import ascii_lower, located, shared_dir, stored, table, without
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Set while a state stream runs. Without the second, each state partition reserves 4 MB for its log files in advance.
+STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 ARRIVAL = "digest string, id bigint, file string, row bigint"
 
 
@@ -42,18 +43,20 @@ def update_state(arrivals: DataFrame, sink: str, checkpoint: str) -> None:
     A later call with the same checkpoint and a longer stream goes on from the retained state. A batch that is run again
     after a failure overwrites its own folder."""
     spark = arrivals.sparkSession
-    before = spark.conf.get(PROVIDER)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
     state = arrivals.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "file", "row")).alias("keep"))
 
     def write(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{sink}/batch={batch}")
 
-    spark.conf.set(PROVIDER, ROCKSDB)
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         query = state.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def retained(spark: SparkSession, sink: str) -> DataFrame:
@@ -73,11 +76,12 @@ def classes(docs: DataFrame, text: str = "text", id: str = "doc_id", digest: Cal
     update_state(spark.readStream.schema(ARRIVAL).parquet(f"{base}/arrivals"), f"{base}/state", f"{base}/stream")
     state = stored(retained(spark, f"{base}/state"))
 
-    # full bytes of every hit against the bytes of the row that stays; both joins use one shuffle of the texts
-    hits = state.where("n > 1").select("digest", "keep")
-    texts = rows.select("digest", "id", "file", "row", "norm")
-    first = texts.join(hits, "digest").where("file = keep.file and row = keep.row").select("digest", F.col("norm").alias("first"))
-    unequal = stored(texts.join(first, "digest").where("norm <> first").select("digest").distinct())
+    # Full bytes of every hit against the bytes of the row that stays. Both joins read the same columns of the texts, and
+    # compare null-safely so that no filter is added to one of them only: they share one shuffle of the texts.
+    hits = state.where("n > 1").select("digest", "keep.file", "keep.row").toDF("digest", "keep_file", "keep_row")
+    texts = rows.select("digest", "file", "row", "norm")
+    first = texts.join(hits, "digest").where("file <=> keep_file and row <=> keep_row").select("digest", F.col("norm").alias("first"))
+    unequal = stored(texts.join(first, "digest").where("not (norm <=> first)").select("digest", "file", "row")).select("digest").distinct()
 
     def out(found: DataFrame) -> DataFrame:
         here = F.struct("id", "file", "row")
@@ -86,7 +90,7 @@ def classes(docs: DataFrame, text: str = "text", id: str = "doc_id", digest: Cal
     plain = arrivals.join(state, "digest")
     if unequal.isEmpty():
         return out(plain)
-    again = texts.join(unequal, "digest")
+    again = rows.join(unequal, "digest")
     groups = again.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "file", "row")).alias("keep"))
     return out(plain.join(unequal, "digest", "left_anti")).unionByName(out(again.join(groups, ["digest", "norm"])))
 
