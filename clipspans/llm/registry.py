@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipspans.llm import decontaminate, exact_dedup, sharding, simhash
+from clipspans.llm import decontaminate, exact_dedup, quality, sentencepiece_unigram, sharding, simhash, token_files, toxicity, url_rules, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sentencepiece": sentencepiece_unigram.op1_sentencepiece,
+        "op2_quality": quality.op2_quality,
+        "op3_warc_audit": warc.op3_warc_audit,
         "op4_simhash": simhash.op4_simhash,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_hash_tree_shards": sharding.op6_hash_tree_shards,
         "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+        "op8_toxicity": toxicity.op8_toxicity,
+        "op9_url_rules": url_rules.op9_url_rules,
+        "op10_token_files": token_files.op10_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontaminate": decontaminate.SQL, "op7_exact_dedup": exact_dedup.SQL}
+    return {"op3_warc_audit": warc.SQL, "op5_decontaminate": decontaminate.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_rules": url_rules.SQL}
