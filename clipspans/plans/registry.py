@@ -2,24 +2,347 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clipspans.functions import text
+from clipspans.operators import classify, features, intervals, joins, keyframes, prompts, results, segments
+from clipspans.plans import inputs
+from clipspans.plans import ticks as tick_plan
+from clipspans.plans.inputs import with_ctes
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from clipspans.plans import ticks
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
 
-    return ticks.from_events(spark, sf_dir)
 
+def query(name: str, sql: str | None = None, *ctes: str):
+    """Registers a query; sql may use the CTEs that it names."""
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from clipspans.plans import ticks
+    def keep(function):
+        _QUERIES[name] = function
+        if sql is not None:
+            plain = re.sub(r", (\d)\) as ", r", \1) + 0.0e0 as ", sql)  # DuckDB rounds small negatives to -0.0
+            _SQL[name] = with_ctes(plain, *ctes) if ctes else plain
+        return function
 
-    return {"ticks": ticks.from_events}
+    return keep
 
 
-def oracle_sql() -> dict[str, str]:
-    from clipspans.plans import ticks
+def _round(df: DataFrame, *columns: str, keep: tuple[str, ...] = ("clip_id", "tick")) -> DataFrame:
+    return df.select(*keep, *[F.round(c, 6).alias(c) for c in columns])
+
+
+query("ticks", tick_plan.SQL)(inputs.ticks)
+
+
+@query("k1_speed", "select clip_id, tick, round(speed, 6) as speed, round(speed_along, 6) as speed_along from motion", "motion")
+def _speed(spark, d):
+    return _round(features.add_speed(inputs.ticks(spark, d)), "speed", "speed_along")
+
+
+@query("k2_world", "select clip_id, tick, round(-y + 10, 6) as x, round(x - 5, 6) as y, round(heading + pi() / 2, 6) as heading from ticks", "ticks")
+def _world(spark, d):
+    t = inputs.ticks(spark, d)
+    tf = t.select("clip_id").distinct().withColumn("world_tf", F.array(*[F.lit(float(v)) for v in (0, -1, 10, 1, 0, -5, 0, 0, 1)]))
+    return _round(features.to_world(t, tf), "x", "y", "heading")
+
+
+@query("k3_acceleration", "select clip_id, tick, round(acceleration, 6) as acceleration from accel", "accel")
+def _acceleration(spark, d):
+    return _round(features.add_acceleration(features.add_speed(inputs.ticks(spark, d))), "acceleration")
+
+
+@query("k4_rolling_mean", "select clip_id, tick, round(smooth, 6) as smooth from smooth", "smooth")
+def _rolling(spark, d):
+    t = features.add_acceleration(features.add_speed(inputs.ticks(spark, d)))
+    return _round(features.rolling_mean(t, "acceleration", "smooth"), "smooth")
+
+
+@query("k5_hysteresis", "select clip_id, tick, cast(state as int) as state from lon_state", "lon_state")
+def _hysteresis(spark, d):
+    return segments.longitudinal_states(inputs.ticks(spark, d)).select("clip_id", "tick", "state")
+
+
+@query("k6_turn_rate", "select clip_id, tick, round(distance, 6) as distance, round(turn, 6) as turn, round(turn_rate, 6) as turn_rate from turning", "turning")
+def _turn(spark, d):
+    return _round(features.add_turn_rate(features.add_speed(inputs.ticks(spark, d))), "distance", "turn", "turn_rate")
+
+
+@query("k8_lane_kinematics", """select clip_id, tick, round(coalesce(case when tick = 0 then lead(dh) over w else dh end, 0), 6) as heading_delta, round(dist, 6) as step_distance,
+  round(case when dist is null then 0 else coalesce(-dx * sin(heading) + dy * cos(heading), 0) end, 6) as step_left from (select *, coalesce(sqrt(dx * dx + dy * dy), 0) as dist, (dh0 + pi()) - 2 * pi() * floor((dh0 + pi()) / (2 * pi())) - pi() as dh from
+  (select *, lead(x) over w - x as dx, lead(y) over w - y as dy, heading - lag(heading) over w as dh0 from ticks window w as (partition by clip_id order by tick))) window w as (partition by clip_id order by tick)""", "ticks")
+def _lane_kinematics(spark, d):
+    return _round(features.add_lane_kinematics(inputs.ticks(spark, d)), "heading_delta", "step_distance", "step_left")
+
+
+@query("k9_downsample", "select clip_id, tick from ticks where (tick < 10 and tick % 5 = 0) or (tick >= 10 and tick - 10 between 4 and 29 and (tick - 14) % 5 = 0)", "ticks")
+def _downsample(spark, d):
+    return features.downsample(inputs.ticks(spark, d), 5, 10, 30).select("clip_id", "tick")
+
+
+@query("k10_rotate_axes", "select clip_id, tick, round(-y, 6) as x, round(x, 6) as y, round(-vy, 6) as vx, round(vx, 6) as vy, round((heading + pi() / 2) - 2 * pi() * floor((heading + pi() / 2) / (2 * pi())), 6) as heading from ticks", "ticks")
+def _rotate(spark, d):
+    return _round(features.rotate_axes(inputs.ticks(spark, d)), "x", "y", "vx", "vy", "heading")
+
+
+@query("k11_angular_velocity", "select clip_id, tick, round(coalesce(a * 10, lag(a * 10) over (partition by clip_id order by tick), 0), 6) as angular_velocity from (select *, (q + pi()) - 2 * pi() * floor((q + pi()) / (2 * pi())) - pi() as a from (select *, lead(heading) over (partition by clip_id order by tick) - heading as q from ticks))", "ticks")
+def _angular(spark, d):
+    return _round(features.angular_velocity(inputs.ticks(spark, d)), "angular_velocity")
+
+
+@query("k12_long_lat_speed", "select clip_id, tick, round(vx * cos(heading) + vy * sin(heading), 6) as lon_speed, round(-vx * sin(heading) + vy * cos(heading), 6) as lat_speed from ticks", "ticks")
+def _lon_lat(spark, d):
+    return _round(features.long_lat_speed(inputs.ticks(spark, d)), "lon_speed", "lat_speed")
+
+
+@query("k14_resample", """select m.clip_id, cast(f as int) as frame, round(a.speed + coalesce(b.speed - a.speed, 0) * (f / 3.0e0 - a.tick), 6) as speed from (select clip_id, max(tick) as last from motion group by 1) m, lateral (select unnest(range(0, last * 3 + 1)) as f) g
+  join motion a on a.clip_id = m.clip_id and a.tick = f // 3 left join motion b on b.clip_id = m.clip_id and b.tick = a.tick + 1""", "motion")
+def _resample(spark, d):
+    t = features.resample_linear(features.add_speed(inputs.ticks(spark, d)), ["speed"])
+    return _round(t, "speed", keep=("clip_id", "frame"))
+
+
+@query("g2_segment_longitudinal", "select clip_id, round(start_time, 6) as start_time, round(duration, 6) as duration, round(delta_velocity, 6) as delta_velocity, round(average_acceleration, 6) as average_acceleration, round(average_speed, 6) as average_speed, round(average_speed_along_heading, 6) as average_speed_along_heading, caption from lon_cap", "lon_cap")
+def _longitudinal(spark, d):
+    s = classify.classify_longitudinal(segments.segment_longitudinal(inputs.ticks(spark, d)))
+    return _round(s, "start_time", "duration", "delta_velocity", "average_acceleration", "average_speed", "average_speed_along_heading", keep=("clip_id", "caption"))
+
+
+@query("g3_segment_lateral", "select clip_id, round(start_time, 6) as start_time, round(duration, 6) as duration, round(total_heading_change, 6) as total_heading_change, round(average_turn_rate, 6) as average_turn_rate, round(total_distance, 6) as total_distance, round(average_speed_along_heading, 6) as average_speed_along_heading, caption from lat_cap", "lat_cap")
+def _lateral(spark, d):
+    s = classify.classify_lateral(segments.segment_lateral(inputs.ticks(spark, d)))
+    return _round(s, "start_time", "duration", "total_heading_change", "average_turn_rate", "total_distance", "average_speed_along_heading", keep=("clip_id", "caption"))
+
+
+@query("g9_label_clips")
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaned spans of both families, without stops in the lateral ones."""
+    return intervals.remove_stops(intervals.to_tick_spans(segments.label_clips(inputs.ticks(spark, d))))
+
+
+@query("i1_tick_spans", "select clip_id, agent_id, family, tag, s as start, e as \"end\" from spans", "spans")
+def _tick_spans(spark, d):
+    return inputs.spans(spark, d).select("clip_id", "agent_id", "family", "tag", "start", "end")
+
+
+@query("i2_subtract_stops", """select clip_id, agent_id, tag, min(t) as start, max(t) + 1 as "end" from (select *, t - row_number() over (partition by clip_id, agent_id, tag, s order by t) as g from
+  (select l.clip_id, l.agent_id, l.tag, l.s, cast(unnest(range(l.s, l.e)) as int) as t from spans l where family = 'lateral') x where not exists (select 1 from spans p where p.family = 'longitudinal' and p.tag = 'Stop' and p.clip_id = x.clip_id and p.agent_id = x.agent_id and x.t >= p.s and x.t < p.e)) group by clip_id, agent_id, tag, s, g""", "spans")
+def _subtract(spark, d):
+    return intervals.remove_stops(inputs.spans(spark, d)).where("family = 'lateral'").select("clip_id", "agent_id", "tag", "start", "end")
+
+
+@query("i3_clip_to_window", "select clip_id, tag, greatest(s - 20, 0) as start, least(e - 20, 40) as \"end\" from spans where s <= 60 and e >= 20", "spans")
+def _window(spark, d):
+    return intervals.clip_to_window(inputs.spans(spark, d), 20, 40).select("clip_id", "tag", "start", "end")
+
+
+@query("i4_clip_len", "select clip_id, max(e) + 1 as length from spans group by clip_id", "spans")
+def _length(spark, d):
+    return intervals.infer_clip_len(inputs.spans(spark, d))
+
+
+@query("i5_format_spans", """select clip_id, cast(row_number() over (partition by clip_id order by fs, tag, s, e) - 1 as int) as line_no, '  ' || tag || ' - Agent:<' || agent_id || '>, Start:' || s || ', End:' || e as line
+  from (select *, min(s) over (partition by clip_id, tag) as fs from spans)""", "spans")
+def _format(spark, d):
+    return intervals.format_spans(inputs.spans(spark, d))
+
+
+@query("i6_frames", """select c.clip_id, cast(f as int) as frame, coalesce(arg_max(tag, s) filter (tag is not null), 'Not Available') as longitudinal from (select distinct clip_id from spans) c cross join (select unnest(range(0, 200)) as f) g
+  left join (select * from spans where family = 'longitudinal') p on p.clip_id = c.clip_id and f >= s and f < e group by c.clip_id, f""", "spans")
+def _frames(spark, d):
+    s = inputs.numbered(inputs.spans(spark, d))
+    return intervals.expand_to_frames(s, s).select("clip_id", "frame", "longitudinal")
+
+
+@query("i7_change_points", """select clip_id, frame, longitudinal from (select *, lag(longitudinal) over (partition by clip_id order by frame) as b from (select c.clip_id, cast(f as int) as frame, coalesce(arg_max(tag, s) filter (tag is not null), 'Not Available') as longitudinal
+  from (select distinct clip_id from spans) c cross join (select unnest(range(0, 200)) as f) g left join (select * from spans where family = 'longitudinal') p on p.clip_id = c.clip_id and f >= s and f < e group by c.clip_id, f)) where b <> longitudinal""", "spans")
+def _changes(spark, d):
+    return intervals.change_points(_frames(spark, d), "longitudinal")
+
+
+@query("i9_overlap", "select clip_id, 8 as video_start, 0 as clip_start, 292 as n_frames from timing", "timing")
+def _overlap(spark, d):
+    t = inputs.clip_timing(spark, d)
+    video = t.select("clip_id", (F.col("start_us") - 250000).alias("start_us"), (F.col("start_us") + 9750000).alias("end_us"))
+    return intervals.overlap_video_clip(video, t.select("clip_id", "start_us", (F.col("start_us") + 20000000).alias("end_us")))
+
+
+@query("i10_frames_30fps", "select clip_id, tag, s * 3 as start, e * 3 as \"end\", case when family = 'longitudinal' then family else 'lateral' end as track from spans", "spans")
+def _fps(spark, d):
+    return intervals.frames_at_30fps(inputs.spans(spark, d)).select("clip_id", "tag", "start", "end", "track")
+
+
+@query("p8_keyframes", "select * from keys", "keys")
+def _keys(spark, d):
+    return inputs.keyframe_rows(spark, d)
+
+
+@query("p9_filter", "select * from keys where meta_action = 'stop' and clip_id not in (select clip_id from timing where clip_id like '%7')", "keys", "timing")
+def _filter(spark, d):
+    return keyframes.filter_segments(inputs.keyframe_rows(spark, d), ["stop"], exclude=inputs.clip_timing(spark, d).where("clip_id like '%7'"))
 
-    return {"ticks": ticks.SQL}
+
+@query("p10_align", "select meta_action, clip_id, cast(5 * round_even(event_start_frame / 5.0, 0) as int) as event_start_frame, event_end_frame, duration + event_start_frame - cast(5 * round_even(event_start_frame / 5.0, 0) as int) as duration, event_start_frame as unrounded_start_frame from keys", "keys")
+def _align(spark, d):
+    return keyframes.align_event_start(inputs.keyframe_rows(spark, d), 5)
+
+
+@query("a1_duration_stats", "select a as meta_action, count(meta_action) as n, round(avg(duration), 6) as mean, round(stddev_pop(duration), 6) as std, min(duration) as least, max(duration) as most from (select unnest(['stop', 'reverse', 'steer_left', 'keep_lane']) as a) left join keys on a = meta_action group by a", "keys")
+def _stats(spark, d):
+    s = keyframes.duration_stats(inputs.keyframe_rows(spark, d), ["stop", "reverse", "steer_left", "keep_lane"])
+    return s.withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)})
+
+
+@query("a2_counts", "select meta_action, count(*) as segments, count(distinct clip_id) as clips from keys group by meta_action", "keys")
+def _counts(spark, d):
+    return keyframes.counts(inputs.keyframe_rows(spark, d))
+
+
+@query("a3_dedupe_concat", "select clip_id, case when count(*) > 1 then string_agg(meta_action, ',' order by meta_action, event_end_frame) else min(meta_action) end as meta_action, event_start_frame from keys group by clip_id, event_start_frame", "keys")
+def _dedupe(spark, d):
+    k = inputs.keyframe_rows(spark, d).select("meta_action", "clip_id", "event_start_frame", F.struct("meta_action", "event_end_frame").alias("o"))
+    return keyframes.dedupe_concat(k, "o", ["meta_action"]).drop("o")
+
+
+@query("a5_compact", """select * exclude (r, c) from (select *, min(line_no) over (partition by row_key) as position, row_number() over (partition by row_key order by ok desc, line_no desc) as r, 1 as c from log where row_key is not null) where r = 1
+  union all select *, line_no from log where row_key is null""", "log")
+def _compact(spark, d):
+    return results.compact_results(inputs.log(spark, d)).select("row_key", "line_no", "ok", "size", "position")
+
+
+@query("a6_done_keys", "select distinct row_key from log where ok and row_key is not null", "log")
+def _done(spark, d):
+    return results.done_keys(inputs.log(spark, d))
+
+
+@query("a7_clip_ids", "select distinct clip_id from keys where meta_action in ('stop', 'reverse')", "keys")
+def _clip_ids(spark, d):
+    return keyframes.load_clip_ids(inputs.keyframe_rows(spark, d), ["STOP", "Reverse"])
+
+
+@query("a8_resolve_clips", "select distinct 'c_' || user_id as clip_id from events")
+def _resolve(spark, d):
+    e = spark.read.parquet(f"{d}/events.parquet")
+    return keyframes.resolve_clips(e.select(F.concat(F.lit("c_"), F.col("user_id").cast("string"), F.lit("_"), F.col("event_id").cast("string")).alias("key")))
+
+
+@query("a9_agreement", """select 'longitudinal' as track, count(*) as frames, count(*) filter (p = t) as equal from (select f.clip_id, f.f, arg_max(f.tag, f.s) filter (f.tag is not null) as p, arg_max(g.tag, g.s) filter (g.tag is not null) as t
+  from (select s.*, unnest(range(s.s, s.e)) as f from spans s where family = 'longitudinal') f join (select s.*, unnest(range(s.s + 2, s.e + 2)) as f from spans s where family = 'longitudinal') g on f.clip_id = g.clip_id and f.f = g.f group by f.clip_id, f.f)""", "spans")
+def _agreement(spark, d):
+    s = inputs.numbered(inputs.spans(spark, d).where("family = 'longitudinal'"))
+    here = lambda by: intervals.expand_to_frames(s.withColumns({"start": F.col("start") + by, "end": F.col("end") + by}), s).where("longitudinal <> 'Not Available'")
+    return keyframes.agreement(here(0), here(2), ("longitudinal",))
+
+
+@query("t1_balance", "select meta_action, clip_id, event_start_frame, event_end_frame, duration from (select *, row_number() over (partition by meta_action order by duration desc, clip_id, event_start_frame, event_end_frame) as r from keys) where r <= 20", "keys")
+def _balance(spark, d):
+    return keyframes.balance(inputs.keyframe_rows(spark, d), 20)
+
+
+@query("t2_limit", "select row_index from labels_in where clip_id is not null order by row_index limit 25", "labels_in")
+def _limit(spark, d):
+    labels = inputs.labels(spark, d).where("clip_id is not null").withColumn("row_key", F.col("clip_id"))
+    return results.pending(labels, inputs.log(spark, d), 25).select("row_index")
+
+
+@query("j1_asof_episode", """select k.clip_id, k.event_start_frame, coalesce(case when k.us - max(e.time_us) filter (e.time_us <= k.us) > 1000000 then min(e.time_us) else max(e.time_us) filter (e.time_us <= k.us) end, min(e.time_us)) as episode_us
+  from (select row_number() over () as id, clip_id, event_start_frame, cast(start_us + event_start_frame * dt_us as bigint) as us from keys join timing using (clip_id)) k join episodes e using (clip_id) group by k.id, k.clip_id, k.event_start_frame, k.us""", "keys", "timing", "episodes")
+def _asof(spark, d):
+    k = joins.event_time(inputs.keyframe_rows(spark, d), inputs.clip_timing(spark, d))
+    return joins.asof_episode(k, inputs.episodes(spark, d)).select("clip_id", "event_start_frame", "episode_us")
+
+
+@query("j2_nearest_frame", """select clip_id, us as ts_us, case when us between min(f.ts_us) and max(f.ts_us) then arg_min(f.frame_index, (abs(f.ts_us - us), f.ts_us)) end as frame_index from
+  (select distinct clip_id, cast(start_us + event_start_frame * dt_us as bigint) as us from keys join timing using (clip_id)) k join frame_ts f using (clip_id) group by clip_id, us""", "keys", "timing", "frame_ts")
+def _nearest(spark, d):
+    k = joins.event_time(inputs.keyframe_rows(spark, d), inputs.clip_timing(spark, d)).select("clip_id", F.col("event_start_us").alias("ts_us")).distinct()
+    return joins.nearest_frame(k, inputs.frame_ts(spark, d)).drop("frame_error")
+
+
+@query("j3_frame_timestamp", "select k.clip_id, k.frame_index, f.ts_us from (select distinct clip_id, event_start_frame * 3 as frame_index from keys) k left join frame_ts f using (clip_id, frame_index)", "keys", "frame_ts")
+def _frame_time(spark, d):
+    k = inputs.keyframe_rows(spark, d).select("clip_id", (F.col("event_start_frame") * 3).alias("frame_index")).distinct()
+    return joins.frame_timestamp(k, inputs.frame_ts(spark, d))
+
+
+@query("j4_event_time", "select clip_id, meta_action, event_start_frame, cast(start_us + event_start_frame * dt_us as bigint) as event_start_us from keys join timing using (clip_id)", "keys", "timing")
+def _event_time(spark, d):
+    return joins.event_time(inputs.keyframe_rows(spark, d), inputs.clip_timing(spark, d)).select("clip_id", "meta_action", "event_start_frame", "event_start_us")
+
+
+@query("j6_cached_ticks", "select meta_action, clip_id, event_start_frame from keys where event_start_frame % 2 = 0 and event_start_frame < 60", "keys")
+def _cached(spark, d):
+    index = inputs.ticks(spark, d).where("tick % 2 = 0 and tick < 60").select("clip_id", F.col("tick").alias("event_start_frame"))
+    return joins.with_cached_ticks(inputs.keyframe_rows(spark, d), index).select("meta_action", "clip_id", "event_start_frame")
+
+
+@query("j8_members", "select 'z' || (page_id % 5) || '.zip' as zip_path, 'a/c' || (page_id % 40) || '/video.mp4' as member_name, 'c' || (page_id % 40) as clip_id from pages where page_id % 40 < 30 group by all")
+def _members(spark, d):
+    p = spark.read.parquet(f"{d}/pages.parquet")
+    n = F.col("page_id") % 40
+    members = p.select(F.concat(F.lit("z"), (F.col("page_id") % 5).cast("string"), F.lit(".zip")).alias("zip_path"), F.concat(F.lit("a/c"), n.cast("string"), F.lit("/video.mp4")).alias("member_name"))
+    return joins.match_members(members, p.where("page_id % 40 < 30").select(F.concat(F.lit("c"), n.cast("string")).alias("clip_id")).distinct())
+
+
+@query("e1_action_window", """select k.clip_id, k.event_start_frame, cast(f as int) as frame, case when f < k.event_start_frame then 'history' else 'future' end as phase, cast(f - k.event_start_frame as int) as ts from (select distinct clip_id, event_start_frame from keys) k,
+  lateral (select unnest(range(greatest(k.event_start_frame - 20, 0), k.event_start_frame, 5)) as f union all select unnest(range(k.event_start_frame, least(k.event_start_frame + 60, 200), 5))) g""", "keys")
+def _action_window(spark, d):
+    s = inputs.numbered(inputs.spans(spark, d))
+    events = inputs.keyframe_rows(spark, d).select("clip_id", "event_start_frame").distinct()
+    return prompts.action_window(events, intervals.expand_to_frames(s, s)).select("clip_id", "event_start_frame", "frame", "phase", "ts")
+
+
+@query("e4_frame_plan", "select clip_id, event_start_frame, 3 as interval, event_start_frame % 3 as \"offset\", event_start_frame // 3 as sampled_event, len([x for x in range(event_start_frame // 3 - 20, event_start_frame // 3 + 61, 5) if x >= 0]) as n_frames from (select distinct clip_id, event_start_frame from keys)", "keys")
+def _plan(spark, d):
+    k = inputs.keyframe_rows(spark, d).select("clip_id", "event_start_frame").distinct()
+    return prompts.frame_plan(k).withColumn("n_frames", F.size("frames").cast("bigint")).drop("frames")
+
+
+@query("e9_lateral_prior")
+def _prior(spark, d):
+    """Priors of timelines whose lane tokens come from the lateral track."""
+    s = inputs.numbered(inputs.spans(spark, d))
+    tracks = intervals.expand_to_frames(s, s, tracks=("longitudinal", "lateral"))
+    lane = F.when(F.col("lateral") == "SteerLeft", "Left Lane Change").when(F.col("lateral") == "SteerRight", "Slightly Shift Right").otherwise("Keep Lane")
+    events = inputs.keyframe_rows(spark, d).select("clip_id", "event_start_frame").distinct()
+    return prompts.lateral_prior(prompts.action_window(events, tracks.withColumn("lane", lane)))
+
+
+@query("e10_claims", """select row_index, case when lower(coc_label) like '%change lane%' then 'lane_change' when lower(coc_label) like '%nudge%' then 'nudge' when lower(coc_label) like '%keep lane%' then 'keep_lane' when lower(coc_label) like '%turn%' then 'turn' else 'unknown' end as type,
+  case when coc_label like '%left%' then 'left' when coc_label like '%right%' then 'right' else '' end as direction from labels_in""", "labels_in")
+def _claims(spark, d):
+    return inputs.labels(spark, d).select("row_index", prompts.claim_from_text(F.col("coc_label")).alias("c")).select("row_index", "c.*")
+
+
+@query("f9_normalize_record", """select row_index, case when clip_id is null then 'missing_clip_id' when trim(coc_label) = 'nan' then 'missing_coc_label' when event_timestamp = 'x1' then 'invalid_timestamp:x1' end as reject_reason, try_cast(event_timestamp as bigint) as event_timestamp from labels_in""", "labels_in")
+def _records(spark, d):
+    return text.normalize_record(inputs.labels(spark, d)).select("row_index", "reject_reason", "event_timestamp")
+
+
+@query("f12_parse_answers", """select conv_id, turn, (conv_id + turn) % 5 not in (3, 4) as ok, case (conv_id + turn) % 5 when 3 then 'json_parse_failed' when 4 then 'invalid_score:decision_supported_by_video' end as parse_error,
+  case when (conv_id + turn) % 5 <> 3 then '0.' || (length(text) % 10) end as scene_score from conversations where role = 'assistant'""")
+def _answers(spark, d):
+    parsed = results.parse_responses(inputs.answers(spark, d), ["scene_score", "decision_supported_by_video"])
+    return parsed.select("conv_id", "turn", "ok", "parse_error", F.col("evaluation")["scene_score"].alias("scene_score"))
+
+
+@query("f14_row_key", "select row_index, case when clip_id is null then 'row_' || row_index else clip_id || '_' || coalesce(nullif(event_timestamp, ''), 'None') || '_' || row_index end as row_key from labels_in", "labels_in")
+def _row_key(spark, d):
+    return inputs.labels(spark, d).select("row_index", text.row_key(F.col("clip_id"), text.present(F.col("event_timestamp")), F.col("row_index")).alias("row_key"))
+
+
+@query("f1_action_names", "select tag, lower(regexp_replace(tag, '([a-z])([A-Z])', '\\1_\\2', 'g')) as action, regexp_replace(tag, '([a-z])([A-Z])', '\\1 \\2', 'g') as display, count(*) as n from spans group by all", "spans")
+def _names(spark, d):
+    tag = F.col("tag")
+    return inputs.spans(spark, d).groupBy("tag", text.normalize_action(tag).alias("action"), text.action_text(tag).alias("display")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)

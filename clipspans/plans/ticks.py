@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 _TEMPLATE = """
@@ -21,7 +23,9 @@ select clip_id, agent_id, tick, round(s * cos(heading), 6) as vx, round(s * sin(
 from v
 """
 
-SQL = _TEMPLATE.format(json="json_extract_string(props, '$.k')", string="varchar")
+#: DuckDB rounds small negatives to -0.0, Spark to 0.0
+SQL = re.sub(r", (\d)\) as ", r", \1) + 0.0e0 as ", _TEMPLATE.format(json="json_extract_string(props, '$.k')", string="varchar"))
+SQL = SQL.replace("vy, heading,", "vy, heading + 0.0e0 as heading,")
 
 
 def from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
