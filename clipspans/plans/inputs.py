@@ -83,6 +83,31 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("doc_id").alias("row_index"), F.when(F.col("doc_id") % 13 != 0, F.concat(F.lit("c"), (F.col("doc_id") % 50).cast("string"))).alias("clip_id"), stamp.alias("event_timestamp"), text.alias("coc_label"))
 
 
+LANE_PIECES = 20
+
+
+def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per map (one per ten clips) five straight lanes, 3.5 m apart, in pieces of 10 m."""
+    maps = _read(spark, sf_dir, "events").select((F.col("user_id") % 10).alias("m")).distinct()
+    rows = maps.select(F.concat(F.lit("m"), F.col("m").cast("string")).alias("map_id"), F.explode(F.sequence(F.lit(-2), F.lit(2))).alias("j")).select("map_id", "j", F.explode(F.sequence(F.lit(0), F.lit(LANE_PIECES - 1))).alias("i"))
+    name = lambda j, i: F.concat(F.lit("L"), j.cast("string"), F.lit("_"), i.cast("string"))
+    j, i, y = F.col("j"), F.col("i"), F.col("j") * 3.5
+    some = lambda ok, value: F.when(ok, F.array(value)).otherwise(F.array().cast("array<string>"))
+    point = lambda k: F.struct((k * 10.0).alias("x"), y.alias("y"))
+    return rows.select("map_id", name(j, i).alias("lane_id"), F.array(point(i), point(i + 1)).alias("center"), some(i < LANE_PIECES - 1, name(j, i + 1)).alias("next"), some(j < 2, name(j + 1, i)).alias("left"), some(j > -2, name(j - 1, i)).alias("right"))
+
+
+def lane_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Poses along those lanes: y follows a command held for 25 ticks, smoothed over 20."""
+    by = Window.partitionBy("user_id").orderBy("tick")
+    e = _read(spark, sf_dir, "events").withColumn("tick", (F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1).cast("int"))
+    e = e.withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumn("block", F.floor(F.col("tick") / 25))
+    e = e.withColumn("goal", (F.pmod(F.first("k").over(Window.partitionBy("user_id", "block").orderBy("tick")), F.lit(3)) - 1) * 3.5)
+    e = e.withColumns({"y": F.round(F.avg("goal").over(by.rowsBetween(-19, 0)), 6), "x": F.round(F.col("tick") * 0.8, 6)})
+    heading = F.coalesce(F.atan2(F.lead("y").over(by) - F.col("y"), F.lit(0.8)), F.lit(0.0))
+    return e.select(_clip(), F.lit("ego").alias("agent_id"), "tick", F.concat(F.lit("m"), (F.col("user_id") % 10).cast("string")).alias("map_id"), "x", "y", F.round(heading, 6).alias("heading"))
+
+
 CTES = {
     "ticks": "(" + tick_plan.SQL + ")",
     "motion": "(select *, sqrt(vx * vx + vy * vy) as speed, vx * cos(heading) + vy * sin(heading) as speed_along from ticks)",
@@ -123,6 +148,8 @@ CTES |= {
     "episodes": "(select t.clip_id, start_us + tick * 100000 + (event_id % 7) * 10000 as time_us from (select 'clip_' || lpad(cast(user_id as varchar), 6, '0') as clip_id, event_id, event_type, row_number() over (partition by user_id order by ts, event_id) - 1 as tick from events) t join timing using (clip_id) where event_type = 'purchase')",
     "frame_ts": "(select clip_id, cast(f as int) as frame_index, start_us - 250000 + f * 100000 // 3 + (f * 37 % 11) * 100 as ts_us from timing, (select unnest(range(0, 300)) as f))",
     "log": "(select case when conv_id % 11 <> 0 then 'k' || conv_id end as row_key, conv_id * 1000 + turn as line_no, turn % 3 <> 0 as ok, length(text) as size from conversations)",
+    "lane_ticks": "(select 'clip_' || lpad(cast(user_id as varchar), 6, '0') as clip_id, tick, round(tick * 0.8, 6) as x, round(avg(goal) over (partition by user_id order by tick rows between 19 preceding and current row), 6) as y from (select *, (first_value(cast(json_extract_string(props, '$.k') as int)) over (partition by user_id, tick // 25 order by tick) % 3 - 1) * 3.5e0 as goal from (select *, cast(row_number() over (partition by user_id order by ts, event_id) - 1 as int) as tick from events)))",
+    "lane_match": "(select clip_id, tick, y, arg_min('L' || j || '_' || i, (abs(y - j * 3.5), 'L' || j || '_' || i)) as lane_id, arg_min(y - j * 3.5, (abs(y - j * 3.5), 'L' || j || '_' || i)) as lane_offset, count(*) as n from lane_ticks, (select unnest(range(-2, 3)) as j), (select unnest(range(0, 20)) as i) where sqrt(pow(y - j * 3.5, 2) + pow(greatest(i * 10 - x, 0, x - i * 10 - 10), 2)) <= 2 group by 1, 2, 3)",
     "labels_in": "(select doc_id as row_index, case when doc_id % 13 <> 0 then 'c' || (doc_id % 50) end as clip_id, case when doc_id % 9 = 0 then 'x1' when doc_id % 7 = 0 then '' else cast(doc_id * 100000 as varchar) end as event_timestamp, ['Change lanes to the left', 'Nudge right to pass', 'Keep lane and stop', 'Turn right', 'Slow down', ' nan '][doc_id % 6 + 1] as coc_label from documents)",
 }
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipspans.functions import text
-from clipspans.operators import classify, features, intervals, joins, keyframes, prompts, results, segments
+from clipspans.operators import classify, features, intervals, joins, keyframes, lanes, prompts, results, segments
 from clipspans.plans import inputs
 from clipspans.plans import ticks as tick_plan
 from clipspans.plans.inputs import with_ctes
@@ -237,6 +237,29 @@ def _agreement(spark, d):
     return keyframes.agreement(here(0), here(2), ("longitudinal",))
 
 
+@query("m1_match_lanes")
+def _match(spark, d):
+    m = lanes.match_lanes(inputs.lane_ticks(spark, d), inputs.lanes(spark, d))
+    return m.select("clip_id", "tick", "lane_id", F.round("lane_offset", 6).alias("lane_offset"), F.size("current_lanes").alias("n"))
+
+
+@query("m3_next_lanes", "select 'm' || m as map_id, 'L' || j || '_' || i as lane_id, 'L' || j || '_' || (i + k) as next_id from (select distinct user_id % 10 as m from events), (select unnest(range(-2, 3)) as j), (select unnest(range(0, 20)) as i), (select unnest(range(1, 6)) as k) where i + k < 20")
+def _next(spark, d):
+    return lanes.next_lanes(inputs.lanes(spark, d))
+
+
+@query("m_lane_decisions")
+def _decisions(spark, d):
+    t = lanes.label_lane_ticks(inputs.lane_ticks(spark, d), inputs.lanes(spark, d))
+    return t.select("clip_id", "tick", "lane_id", "instant", "left_hits", "right_hits", "voted", "lane_decision", "reason", F.round("lane_confidence", 6).alias("lane_confidence"), "lane_confidence_label")
+
+
+@query("g4_segment_lane")
+def _lane_segments(spark, d):
+    s = lanes.classify_lane(lanes.segment_lane(lanes.label_lane_ticks(inputs.lane_ticks(spark, d), inputs.lanes(spark, d))))
+    return _round(s, "start_time", "duration", "max_abs_offset", "average_lateral_rate", "pulse_rise", "pulse_fall", keep=("clip_id", "caption", "lane_decision", "pulse_dir"))
+
+
 @query("t1_balance", "select meta_action, clip_id, event_start_frame, event_end_frame, duration from (select *, row_number() over (partition by meta_action order by duration desc, clip_id, event_start_frame, event_end_frame) as r from keys) where r <= 20", "keys")
 def _balance(spark, d):
     return keyframes.balance(inputs.keyframe_rows(spark, d), 20)
