@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipspans.functions import text
-from clipspans.operators import classify, features, intervals, joins, keyframes, lanes, prompts, results, segments
+from clipspans.operators import classify, features, intervals, joins, keyframes, lane_cleaning, lanes, prompts, results, segments
 from clipspans.plans import inputs
 from clipspans.plans import ticks as tick_plan
 from clipspans.plans.inputs import with_ctes
@@ -260,6 +260,12 @@ def _lane_segments(spark, d):
     return _round(s, "start_time", "duration", "max_abs_offset", "average_lateral_rate", "pulse_rise", "pulse_fall", keep=("clip_id", "caption", "lane_decision", "pulse_dir"))
 
 
+@query("g8_clean_lane")
+def _clean_lane(spark, d):
+    s = lanes.classify_lane(lanes.segment_lane(lanes.label_lane_ticks(inputs.lane_ticks(spark, d), inputs.lanes(spark, d))))
+    return _round(lane_cleaning.clean_lane(s), "start_time", "duration", "average_lateral_rate", "lane_confidence", keep=("clip_id", "caption", "lane_decision", "lane_confidence_label"))
+
+
 @query("t1_balance", "select meta_action, clip_id, event_start_frame, event_end_frame, duration from (select *, row_number() over (partition by meta_action order by duration desc, clip_id, event_start_frame, event_end_frame) as r from keys) where r <= 20", "keys")
 def _balance(spark, d):
     return keyframes.balance(inputs.keyframe_rows(spark, d), 20)
