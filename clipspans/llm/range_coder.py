@@ -22,7 +22,7 @@ import numpy as np
 
 MAGIC = b"CMR1"
 HEAD = struct.Struct("<4sIII")
-TABLE_BITS = 12
+TABLE_BITS = 11
 MAX_ID = 1 << 18
 _ONE = 1 << 12  # probabilities of a decision
 _SCALE = 1 << 16  # probabilities as kept
@@ -32,7 +32,9 @@ _LEAST = 1 << 40  # the coder's range stays at or above it; digits have 16 bits
 # magnitude classes: all ids below 64, then four for each power of two
 _LOW = np.concatenate(([0], [(4 + m) << (e - 2) for e in range(6, 18) for m in range(4)])).astype(np.int64)
 _RAW = np.concatenate(([6], np.repeat(np.arange(4, 16), 4))).astype(np.int64)
+_GROUP = 7  # classes are counted singly and in groups of seven, so that a place among all is found in two short steps
 _CLASSES = len(_LOW)
+assert _CLASSES == _GROUP * _GROUP
 _ADD, _MOST = 24, 1 << 13
 
 
@@ -41,7 +43,7 @@ class _Sink:
 
     def __init__(self, lanes: int, steps: int) -> None:
         self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, 1 << 56, np.int64)
-        self.out, self.at = np.zeros((lanes, 4 * steps + 8), np.int32), np.zeros(lanes, np.int64)
+        self.out, self.at = np.zeros((lanes, steps + 64), np.int32), np.zeros(lanes, np.int64)
 
     def renew(self) -> None:
         lane = np.flatnonzero(self.range < _LEAST)
@@ -53,7 +55,10 @@ class _Sink:
 
     def _digit(self, lane: np.ndarray) -> None:
         low = self.low[lane]
-        self.out[lane, self.at[lane]] = low >> 40
+        at = self.at[lane]
+        if len(at) and int(at.max()) >= self.out.shape[1]:
+            self.out = np.pad(self.out, ((0, 0), (0, self.out.shape[1])))
+        self.out[lane, at] = low >> 40
         self.at[lane] += 1
         self.low[lane] = (low & ((1 << 40) - 1)) << 16
 
@@ -100,15 +105,15 @@ def _code(coder: _Sink | _Source, lanes: int, steps: int, ids: np.ndarray | None
     two, one = np.zeros(lanes << TABLE_BITS, np.int32), np.zeros(lanes << TABLE_BITS, np.int32)  # id * 4 + confidence
     by_state = [np.full(32 * lanes, _SCALE // 2, np.int32) for _ in range(2)]
     always = [np.full(lanes, _SCALE // 2, np.int32) for _ in range(2)]
-    order0, total = np.ones((_CLASSES, lanes), np.int32), np.full(lanes, _CLASSES, np.int64)
-    flat = order0.reshape(-1)
+    order0, groups, total = np.ones((_CLASSES, lanes), np.int32), np.full((_GROUP, lanes), _GROUP, np.int32), np.full(lanes, _CLASSES, np.int64)
+    flat, in_group = order0.reshape(-1), (np.arange(_GROUP) * lanes)[:, None]
     classes = (np.searchsorted(_LOW, np.arange(MAX_ID), side="right") - 1).astype(np.int8) if encode else None
     p1, p2, mask = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64), (1 << TABLE_BITS) - 1
 
     def decide(which: int, state: np.ndarray, hit: np.ndarray | None, asked: np.ndarray | None) -> np.ndarray:
         """One yes-or-no decision of every lane, or of those asked."""
         own = by_state[which].take(state)
-        p = np.clip((3 * own + always[which]) >> 6, 16, _ONE - 16).astype(np.int64)
+        p = np.minimum(np.maximum((3 * own + always[which]) >> 6, 16), _ONE - 16).astype(np.int64)
         step = coder.range >> 12
         bound = p * step
         if not encode:
@@ -147,20 +152,24 @@ def _code(coder: _Sink | _Source, lanes: int, steps: int, ids: np.ndarray | None
             x = np.where(hit, c2, c1).astype(np.int64)
         lane = np.flatnonzero(rest & ~hit1)
         if len(lane):
-            whole = len(lane) * 4 > lanes * 3
-            ends = np.cumsum(order0 if whole else order0[:, lane], axis=0, dtype=np.int32)
-            if whole:
-                ends = ends[:, lane]
-            room, tot = coder.range[lane], total[lane]
+            ends = np.cumsum(groups[:, lane], axis=0, dtype=np.int32)
+            room, tot, every_lit = coder.range[lane], total[lane], np.arange(len(lane))
             step = room // tot
             if encode:
                 k = classes.take(x[lane]).astype(np.int64)
+                g = k // _GROUP
             else:
                 code = coder.code[lane]
-                k = (ends <= np.minimum(code // step, tot - 1).astype(np.int32)).sum(axis=0)
+                target = np.minimum(code // step, tot - 1).astype(np.int32)
+                g = (ends <= target).sum(axis=0)
+            base = np.where(g > 0, ends[g - 1, every_lit], 0)
+            own = flat.take((g * (_GROUP * lanes) + lane) + in_group)
+            inner = np.cumsum(own, axis=0, dtype=np.int32)
+            r = k - g * _GROUP if encode else (inner <= target - base).sum(axis=0)
+            k = g * _GROUP + r
             at = k * lanes + lane
-            size = flat.take(at).astype(np.int64)
-            low = (ends[k, np.arange(len(lane))] - size) * step
+            size = own[r, every_lit].astype(np.int64)
+            low = (base + inner[r, every_lit] - size) * step
             raw, step2 = _RAW.take(k), size * step
             step2 >>= raw
             if encode:
@@ -172,12 +181,15 @@ def _code(coder: _Sink | _Source, lanes: int, steps: int, ids: np.ndarray | None
                 x[lane] = _LOW.take(k) + v
             coder.range[lane] = step2
             flat[at] += _ADD
+            groups[g, lane] += _ADD
             tot += _ADD
             total[lane] = tot
             high = lane[tot > _MOST]
             if len(high):
-                order0[:, high] = (order0[:, high] + 1) >> 1
-                total[high] = order0[:, high].sum(axis=0)
+                less = (order0[:, high] + 1) >> 1
+                order0[:, high] = less
+                groups[:, high] = less.reshape(_GROUP, _GROUP, -1).sum(axis=1)
+                total[high] = less.sum(axis=0)
             coder.renew()
         got[t] = x
         x32 = x.astype(np.int32)

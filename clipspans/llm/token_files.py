@@ -26,34 +26,64 @@ from pyspark.sql import functions as F
 from clipspans.llm import range_coder
 from clipspans.llm.common import shared_dir, table
 
-SEGMENT, BLOCK, SIDE_BY_SIDE = 1 << 17, 1 << 11, 1 << 21
+SEGMENT, BLOCK, SIDE_BY_SIDE = 1 << 17, 1 << 10, 1 << 21
 END = 1
 FILE = "part int, seq int, ids array<bigint>, lengths array<int>, n bigint, blocks array<binary>"
 _ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("n", pa.int64()), ("blocks", pa.list_(pa.binary()))])
-#: Tokens never cross these, whatever the tokenizer's own idea of white space.
+#: The vocabulary's splitter never joins what blanks part, nor, among these characters, a letter with a digit or a sign; digits
+#: stand alone. A run with any other character, an apostrophe or a bar (they can belong to longer units) is left to the library.
 _CHUNK = re.compile(r"[^ \t\n\r]+")
+_LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_PIECE = re.compile(rf"[{_LETTER}]+|[0-9]|[^{_LETTER}0-9 \t\n\r]+")
+_ODD = re.compile("['|\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xbf×÷İ]|[^\x00-ɏ]")
+_WORD_END = "</w>"
 
 
-class ChunkTokens:
-    """Ids of texts. The normaliser and splitter of the vocabulary work within runs between blanks, so a run's ids are its
-    own wherever it stands; runs already met are kept, up to a fixed number."""
+class PieceTokens:
+    """Ids of texts. A piece's ids are its own wherever it stands, so the library encodes each distinct piece once; pieces
+    already met are kept, up to a fixed number. New pieces are encoded together, and the word-end ids part them again."""
 
-    def __init__(self, path: str, most: int = 200_000) -> None:
+    def __init__(self, path: str, most: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
+
+    def _split(self, text: str) -> list[str]:
+        if not _ODD.search(text):
+            return _PIECE.findall(text)
+        out = []
+        for chunk in _CHUNK.findall(text):
+            if _ODD.search(chunk):
+                out.append(chunk)
+            else:
+                out += _PIECE.findall(chunk)
+        return out
+
+    def _learn(self, pieces: set[str]) -> None:
+        plain = [p for p in pieces if not _ODD.search(p)]
+        ids = self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids if plain else []
+        cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist() if ids else []
+        if len(cuts) == len(plain) and (not cuts or cuts[-1] == len(ids)):
+            rest = [p for p in pieces if _ODD.search(p)]
+            for p, start, end in zip(plain, [0, *cuts], cuts):
+                self.known[p] = ids[start:end]
+        else:  # a vocabulary without word ends
+            rest = list(pieces)
+        for p, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            self.known[p] = e.ids
 
     def __call__(self, texts: list[str | None]) -> list[list[int]]:
-        split = [_CHUNK.findall(t or "") for t in texts]
-        new = list({c for s in split for c in s if c not in self.known})
+        split = [self._split(t or "") for t in texts]
+        new = {p for s in split for p in s}
         if len(self.known) + len(new) > self.most:
             self.known.clear()
-            new = list({c for s in split for c in s})
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[c] = e.ids
+        self._learn(new - self.known.keys())
         known = self.known
-        return [[i for c in s for i in known[c]] for s in split]
+        return [[i for p in s for i in known[p]] for s in split]
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", id: str = "doc_id", end: int = END) -> None:
@@ -62,7 +92,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", id: st
     rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie")
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part, seq = ChunkTokens(tokenizer), TaskContext.get().partitionId(), 0
+        tokens, part, seq = PieceTokens(tokenizer), TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         arrays: list[np.ndarray] = []
         waiting: list[tuple[list, list]] = []
