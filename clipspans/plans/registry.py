@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,24 +11,7 @@ from clipspans.functions import text
 from clipspans.operators import classify, features, intervals, joins, keyframes, lane_cleaning, lanes, prompts, results, segments
 from clipspans.plans import inputs
 from clipspans.plans import ticks as tick_plan
-from clipspans.plans.inputs import with_ctes
-
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None, *ctes: str):
-    """Registers a query; sql may use the CTEs that it names."""
-
-    def keep(function):
-        _QUERIES[name] = function
-        if sql is not None:
-            plain = re.sub(r", (\d)\) as ", r", \1) + 0.0e0 as ", sql)  # DuckDB rounds small negatives to -0.0
-            _SQL[name] = with_ctes(plain, *ctes) if ctes else plain
-        return function
-
-    return keep
-
+from clipspans.plans.catalog import ORACLES, QUERIES, query
 
 def _round(df: DataFrame, *columns: str, keep: tuple[str, ...] = ("clip_id", "tick")) -> DataFrame:
     return df.select(*keep, *[F.round(c, 6).alias(c) for c in columns])
@@ -369,9 +351,12 @@ def _names(spark, d):
     return inputs.spans(spark, d).groupBy("tag", text.normalize_action(tag).alias("action"), text.action_text(tag).alias("display")).agg(F.count(F.lit(1)).alias("n"))
 
 
+from clipspans.plans import events  # noqa: E402, F401  registers its queries too
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(ORACLES)
