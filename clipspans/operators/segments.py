@@ -6,11 +6,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipspans.operators import classify
-from clipspans.operators.features import DT, add_acceleration, add_speed, add_turn_rate, by_tick, hysteresis, rolling_mean
+from clipspans.operators.features import DT, add_acceleration, add_speed, add_turn_rate, hysteresis, rolling_mean
 
 KEYS = ["clip_id", "agent_id"]
 
@@ -23,14 +23,16 @@ def state_code(conditions: list[Column]) -> Column:
     return out
 
 
-def cut_on_state_change(ticks: DataFrame, state: str = "state", first_gap: int = 1, gap: int = 3, tail: int = 3, closed: bool = True) -> DataFrame:
+def cut_on_state_change(ticks: DataFrame, state: str = "state", first_gap: int = 1, gap: int = 3, tail: int = 3, closed: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Spans (clip_id, agent_id, seg, start, end) of each clip's ticks, counted from 0.
 
+    With carry, each span also has ``rows``: those columns of its ticks in order, the end tick included where it is one.
+
     A span is cut at the first tick, at least first_gap (the first span) or gap ticks after its start, whose state isn't that
     of the span's start, unless no more than ``tail`` ticks are left there. The last span ends at the last tick (closed) or
     behind it. States are one array per clip, and the cuts are found in one pass over it."""
-    states = F.transform(F.array_sort(F.collect_list(F.struct("tick", F.col(state).cast("int").alias("s")))), lambda x: x["s"])
-    clips = ticks.groupBy(*KEYS).agg(states.alias("states"))
+    rows = F.array_sort(F.collect_list(F.struct("tick", F.col(state).cast("int").alias("s"), F.struct(*(carry or ("tick",))).alias("r"))))
+    clips = ticks.groupBy(*KEYS).agg(rows.alias("rows")).select(*KEYS, F.transform("rows", lambda x: x["s"]).alias("states"), F.transform("rows", lambda x: x["r"]).alias("rows"))
     n = F.size("states")
     begin = F.struct(F.lit(0).alias("start"), F.element_at("states", 1).alias("s"), F.lit(first_gap).alias("gap"), F.array().cast("array<int>").alias("cuts"))
 
@@ -43,14 +45,14 @@ def cut_on_state_change(ticks: DataFrame, state: str = "state", first_gap: int =
     cuts = F.aggregate(inner, begin, step, lambda acc: acc["cuts"])
     starts = F.concat(F.array(F.lit(0)), F.col("cuts"))
     ends = F.concat(F.col("cuts"), F.array(n - 1 if closed else n))
-    spans = clips.withColumn("cuts", cuts).select(*KEYS, F.posexplode(F.arrays_zip(starts.alias("start"), ends.alias("end"))).alias("seg", "x"))
-    return spans.select(*KEYS, "seg", F.col("x.start").alias("start"), F.col("x.end").alias("end")).where("end > start")
+    bounds = F.transform(F.arrays_zip(starts.alias("start"), ends.alias("end")), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.slice("rows", x["start"] + 1, x["end"] - x["start"] + 1).alias("rows")))
+    spans = clips.withColumn("cuts", cuts).select(*KEYS, F.posexplode(bounds).alias("seg", "x"))
+    return spans.select(*KEYS, "seg", F.col("x.start").alias("start"), F.col("x.end").alias("end"), *([F.col("x.rows").alias("rows")] if carry else [])).where("end > start")
 
 
-def _over(spans: DataFrame, ticks: DataFrame) -> DataFrame:
-    """Ticks (numbered ``i`` from 0) with the span they are in, the span's end tick included."""
-    t = ticks.withColumn("i", F.row_number().over(by_tick()) - 1)
-    return t.join(spans, KEYS).where((F.col("i") >= F.col("start")) & (F.col("i") <= F.col("end")))
+def _total(column: str) -> Column:
+    """Sum of a carried column over a span's ticks, without the end tick."""
+    return F.aggregate(F.slice("rows", F.lit(1), F.col("end") - F.col("start")), F.lit(0.0), lambda total, r: total + r[column])
 
 
 def longitudinal_states(ticks: DataFrame) -> DataFrame:
@@ -62,13 +64,11 @@ def longitudinal_states(ticks: DataFrame) -> DataFrame:
 
 
 def segment_longitudinal(ticks: DataFrame) -> DataFrame:
-    t = longitudinal_states(ticks)
-    inside = F.col("i") < F.col("end")
-    rows = _over(cut_on_state_change(t), t).groupBy(*KEYS, "seg", "start", "end").agg(
-        (F.max_by("speed", "i") - F.min_by("speed", "i")).alias("delta_velocity"), F.avg(F.when(inside, F.col("speed"))).alias("average_speed"), F.avg(F.when(inside, F.col("speed_along"))).alias("average_speed_along_heading")
-    )
-    duration = (F.col("end") - F.col("start")) * DT
-    return rows.select(*KEYS, (F.col("start") * DT).alias("start_time"), duration.alias("duration"), "delta_velocity", (F.col("delta_velocity") / duration).alias("average_acceleration"), "average_speed", "average_speed_along_heading")
+    s = cut_on_state_change(longitudinal_states(ticks), carry=("speed", "speed_along"))
+    n = F.col("end") - F.col("start")
+    change = F.element_at("rows", -1)["speed"] - F.element_at("rows", 1)["speed"]
+    rows = s.select(*KEYS, (F.col("start") * DT).alias("start_time"), (n * DT).alias("duration"), change.alias("delta_velocity"), (_total("speed") / n).alias("average_speed"), (_total("speed_along") / n).alias("average_speed_along_heading"))
+    return rows.withColumn("average_acceleration", F.col("delta_velocity") / F.col("duration"))
 
 
 def lateral_states(ticks: DataFrame) -> DataFrame:
@@ -77,12 +77,10 @@ def lateral_states(ticks: DataFrame) -> DataFrame:
 
 
 def segment_lateral(ticks: DataFrame) -> DataFrame:
-    t = lateral_states(ticks)
-    rows = _over(cut_on_state_change(t, closed=False), t).where("i < end").groupBy(*KEYS, "seg", "start", "end").agg(
-        F.sum("turn").alias("total_heading_change"), F.sum("distance").alias("total_distance"), F.avg("speed_along").alias("average_speed_along_heading")
-    )
-    rate = F.when(F.col("total_distance") > 1e-6, F.col("total_heading_change") / F.col("total_distance")).otherwise(0.0)
-    return rows.select(*KEYS, (F.col("start") * DT).alias("start_time"), ((F.col("end") - F.col("start")) * DT).alias("duration"), "total_heading_change", rate.alias("average_turn_rate"), "total_distance", "average_speed_along_heading")
+    s = cut_on_state_change(lateral_states(ticks), closed=False, carry=("turn", "distance", "speed_along"))
+    n = F.col("end") - F.col("start")
+    rows = s.select(*KEYS, (F.col("start") * DT).alias("start_time"), (n * DT).alias("duration"), _total("turn").alias("total_heading_change"), _total("distance").alias("total_distance"), (_total("speed_along") / n).alias("average_speed_along_heading"))
+    return rows.withColumn("average_turn_rate", F.when(F.col("total_distance") > 1e-6, F.col("total_heading_change") / F.col("total_distance")).otherwise(0.0))
 
 
 @dataclass(frozen=True)

@@ -226,6 +226,21 @@ def test_token_files(spark, tmp_path, monkeypatch):
     assert token_files.read(spark, str(tmp_path / "b")).count() == 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_piece_tokens_equal_the_library(name):
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    tokenizer, own, r = Tokenizer.from_file(path), token_files.PieceTokens(path, most=300), random.Random(0)
+    letters = "aAbZé ÉİıßŒœ×÷ ' |<>\t\n\x0b\x1c\xa0 12²½&%_-.,!?s't'll<|endoftext|>漢😀\u0301\u212aﬁǅΣσ٣"
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(2000)]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [ids for i in range(0, len(texts), 100) for ids in own(texts[i : i + 100])] == want
+
+
 def test_sharding(spark):
     data = [(i, f"t{i % 50}", "s") for i in range(3000)] + [(None, None, "s"), (5, "t5", "s"), (5, "t5", "s")]
     df = spark.createDataFrame(data, "doc_id bigint, text string, shard string")
