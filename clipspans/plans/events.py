@@ -48,7 +48,7 @@ def _objects(spark, d):
     return features.object_rows(t, 10).select("clip_id", "agent_id", "running_id", F.size("past").cast("bigint").alias("past"), F.size("future").cast("bigint").alias("future"))
 
 
-@query("k15_heading_rate", "select clip_id, tick as frame, round(coalesce(atan2(sin(q), cos(q)) / greatest(greatest(speed, 0) / 30.0e0, 1e-6), 0), 4) as heading_rate from (select *, heading - lag(heading) over (partition by clip_id order by tick) as q from motion)", "motion")
+@query("k15_heading_rate", "select clip_id, tick as frame, round(coalesce(atan2(sin(q), cos(q)) / greatest(greatest(speed, 0) / 30.0e0, 1e-6), 0), 4) + 0.0e0 as heading_rate from (select *, heading - lag(heading) over (partition by clip_id order by tick) as q from motion)", "motion")
 def _heading_rate(spark, d):
     t = features.add_speed(inputs.ticks(spark, d)).withColumnRenamed("tick", "frame")
     return features.heading_rate_by_speed(t).select("clip_id", "frame", F.round("heading_rate", 4).alias("heading_rate"))
