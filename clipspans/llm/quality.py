@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import held_out, table
+from clipspans.llm.common import held_out, table, text_batches
 from clipspans.llm.labelled import logistic, sigmoid, training_rows
 
 SIZE = 1 << 18
@@ -160,6 +160,7 @@ def fit(rows: DataFrame) -> Model:
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` with score in place of text."""
+    text_batches(rows.sparkSession)
     given = rows.sparkSession.sparkContext.broadcast(model)  # three arrays of SIZE numbers at most
 
     @F.pandas_udf("double")

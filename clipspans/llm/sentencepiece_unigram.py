@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import free_name, table
+from clipspans.llm.common import free_name, table, text_batches
 
 MARK = "▁"
 ZIPF_SHIFT, UNKNOWN_PENALTY = 2.7, 10.0
@@ -222,6 +222,7 @@ def load(path: str) -> Model:
 
 def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` with token_ids."""
+    text_batches(docs.sparkSession)
     given = docs.sparkSession.sparkContext.broadcast(load(model))
 
     @F.pandas_udf("array<int>")
@@ -235,6 +236,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
 
 def decode(docs: DataFrame, model: str, ids: str = "token_ids") -> DataFrame:
     """``docs`` with decoded, the text of the ids; null ids give an empty text."""
+    text_batches(docs.sparkSession)
     given = docs.sparkSession.sparkContext.broadcast(load(model))
 
     @F.pandas_udf("string")
@@ -246,8 +248,26 @@ def decode(docs: DataFrame, model: str, ids: str = "token_ids") -> DataFrame:
     return docs.withColumn(free_name(docs, "decoded"), texts(F.col(ids)))
 
 
+def encode_and_check(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """``docs`` with token_ids and exact (they decode to the text), in one pass: a second one would need as many workers again."""
+    text_batches(docs.sparkSession)
+    given = docs.sparkSession.sparkContext.broadcast(load(model))
+
+    @F.pandas_udf("token_ids array<int>, exact boolean")
+    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own, known = given.value, {}
+        for batch in texts:
+            ids = [own.encode(t or "", known) for t in batch]
+            yield pd.DataFrame({"token_ids": [np.array(i, np.int32) for i in ids], "exact": [own.decode(i) == (t or "") for i, t in zip(ids, batch)]})
+
+    name, a, b = free_name(docs, "pieces"), free_name(docs, "token_ids"), free_name(docs, "exact")
+    out = docs.withColumn(name, both(F.col(text)))
+    return out.select(*docs.columns, F.col(name)["token_ids"].alias(a), F.col(name)["exact"].alias(b))
+
+
 def round_trip(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` with n_tokens, n_byte_tokens, ids_crc32 and exact (the decoded text is the text), in one pass over the texts."""
+    text_batches(docs.sparkSession)
     given = docs.sparkSession.sparkContext.broadcast(load(model))
 
     @F.pandas_udf("n_tokens bigint, n_byte_tokens bigint, ids_crc32 bigint, exact boolean")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import LOWER_BYTES, located, stored, table, without
+from clipspans.llm.common import LOWER_BYTES, located, stored, table, without, text_batches
 from clipspans.llm.components import components
 
 CHUNK = 4096
@@ -58,6 +58,7 @@ def fingerprint(text: str | None, shingle: int, seeds: tuple[int, ...]) -> list[
 
 def fingerprints(docs: DataFrame, text: str, id: str, shingle: int, seeds: tuple[int, ...]) -> DataFrame:
     """(id, file, row, f0, f1, ...) for every row of located ``docs``."""
+    text_batches(docs.sparkSession)
     names = [f"f{i}" for i in range(len(seeds))]
 
     @F.pandas_udf(", ".join(f"{n} bigint" for n in names))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipspans.llm import range_coder
-from clipspans.llm.common import shared_dir, table
+from clipspans.llm.common import shared_dir, table, text_batches
 
 SEGMENT, BLOCK, SIDE_BY_SIDE = 1 << 17, 1 << 10, 1 << 21
 END = 1
@@ -87,6 +87,7 @@ class PieceTokens:
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", id: str = "doc_id", end: int = END) -> None:
+    text_batches(docs.sparkSession)
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     rows = docs.select(F.col(id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie")

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import held_out, table
+from clipspans.llm.common import held_out, table, text_batches
 from clipspans.llm.labelled import logistic, sigmoid, training_rows
 
 MIN_WEIGHT, CERTAINTY, MAX_TERMS = 2.0, 3.5, 5000
@@ -132,6 +132,7 @@ def fit(rows: DataFrame) -> Model:
 
 def measured(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` with f0, f1, f2 in place of text."""
+    text_batches(rows.sparkSession)
     given = rows.sparkSession.sparkContext.broadcast((model.lexicon, model.exceptions))  # MAX_TERMS of each at most
     rest = [c for c in rows.columns if c != "text"]
 
