@@ -43,7 +43,7 @@ class PieceTokens:
     """Ids of texts. A piece's ids are its own wherever it stands, so the library encodes each distinct piece once; pieces
     already met are kept, up to a fixed number. New pieces are encoded together, and the word-end ids part them again."""
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 500_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -51,16 +51,18 @@ class PieceTokens:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
+        #: whether pieces stand alone; other vocabularies encode whole texts
+        self.parted = bool(self.ends.any()) and '"Lowercase"' in self.tokenizer.to_str()
 
     def _split(self, text: str) -> list[str]:
         if not _ODD.search(text):
-            return _PIECE.findall(text)
+            return _PIECE.findall(text.lower())  # the vocabulary is lower case; these characters have one lower-case form
         out = []
         for chunk in _CHUNK.findall(text):
             if _ODD.search(chunk):
                 out.append(chunk)
             else:
-                out += _PIECE.findall(chunk)
+                out += _PIECE.findall(chunk.lower())
         return out
 
     def _learn(self, pieces: set[str]) -> None:
@@ -77,6 +79,8 @@ class PieceTokens:
             self.known[p] = e.ids
 
     def __call__(self, texts: list[str | None]) -> list[list[int]]:
+        if not self.parted:
+            return [list(e.ids) for e in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
         split = [self._split(t or "") for t in texts]
         new = {p for s in split for p in s}
         if len(self.known) + len(new) > self.most:
