@@ -7,8 +7,9 @@ segment names, and visits the cells of the small Hamming ball around it. Two seg
 and only the one with a 0 there makes the visit, which halves the ball. In each cell complete distances are verified.
 
 Nothing is capped. A cell is handled as one list pair of bounded size; one that holds more than ``CHUNK`` rows is cut
-into k chunks and all k * k chunk pairs are compared, each in a task of its own. A cell passes on, for each group that its
-links connect, edges to one root only, so links inside a dense group never become rows. Copies share one fingerprint row.
+into k chunks and all k * k chunk pairs are compared, each in a task of its own. A cell reduces the links of each
+group to edges from one root, and a task passes on only edges that connect what it had not connected before, so links inside
+a dense group never become rows. Copies share one fingerprint row.
 
 Defined results: a text without words (null, empty, white space) has fingerprint zero, linked like any other; with fewer
 words than a shingle the whole sequence is the one shingle; repeated shingles count each time; rows with equal or null
@@ -108,7 +109,13 @@ def _linked(members: np.ndarray, rest: np.ndarray, distance: int) -> list[tuple[
         for j in new:
             parent[root(j)] = root(i)
         joined[row] = True
-    return [(root(x), x) for x in list(parent) if root(x) != x]
+    least: dict[int, int] = {}  # a group's star has its least fingerprint in the middle, so that cells agree on it
+    order = {x: tuple(every[x].tolist()) for x in parent}
+    for x in order:
+        r = root(x)
+        if r not in least or order[x] < order[least[r]]:
+            least[r] = x
+    return [(least[root(x)], x) for x in order if least[root(x)] != x]
 
 
 def edges(prints: DataFrame, segments: tuple, width: int, distance: int) -> DataFrame:
@@ -128,9 +135,15 @@ def edges(prints: DataFrame, segments: tuple, width: int, distance: int) -> Data
     cells = rows.groupBy("cell", "a", "b").agg(*lists).where("size(members) >= 1 and size(members) + size(rest) >= 2").select("members", "rest")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: dict[str, str] = {}  # of the linked nodes that this task has met
+
+        def top(x: str) -> str:
+            while group.setdefault(x, x) != x:
+                group[x] = x = group[group[x]]
+            return x
+
         for batch in batches:
-            u, v = [], []
-            flat = []
+            u, v, flat = [], [], []
             for col in (batch.column(0), batch.column(1)):
                 values = col.flatten()
                 words = np.stack([values.field(i).to_numpy(zero_copy_only=False) for i in range(width)], axis=1).view(np.uint64) if len(values) else np.zeros((0, width), np.uint64)
@@ -138,9 +151,13 @@ def edges(prints: DataFrame, segments: tuple, width: int, distance: int) -> Data
             (m, mo), (r, ro) = flat
             for i in range(batch.num_rows):
                 a, b = m[mo[i] : mo[i + 1]], r[ro[i] : ro[i + 1]]
-                for x, y in _linked(a, b, distance):
-                    for side, k in ((u, x), (v, y)):
-                        side.append("".join(f"{w:016x}" for w in (a[k] if k < len(a) else b[k - len(a)]).tolist()))
+                for pair in _linked(a, b, distance):
+                    x, y = ("".join(f"{w:016x}" for w in (a[k] if k < len(a) else b[k - len(a)]).tolist()) for k in pair)
+                    if top(x) != top(y):  # else other cells of this task have connected them
+                        low, high = sorted((top(x), top(y)))
+                        group[high] = low
+                        u.append(low)
+                        v.append(high)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.string()), pa.array(v, pa.string())], ["u", "v"])
 
     return cells.mapInArrow(link, "u string, v string")
