@@ -14,6 +14,10 @@ a dense group never become rows. Copies share one fingerprint row.
 Defined results: a text without words (null, empty, white space) has fingerprint zero, linked like any other; with fewer
 words than a shingle the whole sequence is the one shingle; repeated shingles count each time; rows with equal or null
 ids stay rows of their own (a null id is never a component's smallest unless all are null). An empty table gives none.
+
+``deduplicate`` (the pipeline's stage) takes fingerprints of distinct shingles and uses their links as candidates only: two
+texts are near copies where the Jaccard similarity of their shingle sets is at least ``SIMILAR``, computed for all pairs of each
+candidate component (shingles as 64-bit hashes), and groups are the components of those links.
 """
 
 from __future__ import annotations
@@ -31,22 +35,40 @@ from clipspans.llm.common import LOWER_BYTES, located, stored, table, without, t
 from clipspans.llm.components import components
 
 CHUNK = 4096
+#: The least Jaccard similarity of near copies, and the most shingles and texts of a part of a candidate component.
+SIMILAR, PART_SHINGLES, PART_TEXTS = 0.8, 1 << 20, 2048
 #: (word of the fingerprint, lowest bit, bits, radius). Any distance of 4 is at most 1, 1 and 0 in some of these three.
 SEGMENTS_4 = ((0, 0, 22, 1), (0, 22, 21, 1), (0, 43, 21, 0))
 #: For 128 bits: eight segments of 16 bits, radius 1; every pair up to distance 15, and most beyond.
 SEGMENTS_128 = tuple((i // 4, 16 * (i % 4), 16, 1) for i in range(8))
 
 
-def fingerprint(text: str | None, shingle: int, seeds: tuple[int, ...]) -> list[int]:
-    """One signed 64-bit word per seed."""
+def _shingles(text: str | None, shingle: int) -> tuple[memoryview, list[int], list[int]]:
+    """The text's words joined by single spaces, and where each shingle starts and ends there."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER_BYTES).split()
     if not words:
-        return [0] * len(seeds)
+        return memoryview(b""), [], []
     n = max(1, len(words) - shingle + 1)
-    joined = memoryview(b" ".join(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
-    ends = ends[min(shingle, len(words)) - 1 :].tolist()
+    return memoryview(b" ".join(words)), starts, ends[min(shingle, len(words)) - 1 :].tolist()
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles."""
+    joined, starts, ends = _shingles(text, shingle)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends)), "<u8", len(starts)))
+
+
+def fingerprint(text: str | None, shingle: int, seeds: tuple[int, ...], distinct: bool = False) -> list[int]:
+    """One signed 64-bit word per seed; ``distinct`` counts repeated shingles once."""
+    joined, starts, ends = _shingles(text, shingle)
+    if distinct:
+        once = {bytes(joined[a:b]): (a, b) for a, b in zip(starts, ends)}
+        starts, ends = [a for a, _ in once.values()], [b for _, b in once.values()]
+    n = len(starts)
+    if not n:
+        return [0] * len(seeds)
     hash64, out = xxhash.xxh64_intdigest, []
     for seed in seeds:
         total = np.zeros(64, np.int64)
@@ -177,12 +199,100 @@ def classes(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: in
     return rows.join(found, "node").select("id", "file", "row", F.col("node").alias("fingerprint"), F.col("least.id").alias("component"), order.eqNullSafe(F.col("least")).alias("kept"))
 
 
+def _similar(sets: list[np.ndarray], others: list[np.ndarray] | None) -> Iterator[tuple[int, int]]:
+    """Positions (in sets + others) of all pairs with a Jaccard similarity of ``SIMILAR`` or more: of sets and others, or within sets."""
+    right = sets if others is None else others
+    sizes = np.array([len(x) for x in right])
+    values = np.concatenate(right)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], np.repeat(np.arange(len(right)), sizes)[order]
+    for i, one in enumerate(sets):
+        low, high = np.searchsorted(values, one, "left"), np.searchsorted(values, one, "right")
+        n = high - low
+        at = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if n.sum() else np.zeros(0, np.int64)
+        common = np.bincount(owner[at], minlength=len(right))
+        # in whole numbers: common / (sizes + len(one) - common) >= 4 / 5
+        for j in np.flatnonzero((common > 0) & (common * 5 >= (sizes + len(one) - common) * 4)).tolist():
+            if others is not None:
+                yield i, len(sets) + j
+            elif i < j:
+                yield i, j
+
+
+def near_links(docs: DataFrame, text: str, shingle: int, found: DataFrame) -> DataFrame:
+    """Edges (u, v) that connect exactly what similar pairs within each group of ``found`` (root, node, file, row) connect."""
+    text_batches(docs.sparkSession)
+
+    @F.pandas_udf("binary")
+    def collect(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([shingle_set(t, shingle).tobytes() for t in batch], dtype=object)
+
+    here = docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.col(text).alias("text"))
+    sets = stored(here.join(found, ["file", "row"]).select("root", "node", collect("text").alias("shingles")))
+    k = F.ceil(F.greatest(F.sum(F.octet_length("shingles")) / (8 * PART_SHINGLES), F.count(F.lit(1)) / PART_TEXTS, F.lit(1))).cast("int")
+    sets = sets.join(sets.groupBy("root").agg(k.alias("k")), "root").withColumn("c", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda i: F.struct(F.least("c", i).alias("a"), F.greatest("c", i).alias("b")))
+    sets = sets.select("root", "node", "shingles", "c", F.explode(pair).alias("p")).select("root", "p.*", F.col("c") == F.col("p.a"), "node", "shingles").toDF("root", "a", "b", "first", "node", "shingles")
+    lists = [F.collect_list(F.when(F.col("first") == m, F.struct("node", "shingles"))).alias(n) for m, n in ((True, "left"), (False, "right"))]
+    parts = sets.groupBy("root", "a", "b").agg(*lists).where("size(left) >= 1 and (a = b or size(right) >= 1)").select((F.col("a") == F.col("b")).alias("own"), "left", "right")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: dict[str, str] = {}  # of the linked nodes that this task has met
+
+        def top(x: str) -> str:
+            while group.setdefault(x, x) != x:
+                group[x] = x = group[group[x]]
+            return x
+
+        for batch in batches:
+            u, v = [], []
+            for i in range(batch.num_rows):
+                left, right = batch.column(1)[i].values, batch.column(2)[i].values
+                names = left.field(0).to_pylist() + right.field(0).to_pylist()
+                both = [[np.frombuffer(x.as_py(), "<u8") for x in side.field(1)] for side in (left, right)]
+                for a, b in _similar(both[0], None if batch.column(0)[i].as_py() else both[1]):
+                    x, y = top(names[a]), top(names[b])
+                    if x != y:  # else other pairs of this task have connected them
+                        group[max(x, y)] = min(x, y)
+                        u.append(names[a])
+                        v.append(names[b])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.string()), pa.array(v, pa.string())], ["u", "v"])
+
+    return parts.mapInArrow(link, "u string, v string")
+
+
+def near_classes(docs: DataFrame, text: str, id: str, shingle: int, seeds: tuple[int, ...], segments: tuple, distance: int) -> DataFrame:
+    """(id, file, row, component, kept) for every row of located ``docs``: components of texts whose shingle sets are similar."""
+    text_batches(docs.sparkSession)
+    names = [f"f{i}" for i in range(len(seeds))]
+
+    @F.pandas_udf(", ".join(f"{n} bigint" for n in names) + ", node string")
+    def mark(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in texts:
+            rows = [[*fingerprint(t, shingle, seeds, True), xxhash.xxh3_128_hexdigest(shingle_set(t, shingle).tobytes())] for t in batch]
+            yield pd.DataFrame(rows, columns=[*names, "node"]).astype({n: "int64" for n in names})
+
+    marked = docs.select(F.col(id).cast("bigint").alias("id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), mark(F.col(text)).alias("f"))
+    rows = stored(marked.select("id", "file", "row", "f.*"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "file", "row")
+    # one node per distinct set of shingles
+    nodes = stored(rows.groupBy("node", *names).agg(F.min(order).alias("first")).withColumn("print", F.concat(*[F.lpad(F.lower(F.hex(n)), 16, "0") for n in names])))
+    near = components(edges(nodes.select(*names).distinct(), segments, len(seeds), distance)).withColumnRenamed("node", "print")
+    near = stored(nodes.join(near, "print", "left").select(F.coalesce("root", "print").alias("root"), "node", "first.file", "first.row"))
+    several = near.groupBy("root").count().where("count > 1").select("root")
+    roots = components(near_links(docs, text, shingle, near.join(several, "root")))
+    found = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found = found.join(found.groupBy("root").agg(F.min("first").alias("least")), "root").select("node", "least")
+    return rows.join(found, "node").select("id", "file", "row", F.col("least.id").alias("component"), order.eqNullSafe(F.col("least")).alias("kept"))
+
+
 def deduplicate(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 5, seeds: tuple[int, ...] = (42, 43), segments: tuple = SEGMENTS_128, distance: int = 22) -> DataFrame:
     """``docs`` with one row of each group of near copies, with all columns.
 
     Five-word shingles and 128 bits: for a Jaccard similarity of 0.8 about 19 bits differ; 22 leaves room for chance."""
     docs = located(docs)
-    return without(docs, classes(docs, text, id, shingle, seeds, segments, distance).where("not kept"))
+    return without(docs, near_classes(docs, text, id, shingle, seeds, segments, distance).where("not kept"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

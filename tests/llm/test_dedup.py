@@ -116,6 +116,42 @@ def test_simhash_dedup(spark):
     assert simhash.deduplicate(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def plain_set(text, shingle=5):
+    words = lower(text).split()
+    return {tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))} if words else set()
+
+
+def plain_kept(texts, least=0.8):
+    """Ids that stay: the smallest of each component of pairs whose shingle sets are similar."""
+    sets, label = [plain_set(t) for t in texts], list(range(len(texts)))
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] == sets[j] or len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in links:
+            if label[i] != label[j]:
+                label[i] = label[j] = min(label[i], label[j])
+                changed = True
+    return {i for i, x in enumerate(label) if i == x}
+
+
+@pytest.mark.parametrize("part", [2048, 7])
+def test_near_copies_need_similar_sets(spark, monkeypatch, part):
+    """A repeated line and a shared passage do not make copies; parts of a large component meet each other."""
+    monkeypatch.setattr(simhash, "PART_TEXTS", part)
+    r = np.random.default_rng(5)
+    fresh = lambda n: [f"w{x}" for x in r.integers(0, 50000, n)]
+    texts = [" ".join(["subscribe to our newsletter now"] * 100 + fresh(300)) for _ in range(6)]
+    passage = fresh(300)
+    texts += [" ".join(passage + fresh(52)) for _ in range(40)]  # Jaccard about 0.74
+    near = fresh(400)
+    texts += [" ".join(near[:i] + ["changed"] + near[i + 1 :]) for i in range(0, 400, 20)]
+    texts += ["", " ", "one", "One", "one two"]
+    got = {x.doc_id for x in simhash.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert got == plain_kept(texts)
+    assert len(got) == 6 + 40 + 1 + 3
+
+
 def test_components(spark):
     r = np.random.default_rng(3)
     pairs = [(str(a), str(b)) for a, b in r.integers(0, 80, (60, 2))] + [("h", f"h{i}") for i in range(50)] + [("c0", "c0")]
