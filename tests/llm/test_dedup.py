@@ -107,6 +107,23 @@ def test_segments_meet():
         assert any(((a ^ b) >> low & (1 << bits) - 1).bit_count() <= radius for _, low, bits, radius in simhash.SEGMENTS_4)
 
 
+def test_candidates_to_23_bits(spark):
+    """The pipeline's search finds every pair up to distance 23, also where no segment differs in fewer than 2 bits."""
+    r = np.random.default_rng(6)
+    prints, pairs = [], []
+    for far in [23] * 40 + list(range(16, 23)) * 5:
+        bits = r.choice(128, far, replace=False)
+        if far == 23:
+            bits = np.concatenate([16 * i + r.choice(16, 2 if i == 7 else 3, replace=False) for i in range(8)])
+        a = int.from_bytes(r.bytes(16), "little")
+        b = a ^ sum(1 << int(x) for x in bits)
+        pairs.append(tuple(sorted("".join(f"{x >> s & (1 << 64) - 1:016x}" for s in (0, 64)) for x in (a, b))))
+        prints += [tuple((x >> s & (1 << 64) - 1) - (x >> s + 63 & 1) * (1 << 64) for s in (0, 64)) for x in (a, b)]
+    df = spark.createDataFrame(prints, "f0 bigint, f1 bigint")
+    got = simhash.edges(df, simhash.SEGMENTS_128, 2, 29).collect()
+    assert {tuple(sorted((x.u, x.v))) for x in got} == set(pairs)
+
+
 def test_simhash_dedup(spark):
     data = rows()
     out = simhash.deduplicate(spark.createDataFrame(data, DOCS))
