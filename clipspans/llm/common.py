@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,14 @@ LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path below spark.checkpoint.dir, which driver and executors share; set only where it is unset (tests)."""
+    """A new path below spark.checkpoint.dir, which driver and executors share. On one machine without that setting it is made there."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        import tempfile
+
+        base = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
@@ -38,8 +43,21 @@ def ascii_lower(text: Column) -> Column:
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 256) -> Iterator[None]:
+    """For actions inside: Arrow batches of ``most`` rows, as a row can be a long text and a worker holds whole batches. What is
+    computed later, outside, takes the session's own setting."""
+    before = spark.conf.get(BATCH)
+    if int(before) > most or int(before) <= 0:
+        spark.conf.set(BATCH, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def text_batches(spark: SparkSession, most: int = 256) -> None:
-    """Keeps the Arrow batches of this session at ``most`` rows: a row can be a long text, and a worker holds whole batches."""
+    """Keeps the Arrow batches of this session at ``most`` rows."""
     if int(spark.conf.get(BATCH)) > most or int(spark.conf.get(BATCH)) <= 0:
         spark.conf.set(BATCH, str(most))
 
@@ -61,17 +79,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """The column of that name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def located(docs: DataFrame) -> DataFrame:
     """``docs`` as read from Parquet files, whose rows have locators; other inputs are written to the shared folder first."""
     try:
-        docs.select("_metadata.file_path", "_metadata.row_index")
+        docs.select(*locator(docs))
         return docs
     except AnalysisException:
         return stored(docs)
 
 
+def locator(docs: DataFrame, file: str = "file", row: str = "row") -> list[Column]:
+    """File and row number of each row of located ``docs``, also where ``docs`` has a column ``_metadata`` of its own."""
+    place = docs.metadataColumn("_metadata")
+    return [place["file_path"].alias(file), place["row_index"].alias(row)]
+
+
+#: Locators that are broadcast at most (about 100 bytes each); their number is counted first.
+MAX_LOCATORS = 200_000
+
+
+def small(df: DataFrame, n: int | None = None) -> DataFrame:
+    """``df``, marked for broadcast if it is counted (``n`` rows, or by reading a stored table) at ``MAX_LOCATORS`` rows or fewer."""
+    return F.broadcast(df) if (df.count() if n is None else n) <= MAX_LOCATORS else df
+
+
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of located ``docs`` whose (file, row) isn't in ``dropped``, with all their columns."""
-    dropped = dropped.select(F.col("file").alias("__file"), F.col("row").alias("__row"))
-    here = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    return here.join(dropped, ["__file", "__row"], "left_anti").select(*docs.columns)
+    """The rows of located ``docs`` whose (file, row) isn't in ``dropped``, with all their columns. Texts are shuffled only where the
+    locators to drop are too many to broadcast."""
+    file, row = free_name(docs, "file"), free_name(docs, "row")
+    dropped = stored(dropped.select(F.col("file").alias(file), F.col("row").alias(row)))
+    here = docs.select(*[column(c) for c in docs.columns], *locator(docs, file, row))
+    return here.join(small(dropped), [file, row], "left_anti").select(*[column(c) for c in docs.columns])

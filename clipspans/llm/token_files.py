@@ -1,7 +1,7 @@
 """Token-id files: texts tokenized, coded by the range coder, written in id order, and read back.
 
-Documents are range-partitioned and sorted by id. A task cuts its ids into segments of whole documents and about ``SEGMENT``
-ids, a segment into blocks of ``BLOCK`` ids, and codes the blocks of some segments side by side. A segment is one row of a
+Documents are range-partitioned and sorted by id. A task tokenizes about ``TOGETHER`` bytes of text at a time and codes their ids as
+one segment: a stream of whole documents, cut into blocks of ``range_coder.BLOCK`` ids. A segment is one row of a
 Parquet file in the shared folder: its place (part, seq), its documents and their lengths, and its coded blocks. Spark's
 writer commits files whole, so a lost executor leaves none half-written. The parts' totals, one number per partition,
 give every document its place in the whole stream.
@@ -19,130 +19,158 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipspans.llm import range_coder
-from clipspans.llm.common import shared_dir, table, text_batches
+from clipspans.llm.common import column, shared_dir, small_batches, table
+from clipspans.llm.pieces import Store, per_list, take
 
-SEGMENT, BLOCK, SIDE_BY_SIDE = 1 << 17, 1 << 10, 1 << 21
+TOGETHER = 10 << 20
+#: Blocks that are coded side by side.
+LANES = 32
 END = 1
 FILE = "part int, seq int, ids array<bigint>, lengths array<int>, n bigint, blocks array<binary>"
 _ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("n", pa.int64()), ("blocks", pa.list_(pa.binary()))])
 #: The vocabulary's splitter never joins what blanks part, nor, among these characters, a letter with a digit or a sign; digits
 #: stand alone. A run with any other character, an apostrophe or a bar (they can belong to longer units) is left to the library.
-_CHUNK = re.compile(r"[^ \t\n\r]+")
 _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PIECE = re.compile(rf"[{_LETTER}]+|[0-9]|[^{_LETTER}0-9 \t\n\r]+")
 _ODD = re.compile("['|\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xbf×÷İ]|[^\x00-ɏ]")
+_ONE_PIECE = re.compile("[a-zß-öø-ÿ]+").fullmatch
+_ODD_ARROW = r"['|\x00-\x08\x0b\x0c\x0e-\x1f\x{7f}-\x{bf}×÷İ]|[^\x00-\x{24f}]"
+#: All signs that other runs can have; the last run of them in a chunk is a piece.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{}~"
 _WORD_END = "</w>"
 
 
 class PieceTokens:
-    """Ids of texts. A piece's ids are its own wherever it stands, so the library encodes each distinct piece once; pieces
-    already met are kept, up to a fixed number. New pieces are encoded together, and the word-end ids part them again."""
+    """Ids of texts. What stands between blanks (a chunk) has ids of its own, wherever it stands, and so has a piece of it. Chunks of
+    many texts are made distinct first, then lower-cased and freed of a last sign, and made distinct again. The library encodes
+    each piece that is new; the word-end ids part the pieces again. What has been met is kept, up to a fixed number, for all
+    tasks of a worker."""
 
-    def __init__(self, path: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, most: int = 1_200_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        self.tokenizer, self.store = Tokenizer.from_file(path), Store(most)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
         #: whether pieces stand alone; other vocabularies encode whole texts
         self.parted = bool(self.ends.any()) and '"Lowercase"' in self.tokenizer.to_str()
-
-    def _split(self, text: str) -> list[str]:
-        if not _ODD.search(text):
-            return _PIECE.findall(text.lower())  # the vocabulary is lower case; these characters have one lower-case form
-        out = []
-        for chunk in _CHUNK.findall(text):
-            if _ODD.search(chunk):
-                out.append(chunk)
-            else:
-                out += _PIECE.findall(chunk.lower())
-        return out
-
-    def _learn(self, pieces: set[str]) -> None:
-        plain = [p for p in pieces if not _ODD.search(p)]
-        ids = self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids if plain else []
-        cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist() if ids else []
-        if len(cuts) == len(plain) and (not cuts or cuts[-1] == len(ids)):
-            rest = [p for p in pieces if _ODD.search(p)]
-            for p, start, end in zip(plain, [0, *cuts], cuts):
-                self.known[p] = ids[start:end]
-        else:  # a vocabulary without word ends
-            rest = list(pieces)
-        for p, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            self.known[p] = e.ids
-
-    def __call__(self, texts: list[str | None]) -> list[list[int]]:
+        if self.parted:  # plain pieces need no normalizer, and are split at spaces after their bytes became letters
+            self.plain = Tokenizer(self.tokenizer.model)
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False), pre_tokenizers.Split("Ġ", "removed")])
+
+    def _whole(self, names: list[str]) -> np.ndarray:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
+        return self.store.add(names, np.array([i for e in found for i in e], np.int32), np.cumsum([len(e) for e in found]))
+
+    def _pieces(self, pieces: list[str]) -> None:
+        known = self.store.known
+        new = [p for p in dict.fromkeys(pieces) if p not in known]
+        for at in range(0, len(new), 1000):
+            some = new[at : at + 1000]
+            ids = np.array(self.plain.encode(" ".join(some), add_special_tokens=False).ids, np.int32)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some) and cuts[-1] == len(ids):
+                self.store.add(some, ids, cuts, longest=1 << 30)
+            else:  # a piece without a word end
+                found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                self.store.add(some, np.array([i for e in found for i in e], np.int32), np.cumsum([len(e) for e in found]), longest=1 << 30)
+
+    def _learn(self, stems: list[str]) -> np.ndarray:
+        number, several, odd = np.zeros(len(stems), np.int64), [], []
+        for i, c in enumerate(stems):
+            if not _ONE_PIECE(c):
+                (odd if _ODD.search(c) else several).append(i)
+        split = [_PIECE.findall(stems[i].lower()) for i in several]  # the vocabulary is lower case; these characters have one lower-case form
+        one = np.ones(len(stems), bool)
+        one[several + odd] = False
+        single = np.flatnonzero(one)
+        names = [stems[i] for i in single.tolist()]
+        self._pieces(names + [p for s in split for p in s])
+        known = self.store.known
+        number[single] = [known[c] for c in names]
+        if several:
+            ids, ends = self.store.take(np.array([known[p] for s in split for p in s], np.int64))
+            number[several] = self.store.add([stems[i] for i in several], ids, ends[np.cumsum([len(s) for s in split]) - 1])
+        if odd:
+            number[odd] = self._whole([stems[i] for i in odd])
+        return number
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and how many each text has."""
+        texts = pc.fill_null(texts, "")
         if not self.parted:
-            return [list(e.ids) for e in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
-        split = [self._split(t or "") for t in texts]
-        new = {p for s in split for p in s}
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-        self._learn(new - self.known.keys())
-        known = self.known
-        return [[i for p in s for i in known[p]] for s in split]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.array([i for e in found for i in e], np.int32), np.array([len(e) for e in found], np.int64)
+        lists = pc.ascii_split_whitespace(texts)
+        distinct = lists.flatten().dictionary_encode()
+        chunks = distinct.dictionary
+        if not len(chunks):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        odd = pc.match_substring_regex(chunks, _ODD_ARROW)
+        short = pc.utf8_rtrim(chunks, characters=_SIGNS)
+        size = pc.binary_length(chunks).to_numpy()
+        signed = (size - pc.binary_length(short).to_numpy() == 1) & (size > 1) & ~odd.to_numpy(zero_copy_only=False)
+        stems = pc.if_else(odd, chunks, pc.utf8_lower(pc.if_else(pa.array(signed), short, chunks))).dictionary_encode()
+        # the signs come last, so that all numbers are from after the last time that the store was emptied
+        numbers = self.store.numbers(stems.dictionary.to_numpy(zero_copy_only=False).tolist() + list(_SIGNS), self._learn)
+        signs = np.zeros(256, np.int64)
+        signs[np.frombuffer(_SIGNS.encode(), np.uint8)] = numbers[-len(_SIGNS) :]
+        last = np.frombuffer(chunks.buffers()[2], np.uint8)[np.frombuffer(chunks.buffers()[1], np.int32)[chunks.offset + 1 : chunks.offset + 1 + len(chunks)] - 1]
+        # the ids of each distinct chunk, then those of every chunk
+        own, ends = self.store.take(np.column_stack((numbers[stems.indices.to_numpy()], np.where(signed, signs[last], 0))).reshape(-1))
+        ids, ends = take(own, np.concatenate(([0], ends[1:-1:2])), ends[1::2], distinct.indices.to_numpy())
+        return ids, per_list(lists, ends)
+
+
+_TOKENS: dict[str, PieceTokens] = {}
+
+
+def tokens_of(path: str) -> PieceTokens:
+    """One for each vocabulary of a worker process."""
+    if path not in _TOKENS:
+        _TOKENS[path] = PieceTokens(path)
+    return _TOKENS[path]
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", id: str = "doc_id", end: int = END) -> None:
-    text_batches(docs.sparkSession)
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    rows = docs.select(F.col(id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    spark = docs.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    rows = docs.select(column(id).cast("bigint").alias("id"), F.coalesce(column(text), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie")
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part, seq = PieceTokens(tokenizer), TaskContext.get().partitionId(), 0
-        ids: list[int | None] = []
-        arrays: list[np.ndarray] = []
-        waiting: list[tuple[list, list]] = []
-        size, held = 0, 0
-
-        def cut() -> None:
-            nonlocal ids, arrays, size
-            if ids:
-                waiting.append((ids, arrays))
-            ids, arrays, size = [], [], 0
+        tokens, part, seq = tokens_of(tokenizer), TaskContext.get().partitionId(), 0
+        waiting: list[pa.RecordBatch] = []
 
         def out() -> pa.RecordBatch:
-            nonlocal seq, held
-            rows, blocks = [], []
-            for own, lists in waiting:
-                stream = np.concatenate(lists)
-                cuts = [stream[i : i + BLOCK] for i in range(0, len(stream), BLOCK)]
-                rows.append([part, seq, own, [len(a) for a in lists], len(stream), len(cuts)])
-                blocks += cuts
-                seq += 1
-            coded = iter(range_coder.encode(blocks))
-            waiting.clear()
-            held = 0
-            done = [[*r[:5], [next(coded) for _ in range(r[5])]] for r in rows]
-            return pa.RecordBatch.from_pylist([dict(zip(_ARROW.names, r)) for r in done], schema=_ARROW)
-
+            ids, n = tokens(pa.chunked_array([b.column("text") for b in waiting]).combine_chunks())
+            own = pa.chunked_array([b.column("id") for b in waiting]).to_pylist()
+            stream = np.insert(ids, np.cumsum(n), end)
+            cuts = [stream[i : i + range_coder.BLOCK] for i in range(0, len(stream), range_coder.BLOCK)]
+            blocks = [b for i in range(0, len(cuts), LANES) for b in range_coder.encode(cuts[i : i + LANES])]
+            return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "ids": [own], "lengths": [(n + 1).tolist()], "n": [len(stream)], "blocks": [blocks]}, schema=_ARROW)
+
+        size = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                for i, own in zip(some.column("id").to_pylist(), tokens(some.column("text").to_pylist())):
-                    own.append(end)
-                    ids.append(i)
-                    arrays.append(np.array(own, np.int64))
-                    size += len(own)
-                    held += len(own)
-                    if size >= SEGMENT:
-                        cut()
-                    if held >= SIDE_BY_SIDE:
-                        cut()
-                        yield out()
-        cut()
-        if waiting:
+            waiting.append(batch)
+            size += batch.nbytes
+            if size >= TOGETHER:
+                yield out()
+                waiting.clear()
+                seq, size = seq + 1, 0
+        if size:
             yield out()
 
-    rows.select("id", "text").mapInArrow(code, FILE).write.parquet(path)
+    with small_batches(spark):
+        rows.select("id", "text").mapInArrow(code, FILE).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -161,31 +189,14 @@ def _read(spark: SparkSession, path: str, column: str, of) -> DataFrame:
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("id", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64()), (column.split()[0], kind)])
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, held = [], 0
-
-        def out() -> pa.RecordBatch:
-            flat = [b for r in waiting for b in r["blocks"]]
-            decoded, got = iter(range_coder.decode(flat)), {n: [] for n in schema.names}
-            for r in waiting:
-                stream = np.concatenate([next(decoded) for _ in r["blocks"]])
-                at = 0
-                for i, n in zip(r["ids"], r["lengths"]):
-                    for name, v in zip(schema.names, (r["part"], r["seq"], i, at, n, of(stream[at : at + n]))):
-                        got[name].append(v)
-                    at += n
-            waiting.clear()
-            return pa.RecordBatch.from_pydict(got, schema=schema)
-
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                waiting.append(row)
-                held += row["n"]
-                if held >= SIDE_BY_SIDE:
-                    held = 0
-                    yield out()
-        if waiting:
-            yield out()
+                stream = np.concatenate([b for i in range(0, len(row["blocks"]), LANES) for b in range_coder.decode(row["blocks"][i : i + LANES])])
+                ends = np.cumsum(row["lengths"])
+                starts = ends - row["lengths"]
+                got = [of(stream[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_pydict(dict(zip(schema.names, ([row["part"]] * len(got), [row["seq"]] * len(got), row["ids"], starts, row["lengths"], got))), schema=schema)
 
     found = rows.mapInArrow(restore, f"part int, seq int, id bigint, offset bigint, n_tokens bigint, {column}")
     return found.join(places, ["part", "seq"]).select("id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", column.split()[0])

@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,7 +190,7 @@ def test_range_coder():
     assert all((a == b).all() and len(a) == len(b) for a, b in zip(blocks, range_coder.decode(coded)))
     for k in (3, 6):  # each block alone
         assert (range_coder.decode([coded[k]])[0] == blocks[k]).all()
-    assert len(coded[5]) < 60 and len(coded[6]) < 150
+    assert len(coded[5]) < 80 and len(coded[6]) < 150
     bad = bytearray(coded[3])
     bad[40] ^= 1
     with pytest.raises(ValueError):
@@ -207,7 +208,7 @@ def test_token_files(spark, tmp_path, monkeypatch):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    monkeypatch.setattr(token_files, "SEGMENT", 50)
+    monkeypatch.setattr(token_files, "TOGETHER", 500)
     texts = [*TEXTS, "<|endoftext|> a b\x1cc", None, "Éá it's 12"] * 3
     data = [(i * 7 % 45 if i else None, t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(data, "doc_id bigint, text string")
@@ -235,10 +236,12 @@ def test_piece_tokens_equal_the_library(name):
 
     path = public_tokenizers.path(name)
     tokenizer, own, r = Tokenizer.from_file(path), token_files.PieceTokens(path, most=300), random.Random(0)
-    letters = "aAbZé ÉİıßŒœ×÷ ' |<>\t\n\x0b\x1c\xa0 12²½&%_-.,!?s't'll<|endoftext|>漢😀\u0301\u212aﬁǅΣσ٣"
+    letters = "aAbZé ÉİıßŒœ×÷ ' |<>\t\n\x0b\x0c\x1c\xa0 12²½&%_-.,!?s't'll<|endoftext|>漢😀\u0301\u212aﬁǅΣσ٣"
     texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(2000)]
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert [ids for i in range(0, len(texts), 100) for ids in own(texts[i : i + 100])] == want
+    for i in range(0, len(texts), 100):
+        ids, n = own(pa.array(texts[i : i + 100]))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == want[i : i + 100]
 
 
 def test_sharding(spark):
