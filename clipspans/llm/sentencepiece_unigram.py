@@ -7,7 +7,8 @@ probabilities of Zipf's law for that rank.
 
 White space is written as the marker U+2581 in front of the text that follows. No piece has a marker after another
 character, so the best path of a text is those of its runs "markers, then other characters" one after the other, and a
-run's path is kept for the next time it is met, up to a fixed number of runs.
+run's path is kept for the next time it is met, up to a fixed number of runs. The runs of many texts are made distinct first; those of
+texts with single spaces only are what stands between them.
 
 Defined results: null and empty texts have no ids and decode to an empty text; decoding drops control ids, turns broken
 UTF-8 in byte pieces into U+FFFD, and removes the one marker that encoding puts in front. A text comes back exactly,
@@ -24,11 +25,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import free_name, table, text_batches
+from clipspans.llm.common import column, free_name, table
+from clipspans.llm.pieces import Store, per_list, take
 
 MARK = "▁"
 ZIPF_SHIFT, UNKNOWN_PENALTY = 2.7, 10.0
@@ -130,6 +133,8 @@ class Model:
         self.bytes = {int(t[3:5], 16): i for i, (t, k) in enumerate(zip(self.texts, self.kinds)) if k == BYTE}
         self.unk = self.kinds.index(UNKNOWN)
         self.spelt = {i: b for b, i in self.bytes.items()}
+        self.store: Store | None = None  # a worker's own, as is the table below
+        self.table: pa.Array | None = None
         self.shown = [t.replace(MARK, " ") if k in (NORMAL, USER) else " ⁇ " if k == UNKNOWN else "" for t, k in zip(self.texts, self.kinds)]
 
     def best(self, run: str) -> tuple[int, ...]:
@@ -176,24 +181,62 @@ class Model:
             n = at
         return tuple(reversed(out))
 
-    def encode(self, text: str, known: dict[str, tuple[int, ...]] | None = None, most: int = 200_000) -> list[int]:
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all(pa.array([text]))[0].tolist()
+
+    def _runs(self, text: str) -> list[str]:
         if self.squeeze:
             text = re.sub(" +", " ", text.strip(" "))
-        if not text:
-            return []
-        text = (" " if self.prefix else "") + text
-        out: list[int] = []
-        known = {} if known is None else known
-        for run in _RUN.findall(text.replace(" ", MARK)):
-            ids = known.get(run)
-            if ids is None:
-                ids = self.best(run)
-                if len(run) <= 64:
-                    if len(known) >= most:
-                        known.clear()
-                    known[run] = ids
-            out.extend(ids)
-        return out
+        return _RUN.findall(((" " if self.prefix else "") + text).replace(" ", MARK)) if text else []
+
+    def encode_all(self, texts: pa.Array, most: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and how many each text has."""
+        if self.store is None:
+            self.store = Store(most)
+        texts = pc.fill_null(texts, "")
+        # elsewhere a run is a space's place and what follows up to the next space
+        odd = pc.match_substring_regex(texts, f"^ |  | $|^$|{MARK}").to_numpy(zero_copy_only=False) | (self.squeeze or not self.prefix)
+        lists = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        flat = lists.flatten()
+        distinct = flat.dictionary_encode()
+        names = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        odd_runs = {i: self._runs(texts[i].as_py()) for i in np.flatnonzero(odd).tolist()}
+        more = list({r for runs in odd_runs.values() for r in runs})
+        numbers = self.store.numbers([MARK + c if c else "" for c in names] + more, self._learn)
+        first, end, ids = self.store.first, self.store.end, self.store.ids
+        out, ends = take(ids, first[numbers], end[numbers], distinct.indices.to_numpy())
+        n = per_list(lists, ends)
+        if not odd_runs:
+            return out, n
+        place, own, parts, at = dict(zip(more, numbers[len(names) :].tolist())), n.copy(), [], 0
+        starts = np.concatenate(([0], np.cumsum(n)))
+        for i, runs in odd_runs.items():
+            mine, _ = self.store.take(np.array([place[r] for r in runs], np.int64))
+            parts += [out[at : starts[i]], mine]
+            at, own[i] = starts[i], len(mine)
+        return np.concatenate([*parts, out[at:]]), own
+
+    def _learn(self, runs: list[str]) -> np.ndarray:
+        found = [self.best(r) for r in runs]
+        return self.store.add(runs, np.array([i for f in found for i in f], np.int32), np.cumsum([len(f) for f in found]))
+
+    def decode_all(self, ids: np.ndarray, n: np.ndarray) -> pa.Array:
+        """The text of each ``n`` ids of ``ids``."""
+        if self.table is None:
+            self.table, self.is_byte = pa.array(self.shown, pa.large_string()), np.zeros(len(self.shown), bool)
+            self.is_byte[list(self.spelt)] = True
+        ends = np.cumsum(n)
+        cuts = np.concatenate(([0], ends))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), self.table.take(pa.array(ids, pa.int32()))), pa.scalar("", pa.large_string()))
+        if self.prefix:
+            joined = pc.if_else(pc.starts_with(joined, " "), pc.utf8_slice_codeunits(joined, 1), joined)
+        spelt = np.concatenate(([0], np.cumsum(self.is_byte[ids])))
+        which = np.flatnonzero(spelt[ends] > spelt[ends - n])
+        if len(which):
+            mask = np.zeros(len(n), bool)
+            mask[which] = True
+            joined = pc.replace_with_mask(joined, pa.array(mask), pa.array([self.decode(ids[cuts[i] : cuts[i + 1]].tolist()) for i in which.tolist()], pa.large_string()))
+        return joined
 
     def decode(self, ids: list[int]) -> str:
         if self.spelt.keys().isdisjoint(ids):
@@ -220,71 +263,85 @@ def load(path: str) -> Model:
     return Model(path)
 
 
+def _lists(ids: np.ndarray, n: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _parts(array: pa.Array, most: int = 4 << 20) -> Iterator[pa.Array]:
+    """A batch in slices of about ``most`` bytes, since the ids of whole batches of long texts take room; an empty batch gives one empty slice."""
+    size = pc.binary_length(array) if pa.types.is_string(array.type) else pc.multiply(pc.list_value_length(array), 4)
+    part = np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False).astype(np.int64)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(array)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield array.slice(a, b - a)
+
+
 def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` with token_ids."""
-    text_batches(docs.sparkSession)
     given = docs.sparkSession.sparkContext.broadcast(load(model))
 
-    @F.pandas_udf("array<int>")
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own, known = given.value, {}
+    @F.arrow_udf("array<int>")
+    def ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pd.Series([np.array(own.encode(t or "", known), np.int32) for t in batch])
+            yield pa.concat_arrays([_lists(*given.value.encode_all(part)) for part in _parts(batch)])
 
-    return docs.withColumn(free_name(docs, "token_ids"), ids(F.col(text)))
+    return docs.withColumn(free_name(docs, "token_ids"), ids(column(text).cast("string")))
 
 
 def decode(docs: DataFrame, model: str, ids: str = "token_ids") -> DataFrame:
     """``docs`` with decoded, the text of the ids; null ids give an empty text."""
-    text_batches(docs.sparkSession)
     given = docs.sparkSession.sparkContext.broadcast(load(model))
 
-    @F.pandas_udf("string")
-    def texts(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = given.value
+    @F.arrow_udf("string")
+    def texts(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in lists:
-            yield pd.Series([own.decode([] if x is None else x.tolist()) for x in batch])
+            done = [given.value.decode_all(part.flatten().to_numpy(), pc.fill_null(part.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)) for part in _parts(batch)]
+            yield pa.concat_arrays([d.cast(pa.string()) for d in done])
+
+    return docs.withColumn(free_name(docs, "decoded"), texts(column(ids)))
+
 
-    return docs.withColumn(free_name(docs, "decoded"), texts(F.col(ids)))
+def _exact(own: Model, texts: pa.Array, ids: np.ndarray, n: np.ndarray) -> pa.Array:
+    return pc.equal(own.decode_all(ids, n), pc.fill_null(texts, "").cast(pa.large_string()))
 
 
 def encode_and_check(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` with token_ids and exact (they decode to the text), in one pass: a second one would need as many workers again."""
-    text_batches(docs.sparkSession)
     given = docs.sparkSession.sparkContext.broadcast(load(model))
 
-    @F.pandas_udf("token_ids array<int>, exact boolean")
-    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own, known = given.value, {}
+    @F.arrow_udf("token_ids array<int>, exact boolean")
+    def both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            ids = [own.encode(t or "", known) for t in batch]
-            yield pd.DataFrame({"token_ids": [np.array(i, np.int32) for i in ids], "exact": [own.decode(i) == (t or "") for i, t in zip(ids, batch)]})
+            done = []
+            for part in _parts(batch):
+                ids, n = given.value.encode_all(part)
+                done.append(pa.StructArray.from_arrays([_lists(ids, n), _exact(given.value, part, ids, n)], ["token_ids", "exact"]))
+            yield pa.concat_arrays(done)
 
     name, a, b = free_name(docs, "pieces"), free_name(docs, "token_ids"), free_name(docs, "exact")
-    out = docs.withColumn(name, both(F.col(text)))
-    return out.select(*docs.columns, F.col(name)["token_ids"].alias(a), F.col(name)["exact"].alias(b))
+    out = docs.withColumn(name, both(column(text).cast("string")))
+    return out.select(*[column(c) for c in docs.columns], F.col(name)["token_ids"].alias(a), F.col(name)["exact"].alias(b))
 
 
 def round_trip(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """``docs`` with n_tokens, n_byte_tokens, ids_crc32 and exact (the decoded text is the text), in one pass over the texts."""
-    text_batches(docs.sparkSession)
+    """``docs`` with pieces: a struct of n_tokens, n_byte_tokens, ids_crc32 and exact (the decoded text is the text), in one pass over the texts."""
     given = docs.sparkSession.sparkContext.broadcast(load(model))
 
-    @F.pandas_udf("n_tokens bigint, n_byte_tokens bigint, ids_crc32 bigint, exact boolean")
-    def measure(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own, known = given.value, {}
-        spelt = np.zeros(len(own.texts), bool)
-        spelt[list(own.spelt)] = True
+    @F.arrow_udf("n_tokens bigint, n_byte_tokens bigint, ids_crc32 bigint, exact boolean")
+    def measure(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            rows = []
-            for t in batch:
-                ids = own.encode(t or "", known)
-                array = np.array(ids, "<u4")
-                rows.append((len(ids), int(spelt[array].sum()), zlib.crc32(array.tobytes()), own.decode(ids) == (t or "")))
-            yield pd.DataFrame(rows, columns=["n_tokens", "n_byte_tokens", "ids_crc32", "exact"]).astype({"n_tokens": "int64", "n_byte_tokens": "int64", "ids_crc32": "int64", "exact": "bool"})
-
-    name = free_name(docs, "pieces")
-    return docs.withColumn(name, measure(F.col(text)))
+            done = []
+            for part in _parts(batch):
+                ids, n = given.value.encode_all(part)
+                exact = _exact(given.value, part, ids, n)
+                ends, plain = np.cumsum(n), ids.astype("<u4")
+                spelt = np.concatenate(([0], np.cumsum(given.value.is_byte[ids])))
+                crc = [zlib.crc32(plain[a:b]) for a, b in zip((ends - n).tolist(), ends.tolist())]
+                columns = [pa.array(n, pa.int64()), pa.array(spelt[ends] - spelt[ends - n], pa.int64()), pa.array(crc, pa.int64()), exact]
+                done.append(pa.StructArray.from_arrays(columns, ["n_tokens", "n_byte_tokens", "ids_crc32", "exact"]))
+            yield pa.concat_arrays(done)
+
+    return docs.withColumn(free_name(docs, "pieces"), measure(column(text).cast("string")))
 
 
 def default_model() -> str:
