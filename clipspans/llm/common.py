@@ -56,12 +56,6 @@ def small_batches(spark: SparkSession, most: int = 256) -> Iterator[None]:
         spark.conf.set(BATCH, before)
 
 
-def text_batches(spark: SparkSession, most: int = 256) -> None:
-    """Keeps the Arrow batches of this session at ``most`` rows."""
-    if int(spark.conf.get(BATCH)) > most or int(spark.conf.get(BATCH)) <= 0:
-        spark.conf.set(BATCH, str(most))
-
-
 def held_out(doc_id: Column) -> Column:
     """True for rows that no model may learn from: crc32 of the id as text is divisible by 5."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -6,17 +6,23 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import held_out, table
+from clipspans.llm.common import held_out, locator, stored, table
 
-#: Labelled rows that a model is fitted on at most, those with the least hashes of their id; all are used if there are fewer.
+#: Labelled rows that a model is fitted on at most, those with the least hashes of their id; all are used if there are fewer. The bound
+#: holds for the documents too, where several have one id.
 MAX_LABELLED = 12_000
 
 
 def training_rows(spark: SparkSession, sf_dir: str, label: str, most: int = MAX_LABELLED) -> DataFrame:
-    """(doc_id, text, y) of the labelled rows that may be learned from. The broadcast side has ``most`` rows at most."""
+    """(doc_id, text, y) of the labelled rows that may be learned from, ``most`` at most, which is also the most that is broadcast. Equal
+    labels of one id count once; differing ones count each."""
     labels = table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
-    sample = labels.select("doc_id", F.col(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    order = [F.xxhash64("doc_id"), "doc_id", "y"]
+    sample = labels.select("doc_id", F.col(label).cast("int").alias("y")).distinct().orderBy(*order).limit(most)
+    docs = table(spark, sf_dir, "documents")
+    chosen = docs.select("doc_id", *locator(docs)).join(F.broadcast(sample), "doc_id").orderBy(*order, "file", "row").limit(most)
+    texts = docs.select(*locator(docs), "text").join(F.broadcast(chosen), ["file", "row"])
+    return stored(texts.select("doc_id", "text", "y"))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:

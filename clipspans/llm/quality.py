@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import held_out, table, text_batches
+from clipspans.llm.common import held_out, small_batches, stored, table
 from clipspans.llm.labelled import logistic, sigmoid, training_rows
 
 SIZE = 1 << 18
@@ -154,13 +154,13 @@ def fit(rows: DataFrame) -> Model:
         for batch in texts:
             yield pd.Series([vector(t) for t in batch])
 
-    found = rows.select("doc_id", "y", columns("text").alias("x")).toPandas().sort_values("doc_id", ignore_index=True)
+    with small_batches(rows.sparkSession):
+        found = rows.select("doc_id", "y", columns("text").alias("x")).toPandas().sort_values("doc_id", ignore_index=True)
     return fit_rows([np.asarray(x, np.int32) for x in found["x"]], found["y"].to_numpy())
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` with score in place of text."""
-    text_batches(rows.sparkSession)
     given = rows.sparkSession.sparkContext.broadcast(model)  # three arrays of SIZE numbers at most
 
     @F.pandas_udf("double")
@@ -175,4 +175,5 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(training_rows(spark, sf_dir, "quality", MAX_LABELLED))
     docs = table(spark, sf_dir, "documents").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return score(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+    with small_batches(spark):
+        return stored(score(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int")))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from clipspans.llm.common import free_name, table
+from clipspans.llm.common import column, free_name, table
 
 LAYOUT = (2, 3, 4)
 SHARDS = 24
@@ -77,15 +77,19 @@ def assign(docs: DataFrame, key: str = "doc_id", tie: Column | None = None, node
     tie orders the rows of one key, and spreads them over the slot buckets; the checksum of ``text`` by default."""
     shard, slot = free_name(docs, "shard"), free_name(docs, "slot")
     crc = text_checksum(F.col("text")) if tie is None else tie
-    rows = docs.withColumn("__k", F.xxhash64(F.lit("slot"), F.col(key), crc)).withColumn(shard, shard_of(F.col(key), nodes or tree(SHARDS)))
-    rows = rows.withColumn("__b", F.pmod("__k", F.lit(SLOT_BUCKETS)).cast("int"))
-    counts = rows.groupBy(shard, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    first = counts.withColumn("__first", F.sum("__n").over(Window.partitionBy(shard).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)))
-    first = first.select(F.col(shard).alias("__s"), F.col("__b").alias("__fb"), F.coalesce("__first", F.lit(0).cast("bigint")).alias("__first"))
-    place = F.row_number().over(Window.partitionBy(shard, "__b").orderBy("__k", F.col(key), crc)) - 1
-    rows = rows.withColumn("__place", place)
-    rows = rows.join(F.broadcast(first), (F.col(shard) == F.col("__s")) & (F.col("__b") == F.col("__fb")))  # SHARDS * SLOT_BUCKETS rows
-    return rows.withColumn(slot, F.col("__first") + F.col("__place")).drop("__k", "__b", "__s", "__fb", "__first", "__place")
+    names = [*docs.columns, shard, slot]
+    k, b, place = (free_name(docs.select(*[column(c) for c in docs.columns], F.lit(0).alias(shard), F.lit(0).alias(slot)), n) for n in ("k", "b", "place"))
+    rows = docs.withColumn(k, F.xxhash64(F.lit("slot"), column(key), crc)).withColumn(shard, shard_of(column(key), nodes or tree(SHARDS)))
+    rows = rows.withColumn(b, F.pmod(column(k), F.lit(SLOT_BUCKETS)).cast("int"))
+    counts = rows.groupBy(F.col(shard).alias("s"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
+    first = counts.select("s", "b", F.coalesce(before, F.lit(0).cast("bigint")).alias("first"))
+    # the bucket counts under one struct, whose name is free too
+    bucket = free_name(rows, "bucket")
+    first = first.select(F.struct("s", "b", "first").alias(bucket))  # SHARDS * SLOT_BUCKETS rows
+    rows = rows.withColumn(place, F.row_number().over(Window.partitionBy(shard, b).orderBy(k, column(key), crc)) - 1)
+    rows = rows.join(F.broadcast(first), (F.col(shard) == F.col(bucket)["s"]) & (F.col(b) == F.col(bucket)["b"]))
+    return rows.withColumn(slot, F.col(bucket)["first"] + F.col(place)).select(*[column(c) for c in names])
 
 
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

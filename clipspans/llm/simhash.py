@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import LOWER_BYTES, located, stored, table, without, text_batches
+from clipspans.llm.common import LOWER_BYTES, column, located, locator, small, small_batches, stored, table, without
 from clipspans.llm.components import components
 
 CHUNK = 4096
@@ -82,7 +82,6 @@ def fingerprint(text: str | None, shingle: int, seeds: tuple[int, ...], distinct
 
 def fingerprints(docs: DataFrame, text: str, id: str, shingle: int, seeds: tuple[int, ...]) -> DataFrame:
     """(id, file, row, f0, f1, ...) for every row of located ``docs``."""
-    text_batches(docs.sparkSession)
     names = [f"f{i}" for i in range(len(seeds))]
 
     @F.pandas_udf(", ".join(f"{n} bigint" for n in names))
@@ -90,7 +89,7 @@ def fingerprints(docs: DataFrame, text: str, id: str, shingle: int, seeds: tuple
         for batch in texts:
             yield pd.DataFrame([fingerprint(t, shingle, seeds) for t in batch], columns=names, dtype="int64")
 
-    marked = docs.select(F.col(id).cast("bigint").alias("id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), mark(F.col(text)).alias("f"))
+    marked = docs.select(column(id).cast("bigint").alias("id"), *locator(docs), mark(column(text)).alias("f"))
     return marked.select("id", "file", "row", "f.*")
 
 
@@ -192,7 +191,8 @@ def classes(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: in
     """(id, file, row, fingerprint, component, kept) for every row; kept marks one row of each component, its smallest id."""
     names = [f"f{i}" for i in range(len(seeds))]
     node = F.concat(*[F.lpad(F.lower(F.hex(n)), 16, "0") for n in names])
-    rows = stored(fingerprints(located(docs), text, id, shingle, seeds).withColumn("node", node))
+    with small_batches(docs.sparkSession):
+        rows = stored(fingerprints(located(docs), text, id, shingle, seeds).withColumn("node", node))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "file", "row")
     prints = stored(rows.groupBy("node", *names).agg(F.min(order).alias("first")))
     roots = components(edges(prints, segments, len(seeds), distance))
@@ -224,15 +224,15 @@ def _similar(sets: list[np.ndarray], others: list[np.ndarray] | None) -> Iterato
 
 def near_links(docs: DataFrame, text: str, shingle: int, found: DataFrame) -> DataFrame:
     """Edges (u, v) that connect exactly what similar pairs within each group of ``found`` (root, node, file, row) connect."""
-    text_batches(docs.sparkSession)
 
     @F.pandas_udf("binary")
     def collect(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([shingle_set(t, shingle).tobytes() for t in batch], dtype=object)
 
-    here = docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.col(text).alias("text"))
-    sets = stored(here.join(found, ["file", "row"]).select("root", "node", collect("text").alias("shingles")))
+    here = docs.select(*locator(docs), column(text).alias("text"))
+    with small_batches(docs.sparkSession):
+        sets = stored(here.join(small(found), ["file", "row"]).select("root", "node", collect("text").alias("shingles")))
     k = F.ceil(F.greatest(F.sum(F.octet_length("shingles")) / (8 * PART_SHINGLES), F.count(F.lit(1)) / PART_TEXTS, F.lit(1))).cast("int")
     sets = sets.join(sets.groupBy("root").agg(k.alias("k")), "root").withColumn("c", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda i: F.struct(F.least("c", i).alias("a"), F.greatest("c", i).alias("b")))
@@ -267,7 +267,6 @@ def near_links(docs: DataFrame, text: str, shingle: int, found: DataFrame) -> Da
 
 def near_classes(docs: DataFrame, text: str, id: str, shingle: int, seeds: tuple[int, ...], segments: tuple, distance: int) -> DataFrame:
     """(id, file, row, component, kept) for every row of located ``docs``: components of texts whose shingle sets are similar."""
-    text_batches(docs.sparkSession)
     names = [f"f{i}" for i in range(len(seeds))]
 
     @F.pandas_udf(", ".join(f"{n} bigint" for n in names) + ", node string")
@@ -276,15 +275,16 @@ def near_classes(docs: DataFrame, text: str, id: str, shingle: int, seeds: tuple
             rows = [[*fingerprint(t, shingle, seeds, True), xxhash.xxh3_128_hexdigest(shingle_set(t, shingle).tobytes())] for t in batch]
             yield pd.DataFrame(rows, columns=[*names, "node"]).astype({n: "int64" for n in names})
 
-    marked = docs.select(F.col(id).cast("bigint").alias("id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), mark(F.col(text)).alias("f"))
-    rows = stored(marked.select("id", "file", "row", "f.*"))
+    marked = docs.select(column(id).cast("bigint").alias("id"), *locator(docs), mark(column(text)).alias("f"))
+    with small_batches(docs.sparkSession):
+        rows = stored(marked.select("id", "file", "row", "f.*"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "file", "row")
     # one node per distinct set of shingles
     nodes = stored(rows.groupBy("node", *names).agg(F.min(order).alias("first")).withColumn("print", F.concat(*[F.lpad(F.lower(F.hex(n)), 16, "0") for n in names])))
     near = components(edges(nodes.select(*names).distinct(), segments, len(seeds), distance)).withColumnRenamed("node", "print")
     near = stored(nodes.join(near, "print", "left").select(F.coalesce("root", "print").alias("root"), "node", "first.file", "first.row"))
     several = near.groupBy("root").count().where("count > 1").select("root")
-    roots = components(near_links(docs, text, shingle, near.join(several, "root")))
+    roots = components(near_links(docs, text, shingle, stored(near.join(several, "root"))))
     found = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     found = found.join(found.groupBy("root").agg(F.min("first").alias("least")), "root").select("node", "least")
     return rows.join(found, "node").select("id", "file", "row", F.col("least.id").alias("component"), order.eqNullSafe(F.col("least")).alias("kept"))

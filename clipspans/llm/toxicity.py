@@ -25,10 +25,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import held_out, table, text_batches
+from clipspans.llm.common import column, held_out, located, locator, small_batches, stored, table, without
 from clipspans.llm.labelled import logistic, sigmoid, training_rows
 
-MIN_WEIGHT, CERTAINTY, MAX_TERMS = 2.0, 3.5, 5000
+MIN_WEIGHT, CERTAINTY = 2.0, 3.5
 FLUSH = 200_000
 
 # fixed values: letters that look like Latin ones
@@ -105,7 +105,7 @@ def _counts(rows: DataFrame, pieces) -> DataFrame:
 
 
 def fit(rows: DataFrame) -> Model:
-    """rows: (text, y). What reaches the driver is bounded: MAX_TERMS terms, as many phrases, three numbers per row."""
+    """rows: (text, y), a bounded sample (labelled.py). The driver gets its certain terms and exceptions, and three numbers per row."""
     size = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
@@ -115,7 +115,7 @@ def fit(rows: DataFrame) -> Model:
     odds = F.log(a / (n1 + 1)) - F.log(b / (n0 + 1))
     sure = odds - CERTAINTY * F.sqrt(1 / a + 1 / b)
     terms = _counts(rows, lambda t: set(fold(t))).select("term", odds.alias("weight"), sure.alias("sure"))
-    terms = terms.where((F.col("weight") >= MIN_WEIGHT) & (F.col("sure") > 0)).orderBy(F.desc("sure"), "term").limit(MAX_TERMS).collect()
+    terms = terms.where((F.col("weight") >= MIN_WEIGHT) & (F.col("sure") > 0)).collect()
     lexicon = {r["term"]: float(r["weight"]) for r in terms}
 
     def phrases(text: str) -> set[str]:
@@ -123,17 +123,17 @@ def fit(rows: DataFrame) -> Model:
         return {f"{x} {y}" for x, y in zip(words, words[1:]) if x in lexicon or y in lexicon}
 
     benign = _counts(rows, phrases).where(F.col("other") >= 5).select("term", odds.alias("weight"), "other").where("weight < 0")
-    exceptions = {r["term"] for r in benign.orderBy(F.desc("other"), "term").limit(MAX_TERMS).collect()}
+    exceptions = {r["term"] for r in benign.collect()}
     model = Model(lexicon, exceptions)
-    x = measured(rows, model).toPandas()
+    with small_batches(rows.sparkSession):
+        x = measured(rows, model).toPandas()
     model.weights = logistic(x[["f0", "f1", "f2"]].to_numpy(), x["y"].to_numpy())
     return model
 
 
 def measured(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` with f0, f1, f2 in place of text."""
-    text_batches(rows.sparkSession)
-    given = rows.sparkSession.sparkContext.broadcast((model.lexicon, model.exceptions))  # MAX_TERMS of each at most
+    given = rows.sparkSession.sparkContext.broadcast((model.lexicon, model.exceptions))  # learned from a bounded sample
     rest = [c for c in rows.columns if c != "text"]
 
     @F.pandas_udf("f0 double, f1 double, f2 double")
@@ -155,11 +155,14 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
 
 def reject(docs: DataFrame, model: Model, text: str = "text", above: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``above``, with all columns."""
-    kept = score(docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text")), model)
-    return kept.where(F.col("score") < above).select("row.*")
+    docs = located(docs)
+    scored = score(docs.select(*locator(docs), column(text).alias("text")), model)
+    with small_batches(docs.sparkSession):
+        return without(docs, scored.where(F.col("score") >= above))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(training_rows(spark, sf_dir, "toxic"))
     docs = table(spark, sf_dir, "documents").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return score(docs, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    with small_batches(spark):
+        return stored(score(docs, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
