@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import ascii_lower, located, shared_dir, stored, table, without
+from clipspans.llm.common import ascii_lower, column, located, locator, shared_dir, small, stored, table, without
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Set while a state stream runs. Without the second, each state partition reserves 4 MB for its log files in advance.
@@ -32,9 +32,9 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def _keyed(docs: DataFrame, text: str, id: str, digest: Callable[[Column], Column], *more: Column) -> DataFrame:
-    norm = ascii_lower(F.coalesce(F.col(text), F.lit("")))
-    return docs.select(F.col(id).cast("bigint").alias("id"), norm.alias("norm"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), *more).withColumn("digest", digest(F.col("norm")))
+def _keyed(docs: DataFrame, text: str, id: str, digest: Callable[[Column], Column]) -> DataFrame:
+    norm = ascii_lower(F.coalesce(column(text), F.lit("")))
+    return docs.select(column(id).cast("bigint").alias("id"), norm.alias("norm"), *locator(docs)).withColumn("digest", digest(F.col("norm")))
 
 
 def update_state(arrivals: DataFrame, sink: str, checkpoint: str) -> None:
@@ -76,12 +76,11 @@ def classes(docs: DataFrame, text: str = "text", id: str = "doc_id", digest: Cal
     update_state(spark.readStream.schema(ARRIVAL).parquet(f"{base}/arrivals"), f"{base}/state", f"{base}/stream")
     state = stored(retained(spark, f"{base}/state"))
 
-    # Full bytes of every hit against the bytes of the row that stays. Both joins read the same columns of the texts, and
-    # compare null-safely so that no filter is added to one of them only: they share one shuffle of the texts.
-    hits = state.where("n > 1").select("digest", "keep.file", "keep.row").toDF("digest", "keep_file", "keep_row")
-    texts = rows.select("digest", "file", "row", "norm")
-    first = texts.join(hits, "digest").where("file <=> keep_file and row <=> keep_row").select("digest", F.col("norm").alias("first"))
-    unequal = stored(texts.join(first, "digest").where("not (norm <=> first)").select("digest", "file", "row")).select("digest").distinct()
+    # Full bytes of every hit and of the row that stays: a digest's texts are equal where the least is the greatest. Only texts
+    # whose digest came more than once are read for it, and each task reduces a hot digest to two texts before the shuffle.
+    hits = stored(arrivals.join(state.where("n > 1").select("digest"), "digest").select("digest", "file", "row"))
+    texts = docs.select(*locator(docs), ascii_lower(F.coalesce(column(text), F.lit(""))).alias("norm")).join(small(hits), ["file", "row"])
+    unequal = stored(texts.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high")).where("low <> high").select("digest"))
 
     def out(found: DataFrame) -> DataFrame:
         here = F.struct("id", "file", "row")
