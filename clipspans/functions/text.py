@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +30,24 @@ ACTION_TEXTS = {
     "turn_right": "Turn Right",
     "slightly_shift_left": "Slightly Shift Left",
     "slightly_shift_right": "Slightly Shift Right",
+    "follow_curve_left": "Follow Curve Left",
+    "follow_curve_right": "Follow Curve Right",
+    "none": "Not Available",
+}
+# fixed values: older names
+ALIASES = {
+    "KeepSpeed": "maintain_speed",
+    "Wait": "stop",
+    "Accelerate": "strong_acceleration",
+    "Decelerate": "strong_deceleration",
+    "Straight": "go_straight",
+    "KeepLane": "keep_lane",
+    "LaneKeep": "keep_lane",
+    "LeftLaneChange": "left_lane_change",
+    "RightLaneChange": "right_lane_change",
+    "LeftTurn": "turn_left",
+    "RightTurn": "turn_right",
 }
-# fixed values: other spellings
-ALIASES = {"lane_keep": "keep_lane", "lanekeep": "keep_lane", "LaneKeep": "keep_lane", "KeepLane": "keep_lane"}
 # fixed values: what stands for a missing value
 MISSING = ("", "nan", "none", "null")
 
@@ -47,16 +61,16 @@ def _snake(name: Column) -> Column:
 
 
 def normalize_action(name: Column) -> Column:
-    """Canonical snake-case name; null is "none", an unknown name stays as it is (trimmed)."""
-    name = F.trim(name)
-    snake = F.coalesce(_lookup(ALIASES, name), _lookup(ALIASES, _snake(name)), _snake(name))
-    return F.when(name.isNull(), "none").when(snake.isin(*ACTION_TEXTS), snake).otherwise(name)
+    """Canonical snake-case name of an older or camel-case one; null is "none", an unknown name stays as it is (trimmed)."""
+    name = F.regexp_replace(name, r"^\s+|\s+$", "")
+    snake = _snake(name)
+    return F.when(name.isNull(), "none").otherwise(F.coalesce(_lookup(ALIASES, name), F.when(snake.isin(*ACTION_TEXTS), snake), name))
 
 
 def canonicalize_action(name: Column) -> Column:
     """As normalize_action, but an unknown name is lower-cased without blanks."""
     found = normalize_action(name)
-    return F.when(found.isin("none", *ACTION_TEXTS), found).otherwise(F.replace(F.lower(found), F.lit(" "), F.lit("")))
+    return F.when(found.isin(*ACTION_TEXTS), found).otherwise(F.replace(F.lower(found), F.lit(" "), F.lit("")))
 
 
 def action_text(name: Column) -> Column:
@@ -85,23 +99,48 @@ def format_tag(tag: Column, agent: Column, start: Column, end: Column) -> Column
 
 
 _UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
-# fixed values: endings of file names that aren't part of a clip id, the first that fits is cut
-CLIP_ENDINGS = (".camera_front_wide_120fov.mp4", ".camera_front_tele_30fov.mp4", ".timestamps.parquet", ".egomotion.parquet", ".parquet", ".timestamps", ".egomotion", ".yaml", ".json", ".mp4", ".zip", ".txt")
-
-
-def normalize_clip_id(path: Column, endings: tuple[str, ...] = CLIP_ENDINGS) -> Column:
-    """Clip id of a path: its last part without a known ending, or the UUID that it begins with."""
-    leaf = F.element_at(F.split(F.rtrim(path, F.lit("/")), "/"), -1)
-    cut = reduce(lambda rest, e: F.when(leaf.endswith(e), F.substring(leaf, F.lit(1), F.length(leaf) - len(e))).otherwise(rest), reversed(endings), leaf)
-    uuid = F.regexp_extract(leaf, _UUID, 0)
-    return F.when(uuid != "", uuid).otherwise(cut)
-
-
-def parse_filter(text: str | None) -> list[str] | None:
-    """Names of a filter text: "a b", "a,b" or "[a, b]"; None for no filter (null, all, none or empty)."""
-    found = [x for x in re.split(r"[\s,]+", (text or "").strip().strip("[]")) if x.strip("'\"")]
-    found = [x.strip("'\"") for x in found]
-    return None if not found or len(found) == 1 and found[0].lower() in ("all", "none", "null") else found
+CAMERA = "camera_front_wide_120fov"
+# fixed values: endings of file names that aren't part of a clip id, {} for the camera; the first that fits is cut
+CLIP_ENDINGS = (
+    ".json",
+    ".yaml",
+    ".yml",
+    ".txt",
+    ".{}.mp4.timestamps.parquet",
+    ".{}.mp4.timestamps",
+    ".{}.timestamps.parquet",
+    ".{}.timestamps",
+    ".{}.mp4",
+    "_{}.mp4.timestamps.parquet",
+    "_{}.mp4.timestamps",
+    "_{}.timestamps.parquet",
+    "_{}.timestamps",
+    "_{}.mp4",
+    ".{}",
+    "_{}",
+    "_fpv.mp4",
+    ".mp4",
+)
+
+
+def normalize_clip_id(path: Column, camera: str = CAMERA) -> Column:
+    """Clip id of a path: its last part without the first ending that fits, or the UUID that it begins with; null for a blank one."""
+    leaf = F.trim(F.element_at(F.split(F.rtrim(path, F.lit("/")), "/"), -1))
+    # every longer ending stands before the shorter ones that it ends with, so the first that fits is where the search stops
+    cut = F.regexp_replace(leaf, "(?:" + "|".join(re.escape(e.format(camera)) for e in CLIP_ENDINGS) + ")$", "")
+    uuid = F.regexp_extract(cut, _UUID, 0)
+    return F.when(leaf != "", F.when(uuid != "", uuid).otherwise(cut))
+
+
+def parse_filter(text: str | list[str] | None) -> list[str] | None:
+    """Lower-case names of filter texts such as "a b", "a,b" or "[a, b]"; None for no filter (null, or any text that is all, none, null or blank)."""
+    found: dict[str, None] = {}
+    for one in [text] if isinstance(text, str) else text or []:
+        if one.strip().lower() in ("", "all", "none", "null"):
+            return None
+        names = [x.strip("'\"") for x in re.split(r"[\s,]+", one.strip().strip("[]"))]
+        found |= dict.fromkeys(x.lower() for x in names if x)
+    return list(found) or None
 
 
 def present(value: Column) -> Column:
@@ -147,6 +186,7 @@ def strip_thinking(text: Column) -> Column:
 
 
 _OBJECT = "map<string,string>"
+_STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
 def parse_model_json(text: Column) -> Column:
@@ -154,27 +194,44 @@ def parse_model_json(text: Column) -> Column:
     text = strip_thinking(F.coalesce(text, F.lit("")))
     fence = F.regexp_extract(text, r"(?s)```(?:json|JSON)?\s*(.*?)```", 1)
     braces = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
-    tried = [F.when(F.trim(c).startswith("{") & F.trim(c).endswith("}"), F.from_json(F.trim(c), _OBJECT, {"mode": "PERMISSIVE"})) for c in (text, fence, braces)]
-    good = [F.when(F.size(F.coalesce(F.map_keys(t), F.array())) + F.when(F.regexp_like(F.trim(c), F.lit(r"^\{\s*\}$")), 1).otherwise(0) > 0, t) for t, c in zip(tried, (text, fence, braces))]
+    good = []
+    for tried in (text, F.trim(fence), braces):
+        # as the only item of a list, so that a second object behind the first is seen
+        items = F.from_json(F.concat(F.lit("["), tried, F.lit("]")), f"array<{_OBJECT}>", _STRICT)
+        good.append(F.when(tried.startswith("{") & tried.endswith("}") & (F.size(items) == 1), F.try_element_at(items, F.lit(1))))
     found = F.coalesce(*good)
     error = F.when(text == "", "empty_response").when(found.isNull(), "json_parse_failed")
     return F.struct(found.alias("evaluation"), error.alias("parse_error"))
 
 
 SUPPORT_KEY = "decision_supported_by_video"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def is_score(key: str) -> bool:
+    """Whether an answer's key must be a number from 0 to 1."""
+    return key.endswith("_score") or key == SUPPORT_KEY
 
 
 def validate_scores(evaluation: Column, keys: list[str]) -> Column:
-    """The first complaint about the score keys, null if all are numbers from 0 to 1: missing_score or invalid_score."""
+    """The first complaint about the score keys among ``keys``, null if all are numbers from 0 to 1: missing_score or invalid_score.
+    Other keys may be missing and hold anything."""
     out = F.lit(None).cast("string")
-    for key in reversed(keys):
+    for key in reversed([k for k in keys if is_score(k)]):
         value = F.try_element_at(evaluation, F.lit(key))
-        number = value.try_cast("double")
-        bad = F.lower(value).isin("true", "false") | number.isNull() | F.isnan(number) | ~number.between(0.0, 1.0)
-        out = F.when(value.isNull(), F.lit(f"missing_score:{key}")).when(bad, F.lit(f"invalid_score:{key}")).otherwise(out)
+        good = F.regexp_like(value, F.lit(_NUMBER)) & F.trim(value).try_cast("double").between(0.0, 1.0)
+        out = F.when(~F.map_contains_key(evaluation, F.lit(key)), F.lit(f"validation_error:missing_score:{key}")).when(~F.coalesce(good, F.lit(False)), F.lit(f"validation_error:invalid_score:{key}")).otherwise(out)
     return F.when(evaluation.isNotNull(), out)
 
 
+def kept_evaluation(evaluation: Column, keys: list[str]) -> Column:
+    """The listed keys of an answer, scores as number texts; null where a score key is missing or wrong."""
+    scores = [k for k in keys if is_score(k)]
+    number = lambda k, v: F.when(k.isin(*scores), F.trim(v).try_cast("double").cast("string")).otherwise(v) if scores else v
+    own = F.map_filter(evaluation, lambda k, v: k.isin(*keys)) if keys else F.map_filter(evaluation, lambda k, v: F.lit(False))
+    return F.when(validate_scores(evaluation, keys).isNull(), F.transform_values(own, number))
+
+
 def row_key(clip_id: Column, timestamp: Column, row_index: Column) -> Column:
     """``clip_ts_index``; a null time prints None, a row without a clip is ``row_index``."""
     return F.when(clip_id.isNull(), F.concat(F.lit("row_"), row_index)).otherwise(F.concat_ws("_", clip_id, F.coalesce(timestamp.cast("string"), F.lit("None")), row_index))

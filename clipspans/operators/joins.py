@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipspans.functions.text import normalize_clip_id
+from clipspans.functions.text import CAMERA, normalize_clip_id
 
 TOLERANCE_US = 1_000_000
 
@@ -90,20 +90,46 @@ def allowed_clips(segments: DataFrame, clips: DataFrame | None) -> DataFrame:
     return segments if clips is None else segments.join(clips, "clip_id", "left_semi")
 
 
-def match_members(members: DataFrame, clips: DataFrame) -> DataFrame:
-    """Archive members (zip_path, member_name) with their clip: the path part nearest the leaf that names a clip of ``clips``."""
-    parts = F.reverse(F.split("member_name", "/"))
-    rows = members.select("zip_path", "member_name", F.posexplode(parts).alias("depth", "part")).withColumn("clip_id", normalize_clip_id(F.col("part")))
-    hits = rows.join(clips.select("clip_id"), "clip_id")
-    return hits.groupBy("zip_path", "member_name").agg(F.min_by("clip_id", "depth").alias("clip_id"))
+# fixed values: endings of a video's time files
+SIDECARS = (".timestamps.parquet", ".timestamps", ".mp4.timestamps.parquet", ".mp4.timestamps")
+
 
+def target_name(member: Column, clip: Column, camera: str = CAMERA) -> Column:
+    """File name under which a clip's archive member is kept, ``clip.camera`` with .mp4 or a time file's ending; null for other members."""
+    leaf = F.element_at(F.split(member, "/"), -1)
+    own = lambda ending: F.concat(clip, F.lit(f".{camera}{ending}"))
+    named = leaf.startswith(f"{camera}.")
+    out = F.lit(None).cast("string")
+    for ending in reversed(SIDECARS):
+        out = F.when(leaf.endswith(ending) & (leaf.startswith(clip) | leaf.startswith(camera)), own(ending)).otherwise(out)
+    out = F.when(leaf.endswith(".mp4") & (leaf.startswith(clip) | named), own(".mp4")).otherwise(out)
+    exact = reduce(lambda x, y: x | y, [leaf == own(e) for e in (".mp4", *SIDECARS)])
+    return F.when(leaf == "", F.lit(None)).when(exact, leaf).otherwise(out)
 
-def plan_extraction(matched: DataFrame, clips: DataFrame, existing: DataFrame) -> DataFrame:
-    """(clip_id, status, zip_path, member_name): existing, pending with one member per clip (least zip, then name), or missing."""
-    one = matched.groupBy("clip_id").agg(F.min(F.struct("zip_path", "member_name")).alias("m"))
-    out = clips.select("clip_id").join(existing.select("clip_id", F.lit(True).alias("_have")).distinct(), "clip_id", "left").join(one, "clip_id", "left")
-    status = F.when(F.col("_have"), "existing").when(F.col("m").isNull(), "missing").otherwise("pending")
-    return out.select("clip_id", status.alias("status"), F.when(status == "pending", F.col("m.zip_path")).alias("zip_path"), F.when(status == "pending", F.col("m.member_name")).alias("member_name"))
+
+def match_members(members: DataFrame, clips: DataFrame, camera: str = CAMERA) -> DataFrame:
+    """Archive members (zip_path, member_name) with their clip, the path part nearest the leaf that names a clip of ``clips``, and
+    their target_name, null for members that are neither video nor time file."""
+    parts = F.reverse(F.split("member_name", "/"))
+    rows = members.select("zip_path", "member_name", F.posexplode(parts).alias("depth", "part")).withColumn("clip_id", normalize_clip_id(F.col("part"), camera))
+    hits = rows.join(clips.select("clip_id").distinct(), "clip_id")
+    found = hits.groupBy("zip_path", "member_name").agg(F.min_by("clip_id", "depth").alias("clip_id"))
+    return found.withColumn("target_name", target_name(F.col("member_name"), F.col("clip_id"), camera))
+
+
+def plan_extraction(matched: DataFrame, clips: DataFrame, existing: DataFrame, camera: str = CAMERA) -> DataFrame:
+    """(clip_id, status, target_name, zip_path, member_name): one row for each file to extract of a pending clip, and one for each
+    other clip. status: existing; missing_archive, if no archive has a file of the clip; missing_video, if it has time files only;
+    else pending. A target that several members could fill takes the least archive name, then the least member."""
+    files = matched.where("target_name is not null")
+    zip_name = F.element_at(F.split("zip_path", "/"), -1)
+    one = files.groupBy("clip_id", "target_name").agg(F.min(F.struct(zip_name.alias("zip"), "member_name", "zip_path")).alias("m"))
+    has = one.groupBy("clip_id").agg(F.bool_or(F.col("target_name") == F.concat("clip_id", F.lit(f".{camera}.mp4"))).alias("_video"))
+    out = clips.select("clip_id").distinct().join(existing.select("clip_id", F.lit(True).alias("_have")).distinct(), "clip_id", "left").join(has, "clip_id", "left")
+    status = F.when(F.col("_have"), "existing").when(F.col("_video").isNull(), "missing_archive").when(~F.col("_video"), "missing_video").otherwise("pending")
+    out = out.select("clip_id", status.alias("status"))
+    rows = one.select("clip_id", F.lit("pending").alias("status"), "target_name", "m.zip_path", "m.member_name")
+    return out.join(rows, ["clip_id", "status"], "left")
 
 
 def resolve_video(labels: DataFrame, files: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from clipspans.functions.text import ACTION_TEXTS, canonicalize_action
 
 KNOWN = tuple(ACTION_TEXTS)
 LANE_ACTIONS = ("keep_lane", "left_lane_change", "right_lane_change", "turn_left", "turn_right", "slightly_shift_left", "slightly_shift_right")
-EGO_ACTIONS = tuple(a for a in KNOWN if a not in LANE_ACTIONS)
+EGO_ACTIONS = tuple(a for a in KNOWN if a not in LANE_ACTIONS and a != "none" and not a.startswith("follow_curve"))
 
 
 def select_actions(names: list[str], use_lane: bool = False) -> list[str]:
@@ -113,3 +113,13 @@ def agreement(predicted: DataFrame, truth: DataFrame, tracks: tuple[str, ...] =
     both = predicted.join(truth.select("clip_id", "frame", *[F.col(t).alias(f"t_{t}") for t in tracks]), ["clip_id", "frame"])
     rows = both.select(F.explode(F.array(*[F.struct(F.lit(t).alias("track"), F.col(t).alias("p"), F.col(f"t_{t}").alias("t")) for t in tracks])).alias("r")).select("r.*")
     return rows.groupBy("track").agg(F.count(F.lit(1)).alias("frames"), F.count_if(F.col("p") == F.col("t")).alias("equal"))
+
+
+def drop_duplicate_segments(segments: DataFrame, keys: tuple[str, ...] = ("clip_id", "event_start_us")) -> DataFrame:
+    """One row for each event, after lists were put together."""
+    return segments.dropDuplicates(list(keys))
+
+
+def spread_work(segments: DataFrame) -> DataFrame:
+    """The rows dealt out by clip, so that tasks get about equal work; no row changes."""
+    return segments.repartition("clip_id")

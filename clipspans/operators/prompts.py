@@ -37,13 +37,32 @@ def action_text_block(window: DataFrame, keys: tuple[str, ...] = ("clip_id", "ev
     return window.groupBy(*keys).agg(F.array_join(F.concat(F.array(F.lit("Meta actions:")), lines), "\n").alias("action_text"))
 
 
-def speed_text(series: DataFrame, dt: float = 0.1) -> DataFrame:
-    """(keys, history array, future array) with texts of both: times -(n-1-i)*dt and (i+1)*dt, speeds with 3 decimals."""
-    def text(values: Column, time) -> Column:
-        return F.array_join(F.transform(values, lambda v, i: F.format_string("(t=%+.1fs) %.3f", time(i), v)), ", ")
+# fixed values: the texts around speed samples
+SPEED_HEADS = {
+    "history_text": "History speed samples:",
+    "future_text": "Future speed samples:",
+    "speed_text": "Ego speed time series (relative to event time t=0.0s):",
+}
+SPEED_AXES = {"v_long": "- Longitudinal (m/s): ", "v_lat": "- Lateral (m/s): "}
+SPEED_NOTE = "Positive lateral speed means rightward motion, negative means leftward motion."
+
 
+def speed_text(series: DataFrame, dt: float = 0.1) -> DataFrame:
+    """(keys, history and future: arrays of struct<lon, lat>) with history_text, future_text and speed_text (both, and what the signs
+    mean): a line for each axis. Sample i has the time -(n-1-i)*dt in the history and (i+1)*dt in the future."""
     n = F.size("history")
-    return series.withColumns({"history_text": text(F.col("history"), lambda i: -(n - 1 - i) * F.lit(dt)), "future_text": text(F.col("future"), lambda i: (i + 1) * F.lit(dt))})
+    timed = lambda values, time: F.transform(values, lambda v, i: F.struct(time(i).cast("double").alias("t"), v["lon"].cast("double").alias("v_long"), v["lat"].cast("double").alias("v_lat")))
+    parts = {"history_text": timed(F.col("history"), lambda i: -(n - 1 - i) * F.lit(dt)), "future_text": timed(F.col("future"), lambda i: (i + 1) * F.lit(dt))}
+    parts["speed_text"] = F.concat(*parts.values())
+
+    def text(head: str, samples: Column) -> Column:
+        lines = [F.lit(head)]
+        for axis, name in SPEED_AXES.items():
+            one = F.transform(samples, lambda s: F.format_string(f"(t=%.1fs, {axis}=%.3f m/s)", s["t"], s[axis]))  # noqa: B023
+            lines.append(F.concat(F.lit(name + "["), F.array_join(one, ", "), F.lit("]")))
+        return F.concat_ws("\n", *lines, *([F.lit(SPEED_NOTE)] if head == SPEED_HEADS["speed_text"] else []))
+
+    return series.withColumns({name: text(SPEED_HEADS[name], samples) for name, samples in parts.items()})
 
 
 def frame_plan(events: DataFrame, source_fps: int = 30, fps: int = 10, before: int = HISTORY, after: int = FUTURE, every: int = STEP) -> DataFrame:
@@ -76,9 +95,11 @@ def build_prompts(rows: DataFrame, parts: list[tuple[str, str, Column]], name: s
     return rows.withColumn(name, F.array(*[F.struct(F.lit(r).alias("role"), F.array(*items).alias("content")) for r, items in groups]))
 
 
-# fixed values: window offset and duration in seconds by stage (stage 2 has two variants)
+# fixed values: window offset and duration in seconds by stage; stage 2 can also take the whole 8 s
 STAGE_WINDOWS = {1: (0.0, 2.0), 2: (2.0, 6.0), 3: (0.0, 8.0)}
+FULL_WINDOW = (0.0, 8.0)
 RELATIVE_LIMIT_S = 600.0
+TIME_MODES = ("auto", "sidecar", "relative")
 
 
 def stage_prompts(labels: DataFrame, stage: int, template: str, label: str = "coc_label", metadata: tuple[str, ...] = ("clip_id", "event_timestamp")) -> DataFrame:
@@ -87,14 +108,21 @@ def stage_prompts(labels: DataFrame, stage: int, template: str, label: str = "co
     return labels.withColumn("prompt", F.format_string(template, own, F.to_json(F.struct(*metadata)))).withColumn("stage", F.lit(stage))
 
 
-def stage_window(labels: DataFrame, stage: int, saved: str = "hint_is_saved_segment", seconds: str | None = None) -> DataFrame:
-    """start_s, duration_s and window_error. The event's second comes from ``seconds`` (a sidecar lookup) or its relative time in
-    microseconds, which must be below 600 s; saved segments start at the stage's offset."""
-    offset, duration = STAGE_WINDOWS[stage]
-    relative = F.col("event_timestamp") / 1e6
-    second = F.when(relative <= RELATIVE_LIMIT_S, relative) if seconds is None else F.coalesce(F.col(seconds), F.when(relative <= RELATIVE_LIMIT_S, relative))
-    error = F.when(F.col(saved), F.lit(None).cast("string")).when(F.col("event_timestamp").isNull(), "missing_timestamp").when(second.isNull(), "timestamp_requires_sidecar")
-    start = F.when(F.col(saved), F.lit(offset)).otherwise(F.greatest(F.lit(0.0), second - 2.0 + offset))
+def stage_window(labels: DataFrame, stage: int, saved: str = "hint_is_saved_segment", seconds: str | None = None, mode: str = "auto", full: bool = False) -> DataFrame:
+    """start_s, duration_s and window_error of a stage's part of the video.
+
+    A saved segment begins at the stage's offset. Else the event's second is ``seconds``, a sidecar lookup's (modes auto and sidecar),
+    or the event's time in microseconds, if from 0 to 600 s (auto without a lookup, and relative). Errors:
+    missing_event_timestamp, missing_timestamp_sidecar, timestamp_requires_sidecar, unsupported_timestamp_mode."""
+    offset, duration = FULL_WINDOW if full and stage == 2 else STAGE_WINDOWS[stage]
+    stamp, none = F.col("event_timestamp"), F.lit(None).cast("double")
+    relative = F.when((stamp >= 0) & (stamp <= RELATIVE_LIMIT_S * 1e6), stamp / 1e6)
+    looked_up = none if seconds is None else F.col(seconds).cast("double")
+    second = {"auto": F.coalesce(looked_up, relative), "sidecar": looked_up, "relative": relative}.get(mode, none)
+    problem = {"sidecar": "missing_timestamp_sidecar"}.get(mode, "timestamp_requires_sidecar") if mode in TIME_MODES else f"unsupported_timestamp_mode:{mode}"
+    is_saved = F.coalesce(F.col(saved), F.lit(False))
+    error = F.when(is_saved, F.lit(None).cast("string")).when(stamp.isNull(), "missing_event_timestamp").when(second.isNull(), problem)
+    start = F.when(is_saved, F.lit(offset)).otherwise(F.greatest(F.lit(0.0), second - 2.0 + offset))
     return labels.withColumns({"start_s": F.when(error.isNull(), start), "duration_s": F.when(error.isNull(), F.lit(duration)), "window_error": error})
 
 
@@ -104,7 +132,7 @@ def lane_token(text: Column) -> Column:
 
 
 def lateral_prior(window: DataFrame, keys: tuple[str, ...] = ("clip_id", "event_start_frame")) -> DataFrame:
-    """Per event, what the timeline leads one to expect: expected_type, expected_direction, expected_onset, has_prior.
+    """Per event, what the timeline leads one to expect: expected_type, expected_direction, expected_onset, has_prior, summary.
 
     window: one row per sample with ts and lane. A lane change begins at the first of two samples in a row with one lane-change
     token, at most two steps apart; a nudge at the first shift token. Of both, the one within four steps of the event wins, else
@@ -118,6 +146,7 @@ def lateral_prior(window: DataFrame, keys: tuple[str, ...] = ("clip_id", "event_
     out = rows.groupBy(*keys).agg(
         F.first("step").alias("step"), onset("cl", pair & (F.col("token") == "left_lane_change")), onset("cr", pair & (F.col("token") == "right_lane_change")),
         onset("nl", F.col("token") == "slightly_shift_left"), onset("nr", F.col("token") == "slightly_shift_right"),
+        F.count_if(F.col("token").endswith("lane_change")).alias("changes"), F.count_if(F.col("token").startswith("slightly_shift")).alias("nudges"),
     )
     side = lambda a, b: F.when(F.col(a).isNull() & F.col(b).isNull(), F.lit("")).when(F.col(b).isNull() | (F.col(a) <= F.col(b)), "left").otherwise("right")
     change, nudge = F.least("cl", "cr"), F.least("nl", "nr")
@@ -128,7 +157,14 @@ def lateral_prior(window: DataFrame, keys: tuple[str, ...] = ("clip_id", "event_
     )
     out = out.withColumn("expected_type", kind)
     pick = lambda a, b: F.when(F.col("expected_type") == "lane_change", a).when(F.col("expected_type") == "nudge", b)
-    return out.select(*keys, "expected_type", F.coalesce(pick(side("cl", "cr"), side("nl", "nr")), F.lit("")).alias("expected_direction"), pick(change, nudge).alias("expected_onset"), (F.col("expected_type") != "").alias("has_prior"))
+    out = out.withColumns({"expected_direction": F.coalesce(pick(side("cl", "cr"), side("nl", "nr")), F.lit("")), "expected_onset": pick(change, nudge)})
+    show = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
+    named = lambda c: F.when(F.col(c) == "", "none").otherwise(F.col(c))
+    summary = F.format_string(
+        "lane changes: %d, left from %s, right from %s; nudges: %d, left from %s, right from %s; near: within %d; expected: %s, direction %s, onset %s",
+        "changes", show("cl"), show("cr"), "nudges", show("nl"), show("nr"), 4 * F.col("step"), named("expected_type"), named("expected_direction"), show("expected_onset"),
+    )
+    return out.select(*keys, "expected_type", "expected_direction", "expected_onset", (F.col("expected_type") != "").alias("has_prior"), summary.alias("summary"))
 
 
 def claim_from_text(text: Column) -> Column:
@@ -150,11 +186,19 @@ def needs_repair(claim: Column) -> Column:
     )
 
 
-def merge_repair(first: DataFrame, second: DataFrame, keys: tuple[str, ...] = ("clip_id", "event_start_us"), content: str = "content") -> DataFrame:
-    """First-pass answers with the repaired content where there is one; the first text is kept beside it."""
-    fixed = second.select(*keys, F.col(content).alias("_fixed"))
-    out = first.join(fixed, list(keys), "left")
-    return out.withColumns({f"{content}_original": F.col(content), "repaired": F.col("_fixed").isNotNull(), content: F.coalesce("_fixed", F.col(content))}).drop("_fixed")
+def merge_repair(first: DataFrame, second: DataFrame, keys: tuple[str, ...] = ("clip_id", "event_start_us"), content: str = "content", reason: Column | None = None, prior: Column | None = None, versions: tuple[str, str] = ("base", "repair")) -> DataFrame:
+    """First-pass answers with the repaired content where there is one; the first text is kept beside it. audit tells why: both
+    prompts' versions, whether and why the repair was asked for (``reason``, columns of ``first``), and the ``prior`` it went by."""
+    none = F.lit(None).cast("string")
+    asked = none if reason is None else reason
+    fixed = second.select(*keys, F.col(content).alias("_fixed")).join(first.select(*keys).distinct(), list(keys), "left_semi")
+    out = first.withColumns({"_reason": asked, "_prior": none if prior is None else prior}).join(fixed, list(keys), "left")
+    done = F.col("_fixed").isNotNull()
+    audit = F.struct(
+        F.lit(versions[0]).alias("base_version"), F.lit(versions[1]).alias("repair_version"), (F.col("_reason").isNotNull() | done).alias("triggered"),
+        F.col("_reason").alias("reason"), F.col("_prior").alias("prior"), F.when(done, "+".join(versions)).otherwise(versions[0]).alias("pipeline_version"),
+    )
+    return out.withColumns({f"{content}_original": F.col(content), "repaired": done, "audit": audit, content: F.coalesce("_fixed", F.col(content))}).drop("_fixed", "_reason", "_prior")
 
 
 def display(frame_actions: DataFrame, tracks: tuple[str, ...] = ("longitudinal", "lateral", "lane")) -> DataFrame:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipspans.functions.text import parse_model_json, row_key, validate_scores
+from clipspans.functions.text import kept_evaluation, parse_model_json, row_key, validate_scores
 
 
 def completed() -> Column:
@@ -20,12 +20,12 @@ def done_keys(log: DataFrame) -> DataFrame:
 
 
 def compact_results(log: DataFrame) -> DataFrame:
-    """One row per key: a completed one before any other, else the latest line. Rows without a key all stay. ``position`` is
-    the key's first line. Retries of one key are pre-aggregated by task, so a key with many lines isn't gathered whole."""
+    """One row per key: a completed one before any other, else the latest line; of lines with equal numbers, one. Rows without a
+    key all stay. ``position`` is the key's first line. Retries of one key are pre-aggregated by task, so a key with many lines
+    isn't gathered whole."""
     keyed = log.where("row_key is not null")
-    rank = F.struct(completed().alias("c"), "line_no")
-    best = keyed.groupBy("row_key").agg(F.max(rank).alias("r"), F.min("line_no").alias("position"))
-    chosen = keyed.join(best, "row_key").where(F.col("line_no") == F.col("r.line_no")).drop("r")
+    rank = F.struct(completed().alias("c"), "line_no", F.xxhash64(F.to_json(F.struct(*[c for c in log.columns if c not in ("row_key", "line_no")]))))
+    chosen = keyed.groupBy("row_key").agg(F.max_by(F.struct(*log.columns), rank).alias("r"), F.min("line_no").alias("position")).select("r.*", "position")
     return chosen.select(*log.columns, "position").unionByName(log.where("row_key is null").withColumn("position", F.col("line_no")).select(*log.columns, "position"))
 
 
@@ -65,7 +65,7 @@ def parse_responses(rows: DataFrame, keys: list[str]) -> DataFrame:
     parsed = rows.withColumn("_p", parse_model_json(F.col("response")))
     problem = validate_scores(F.col("_p.evaluation"), keys)
     return parsed.withColumns({
-        "evaluation": F.col("_p.evaluation"), "parse_error": F.coalesce(F.col("_p.parse_error"), problem), "error": F.col("api_error"),
+        "evaluation": kept_evaluation(F.col("_p.evaluation"), keys), "parse_error": F.coalesce(F.col("_p.parse_error"), problem), "error": F.col("api_error"),
         "ok": F.col("api_error").isNull() & F.col("_p.parse_error").isNull() & problem.isNull(),
     }).drop("_p")
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -14,9 +14,11 @@ from clipspans.plans.catalog import query
 from clipspans.streaming.compact import compact_stream
 
 
-def _shared(spark) -> str:
-    """A new path in the shared folder; a folder of its own where none is set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+def shared_path(spark) -> str:
+    """A new path in the folder that driver and executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -82,20 +84,20 @@ def _allowed(spark, d):
     return joins.allowed_clips(inputs.keyframe_rows(spark, d), inputs.clip_timing(spark, d).where("clip_id like '%3'").select("clip_id")).select("clip_id", "meta_action", "event_start_frame")
 
 
-def _archive(spark, d):
+@query("j9_plan_extraction", """with p as (select page_id % 40 as n, 'z' || (page_id % 3) || '.zip' as z, page_id // 40 % 4 as k from pages),
+  m as (select n, 'c' || n as clip, z, case when k = 0 then 'c' || n || '.cam.timestamps' when k = 1 then 'cam.mp4' when k = 2 then 'c' || n || '.old.mp4' else 'notes.txt' end as leaf from p where not (k in (1, 2) and n % 4 = 1)),
+  t as (select clip, case when leaf like '%.mp4' then clip || '.cam.mp4' else clip || '.cam.timestamps' end as target_name, min({'z': z, 'm': 'a/' || clip || '/' || leaf}) as f from m where leaf <> 'notes.txt' group by all),
+  c as (select 'c' || i as clip_id, case when i % 5 = 0 then 'existing' when 'c' || i not in (select clip from t) then 'missing_archive' when 'c' || i not in (select clip from t where target_name like '%.mp4') then 'missing_video' else 'pending' end as status from (select distinct page_id % 50 as i from pages))
+  select clip_id, status, target_name, 'x/' || f.z as zip_path, f.m as member_name from c left join t on clip = clip_id and status = 'pending'""")
+def _extraction(spark, d):
+    """Videos under three names, time files and other members in three archives; some clips have time files only, or nothing."""
     p = spark.read.parquet(f"{d}/pages.parquet")
-    n = (F.col("page_id") % 40).cast("string")
-    members = p.select(F.concat(F.lit("z"), (F.col("page_id") % 3).cast("string"), F.lit(".zip")).alias("zip_path"), F.concat(F.lit("a/c"), n, F.lit("/v"), (F.col("page_id") % 2).cast("string"), F.lit(".mp4")).alias("member_name"))
+    n, k = F.col("page_id") % 40, F.expr("page_id div 40 % 4")
+    clip = F.concat(F.lit("c"), n.cast("string"))
+    leaf = F.when(k == 0, F.concat(clip, F.lit(".cam.timestamps"))).when(k == 1, "cam.mp4").when(k == 2, F.concat(clip, F.lit(".old.mp4"))).otherwise("notes.txt")
+    members = p.where(~(k.isin(1, 2) & (n % 4 == 1))).select(F.concat(F.lit("x/z"), (F.col("page_id") % 3).cast("string"), F.lit(".zip")).alias("zip_path"), F.concat(F.lit("a/"), clip, F.lit("/"), leaf).alias("member_name"))
     clips = p.select(F.concat(F.lit("c"), (F.col("page_id") % 50).cast("string")).alias("clip_id")).distinct()
-    return members, clips
-
-
-@query("j9_plan_extraction", """select clip_id, case when cast(clip_id[2:] as int) % 5 = 0 then 'existing' when m is null then 'missing' else 'pending' end as status, case when cast(clip_id[2:] as int) % 5 <> 0 then m.z end as zip_path, case when cast(clip_id[2:] as int) % 5 <> 0 then m.n end as member_name
-  from (select distinct 'c' || (page_id % 50) as clip_id from pages) left join (select 'c' || (page_id % 40) as clip_id, min({'z': 'z' || (page_id % 3) || '.zip', 'n': 'a/c' || (page_id % 40) || '/v' || (page_id % 2) || '.mp4'}) as m from pages group by 1) using (clip_id)""")
-def _extraction(spark, d):
-    members, clips = _archive(spark, d)
-    existing = clips.where("cast(substring(clip_id, 2) as int) % 5 = 0")
-    return joins.plan_extraction(joins.match_members(members, clips), clips, existing)
+    return joins.plan_extraction(joins.match_members(members, clips, "cam"), clips, clips.where("cast(substring(clip_id, 2) as int) % 5 = 0"), "cam")
 
 
 @query("j10_resolve_video", """select row_index, case when row_index % 4 = 0 then 'hint' || (row_index % 20) || '.mp4' when clip_id in ('c1', 'c2', 'c3') then clip_id || '/raw.mp4' end as video_path, case when row_index % 4 = 0 then 'hint' when clip_id in ('c1', 'c2', 'c3') then 'raw' end as video_source from labels_in""", "labels_in")
@@ -131,20 +133,33 @@ def _action_text(spark, d):
     return prompts.action_text_block(prompts.action_window(inputs.keyframe_rows(spark, d).select("clip_id", "event_start_frame").distinct(), frames))
 
 
-@query("e3_speed_text", """select clip_id, string_agg('(t=' || printf('%+.1f', -(5 - 1 - tick) * 0.1) || 's) ' || printf('%.3f', speed), ', ' order by tick) filter (tick < 5) as history_text, string_agg('(t=' || printf('%+.1f', (tick - 5 + 1) * 0.1) || 's) ' || printf('%.3f', speed), ', ' order by tick) filter (tick between 5 and 9) as future_text from motion group by clip_id""", "motion")
+_SAMPLES = "string_agg('(t=' || printf('%.1f', (tick - e) * 0.1e0) || 's, v_{0}=' || printf('%.3f', {0}_speed) || ' m/s)', ', ' order by tick) filter ({1})"
+
+
+def _speed_sql(head: str, rows: str) -> str:
+    return f"'{head}' || chr(10) || '- Longitudinal (m/s): [' || coalesce({_SAMPLES.format('long', rows)}, '') || ']' || chr(10) || '- Lateral (m/s): [' || coalesce({_SAMPLES.format('lat', rows)}, '') || ']'"
+
+
+@query("e3_speed_text", f"""select clip_id, e as event_start_frame, {_speed_sql('History speed samples:', 'tick <= e')} as history_text, {_speed_sql('Future speed samples:', 'tick > e')} as future_text,
+  {_speed_sql('Ego speed time series (relative to event time t=0.0s):', 'true')} || chr(10) || 'Positive lateral speed means rightward motion, negative means leftward motion.' as speed_text
+  from (select distinct clip_id, event_start_frame as e from keys) join (select clip_id, tick, round(vx * cos(heading) + vy * sin(heading), 5) + 0.0e0 as long_speed, round(-vx * sin(heading) + vy * cos(heading), 5) + 0.0e0 as lat_speed from ticks) using (clip_id) where tick between e - 9 and e + 165 group by clip_id, e""", "keys", "ticks")
 def _speed_text(spark, d):
-    t = features.add_speed(inputs.ticks(spark, d))
-    pick = lambda cond, name: F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("tick", "speed")))), lambda x: x["speed"]).alias(name)
-    series = t.groupBy("clip_id").agg(pick(F.col("tick") < 5, "history"), pick(F.col("tick").between(5, 9), "future"))
-    return prompts.speed_text(series).select("clip_id", "history_text", "future_text")
+    """One second before each keyframe's event, and up to 16.5 s after it."""
+    t = features.long_lat_speed(inputs.ticks(spark, d)).select("clip_id", "tick", F.struct(F.round("lon_speed", 5).alias("lon"), F.round("lat_speed", 5).alias("lat")).alias("v"))
+    k = inputs.keyframe_rows(spark, d).select("clip_id", "event_start_frame").distinct()
+    rows = k.join(t, "clip_id").where("tick between event_start_frame - 9 and event_start_frame + 165")  # a clip has 200 ticks at most
+    pick = lambda cond, name: F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("tick", "v")))), lambda x: x["v"]).alias(name)
+    series = rows.groupBy("clip_id", "event_start_frame").agg(pick(F.col("tick") <= F.col("event_start_frame"), "history"), pick(F.col("tick") > F.col("event_start_frame"), "future"))
+    return prompts.speed_text(series).select("clip_id", "event_start_frame", "history_text", "future_text", "speed_text")
 
 
-@query("e5_manifest", "select clip_id, event_start_us, clip_id || '_' || event_start_us || '.mp4' as segment_file, 3 as n, printf('frame_%06d.jpg', f * 3) as first_file from (select distinct clip_id, cast(start_us + event_start_frame * dt_us as bigint) as event_start_us, event_start_frame as f from keys join timing using (clip_id)) where f * 3 < 200", "keys", "timing")
+@query("e5_manifest", "select clip_id, event_start_us, clip_id || '_' || event_start_us || '.mp4' as segment_file, 3 as n, printf('frame_%06d.jpg', f * 3) as first_file, t.ts_us as first_ts from (select distinct clip_id, cast(start_us + event_start_frame * dt_us as bigint) as event_start_us, event_start_frame as f from keys join timing using (clip_id)) left join (select clip_id, frame_index, ts_us from frame_ts) t using (clip_id) where t.frame_index = f * 3", "keys", "timing", "frame_ts")
 def _manifest(spark, d):
-    e = _events(spark, d).select("clip_id", "event_start_us", "event_start_frame").distinct().where("event_start_frame * 3 < 200")
+    e = _events(spark, d).select("clip_id", "event_start_us", "event_start_frame").distinct()
     wanted = e.withColumn("frame_index", F.explode(F.array(*[F.col("event_start_frame") * 3 + k for k in (0, 3, 6)])))
     m = prompts.frame_manifest(joins.frame_timestamp(wanted.drop("event_start_frame"), inputs.frame_ts(spark, d)))
-    return m.select("clip_id", "event_start_us", "segment_file", F.size("manifest").alias("n"), F.element_at("manifest", 1)["file"].alias("first_file"))
+    first = F.element_at("manifest", 1)
+    return m.select("clip_id", "event_start_us", "segment_file", F.size("manifest").alias("n"), first["file"].alias("first_file"), first["ts_us"].alias("first_ts"))
 
 
 @query("e6_prompts", "select row_index, 2 as messages, 2 as user_parts, coc_label as last_content from labels_in", "labels_in")
@@ -159,40 +174,92 @@ def _stage_prompts(spark, d):
     return prompts.stage_prompts(inputs.labels(spark, d), 2, "Label %s of %s", metadata=("row_index",)).select("row_index", "prompt", "stage")
 
 
-@query("e8_stage_window", """select row_index, case when row_index % 10 = 0 or us <= 600000000 then case when row_index % 10 = 0 then 2.0e0 else greatest(0, us / 1e6) end end as start_s, case when row_index % 10 = 0 then null when us is null then 'missing_timestamp' when us > 600000000 then 'timestamp_requires_sidecar' end as window_error
-  from (select row_index, case when row_index % 7 <> 0 then row_index * 1000000 end as us from labels_in)""", "labels_in")
+@query("e8_stage_window", """select row_index, mode, wide, case when saved then o when err is null then greatest(0, sec - 2 + o) end as start_s, case when saved or err is null then d end as duration_s, case when not saved then err end as window_error from
+  (select *, case when us is null then 'missing_event_timestamp' when mode = 'other' then 'unsupported_timestamp_mode:other' when sec is null and mode = 'sidecar' then 'missing_timestamp_sidecar' when sec is null then 'timestamp_requires_sidecar' end as err from
+  (select *, case mode when 'auto' then coalesce(side, rel) when 'sidecar' then side when 'relative' then rel end as sec from
+  (select row_index, mode, wide, row_index % 10 = 0 as saved, case when wide then 0.0e0 else 2.0e0 end as o, case when wide then 8.0e0 else 6.0e0 end as d, us, case when row_index % 4 = 1 then 7.5e0 end as side, case when us between 0 and 600000000 then us / 1e6 end as rel
+  from (select row_index, case when row_index % 7 = 0 then null when row_index % 11 = 0 then -5 else row_index * 1000000 end as us from labels_in), (select unnest(['auto', 'sidecar', 'relative', 'other']) as mode), (select unnest([false, true]) as wide))))""", "labels_in")
 def _stage_window(spark, d):
-    labels = inputs.labels(spark, d).withColumns({"event_timestamp": F.when(F.col("row_index") % 7 != 0, F.col("row_index") * 1000000), "hint_is_saved_segment": F.col("row_index") % 10 == 0})
-    return prompts.stage_window(labels, 2).select("row_index", "start_s", "window_error")
-
-
-@query("e12_merge_repair", "select row_index, case when row_index % 3 = 0 then 'fixed' else coc_label end as content, coc_label as content_original, row_index % 3 = 0 as repaired from labels_in", "labels_in")
+    """All time modes, with the usual and the whole window of stage 2; negative, missing and late times."""
+    i = F.col("row_index")
+    labels = inputs.labels(spark, d).withColumns({
+        "event_timestamp": F.when(i % 7 == 0, F.lit(None)).when(i % 11 == 0, -5).otherwise(i * 1000000).cast("bigint"),
+        "hint_is_saved_segment": i % 10 == 0, "side": F.when(i % 4 == 1, 7.5),
+    })
+    out = [prompts.stage_window(labels, 2, seconds="side", mode=mode, full=wide).withColumns({"mode": F.lit(mode), "wide": F.lit(wide)}) for mode in ("auto", "sidecar", "relative", "other") for wide in (False, True)]
+    return reduce(lambda a, b: a.unionByName(b), out).select("row_index", "mode", "wide", "start_s", "duration_s", "window_error")
+
+
+@query("e11_needs_repair", """select row_index, case when type = '' then null when k = 3 then 'keep_lane_despite_prior' when t <> type then 'type:' || t || '->' || type when side <> '' and c <> side then 'direction:' || case when c = '' then 'none' else c end || '->' || side end as reason from
+  (select row_index, row_index % 6 + 1 as k, ['lane_change', 'nudge', 'keep_lane', 'turn', 'unknown', 'unknown'][row_index % 6 + 1] as t, ['left', 'right', '', 'right', '', ''][row_index % 6 + 1] as c, ['', 'lane_change', 'nudge'][row_index % 5 % 3 + 1] as type, ['left', 'right', ''][row_index % 7 % 3 + 1] as side from labels_in)""", "labels_in")
+def _needs_repair(spark, d):
+    pick = lambda values, by: F.element_at(F.array(*[F.lit(v) for v in values]), (by % 3 + 1).cast("int"))
+    labels = inputs.labels(spark, d).withColumns({"expected_type": pick(["", "lane_change", "nudge"], F.col("row_index") % 5), "expected_direction": pick(["left", "right", ""], F.col("row_index") % 7)})
+    labels = labels.withColumn("has_prior", F.col("expected_type") != "")
+    return labels.select("row_index", prompts.needs_repair(prompts.claim_from_text(F.col("coc_label"))).alias("reason"))
+
+
+@query("e12_merge_repair", """select row_index, case when row_index % 3 = 0 then 'fixed' else coc_label end as content, coc_label as content_original, row_index % 3 = 0 as repaired, row_index % 2 = 0 or row_index % 3 = 0 as triggered, case when row_index % 2 = 0 then 'r' || row_index end as reason, case when row_index % 3 = 0 then 'v3+v4' else 'v3' end as pipeline_version from labels_in""", "labels_in")
 def _repair(spark, d):
     first = inputs.labels(spark, d).select("row_index", F.col("coc_label").alias("content"))
     second = first.where("row_index % 3 = 0").select("row_index", F.lit("fixed").alias("content"))
-    return prompts.merge_repair(first, second, ("row_index",))
+    reason = F.when(F.col("row_index") % 2 == 0, F.concat(F.lit("r"), F.col("row_index").cast("string")))
+    out = prompts.merge_repair(first, second, ("row_index",), reason=reason, versions=("v3", "v4"))
+    return out.select("row_index", "content", "content_original", "repaired", "audit.triggered", "audit.reason", "audit.pipeline_version")
+
+
+_UUID = "01234567-89ab-cdef-0123-456789abcdef"
 
 
-@query("f5_clip_ids", "select page_id, 'c' || (page_id % 40) as clip_id from pages")
+@query("f5_clip_ids", f"""select page_id, case when k < 18 then 'c' || n when k = 18 then 'c' || n || '.parquet' when k = 19 then 'c' || n || '.other.mp4.timestamps' when k = 20 then '{_UUID}' when k = 21 then '{_UUID}' when k = 22 then 'c' || n end as clip_id from (select page_id, page_id % 40 as n, page_id % 24 as k from pages)""")
 def _clip_names(spark, d):
+    """Every ending, endings that aren't cut, ids in front of other text, a folder, and a blank name."""
     p = spark.read.parquet(f"{d}/pages.parquet")
-    n = (F.col("page_id") % 40).cast("string")
-    ending = F.element_at(F.array(*[F.lit(e) for e in (".mp4", ".parquet", ".timestamps.parquet", "")]), (F.col("page_id") % 4 + 1).cast("int"))
-    return p.select("page_id", text.normalize_clip_id(F.concat(F.lit("a/b/c"), n, ending)).alias("clip_id"))
+    name = F.concat(F.lit("a/b/c"), (F.col("page_id") % 40).cast("string"))
+    paths = [F.concat(name, F.lit(e.format("cam"))) for e in text.CLIP_ENDINGS]
+    paths += [F.concat(name, F.lit(".parquet")), F.concat(name, F.lit(".other.mp4.timestamps")), F.lit(f"x/{_UUID}.cam.mp4"), F.lit(f"{_UUID}_more.parquet"), F.concat(name, F.lit("/")), F.lit("a/ ")]
+    return p.select("page_id", text.normalize_clip_id(F.element_at(F.array(*paths), (F.col("page_id") % 24 + 1).cast("int")), "cam").alias("clip_id"))
+
+
+@query("f4_parse_tag", """select page_id, case k when 0 then 'Stop' when 1 then 'Follow' when 2 then 'Stop' end as tag, case k when 0 then 'ego' when 1 then 'ego,car' || n when 2 then 'ego' end as agents, case when k < 3 then n end as start, case when k < 3 then n + 7 end as "end", case k when 0 then 'unary' when 1 then 'binary' when 2 then 'unary' end as type from (select page_id, cast(page_id % 30 as int) as n, page_id % 5 as k from pages)""")
+def _tags(spark, d):
+    n, k = (F.col("page_id") % 30).cast("string"), F.col("page_id") % 5
+    to = F.concat(F.lit(" at "), n, F.lit("-"), (F.col("page_id") % 30 + 7).cast("string"), F.lit(")"))
+    tag = F.when(k == 0, F.concat(F.lit("Stop(ego"), to)).when(k == 1, F.concat(F.lit("Follow(ego, car"), n, to)).when(k == 2, F.concat(F.lit(" StopTemporal(ego"), to)).when(k == 3, "Stop(ego at x-3)").otherwise("Stop")
+    parsed = spark.read.parquet(f"{d}/pages.parquet").select("page_id", text.parse_tag(tag).alias("p"))
+    return parsed.select("page_id", "p.tag", F.array_join("p.agents", ",").alias("agents"), "p.start", "p.end", "p.type")
+
+
+@query("f10_camera", "select conv_id, turn, case when turn % 3 = 0 then 'camera_front_wide_120fov' when turn % 3 = 1 then 'camera_front_' || conv_id end as camera from conversations")
+def _camera(spark, d):
+    c = spark.read.parquet(f"{d}/conversations.parquet")
+    own = F.concat(F.lit("see camera_front_"), F.col("conv_id").cast("string"), F.lit(" here"))
+    lists = F.when(F.col("turn") % 3 == 0, F.array(F.lit("none"), F.lit("a camera_front_wide_120fov."), own)).when(F.col("turn") % 3 == 1, F.array(own)).otherwise(F.array(F.lit("camera_rear"), F.lit("")))
+    return c.select("conv_id", "turn", text.camera_of(lists).alias("camera"))
+
+
+@query("i6_counters", "select clip_id, count(*) filter (tag like '%Left%') as malformed, count(*) filter (tag not like '%Left%' and e + 150 > 200) as out_of_range from spans group by clip_id", "spans")
+def _frame_counters(spark, d):
+    """Left-hand spans are turned round, and all moved by 150 ticks."""
+    s = inputs.spans(spark, d)
+    turned = F.col("tag").contains("Left")
+    start, end = F.when(turned, F.col("end")).otherwise(F.col("start")), F.when(turned, F.col("start")).otherwise(F.col("end"))
+    return intervals.frame_counters(s.select("clip_id", (start + 150).alias("start"), (end + 150).alias("end")))
 
 
 @query("u4_stage_run", "select row_index, true as ok, 'x' || length(coc_label) as answer from labels_in where clip_id is not null and row_index % 3 <> 0", "labels_in")
 def _stage(spark, d):
     labels = inputs.labels(spark, d).where("clip_id is not null").withColumn("event_timestamp", F.lit(None).cast("bigint"))
     done = labels.where("row_index % 3 = 0").select(text.row_key(F.col("clip_id"), F.col("event_timestamp"), F.col("row_index")).alias("row_key"), F.col("row_index").alias("line_no"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error"), F.lit(None).cast("string").alias("parse_error"), F.create_map(F.lit("a"), F.lit("1")).alias("evaluation"))
-    out = results.stage_run(labels, done, F.col("coc_label"), ["s"], lambda batch: [f'{{"s": 1, "a": "x{len(p)}"}}' for p in batch])
+    out = results.stage_run(labels, done, F.col("coc_label"), ["s_score", "a"], lambda batch: [f'{{"s_score": 1, "a": "x{len(p)}"}}' for p in batch])
     return out.select("row_index", "ok", F.col("evaluation")["a"].alias("answer"))
 
 
 @query("w1_compact_stream", """select row_key, line_no, ok, size from (select *, row_number() over (partition by row_key order by ok desc, line_no desc) as r from log) where r = 1 or row_key is null""", "log")
 def _stream(spark, d):
-    base = _shared(spark)
+    base = shared_path(spark)
     log = inputs.log(spark, d)
     log.write.json(f"{base}/log")
-    path = compact_stream(spark, f"{base}/log", log.schema, f"{base}/state", f"{base}/checkpoint")
-    return spark.read.schema(log.schema).parquet(path).select("row_key", "line_no", "ok", "size")
+    run = lambda: compact_stream(spark, f"{base}/log", log.schema, f"{base}/state", f"{base}/checkpoint")
+    run()
+    return run().select("row_key", "line_no", "ok", "size")  # the second call finds nothing new

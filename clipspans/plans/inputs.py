@@ -34,34 +34,43 @@ def keyframe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyframes.select_keyframes(spans(spark, sf_dir))
 
 
-def clip_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _read(spark, sf_dir, "events").groupBy("user_id").agg(F.min("ts").alias("ts"))
-    return e.select(_clip(), F.unix_micros(F.col("ts").cast("timestamp")).alias("start_us"), F.lit(100000.0).alias("dt_us"))
+def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with clip_id and tick: a clip for each 200 events of a user."""
+    i = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1
+    e = _read(spark, sf_dir, "events").withColumn("i", i)
+    block = F.when(F.col("i") >= 200, F.concat(F.floor(F.col("i") / 200).cast("string"), F.lit("b"))).otherwise("")
+    clip = F.concat(F.lit("clip_"), block, F.lpad(F.col("user_id").cast("string"), 6, "0"))
+    return e.withColumns({"clip_id": clip, "tick": (F.col("i") % 200).cast("int")}).drop("i")
 
 
-def _clip():
-    return F.concat(F.lit("clip_"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("clip_id")
+def clip_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _numbered_events(spark, sf_dir).groupBy("clip_id").agg(F.min("ts").alias("ts"))
+    return e.select("clip_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("start_us"), F.lit(100000.0).alias("dt_us"))
 
 
 def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases, at their tick's time with a shift of up to 60 ms."""
-    e = _read(spark, sf_dir, "events")
-    t = e.withColumn("tick", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1).where("event_type = 'purchase'")
-    return t.select(_clip(), "tick", "event_id").join(clip_timing(spark, sf_dir), "clip_id").select("clip_id", (F.col("start_us") + F.col("tick") * 100000 + (F.col("event_id") % 7) * 10000).alias("time_us"))
+    t = _numbered_events(spark, sf_dir).where("event_type = 'purchase'").select("clip_id", "tick", "event_id")
+    return t.join(clip_timing(spark, sf_dir), "clip_id").select("clip_id", (F.col("start_us") + F.col("tick") * 100000 + (F.col("event_id") % 7) * 10000).alias("time_us"))
 
 
 def frame_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A 30 fps grid of 300 frames that begins 0.25 s before the clip, with up to 1 ms of jitter."""
-    return clip_timing(spark, sf_dir).select("clip_id", F.explode(F.sequence(F.lit(0), F.lit(299))).alias("frame_index"), "start_us").select(
+    """A 30 fps grid of 620 frames that begins 0.25 s before the clip, with up to 1 ms of jitter."""
+    return clip_timing(spark, sf_dir).select("clip_id", F.explode(F.sequence(F.lit(0), F.lit(619))).alias("frame_index"), "start_us").select(
         "clip_id", "frame_index", (F.col("start_us") - 250000 + F.expr("frame_index * 100000 div 3") + (F.col("frame_index") * 37 % 11) * 100).alias("ts_us"))
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Assistant turns as model answers of five forms: JSON, fenced, after thinking, broken, or with a bad score."""
+    """Assistant turns as model answers of seven forms: JSON, fenced, after thinking, none, with a bad score, in single quotes, or
+    without a score; an explanation is there where the text's length is even."""
     c = _read(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", F.length("text").alias("n"))
-    k = (F.col("conv_id") + F.col("turn")) % 5
-    body = F.concat(F.lit('{"scene_score": "0.'), (F.col("n") % 10).cast("string"), F.lit('", "decision_supported_by_video": "'), F.when(k == 4, "true").otherwise("1"), F.lit('"}'))
-    text = F.when(k == 0, body).when(k == 1, F.concat(F.lit("Here:\n```json\n"), body, F.lit("\n```"))).when(k == 2, F.concat(F.lit("<think>a {b} c</think> "), body)).when(k == 3, F.lit("no answer")).otherwise(body)
+    k = (F.col("conv_id") + F.col("turn")) % 7
+    more = F.when(F.col("n") % 2 == 0, ', "explanation": "so"').otherwise("")
+    body = F.concat(F.lit('{"scene_score": "0.'), (F.col("n") % 10).cast("string"), F.lit('", "decision_supported_by_video": "'), F.when(k == 4, "true").otherwise("1"), F.lit('"'), more, F.lit("}"))
+    text = (
+        F.when(k == 1, F.concat(F.lit("Here:\n```json\n"), body, F.lit("\n```"))).when(k == 2, F.concat(F.lit("<think>a {b} c</think> "), body)).when(k == 3, F.lit("no answer"))
+        .when(k == 5, F.lit("{'scene_score': 1, 'decision_supported_by_video': 1}")).when(k == 6, F.lit('{"decision_supported_by_video": 1}')).otherwise(body)
+    )
     return c.select("conv_id", "turn", text.alias("response"), F.lit(None).cast("string").alias("api_error"))
 
 
@@ -87,9 +96,9 @@ LANE_PIECES = 20
 
 
 def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per map (one per ten clips) five straight lanes, 3.5 m apart, in pieces of 10 m."""
-    maps = _read(spark, sf_dir, "events").select((F.col("user_id") % 10).alias("m")).distinct()
-    rows = maps.select(F.concat(F.lit("m"), F.col("m").cast("string")).alias("map_id"), F.explode(F.sequence(F.lit(-2), F.lit(2))).alias("j")).select("map_id", "j", F.explode(F.sequence(F.lit(0), F.lit(LANE_PIECES - 1))).alias("i"))
+    """Per clip a map of five straight lanes, 3.5 m apart, in pieces of 10 m."""
+    maps = _numbered_events(spark, sf_dir).select(F.col("clip_id").alias("map_id")).distinct()
+    rows = maps.select("map_id", F.explode(F.sequence(F.lit(-2), F.lit(2))).alias("j")).select("map_id", "j", F.explode(F.sequence(F.lit(0), F.lit(LANE_PIECES - 1))).alias("i"))
     name = lambda j, i: F.concat(F.lit("L"), j.cast("string"), F.lit("_"), i.cast("string"))
     j, i, y = F.col("j"), F.col("i"), F.col("j") * 3.5
     some = lambda ok, value: F.when(ok, F.array(value)).otherwise(F.array().cast("array<string>"))
@@ -99,13 +108,13 @@ def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lane_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poses along those lanes: y follows a command held for 25 ticks, smoothed over 20."""
-    by = Window.partitionBy("user_id").orderBy("tick")
-    e = _read(spark, sf_dir, "events").withColumn("tick", (F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1).cast("int"))
+    by = Window.partitionBy("clip_id").orderBy("tick")
+    e = _numbered_events(spark, sf_dir)
     e = e.withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumn("block", F.floor(F.col("tick") / 25))
-    e = e.withColumn("goal", (F.pmod(F.first("k").over(Window.partitionBy("user_id", "block").orderBy("tick")), F.lit(3)) - 1) * 3.5)
+    e = e.withColumn("goal", (F.pmod(F.first("k").over(Window.partitionBy("clip_id", "block").orderBy("tick")), F.lit(3)) - 1) * 3.5)
     e = e.withColumns({"y": F.round(F.avg("goal").over(by.rowsBetween(-19, 0)), 6), "x": F.round(F.col("tick") * 0.8, 6)})
     heading = F.coalesce(F.atan2(F.lead("y").over(by) - F.col("y"), F.lit(0.8)), F.lit(0.0))
-    return e.select(_clip(), F.lit("ego").alias("agent_id"), "tick", F.concat(F.lit("m"), (F.col("user_id") % 10).cast("string")).alias("map_id"), "x", "y", F.round(heading, 6).alias("heading"))
+    return e.select("clip_id", F.lit("ego").alias("agent_id"), "tick", F.col("clip_id").alias("map_id"), "x", "y", F.round(heading, 6).alias("heading"))
 
 
 CTES = {
@@ -144,12 +153,13 @@ CTES |= {
     "lat_cap": "(select *, case when average_speed_along_heading <= -0.1 and average_turn_rate <= -0.002 and total_heading_change <= -0.2 then 'ReverseRight' when average_speed_along_heading <= -0.1 and average_turn_rate >= 0.002 and total_heading_change >= 0.2 then 'ReverseLeft' when average_turn_rate <= -0.05 and total_heading_change <= -0.2 then 'SharpSteerRight' when average_turn_rate >= 0.05 and total_heading_change >= 0.2 then 'SharpSteerLeft' when average_turn_rate <= -0.0015 and total_heading_change <= -0.015 then 'SteerRight' when average_turn_rate >= 0.0015 and total_heading_change >= 0.015 then 'SteerLeft' else 'GoStraight' end as caption from lat_seg)",
     "spans": "(select clip_id, agent_id, 'longitudinal' as family, caption as tag, cast(start as int) as s, cast(stop as int) as e from lon_cap union all select clip_id, agent_id, 'lateral', caption, cast(start as int), cast(stop as int) from lat_cap)",
     "keys": "(select " + "lower(regexp_replace(tag, '([a-z])([A-Z])', '\\1_\\2', 'g')) as meta_action, clip_id, s as event_start_frame, e as event_end_frame, e - s as duration from spans where e - s >= 10 and s between 20 and 135)",
-    "timing": "(select 'clip_' || lpad(cast(user_id as varchar), 6, '0') as clip_id, epoch_us(min(ts)) as start_us, 100000.0e0 as dt_us from events group by user_id)",
-    "episodes": "(select t.clip_id, start_us + tick * 100000 + (event_id % 7) * 10000 as time_us from (select 'clip_' || lpad(cast(user_id as varchar), 6, '0') as clip_id, event_id, event_type, row_number() over (partition by user_id order by ts, event_id) - 1 as tick from events) t join timing using (clip_id) where event_type = 'purchase')",
-    "frame_ts": "(select clip_id, cast(f as int) as frame_index, start_us - 250000 + f * 100000 // 3 + (f * 37 % 11) * 100 as ts_us from timing, (select unnest(range(0, 300)) as f))",
+    "numbered": "(select *, 'clip_' || case when i >= 200 then (i // 200) || 'b' else '' end || lpad(cast(user_id as varchar), 6, '0') as clip_id, cast(i % 200 as int) as tick from (select *, row_number() over (partition by user_id order by ts, event_id) - 1 as i from events))",
+    "timing": "(select clip_id, epoch_us(min(ts)) as start_us, 100000.0e0 as dt_us from numbered group by clip_id)",
+    "episodes": "(select t.clip_id, start_us + tick * 100000 + (event_id % 7) * 10000 as time_us from numbered t join timing using (clip_id) where event_type = 'purchase')",
+    "frame_ts": "(select clip_id, cast(f as int) as frame_index, start_us - 250000 + f * 100000 // 3 + (f * 37 % 11) * 100 as ts_us from timing, (select unnest(range(0, 620)) as f))",
     "log": "(select case when conv_id % 11 <> 0 then 'k' || conv_id end as row_key, conv_id * 1000 + turn as line_no, turn % 3 <> 0 as ok, length(text) as size from conversations)",
-    "lane_ticks": "(select 'clip_' || lpad(cast(user_id as varchar), 6, '0') as clip_id, tick, round(tick * 0.8, 6) as x, round(avg(goal) over (partition by user_id order by tick rows between 19 preceding and current row), 6) as y from (select *, (first_value(cast(json_extract_string(props, '$.k') as int)) over (partition by user_id, tick // 25 order by tick) % 3 - 1) * 3.5e0 as goal from (select *, cast(row_number() over (partition by user_id order by ts, event_id) - 1 as int) as tick from events)))",
-    "lane_match": "(select clip_id, tick, y, arg_min('L' || j || '_' || i, (abs(y - j * 3.5), 'L' || j || '_' || i)) as lane_id, arg_min(y - j * 3.5, (abs(y - j * 3.5), 'L' || j || '_' || i)) as lane_offset, count(*) as n from lane_ticks, (select unnest(range(-2, 3)) as j), (select unnest(range(0, 20)) as i) where sqrt(pow(y - j * 3.5, 2) + pow(greatest(i * 10 - x, 0, x - i * 10 - 10), 2)) <= 2 group by 1, 2, 3)",
+    "lane_ticks": "(select clip_id, tick, round(tick * 0.8, 6) as x, round(avg(goal) over (partition by clip_id order by tick rows between 19 preceding and current row), 6) as y from (select *, (first_value(cast(json_extract_string(props, '$.k') as int)) over (partition by clip_id, tick // 25 order by tick) % 3 - 1) * 3.5e0 as goal from numbered))",
+    "lane_match": "(select clip_id, tick, y, arg_min(lane, (dist, lane)) as lane_id, arg_min(sign(y - j * 3.5) * dist, (dist, lane)) as lane_offset, count(*) as n from (select *, 'L' || j || '_' || i as lane, sqrt(pow(y - j * 3.5, 2) + pow(greatest(i * 10 - x, 0, x - i * 10 - 10), 2)) as dist from lane_ticks, (select unnest(range(-2, 3)) as j), (select unnest(range(0, 20)) as i)) where dist <= 2 group by 1, 2, 3)",
     "labels_in": "(select doc_id as row_index, case when doc_id % 13 <> 0 then 'c' || (doc_id % 50) end as clip_id, case when doc_id % 9 = 0 then 'x1' when doc_id % 7 = 0 then '' else cast(doc_id * 100000 as varchar) end as event_timestamp, ['Change lanes to the left', 'Nudge right to pass', 'Keep lane and stop', 'Turn right', 'Slow down', ' nan '][doc_id % 6 + 1] as coc_label from documents)",
 }
 

@@ -145,10 +145,14 @@ def _changes(spark, d):
     return intervals.change_points(_frames(spark, d), "longitudinal")
 
 
-@query("i9_overlap", "select clip_id, 8 as video_start, 0 as clip_start, 292 as n_frames from timing", "timing")
+@query("i9_overlap", """select clip_id, cast(round_even(greatest(0, -shift) * 30 / 1e6, 0) as int) as video_start, cast(round_even(greatest(0, shift) * 30 / 1e6, 0) as int) as clip_start, cast(round_even((least(20000000, shift + long) - greatest(0, shift)) * 30 / 1e6, 0) as int) as n_frames
+  from (select clip_id, (start_us // 1000000 % 41 - 20) * 300000 as shift, (start_us // 1000000 % 7 + 1) * 3000000 as long from timing) where least(20000000, shift + long) > greatest(0, shift)""", "timing")
 def _overlap(spark, d):
+    """Videos of 3 to 21 s that begin up to 6 s before or after their clip."""
     t = inputs.clip_timing(spark, d)
-    video = t.select("clip_id", (F.col("start_us") - 250000).alias("start_us"), (F.col("start_us") + 9750000).alias("end_us"))
+    second = F.expr("start_us div 1000000")
+    shift, length = (second % 41 - 20) * 300000, (second % 7 + 1) * 3000000
+    video = t.select("clip_id", (F.col("start_us") + shift).alias("start_us"), (F.col("start_us") + shift + length).alias("end_us"))
     return intervals.overlap_video_clip(video, t.select("clip_id", "start_us", (F.col("start_us") + 20000000).alias("end_us")))
 
 
@@ -219,13 +223,13 @@ def _agreement(spark, d):
     return keyframes.agreement(here(0), here(2), ("longitudinal",))
 
 
-@query("m1_match_lanes")
+@query("m1_match_lanes", "select clip_id, tick, lane_id, round(lane_offset, 6) as lane_offset, cast(n as int) as n from lane_match", "lane_match")
 def _match(spark, d):
     m = lanes.match_lanes(inputs.lane_ticks(spark, d), inputs.lanes(spark, d))
     return m.select("clip_id", "tick", "lane_id", F.round("lane_offset", 6).alias("lane_offset"), F.size("current_lanes").alias("n"))
 
 
-@query("m3_next_lanes", "select 'm' || m as map_id, 'L' || j || '_' || i as lane_id, 'L' || j || '_' || (i + k) as next_id from (select distinct user_id % 10 as m from events), (select unnest(range(-2, 3)) as j), (select unnest(range(0, 20)) as i), (select unnest(range(1, 6)) as k) where i + k < 20")
+@query("m3_next_lanes", "select clip_id as map_id, 'L' || j || '_' || i as lane_id, 'L' || j || '_' || (i + k) as next_id from timing, (select unnest(range(-2, 3)) as j), (select unnest(range(0, 20)) as i), (select unnest(range(1, 6)) as k) where i + k < 20", "timing")
 def _next(spark, d):
     return lanes.next_lanes(inputs.lanes(spark, d))
 
@@ -253,9 +257,10 @@ def _balance(spark, d):
     return keyframes.balance(inputs.keyframe_rows(spark, d), 20)
 
 
-@query("t2_limit", "select row_index from labels_in where clip_id is not null order by row_index limit 25", "labels_in")
+@query("t2_limit", "select row_index from labels_in where 'k' || row_index not in (select row_key from log where ok and row_key is not null) order by row_index limit 25", "labels_in", "log")
 def _limit(spark, d):
-    labels = inputs.labels(spark, d).where("clip_id is not null").withColumn("row_key", F.col("clip_id"))
+    """Done rows are left out before the limit counts."""
+    labels = inputs.labels(spark, d).withColumn("row_key", F.concat(F.lit("k"), F.col("row_index").cast("string")))
     return results.pending(labels, inputs.log(spark, d), 25).select("row_index")
 
 
@@ -290,12 +295,12 @@ def _cached(spark, d):
     return joins.with_cached_ticks(inputs.keyframe_rows(spark, d), index).select("meta_action", "clip_id", "event_start_frame")
 
 
-@query("j8_members", "select 'z' || (page_id % 5) || '.zip' as zip_path, 'a/c' || (page_id % 40) || '/video.mp4' as member_name, 'c' || (page_id % 40) as clip_id from pages where page_id % 40 < 30 group by all")
+@query("j8_members", "select 'z' || (page_id % 5) || '.zip' as zip_path, 'a/c' || (page_id % 40) || '/' || case when page_id % 2 = 0 then 'cam.mp4' else 'video.mp4' end as member_name, 'c' || (page_id % 40) as clip_id, case when page_id % 2 = 0 then 'c' || (page_id % 40) || '.cam.mp4' end as target_name from pages where page_id % 40 < 30 group by all")
 def _members(spark, d):
     p = spark.read.parquet(f"{d}/pages.parquet")
     n = F.col("page_id") % 40
-    members = p.select(F.concat(F.lit("z"), (F.col("page_id") % 5).cast("string"), F.lit(".zip")).alias("zip_path"), F.concat(F.lit("a/c"), n.cast("string"), F.lit("/video.mp4")).alias("member_name"))
-    return joins.match_members(members, p.where("page_id % 40 < 30").select(F.concat(F.lit("c"), n.cast("string")).alias("clip_id")).distinct())
+    members = p.select(F.concat(F.lit("z"), (F.col("page_id") % 5).cast("string"), F.lit(".zip")).alias("zip_path"), F.concat(F.lit("a/c"), n.cast("string"), F.when(F.col("page_id") % 2 == 0, "/cam.mp4").otherwise("/video.mp4")).alias("member_name"))
+    return joins.match_members(members.distinct(), p.where("page_id % 40 < 30").select(F.concat(F.lit("c"), n.cast("string")).alias("clip_id")).distinct(), "cam")
 
 
 @query("e1_action_window", """select k.clip_id, k.event_start_frame, cast(f as int) as frame, case when f < k.event_start_frame then 'history' else 'future' end as phase, cast(f - k.event_start_frame as int) as ts from (select distinct clip_id, event_start_frame from keys) k,
@@ -333,11 +338,11 @@ def _records(spark, d):
     return text.normalize_record(inputs.labels(spark, d)).select("row_index", "reject_reason", "event_timestamp")
 
 
-@query("f12_parse_answers", """select conv_id, turn, (conv_id + turn) % 5 not in (3, 4) as ok, case (conv_id + turn) % 5 when 3 then 'json_parse_failed' when 4 then 'invalid_score:decision_supported_by_video' end as parse_error,
-  case when (conv_id + turn) % 5 <> 3 then '0.' || (length(text) % 10) end as scene_score from conversations where role = 'assistant'""")
+@query("f12_parse_answers", """select conv_id, turn, k not in (3, 4, 6, 5) as ok, case k when 3 then 'json_parse_failed' when 5 then 'json_parse_failed' when 4 then 'validation_error:invalid_score:decision_supported_by_video' when 6 then 'validation_error:missing_score:scene_score' end as parse_error,
+  case when k not in (3, 4, 5, 6) then '0.' || (n % 10) end as scene_score, case when k not in (3, 4, 5, 6) and n % 2 = 0 then 'so' end as explanation from (select conv_id, turn, length(text) as n, (conv_id + turn) % 7 as k from conversations where role = 'assistant')""")
 def _answers(spark, d):
-    parsed = results.parse_responses(inputs.answers(spark, d), ["scene_score", "decision_supported_by_video"])
-    return parsed.select("conv_id", "turn", "ok", "parse_error", F.col("evaluation")["scene_score"].alias("scene_score"))
+    parsed = results.parse_responses(inputs.answers(spark, d), ["scene_score", "decision_supported_by_video", "explanation"])
+    return parsed.select("conv_id", "turn", "ok", "parse_error", F.col("evaluation")["scene_score"].alias("scene_score"), F.col("evaluation")["explanation"].alias("explanation"))
 
 
 @query("f14_row_key", "select row_index, case when clip_id is null then 'row_' || row_index else clip_id || '_' || coalesce(nullif(event_timestamp, ''), 'None') || '_' || row_index end as row_key from labels_in", "labels_in")
@@ -345,13 +350,42 @@ def _row_key(spark, d):
     return inputs.labels(spark, d).select("row_index", text.row_key(F.col("clip_id"), text.present(F.col("event_timestamp")), F.col("row_index")).alias("row_key"))
 
 
-@query("f1_action_names", "select tag, lower(regexp_replace(tag, '([a-z])([A-Z])', '\\1_\\2', 'g')) as action, regexp_replace(tag, '([a-z])([A-Z])', '\\1 \\2', 'g') as display, count(*) as n from spans group by all", "spans")
+NAMES = ["KeepSpeed", "Wait", "Accelerate", "Decelerate", "Straight", "KeepLane", "LaneKeep", "LeftLaneChange", "RightLaneChange", "LeftTurn", "RightTurn", "GentleAcceleration", "stop", "  Stop ", "follow_curve_left", "FollowCurveRight", "SlightlyShiftLeft", "None", "none", "Some Thing", "sharp_steer_right", "MaintainSpeed", "turn left"]
+
+
+@query("f1_action_names", """select doc_id, name, action, canonical, display from documents join (values
+  (0, 'KeepSpeed', 'maintain_speed', 'maintain_speed', 'Maintain Speed'),
+  (1, 'Wait', 'stop', 'stop', 'Stop'),
+  (2, 'Accelerate', 'strong_acceleration', 'strong_acceleration', 'Strong Acceleration'),
+  (3, 'Decelerate', 'strong_deceleration', 'strong_deceleration', 'Strong Deceleration'),
+  (4, 'Straight', 'go_straight', 'go_straight', 'Go Straight'),
+  (5, 'KeepLane', 'keep_lane', 'keep_lane', 'Keep Lane'),
+  (6, 'LaneKeep', 'keep_lane', 'keep_lane', 'Keep Lane'),
+  (7, 'LeftLaneChange', 'left_lane_change', 'left_lane_change', 'Left Lane Change'),
+  (8, 'RightLaneChange', 'right_lane_change', 'right_lane_change', 'Right Lane Change'),
+  (9, 'LeftTurn', 'turn_left', 'turn_left', 'Turn Left'),
+  (10, 'RightTurn', 'turn_right', 'turn_right', 'Turn Right'),
+  (11, 'GentleAcceleration', 'gentle_acceleration', 'gentle_acceleration', 'Gentle Acceleration'),
+  (12, 'stop', 'stop', 'stop', 'Stop'),
+  (13, '  Stop ', 'stop', 'stop', 'Stop'),
+  (14, 'follow_curve_left', 'follow_curve_left', 'follow_curve_left', 'Follow Curve Left'),
+  (15, 'FollowCurveRight', 'follow_curve_right', 'follow_curve_right', 'Follow Curve Right'),
+  (16, 'SlightlyShiftLeft', 'slightly_shift_left', 'slightly_shift_left', 'Slightly Shift Left'),
+  (17, 'None', 'none', 'none', 'Not Available'),
+  (18, 'none', 'none', 'none', 'Not Available'),
+  (19, 'Some Thing', 'Some Thing', 'something', 'Some Thing'),
+  (20, 'sharp_steer_right', 'sharp_steer_right', 'sharp_steer_right', 'Sharp Steer Right'),
+  (21, 'MaintainSpeed', 'maintain_speed', 'maintain_speed', 'Maintain Speed'),
+  (22, 'turn left', 'turn left', 'turnleft', 'turn left')) v(i, name, action, canonical, display) on i = doc_id % 24
+  union all select doc_id, null, 'none', 'none', 'Not Available' from documents where doc_id % 24 = 23""")
 def _names(spark, d):
-    tag = F.col("tag")
-    return inputs.spans(spark, d).groupBy("tag", text.normalize_action(tag).alias("action"), text.action_text(tag).alias("display")).agg(F.count(F.lit(1)).alias("n"))
+    """Every older name, names in both spellings, unknown ones and null."""
+    name = F.try_element_at(F.array(*[F.lit(n) for n in NAMES]), (F.col("doc_id") % (len(NAMES) + 1) + 1).cast("int"))
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", name.alias("name"))
+    return docs.select("doc_id", "name", text.normalize_action(F.col("name")).alias("action"), text.canonicalize_action(F.col("name")).alias("canonical"), text.action_text(F.col("name")).alias("display"))
 
 
-from clipspans.plans import events  # noqa: E402, F401  registers its queries too
+from clipspans.plans import events, files  # noqa: E402, F401  register their queries too
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

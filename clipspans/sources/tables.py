@@ -7,8 +7,11 @@ import json
 import re
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,12 +30,13 @@ def read_ticks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_zipped_ticks(spark: SparkSession, path: str) -> DataFrame:
-    """Ticks from archives of Parquet members, one clip each; the member's name gives the clip. Bad members are errors."""
+    """Ticks from archives of Parquet members, one clip each; the member's name gives the clip. Bad members are errors. A task holds
+    one member at a time."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for name in batch["path"]:
+                with _opened(name) as file, zipfile.ZipFile(file) as archive:
                     for name in archive.namelist():
                         if name.endswith(".parquet"):
                             rows = pd.read_parquet(io.BytesIO(archive.read(name)))
@@ -43,11 +47,25 @@ def read_zipped_ticks(spark: SparkSession, path: str) -> DataFrame:
                                     rows[c] = "ego" if c == "agent_id" else range(len(rows)) if c == "tick" else None
                             yield rows[TICKS.replace(",", "").split()[::2]]
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(read, TICKS)
+    return _paths(spark, path).mapInPandas(read, TICKS)
+
+
+def _paths(spark: SparkSession, path: str) -> DataFrame:
+    """(path) of the files; their contents aren't read."""
+    return spark.read.format("binaryFile").load(path).select("path")
+
+
+def _opened(path: str) -> BinaryIO:
+    """A file in a store that tasks can reach, read where it is sought."""
+    store, place = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    return store.open_input_file(place)
 
 
 def _clip_of_file(suffix: str) -> Column:
-    return F.regexp_extract(F.input_file_name(), r"([^/]+?)" + re.escape(suffix) + "$", 1)
+    """The clip that a file is named after, or its folder, where this library wrote it."""
+    path = F.input_file_name()
+    folder = F.regexp_extract(path, r"/clip_id=([^/]+)/[^/]*$", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]+?)" + re.escape(suffix) + "$", 1))
 
 
 def read_raw_tags(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
@@ -104,12 +122,29 @@ def write_keyframes(keyframes: DataFrame, path: str) -> None:
     keyframes.write.partitionBy("meta_action").json(path)
 
 
-def read_segment_lists(spark: SparkSession, paths: list[str], clip: str = "clip_id", times: list[str] | None = None) -> DataFrame:
-    """(clip_id, event_start_us) of several Parquet lists whose time column is named differently."""
+def time_candidates(times: str | list[str] | list[list[str]] | None, files: int) -> list[list[str]]:
+    """For each file, the names that its time column may have: one name for all, a name for each file (where there are as many), the same
+    candidates for all, or candidates for each."""
+    if times is None:
+        times = ["event_start_us", "event_start_timestamp", *TIME_NAMES]
+        return [times] * files
+    if isinstance(times, str):
+        return [[times]] * files
+    if not times:
+        raise ValueError("no time columns")
+    if all(not isinstance(t, str) for t in times):
+        if len(times) != files:
+            raise ValueError("as many lists of time columns as files are needed")
+        return [list(t) for t in times]
+    return [[t] for t in times] if len(times) == files else [list(times)] * files
+
+
+def read_segment_lists(spark: SparkSession, paths: list[str], clip: str = "clip_id", times: str | list[str] | list[list[str]] | None = None) -> DataFrame:
+    """(clip_id, event_start_us) of several Parquet lists whose time column is named differently (``time_candidates``)."""
     out = None
-    for path in paths:
+    for path, candidates in zip(paths, time_candidates(times, len(paths))):
         df = spark.read.parquet(path)
-        name = pick_column(df, times or ["event_start_us", "event_start_timestamp", *TIME_NAMES])
+        name = pick_column(df, candidates)
         if name is None:
             raise ValueError(f"{path}: none of the time columns")
         rows = df.select(F.col(clip).cast("string").alias("clip_id"), F.col(name).cast("bigint").alias("event_start_us"))
@@ -217,12 +252,12 @@ def list_archive_members(spark: SparkSession, path: str) -> DataFrame:
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
+            for name in batch["path"]:
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    with _opened(name) as file, zipfile.ZipFile(file) as archive:
                         found = [(name, m, None) for m in archive.namelist() if not m.endswith("/")]
-                except zipfile.BadZipFile as problem:
+                except (zipfile.BadZipFile, pa.ArrowInvalid) as problem:  # the second, where a file is shorter than an archive can be
                     found = [(name, None, str(problem))]
                 yield pd.DataFrame(found, columns=["zip_path", "member_name", "problem"]).astype("object")
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(members, "zip_path string, member_name string, problem string")
+    return _paths(spark, path).mapInPandas(members, "zip_path string, member_name string, problem string")

@@ -1,4 +1,4 @@
-"""The result log as a stream: arriving JSON-lines files merge into a compacted table."""
+"""The result log as a stream: arriving JSON-lines files become a compacted table."""
 
 from __future__ import annotations
 
@@ -8,21 +8,17 @@ from pyspark.sql.types import StructType
 from clipspans.operators.results import compact_results
 
 
-def compact_stream(spark: SparkSession, log_dir: str, schema: StructType | str, state_dir: str, checkpoint: str) -> str:
-    """Takes in all waiting log files; returns the folder of the newest compacted table.
+def compact_stream(spark: SparkSession, log_dir: str, schema: StructType | str, state_dir: str, checkpoint: str) -> DataFrame:
+    """Takes in all waiting log files; returns the compacted rows of all files so far, also when nothing waits.
 
-    Each batch writes a table of its own beside the last one, named by the batch id, so that a batch which runs again after a
-    failure starts from the same table and overwrites only its own."""
-    newest = {"path": None}
+    Each batch adds its own compacted rows as a folder named by the batch id, so that a batch which runs again after a failure
+    overwrites only its own, and no batch rewrites what others wrote. Reading merges the batches: compaction of compacted
+    rows is that of all rows."""
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        path, before = f"{state_dir}/v={batch_id}", f"{state_dir}/v={batch_id - 1}"
-        rows = batch if batch_id == 0 else session.read.schema(batch.schema).parquet(before).unionByName(batch)
-        compact_results(rows).drop("position").write.mode("overwrite").parquet(path)
-        newest["path"] = path
+    def add(batch: DataFrame, batch_id: int) -> None:
+        compact_results(batch).drop("position").write.mode("overwrite").parquet(f"{state_dir}/batch={batch_id}")
 
     stream = spark.readStream.schema(schema).json(log_dir)
-    query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()
-    query.awaitTermination()
-    return newest["path"]
+    add(spark.createDataFrame([], stream.schema), -1)  # so that there is a table before the first file
+    stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(add).start().awaitTermination()
+    return compact_results(spark.read.schema(stream.schema).parquet(state_dir).select(*stream.columns)).drop("position")

@@ -175,8 +175,13 @@ def test_compaction(spark, tmp_path):
 
     for part in (rows[:2], rows[2:]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").json(f"{tmp_path}/log")
-        path = compact_stream(spark, f"{tmp_path}/log", schema, f"{tmp_path}/state", f"{tmp_path}/cp")
-    assert {(r.row_key, r.line_no) for r in spark.read.schema(schema).parquet(path).collect()} == {w[:2] for w in want}
+        compact_stream(spark, f"{tmp_path}/log", schema, f"{tmp_path}/state", f"{tmp_path}/cp")
+    again = compact_stream(spark, f"{tmp_path}/log", schema, f"{tmp_path}/state", f"{tmp_path}/cp")  # nothing new
+    assert {(r.row_key, r.line_no) for r in again.collect()} == {w[:2] for w in want}
+    (tmp_path / "none").mkdir()
+    assert compact_stream(spark, f"{tmp_path}/none", schema, f"{tmp_path}/state2", f"{tmp_path}/cp2").count() == 0
+    tied = spark.createDataFrame([("k", 1, True, None, None, good), ("k", 1, True, None, None, {"a": "2"})], schema)
+    assert results.compact_results(tied).count() == 1
 
 
 def one(spark, value, function, kind="string"):
@@ -185,11 +190,12 @@ def one(spark, value, function, kind="string"):
 
 def test_names_and_tags(spark):
     assert [one(spark, v, text.normalize_action) for v in ("LaneKeep", "SharpSteerLeft", "Foo Bar", None, " Stop ")] == ["keep_lane", "sharp_steer_left", "Foo Bar", "none", "stop"]
-    assert one(spark, "Foo Bar", text.canonicalize_action) == "foobar" and one(spark, "lane_keep", text.action_text) == "Keep Lane"
+    assert one(spark, "Foo Bar", text.canonicalize_action) == "foobar" and one(spark, "LaneKeep", text.action_text) == "Keep Lane" and one(spark, None, text.action_text) == "Not Available"
     tag = one(spark, "StopTemporal(ego at 0-35)", text.parse_tag)
     assert (tag.tag, tag.agents, tag.start, tag.end, tag.type) == ("Stop", ["ego"], 0, 35, "unary")
     assert one(spark, "Follow(ego, car7 at 3-9)", text.parse_tag).type == "binary" and one(spark, "bad", text.parse_tag) is None
     assert text.parse_filter("[a, b]") == text.parse_filter("a b") == ["a", "b"] and text.parse_filter("all") is text.parse_filter(None) is None
+    assert text.parse_filter(["A,b", "[c]"]) == ["a", "b", "c"] and text.parse_filter(["a", "None"]) is None
     uuid = "0a1b2c3d-0000-1111-2222-333344445555"
     assert one(spark, f"x/{uuid}.camera_front_wide_120fov.mp4", text.normalize_clip_id) == uuid and one(spark, "a/c7.mp4", text.normalize_clip_id) == "c7"
     assert [one(spark, v, text.valid_timestamp) for v in ("12", "12.9", "-1", "x", None)] == [12, 12, None, None, None]
@@ -200,8 +206,13 @@ def test_model_answers(spark):
     assert one(spark, '<think>a</think> {"x":1}', text.strip_thinking) == '{"x":1}'
     got = [one(spark, v, text.parse_model_json) for v in ("", 'text {"a":1} text', "[1]", '```json\n{"a": 2}\n```', None)]
     assert [(g.evaluation, g.parse_error) for g in got] == [(None, "empty_response"), ({"a": "1"}, None), (None, "json_parse_failed"), ({"a": "2"}, None), (None, "empty_response")]
-    check = lambda m: one(spark, m, lambda c: text.validate_scores(c, ["s"]), "map<string,string>")
-    assert [check({"s": v}) for v in ("0.8", "true", "1.2", "NaN")] == [None, *["invalid_score:s"] * 3] and check({"t": "1"}) == "missing_score:s"
+    check = lambda m: one(spark, m, lambda c: text.validate_scores(c, ["s_score", "explanation"]), "map<string,string>")
+    assert [check({"s_score": v}) for v in ("0.8", " 1e-1 ", "true", "1.2", "NaN", "0.5f", None)] == [None, None, *["validation_error:invalid_score:s_score"] * 5]
+    assert check({"t": "1"}) == "validation_error:missing_score:s_score" and check(None) is None
+    kept = lambda m: one(spark, m, lambda c: text.kept_evaluation(c, ["s_score", "explanation"]), "map<string,string>")
+    assert kept({"s_score": "1", "explanation": "x", "more": "y"}) == {"s_score": "1.0", "explanation": "x"} and kept({"explanation": "x"}) is None
+    strict = [one(spark, v, text.parse_model_json).parse_error for v in ("{'a': 1}", '{"a": 1} and {"b": 2}', "{}", '{"a": {"b": [1]}}')]
+    assert strict == ["json_parse_failed", "json_parse_failed", None, None]
     key = spark.createDataFrame([("c", None, 3), (None, 5, 4)], "c string, t bigint, i int").select(text.row_key(F.col("c"), F.col("t"), F.col("i")).alias("k")).collect()
     assert [r.k for r in key] == ["c_None_3", "row_4"]
 

@@ -38,6 +38,7 @@ def test_segment_lists(spark, tmp_path):
         spark.createDataFrame([(name, 5)], f"clip_id string, {column} int").write.parquet(str(tmp_path / name))
     got = tables.read_segment_lists(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
     assert sorted(tuple(r) for r in got.collect()) == [("a", 5), ("b", 5)]
+    assert tables.time_candidates(["x", "y", "z"], 2) == [["x", "y", "z"]] * 2 and tables.time_candidates(["x", "y"], 2) == [["x"], ["y"]]
     spark.createDataFrame([("c",)], "clip_id string").write.parquet(str(tmp_path / "c"))
     with pytest.raises(ValueError):
         tables.read_segment_lists(spark, [str(tmp_path / "c")])
