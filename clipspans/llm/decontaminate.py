@@ -5,8 +5,8 @@ that is broadcast once its counted size is below ``max_broadcast_rows``, and is
 
 The scan looks at every word of every text, but hashes only aligned blocks: an occurrence of a window of L words always
 covers a whole block of (L + 1) // 2 words that starts at a multiple of that number. So each text gives one hash per
-block (a fifth of its windows), and only around blocks that some benchmark window has are the full windows cut out and
-compared word for word with the set.
+block (a fifth of its windows). Rows are known by their locators (Parquet file and row number); only those with blocks that some
+benchmark window has are read again, and around these blocks the full windows are cut out and compared word for word with the set.
 
 Defined results: null and wordless texts have no words and no hits; rows are told apart by themselves, not by id, so
 repeated ids and null ids keep a row each; equal windows of several items count for each item; null and wordless items
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import ascii_lower, stored, table
+from clipspans.llm.common import ascii_lower, column, located, locator, small, stored, table, without
 
 SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -47,65 +47,76 @@ def _blocks(w: Column, length: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(w) - (b - 1), F.lit(b)), lambda i: F.struct(F.lit(length).alias("len"), i.alias("at"), F.xxhash64(F.slice(w, i, b)).alias("h")))
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """One row per row of ``docs``: row (a struct of its columns), n_words, n_hit, items (sorted ids), spans.
+def found(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """One row per row of located ``docs`` that has a window: file, row (its locator), n_hit, items (sorted ids), spans.
 
-    spans holds struct<start,end>, words counted from 1, end exclusive, one for each occurrence of a window."""
+    spans holds struct<start,end>, words counted from 1, end exclusive, one for each occurrence of a window. No text is shuffled,
+    but of rows with near blocks, where these are too many to broadcast their locators."""
     grams = stored(windows(benchmark, size=size))
     lengths = sorted(r["len"] for r in grams.select("len").distinct().collect())  # at most ``size`` numbers
-    small = grams.count() * size <= max_broadcast_rows
-    near = F.broadcast if small else (lambda df: df)
+    near = F.broadcast if grams.count() * size <= max_broadcast_rows else (lambda df: df)
 
     # block hashes of the set: every run of b words of every window
     runs = grams.select("len", F.expr("(len + 1) div 2").cast("int").alias("b"), "g")
     runs = runs.select("len", F.explode(F.transform(F.sequence(F.lit(1), F.size("g") - F.col("b") + 1), lambda i: F.xxhash64(F.slice("g", i, F.col("b"))))).alias("h"))
     runs = runs.select(F.col("len").alias("r_len"), F.col("h").alias("r_h")).distinct()
 
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), words(F.col(text)).alias("w"), F.monotonically_increasing_id().alias("uid"))
+    rows = docs.select(*locator(docs), words(column(text)).alias("w"))
     block = "struct<len: int, at: int, h: bigint>"
-    blocks = [F.expr(f"array(cast(struct(0, 0, 0L) as {block}))")]
+    blocks = [F.expr(f"cast(array() as array<{block}>)")]
     for n in lengths:
-        blocks.append(F.when(F.size("w") >= n, _blocks(F.col("w"), n).cast(f"array<{block}>")).otherwise(F.expr(f"cast(array() as array<{block}>)")))
+        blocks.append(F.when(F.size("w") >= n, _blocks(F.col("w"), n).cast(f"array<{block}>")).otherwise(blocks[0]))
     # explode_outer: explode would add a filter that computes the blocks a second time
-    scan = rows.withColumn("blocks", F.concat(*blocks)).select("uid", "row", "w", F.explode_outer("blocks").alias("k")).select("uid", "row", "w", "k.len", "k.at", "k.h")
-    met = scan.join(near(runs), (F.col("h") == F.col("r_h")) & (F.col("len") == F.col("r_len")), "left").where("len = 0 or r_len is not null")
-    # the words of all windows that can cover the block, from word ``lo``
+    scan = rows.select("file", "row", F.explode_outer(F.concat(*blocks)).alias("k")).select("file", "row", "k.len", "k.at", "k.h")
+    met = scan.join(near(runs), (F.col("h") == F.col("r_h")) & (F.col("len") == F.col("r_len")))
+    met = stored(met.groupBy("file", "row").agg(F.collect_list(F.struct("len", "at")).alias("near")))
+
+    # the words of all windows that can cover a block, from word ``lo``
+    around = rows.join(small(met), ["file", "row"]).select("file", "row", "w", F.explode("near").alias("x")).select("file", "row", "w", "x.len", "x.at")
     lo = F.greatest(F.lit(1), F.col("at") - F.col("len") + F.expr("(len + 1) div 2").cast("int"))
     hi = F.least(F.size("w"), F.col("at") + F.col("len") - 1)
-    around = F.when(F.col("len") > 0, F.struct("len", lo.alias("lo"), F.slice("w", lo, hi - lo + 1).alias("w")))
-    head = F.col("len") == 0
-    found = met.select("uid", F.when(head, F.col("row")).alias("row"), F.when(head, F.size("w").cast("bigint")).alias("n_words"), around.alias("around"))
-    found = stored(found.groupBy("uid").agg(F.first("row", ignorenulls=True).alias("row"), F.max("n_words").alias("n_words"), F.collect_list("around").alias("near")))
-
+    around = around.select("file", "row", F.struct("len", lo.alias("lo"), F.slice("w", lo, hi - lo + 1).alias("w")).alias("x"))
     cut = lambda x: F.transform(F.sequence(F.lit(1), F.size(x["w"]) - x["len"] + 1), lambda i: F.struct((x["lo"] + i - 1).cast("bigint").alias("start"), x["len"].alias("len"), F.array_join(F.slice(x["w"], i, x["len"]), " ").alias("gram")))
-    full = found.where("size(near) > 0").select("uid", F.explode("near").alias("x")).where("size(x.w) >= x.len").select("uid", F.explode(cut(F.col("x"))).alias("x")).select("uid", "x.start", "x.len", "x.gram")
-    full = full.join(near(grams.select("gram", "items")), "gram").select("uid", F.struct("start", (F.col("start") + F.col("len")).alias("end")).alias("span"), "items")
-    full = full.groupBy("uid").agg(F.sort_array(F.collect_set("span")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    full = full.withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1))))).cast("bigint"))
+    full = around.where("size(x.w) >= x.len").select("file", "row", F.explode(cut(F.col("x"))).alias("x")).select("file", "row", "x.start", "x.len", "x.gram")
+    full = full.join(near(grams.select("gram", "items")), "gram").select("file", "row", F.struct("start", (F.col("start") + F.col("len")).alias("end")).alias("span"), "items")
+    full = full.groupBy("file", "row").agg(F.sort_array(F.collect_set("span")).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    return stored(full.withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1))))).cast("bigint")))
+
+
+def _with_hits(docs: DataFrame, here: list[Column], benchmark: DataFrame, text: str, size: int, max_broadcast_rows: int) -> DataFrame:
+    """The columns ``here`` of located ``docs`` with n_words, n_hit, items and spans."""
+    own = docs.select(*here, F.size(words(column(text))).cast("bigint").alias("n_words"), *locator(docs, "of_file", "of_row"))
+    full = found(docs, benchmark, text, size, max_broadcast_rows)
     none = lambda c, kind: F.coalesce(F.col(c), F.expr(f"cast(array() as {kind})")).alias(c)
-    return found.select("uid", "row", "n_words").join(full, "uid", "left").select(
-        "row", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), none("items", "array<string>"), none("spans", "array<struct<start: bigint, end: bigint>>")
+    return own.join(small(full.withColumnsRenamed({"file": "of_file", "row": "of_row"}), full.count()), ["of_file", "of_row"], "left").select(
+        *[own[c] for c in own.columns[:-2]], F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), none("items", "array<string>"), none("spans", "array<struct<start: bigint, end: bigint>>")
     )
 
 
+def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """One row per row of ``docs``: row (a struct of its columns), n_words, n_hit, items (sorted ids), spans (as in ``found``)."""
+    docs = located(docs)
+    return _with_hits(docs, [F.struct(*[column(c) for c in docs.columns]).alias("row")], benchmark, text, size, max_broadcast_rows)
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without any hit, with all their columns."""
-    return hits(docs, benchmark, text, size).where("n_hit = 0").select("row.*")
+    docs = located(docs)
+    return without(docs, found(docs, benchmark, text, size))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW) -> DataFrame:
     """All rows of ``docs``; a text with hits becomes its words outside every span, lower-cased and space-joined."""
-    found = hits(docs, benchmark, text, size)
-    w = words(F.col(f"row.`{text}`"))
+    with_hits = hits(docs, benchmark, text, size)
+    w = words(F.col("row")[text])
     hit = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1)))
     rest = F.array_join(F.array_compact(F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: F.when(~F.array_contains(hit, i.cast("bigint")), F.element_at(w, i)))), " ")
-    return found.withColumn("row", F.when(F.col("n_hit") > 0, F.col("row").withField(text, rest)).otherwise(F.col("row"))).select("row.*")
+    return with_hits.withColumn("row", F.when(F.col("n_hit") > 0, F.col("row").withField("`" + text.replace("`", "``") + "`", rest)).otherwise(F.col("row"))).select("row.*")
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = hits(docs, table(spark, sf_dir, "benchmark"))
-    return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    with_hits = _with_hits(table(spark, sf_dir, "documents"), [F.col("doc_id")], table(spark, sf_dir, "benchmark"), "text", WINDOW, MAX_BROADCAST_ROWS)
+    return with_hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
