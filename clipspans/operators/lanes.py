@@ -53,25 +53,30 @@ def match_lanes(poses: DataFrame, lanes: DataFrame, max_dist: float = 2.0, max_h
     return out.withColumns({"lane_id": first["lane_id"], "lane_offset": first["offset"], "current_lanes": F.coalesce(F.array_sort(F.transform("candidates", lambda c: c["lane_id"])), _empty())})
 
 
-def next_lanes(lanes: DataFrame, depth: int = 5) -> DataFrame:
-    """(map_id, lane_id, next_id): lanes within ``depth`` steps ahead; "-1" is no lane. One equi-join and distinct per step."""
+def _reach(lanes: DataFrame, depth: int) -> DataFrame:
+    """(map_id, lane_id, reach): the sorted lanes within ``depth`` steps ahead; "-1" is no lane. Each step is one equi-join and one grouping
+    on top of the step before, which the plan holds once."""
     step = lanes.select("map_id", "lane_id", F.explode("next").alias("next_id")).where("next_id <> '-1'").distinct()
-    found = front = step
+    reach = step.groupBy("map_id", "lane_id").agg(F.array_sort(F.collect_set("next_id")).alias("reach"))
     for _ in range(depth - 1):
-        ahead = step.select("map_id", F.col("lane_id").alias("next_id"), F.col("next_id").alias("_n"))
-        front = front.join(ahead, ["map_id", "next_id"]).select("map_id", "lane_id", F.col("_n").alias("next_id")).distinct()
-        found = found.unionByName(front).distinct()
-    return found
+        ahead = step.join(reach.select("map_id", F.col("lane_id").alias("next_id"), "reach"), ["map_id", "next_id"], "left")
+        further = F.array_union(F.collect_set("next_id"), F.flatten(F.collect_list(F.coalesce("reach", _empty()))))
+        reach = ahead.groupBy("map_id", "lane_id").agg(F.array_sort(further).alias("reach"))
+    return reach
+
+
+def next_lanes(lanes: DataFrame, depth: int = 5) -> DataFrame:
+    """(map_id, lane_id, next_id): lanes within ``depth`` steps ahead; "-1" is no lane."""
+    return _reach(lanes, depth).select("map_id", "lane_id", F.explode("reach").alias("next_id"))
 
 
 def lane_neighbours(lanes: DataFrame, depth: int = 5) -> DataFrame:
     """Per lane: next_lanes, and the left and right lanes of itself and of those, once per map."""
-    ahead = next_lanes(lanes, depth)
-    near = ahead.unionByName(lanes.select("map_id", "lane_id", F.col("lane_id").alias("next_id")))
+    own = lanes.select("map_id", "lane_id").distinct().join(_reach(lanes, depth), ["map_id", "lane_id"], "left").withColumn("reach", F.coalesce("reach", _empty()))
+    near = own.select("map_id", "lane_id", "reach", F.explode(F.array_union("reach", F.array("lane_id"))).alias("next_id"))
     sides = near.join(lanes.select("map_id", F.col("lane_id").alias("next_id"), "left", "right"), ["map_id", "next_id"])
     flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(c), _empty())))))
-    out = sides.groupBy("map_id", "lane_id").agg(flat("left").alias("left_lanes"), flat("right").alias("right_lanes"))
-    return out.join(ahead.groupBy("map_id", "lane_id").agg(F.sort_array(F.collect_set("next_id")).alias("next_lanes")), ["map_id", "lane_id"], "left")
+    return sides.groupBy("map_id", "lane_id").agg(flat("left").alias("left_lanes"), flat("right").alias("right_lanes"), F.first("reach").alias("next_lanes"))
 
 
 def lane_relations(matched: DataFrame, lanes: DataFrame, depth: int = 5) -> DataFrame:
@@ -287,9 +292,9 @@ def segment_lane(ticks: DataFrame) -> DataFrame:
     """Lane segments of labelled lane ticks, with the features that the rules use; missing values are left out of all of them."""
     code = F.when(F.col("lane_decision") == LEFT, 4).when(F.col("lane_decision") == RIGHT, 8).otherwise(0)
     t = ticks.withColumn("state", state_code([F.col("heading_rate") >= 0.01, F.col("heading_rate") >= -0.01]) + code)
-    spans = cut_on_state_change(t, first_gap=3)
-    t = t.withColumn("i", F.row_number().over(by_tick()) - 1)
-    rows = t.join(spans, KEYS).where((F.col("i") >= F.col("start")) & (F.col("i") < F.col("end")))
+    carried = ("lane_offset", "heading_rate", "heading_delta", "lateral_rate", "step_left", "step_distance", "lane_decision", "lane_id", "lane_confidence")
+    spans = cut_on_state_change(t, first_gap=3, carry=carried)
+    rows = spans.select(*KEYS, "seg", "start", "end", F.posexplode(F.slice("rows", F.lit(1), F.col("end") - F.col("start"))).alias("i", "r")).select(*KEYS, "seg", "start", "end", "i", "r.*")
     known = lambda c: F.when(~F.isnan(c), F.col(c))
     lane = F.coalesce("lane_id", F.lit(""))
     agg = rows.groupBy(*KEYS, "seg", "start", "end").agg(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -14,14 +13,6 @@ from clipspans.plans.catalog import query
 from clipspans.streaming.compact import compact_stream
 
 
-def shared_path(spark) -> str:
-    """A new path in the folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def _events(spark, d):
     return joins.event_time(inputs.keyframe_rows(spark, d), inputs.clip_timing(spark, d))
 
@@ -128,9 +119,10 @@ def _assemble(spark, d):
   (select k.clip_id, k.event_start_frame, f, coalesce((select arg_max(tag, s) from spans p where p.family = 'longitudinal' and p.clip_id = k.clip_id and f >= s and f < e), 'Not Available') as lon from (select distinct clip_id, event_start_frame from keys) k,
   lateral (select unnest(range(greatest(k.event_start_frame - 20, 0), k.event_start_frame, 5)) as f union all select unnest(range(k.event_start_frame, least(k.event_start_frame + 60, 200), 5))) g) group by 1, 2""", "keys", "spans")
 def _action_text(spark, d):
-    s = inputs.numbered(inputs.spans(spark, d))
-    frames = intervals.expand_to_frames(s, s).withColumn("lateral", F.lit("-"))
-    return prompts.action_text_block(prompts.action_window(inputs.keyframe_rows(spark, d).select("clip_id", "event_start_frame").distinct(), frames))
+    spans = inputs.stored_spans(spark, d)
+    s = inputs.numbered(spans)
+    frames = intervals.expand_to_frames(s, spans).withColumn("lateral", F.lit("-"))
+    return prompts.action_text_block(prompts.action_window(inputs.keyframe_rows(spark, d, spans).select("clip_id", "event_start_frame").distinct(), frames))
 
 
 _SAMPLES = "string_agg('(t=' || printf('%.1f', (tick - e) * 0.1e0) || 's, v_{0}=' || printf('%.3f', {0}_speed) || ' m/s)', ', ' order by tick) filter ({1})"
@@ -257,7 +249,7 @@ def _stage(spark, d):
 
 @query("w1_compact_stream", """select row_key, line_no, ok, size from (select *, row_number() over (partition by row_key order by ok desc, line_no desc) as r from log) where r = 1 or row_key is null""", "log")
 def _stream(spark, d):
-    base = shared_path(spark)
+    base = inputs.shared_path(spark)
     log = inputs.log(spark, d)
     log.write.json(f"{base}/log")
     run = lambda: compact_stream(spark, f"{base}/log", log.schema, f"{base}/state", f"{base}/checkpoint")

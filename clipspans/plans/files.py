@@ -10,7 +10,7 @@ from clipspans.functions import text
 from clipspans.operators import intervals, joins, keyframes
 from clipspans.plans import inputs
 from clipspans.plans.catalog import query
-from clipspans.plans.events import shared_path
+from clipspans.plans.inputs import shared_path
 from clipspans.sources import tables
 
 

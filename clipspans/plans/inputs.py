@@ -4,6 +4,8 @@ Every input has a DuckDB twin in ``CTES``; both name their columns alike."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,14 +26,30 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.to_tick_spans(segments.label_clips(ticks(spark, sf_dir), clean_up=False))
 
 
+def stored_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans written to the shared folder and read back, for queries that take them more than once."""
+    path = shared_path(spark)
+    found = spans(spark, sf_dir)
+    found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def shared_path(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def numbered(df: DataFrame) -> DataFrame:
     """Spans with line_no per clip."""
     order = Window.partitionBy("clip_id").orderBy("start", "tag", "end")
     return df.withColumn("line_no", F.row_number().over(order) - 1)
 
 
-def keyframe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyframes.select_keyframes(spans(spark, sf_dir))
+def keyframe_rows(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
+    return keyframes.select_keyframes(spans(spark, sf_dir) if of is None else of)
 
 
 def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -135,8 +135,8 @@ def _format(spark, d):
 @query("i6_frames", """select c.clip_id, cast(f as int) as frame, coalesce(arg_max(tag, s) filter (tag is not null), 'Not Available') as longitudinal from (select distinct clip_id from spans) c cross join (select unnest(range(0, 200)) as f) g
   left join (select * from spans where family = 'longitudinal') p on p.clip_id = c.clip_id and f >= s and f < e group by c.clip_id, f""", "spans")
 def _frames(spark, d):
-    s = inputs.numbered(inputs.spans(spark, d))
-    return intervals.expand_to_frames(s, s).select("clip_id", "frame", "longitudinal")
+    spans = inputs.stored_spans(spark, d)
+    return intervals.expand_to_frames(inputs.numbered(spans), spans).select("clip_id", "frame", "longitudinal")
 
 
 @query("i7_change_points", """select clip_id, frame, longitudinal from (select *, lag(longitudinal) over (partition by clip_id order by frame) as b from (select c.clip_id, cast(f as int) as frame, coalesce(arg_max(tag, s) filter (tag is not null), 'Not Available') as longitudinal
@@ -218,7 +218,7 @@ def _resolve(spark, d):
 @query("a9_agreement", """select 'longitudinal' as track, count(*) as frames, count(*) filter (p = t) as equal from (select f.clip_id, f.f, arg_max(f.tag, f.s) filter (f.tag is not null) as p, arg_max(g.tag, g.s) filter (g.tag is not null) as t
   from (select s.*, unnest(range(s.s, s.e)) as f from spans s where family = 'longitudinal') f join (select s.*, unnest(range(s.s + 2, s.e + 2)) as f from spans s where family = 'longitudinal') g on f.clip_id = g.clip_id and f.f = g.f group by f.clip_id, f.f)""", "spans")
 def _agreement(spark, d):
-    s = inputs.numbered(inputs.spans(spark, d).where("family = 'longitudinal'"))
+    s = inputs.numbered(inputs.stored_spans(spark, d).where("family = 'longitudinal'"))
     here = lambda by: intervals.expand_to_frames(s.withColumns({"start": F.col("start") + by, "end": F.col("end") + by}), s).where("longitudinal <> 'Not Available'")
     return keyframes.agreement(here(0), here(2), ("longitudinal",))
 
@@ -306,9 +306,9 @@ def _members(spark, d):
 @query("e1_action_window", """select k.clip_id, k.event_start_frame, cast(f as int) as frame, case when f < k.event_start_frame then 'history' else 'future' end as phase, cast(f - k.event_start_frame as int) as ts from (select distinct clip_id, event_start_frame from keys) k,
   lateral (select unnest(range(greatest(k.event_start_frame - 20, 0), k.event_start_frame, 5)) as f union all select unnest(range(k.event_start_frame, least(k.event_start_frame + 60, 200), 5))) g""", "keys")
 def _action_window(spark, d):
-    s = inputs.numbered(inputs.spans(spark, d))
-    events = inputs.keyframe_rows(spark, d).select("clip_id", "event_start_frame").distinct()
-    return prompts.action_window(events, intervals.expand_to_frames(s, s)).select("clip_id", "event_start_frame", "frame", "phase", "ts")
+    spans = inputs.stored_spans(spark, d)
+    events = inputs.keyframe_rows(spark, d, spans).select("clip_id", "event_start_frame").distinct()
+    return prompts.action_window(events, intervals.expand_to_frames(inputs.numbered(spans), spans)).select("clip_id", "event_start_frame", "frame", "phase", "ts")
 
 
 @query("e4_frame_plan", "select clip_id, event_start_frame, 3 as interval, event_start_frame % 3 as \"offset\", event_start_frame // 3 as sampled_event, len([x for x in range(event_start_frame // 3 - 20, event_start_frame // 3 + 61, 5) if x >= 0]) as n_frames from (select distinct clip_id, event_start_frame from keys)", "keys")
@@ -317,13 +317,21 @@ def _plan(spark, d):
     return prompts.frame_plan(k).withColumn("n_frames", F.size("frames").cast("bigint")).drop("frames")
 
 
-@query("e9_lateral_prior")
+@query("e9_lateral_prior", """select clip_id, event_start_frame, type as expected_type, case type when 'lane_change' then 'left' when 'nudge' then 'right' else '' end as expected_direction, case type when 'lane_change' then cl when 'nudge' then nr end as expected_onset, type <> '' as has_prior,
+  printf('lane changes: %d, left from %s, right from none; nudges: %d, left from none, right from %s; near: within %d; expected: %s, direction %s, onset %s', changes, coalesce(cast(cl as varchar), 'none'), nudges, coalesce(cast(nr as varchar), 'none'), 4 * step,
+    coalesce(nullif(type, ''), 'none'), case type when 'lane_change' then 'left' when 'nudge' then 'right' else 'none' end, coalesce(cast(case type when 'lane_change' then cl when 'nudge' then nr end as varchar), 'none')) as summary
+  from (select *, case when cl is null and nr is null then '' when nr is null then 'lane_change' when cl is null then 'nudge' when abs(cl) <= 4 * step and abs(nr) > 4 * step then 'lane_change' when abs(nr) <= 4 * step and abs(cl) > 4 * step then 'nudge' when cl <= nr then 'lane_change' else 'nudge' end as type
+  from (select clip_id, event_start_frame, any_value(step) as step, cast(min(ts) filter (token = 'change' and nt = token and gap <= 2 * step) as int) as cl, cast(min(ts) filter (token = 'nudge') as int) as nr, count(*) filter (token = 'change') as changes, count(*) filter (token = 'nudge') as nudges
+  from (select *, coalesce(min(gap) over (partition by clip_id, event_start_frame), 1) as step from (select *, lead(token) over w as nt, lead(ts) over w - ts as gap
+  from (select k.clip_id, k.event_start_frame, f - k.event_start_frame as ts, case (select arg_max(tag, s) from spans p where p.family = 'lateral' and p.clip_id = k.clip_id and f >= s and f < e) when 'SteerLeft' then 'change' when 'SteerRight' then 'nudge' end as token from (select distinct clip_id, event_start_frame from keys) k,
+  lateral (select unnest(range(greatest(k.event_start_frame - 20, 0), k.event_start_frame, 5)) as f union all select unnest(range(k.event_start_frame, least(k.event_start_frame + 60, 200), 5))) g)
+  window w as (partition by clip_id, event_start_frame order by ts))) group by clip_id, event_start_frame))""", "keys", "spans")
 def _prior(spark, d):
     """Priors of timelines whose lane tokens come from the lateral track."""
-    s = inputs.numbered(inputs.spans(spark, d))
-    tracks = intervals.expand_to_frames(s, s, tracks=("longitudinal", "lateral"))
+    spans = inputs.stored_spans(spark, d)
+    tracks = intervals.expand_to_frames(inputs.numbered(spans), spans, tracks=("longitudinal", "lateral"))
     lane = F.when(F.col("lateral") == "SteerLeft", "Left Lane Change").when(F.col("lateral") == "SteerRight", "Slightly Shift Right").otherwise("Keep Lane")
-    events = inputs.keyframe_rows(spark, d).select("clip_id", "event_start_frame").distinct()
+    events = inputs.keyframe_rows(spark, d, spans).select("clip_id", "event_start_frame").distinct()
     return prompts.lateral_prior(prompts.action_window(events, tracks.withColumn("lane", lane)))
 
 
