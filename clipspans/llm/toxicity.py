@@ -1,9 +1,10 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick on folded text.
 
-Folding lower-cases, undoes look-alike letters, and turns digits and signs inside a word into the letters they stand for.
-The lexicon is learned from labelled rows: a word enters when its log odds of toxic against other rows are above
-``MIN_WEIGHT`` and certain enough; the log odds are its weight. A phrase of a lexicon word and a neighbour that occurs mostly
-in other rows is an exception: occurrences inside it don't count. A text's score is a logistic function of its summed
+Folding lower-cases, undoes look-alike and accented letters, and turns digits and signs in a word into the letters they stand for.
+The lexicon is learned from labelled rows: a word, or a word's beginning, enters when its log odds of toxic against other
+rows are above ``MIN_WEIGHT`` and certain enough; the log odds are its weight. Of terms that begin one another the more certain
+one enters, so a word matches one term at most. A phrase of a word that has a term and a neighbour that occurs mostly in
+other rows is an exception: occurrences inside it don't count. A text's score is a logistic function of its summed
 weights, alone and by length.
 
 Defined results: null, empty and wordless texts have no matches and the lowest score; with no labelled rows, or labels of
@@ -15,39 +16,50 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipspans.llm.common import column, held_out, located, locator, small_batches, stored, table, without
 from clipspans.llm.labelled import logistic, sigmoid, training_rows
 
-MIN_WEIGHT, CERTAINTY = 2.0, 3.5
+MIN_WEIGHT = 2.0
+#: Standard errors that a term's log odds must be above zero: the number that predicts best is taken, by folds of the labelled rows.
+CERTAINTIES, FOLDS = (2.0, 2.5, 3.0, 3.5, 4.0, 5.0), 4
+#: Lengths of words' beginnings that can be terms.
+BEGINNINGS = (5, 6, 7, 8)
 FLUSH = 200_000
 
 # fixed values: letters that look like Latin ones
 LOOK_ALIKE = dict(zip("абвгеёзиіїјкмнопрстухсѕԁһԛԝүαβγεηικμνορτυχωıłøđ", "abvreeзиiijkmнonpctyxcsdhqwyabyenikmvoptuxwilod"))
+# fixed values: capitals that look like other Latin letters than their small forms
+LOOK_ALIKE_CAPITALS = dict(zip("ВНУХРСΝΡΧΥΗ", "bhyxpcnpxyh"))
 # fixed values: digits and signs used for letters
 DIGITS = dict(zip("0134578@$!", "oieastbasi"))
 
 _TABLE = str.maketrans(LOOK_ALIKE | {chr(0xFF41 + i): chr(97 + i) for i in range(26)} | {"​": None, "‌": None, "‍": None, "­": None, "﻿": None})
-_DIGIT = re.compile(r"(?<![^\W_])[0134578@$!]+(?=[^\W\d_])|(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|(?<=[^\W\d_])[0134578]+(?![\w])")
+_DIGIT = re.compile(r"(?<![^\W_])[0134578@$!]+(?=[^\W\d_])|(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|(?<=[^\W\d_])(?:[0134578]+|[@$]{1,2})(?![\w@$])")
 _DIGIT_TABLE = str.maketrans(DIGITS)
 _HAS_DIGIT = re.compile(r"[0134578@$!]")
 _WORD = re.compile(r"[^\W_]+")
+_MARKS = re.compile("[\u0300-\u036f]+")
+LOOK_ALIKE_TABLE = str.maketrans(LOOK_ALIKE_CAPITALS)
 
 
 def fold(text: str | None) -> list[str]:
     """The folded words of a text."""
-    text = (text or "").lower()
-    if not text.isascii():
-        text = text.translate(_TABLE)
+    text = text or ""
+    if text.isascii():
+        text = text.lower()
+    else:
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text.translate(LOOK_ALIKE_TABLE).lower().translate(_TABLE)))
     if _HAS_DIGIT.search(text):
         text = _DIGIT.sub(lambda m: m[0].translate(_DIGIT_TABLE), text)
     return _WORD.findall(text)
@@ -55,17 +67,19 @@ def fold(text: str | None) -> list[str]:
 
 @dataclass
 class Model:
+    """Terms are words with a space behind, or words' beginnings."""
+
     lexicon: dict[str, float]
     exceptions: set[str] = field(default_factory=set)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
 
     def automaton(self) -> ahocorasick.Automaton | None:
-        """Terms and exception phrases between spaces; the value is (words, weight), weight 0 for an exception."""
+        """Terms and exception phrases behind a space; the value is (length, weight), weight 0 for an exception."""
         found = ahocorasick.Automaton()
         for term, weight in self.lexicon.items():
-            found.add_word(f" {term} ", (len(term), weight))
+            found.add_word(f" {term}", (len(term), weight))
         for phrase in self.exceptions:
-            found.add_word(f" {phrase} ", (len(phrase), 0.0))
+            found.add_word(f" {phrase} ", (len(phrase) + 1, 0.0))
         found.make_automaton()
         return found if len(found) else None
 
@@ -76,59 +90,129 @@ def features(words: list[str], automaton: ahocorasick.Automaton | None) -> tuple
         return 0.0, 0.0, 0.0
     terms, free = [], []
     for end, (length, weight) in automaton.iter(f" {' '.join(words)} "):
-        (terms if weight else free).append((end - length, end, weight))
+        (terms if weight else free).append((end - length + 1, end, weight))
     total = sum(w for a, b, w in terms if not any(x <= a and b <= y for x, y, _ in free)) if free else sum(w for _, _, w in terms)
-    return float(total > 0), math.log1p(total), total / math.sqrt(len(words))
+    return _measure(total, len(words))
+
+
+def _measure(total: float, words: int) -> tuple[float, float, float]:
+    return float(total > 0), math.log1p(total), total / math.sqrt(max(1, words))
+
+
+def word_terms(word: str) -> list[str]:
+    """What of a word can be a term: the whole, with a space behind, and its beginnings."""
+    return [f"{word} ", *[word[:n] for n in BEGINNINGS if n < len(word)]]
+
+
+def choose(candidates: dict[str, tuple[float, float]]) -> dict[str, float]:
+    """The terms (certainty, weight) of which none begins another: the more certain ones, with their weights."""
+    chosen: dict[str, float] = {}
+    begun: set[str] = set()  # beginnings of chosen terms
+    for term, (_, weight) in sorted(candidates.items(), key=lambda x: (-x[1][0], x[0])):
+        starts = [term[:n] for n in range(1, len(term))]
+        if term not in begun and not any(s in chosen for s in starts):
+            chosen[term] = weight
+            begun.update(starts)
+    return chosen
+
+
+def _fold() -> Column:
+    return F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")
 
 
-def _counts(rows: DataFrame, pieces) -> DataFrame:
-    """(term, toxic, other): rows of each kind that have the term. Each task counts before anything is shuffled."""
+def _counts(rows: DataFrame, pieces: Callable[[str], set[str]]) -> DataFrame:
+    """(term, toxic, other): rows of each kind and fold that have the term, as arrays by fold. Each task counts before anything is shuffled."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        seen: Counter = Counter()
 
         def out() -> pd.DataFrame:
-            terms = [(t, y, n) for y, c in seen.items() for t, n in c.items()]
-            seen[0].clear()
-            seen[1].clear()
-            return pd.DataFrame(terms, columns=["term", "y", "n"])
+            found = [(t, y, f, n) for (t, y, f), n in seen.items()]
+            seen.clear()
+            return pd.DataFrame(found, columns=["term", "y", "fold", "n"])
 
         for batch in batches:
-            for text, y in zip(batch["text"], batch["y"]):
-                seen[y].update(pieces(text))
-                if len(seen[0]) + len(seen[1]) > FLUSH:
+            for text, y, f in zip(batch["text"], batch["y"], batch["fold"]):
+                seen.update((t, y, f) for t in pieces(text))
+                if len(seen) > FLUSH:
                     yield out()
         yield out()
 
-    found = rows.mapInPandas(count, "term string, y int, n bigint")
-    return found.groupBy("term").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("other"))
+    found = rows.select("text", "y", _fold().alias("fold")).mapInPandas(count, "term string, y int, fold int, n bigint")
+    by_fold = lambda y: F.array(*[F.sum(F.when((F.col("y") == y) & (F.col("fold") == k), F.col("n")).otherwise(0)) for k in range(FOLDS)])
+    return found.groupBy("term").agg(by_fold(1).alias("toxic"), by_fold(0).alias("other"))
+
+
+def log_odds(toxic: float, other: float, n1: int, n0: int) -> tuple[float, float]:
+    """Log odds of toxic against other rows, smoothed, and their standard error."""
+    a, b = toxic + 0.5, other + 0.5
+    return math.log(a / (n1 + 1)) - math.log(b / (n0 + 1)), math.sqrt(1 / a + 1 / b)
+
+
+def lexicon(terms: dict[str, tuple[float, float]], n1: int, n0: int, certainty: float) -> dict[str, float]:
+    """Of terms (toxic, other rows) the chosen ones that are toxic and certain enough, with their weights."""
+    candidates = {}
+    for term, (toxic, other) in terms.items():
+        weight, error = log_odds(toxic, other, n1, n0)
+        if weight >= MIN_WEIGHT and weight > certainty * error:
+            candidates[term] = (weight - certainty * error, weight)
+    return choose(candidates)
+
+
+def _tune(sample: pd.DataFrame, counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> tuple[float, np.ndarray]:
+    """The certainty that predicts rows best with terms of the other folds, and the logistic weights of these predictions.
+
+    sample: (y, fold, n, terms), n words and the terms of ``counts`` that a row has, with repeats."""
+    y, fold = sample["y"].to_numpy(), sample["fold"].to_numpy()
+    best = (math.inf, CERTAINTIES[0], np.zeros(4))
+    for certainty in CERTAINTIES:
+        x = np.zeros((len(y), 3))
+        for k in range(FOLDS):
+            own = np.flatnonzero(fold == k)
+            n1, n0 = int((y[fold != k] == 1).sum()), int((y[fold != k] == 0).sum())
+            known = lexicon({t: (a.sum() - a[k], b.sum() - b[k]) for t, (a, b) in counts.items()}, n1, n0, certainty)
+            for i in own:
+                x[i] = _measure(sum(known.get(t, 0.0) for t in sample["terms"].iloc[i]), int(sample["n"].iloc[i]))
+        weights = logistic(x, y)
+        p = np.clip(sigmoid(np.column_stack([x, np.ones(len(x))]) @ weights), 1e-9, 1 - 1e-9)
+        loss = -float((y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+        if loss < best[0]:
+            best = (loss, certainty, weights)
+    return best[1], best[2]
 
 
 def fit(rows: DataFrame) -> Model:
-    """rows: (text, y), a bounded sample (labelled.py). The driver gets its certain terms and exceptions, and three numbers per row."""
+    """rows: (text, y), a bounded sample (labelled.py). The driver gets its certain terms and exceptions, and each row's terms."""
     size = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
         p = min(max(n1 / max(1, n0 + n1), 1e-6), 1 - 1e-6)
         return Model({}, set(), np.array([0, 0, 0, math.log(p / (1 - p))]))
-    a, b = F.col("toxic") + 0.5, F.col("other") + 0.5
+    total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda x, n: x + n)
+    a, b = total(F.col("toxic")) + 0.5, total(F.col("other")) + 0.5
     odds = F.log(a / (n1 + 1)) - F.log(b / (n0 + 1))
-    sure = odds - CERTAINTY * F.sqrt(1 / a + 1 / b)
-    terms = _counts(rows, lambda t: set(fold(t))).select("term", odds.alias("weight"), sure.alias("sure"))
-    terms = terms.where((F.col("weight") >= MIN_WEIGHT) & (F.col("sure") > 0)).collect()
-    lexicon = {r["term"]: float(r["weight"]) for r in terms}
-
-    def phrases(text: str) -> set[str]:
-        words = fold(text)
-        return {f"{x} {y}" for x, y in zip(words, words[1:]) if x in lexicon or y in lexicon}
-
-    benign = _counts(rows, phrases).where(F.col("other") >= 5).select("term", odds.alias("weight"), "other").where("weight < 0")
-    exceptions = {r["term"] for r in benign.collect()}
-    model = Model(lexicon, exceptions)
     with small_batches(rows.sparkSession):
-        x = measured(rows, model).toPandas()
-    model.weights = logistic(x[["f0", "f1", "f2"]].to_numpy(), x["y"].to_numpy())
-    return model
+        certain = (odds >= MIN_WEIGHT) & (odds > CERTAINTIES[0] * F.sqrt(1 / a + 1 / b))
+        found = _counts(rows, lambda t: {x for w in set(fold(t)) for x in word_terms(w)}).where(certain).collect()
+        counts = {r["term"]: (np.array(r["toxic"]), np.array(r["other"])) for r in found}
+        given = rows.sparkSession.sparkContext.broadcast(set(counts))  # learned from a bounded sample
+
+        @F.pandas_udf("n int, terms array<string>")
+        def terms(texts: pd.Series) -> pd.DataFrame:
+            words = [fold(t) for t in texts]
+            return pd.DataFrame({"n": [len(w) for w in words], "terms": [[x for one in w for x in word_terms(one) if x in given.value] for w in words]})
+
+        sample = rows.select("y", _fold().alias("fold"), terms("text").alias("t")).select("y", "fold", "t.*").toPandas()
+        certainty, weights = _tune(sample, counts)
+        chosen = lexicon({t: (int(x.sum()), int(z.sum())) for t, (x, z) in counts.items()}, n1, n0, certainty)
+
+        def phrases(text: str) -> set[str]:
+            words = fold(text)
+            known = {w for w in set(words) if any(t in chosen for t in word_terms(w))}
+            return {f"{x} {y}" for x, y in zip(words, words[1:]) if x in known or y in known}
+
+        benign = _counts(rows, phrases).where((b - 0.5 >= 5) & (odds < 0)).select("term")
+        return Model(chosen, {r["term"] for r in benign.collect()}, weights)
 
 
 def measured(rows: DataFrame, model: Model) -> DataFrame:

@@ -15,10 +15,12 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import io
 import re
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -108,32 +110,53 @@ def audit(one: DataFrame, two: DataFrame) -> DataFrame:
     return found.withColumnRenamed("at", "offset")
 
 
+FLUSH = 8 << 20
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """(file, offset, length, digest, header, body) of the records of uncompressed WARC files, one row each.
+    """(file, offset, length, digest, header, body) of the records of WARC files, plain or compressed (.gz), one row each.
 
-    A file is one task's work, as its records have no index; WARC files are cut to about 1 GB by custom."""
+    Offsets count uncompressed bytes. A file is one task's work, as its records have no index (WARC files are cut to about 1 GB by
+    custom); the task reads it as a stream and holds about ``FLUSH`` bytes of records."""
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["file", "offset", "length", "digest", "header", "body"]
         for batch in batches:
-            for name, data in zip(batch["path"], batch["content"]):
-                at, rows = 0, []
-                while at < len(data):
-                    head = data.find(b"\r\n\r\n", at)
-                    found = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", data[at:head].replace(b"\r\n", b"\n")) if head >= 0 and data.startswith(b"WARC/", at) else None
-                    if found is None:
-                        raise ValueError(f"{name}: no WARC record at byte {at}")
-                    body = head + 4 + int(found[1])
-                    end = body + 4
-                    if data[body:end] != TAIL.encode():
-                        raise ValueError(f"{name}: the record at byte {at} has no end")
-                    rows.append((name, at, end - at, hashlib.sha256(data[at:end]).hexdigest(), data[at:head].decode("utf-8", "replace"), bytes(data[head + 4 : body])))
-                    at = end
-                yield pd.DataFrame(rows, columns=["file", "offset", "length", "digest", "header", "body"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+            for name in batch["path"]:
+                rows, size = [], 0
+                for row in _records(name):
+                    rows.append((name, *row))
+                    size += row[1]
+                    if size >= FLUSH:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+                yield pd.DataFrame(rows, columns=names)
+
+    files = spark.read.format("binaryFile").load(path).select("path")
     return files.mapInPandas(split, "file string, offset bigint, length bigint, digest string, header string, body binary")
 
 
+def _records(name: str) -> Iterator[tuple[int, int, str, str, bytes]]:
+    """(offset, length, digest, header, body) of each record of a file."""
+    store, place = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", name))
+    with store.open_input_stream(place, compression="detect") as raw, io.BufferedReader(raw, 1 << 20) as stream:
+        at = 0
+        while first := stream.readline():
+            lines = [first]
+            while lines[-1] not in (b"\r\n", b""):
+                lines.append(stream.readline())
+            head = b"".join(lines)
+            found = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", head.replace(b"\r\n", b"\n")) if first.startswith(b"WARC/") and lines[-1] else None
+            if found is None:
+                raise ValueError(f"{name}: no WARC record at byte {at}")
+            body, tail = stream.read(int(found[1])), stream.read(4)
+            if tail != TAIL.encode():
+                raise ValueError(f"{name}: the record at byte {at} has no end")
+            length = len(head) + len(body) + 4
+            yield at, length, hashlib.sha256(head + body + tail).hexdigest(), head[:-4].decode("utf-8", "replace"), body
+            at += length
+
+
 #: In the second replica of the query, records with these remainders of page_id by DAMAGE are changed or lost.
 DAMAGE, CHANGED, LOST = 89, 7, 11
 

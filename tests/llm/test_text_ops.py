@@ -54,6 +54,7 @@ def test_decontamination(spark):
 
 def test_fold():
     assert toxicity.fold("An 1d10t! а fооl, H3ll0 2024 b4 5TUP1D %%% x$$$ <b>Ｂad</b>") == ["an", "idiot", "a", "fool", "hello", "2024", "ba", "stupid", "x", "b", "bad", "b"]
+    assert toxicity.fold("ВAD НOT a$$ ïdiöt 𝐛𝐚𝐝 x@ $5") == ["bad", "hot", "ass", "idiot", "bad", "xa", "5"]
     assert toxicity.fold(None) == toxicity.fold("") == toxicity.fold("%% !!") == []
 
 
@@ -66,7 +67,7 @@ def toxic_rows():
         y = int(i % 8 == 0)
         if y:
             words.insert(int(r.integers(0, len(words))), ["vile", "v1le", "VILE"][i % 3])
-        elif i % 5 == 0:
+        elif i % 15 == 0:
             words += ["vile", "weather"]
         out.append((i, " ".join(words), y))
     return out
@@ -76,7 +77,7 @@ def test_toxicity(spark):
     data = toxic_rows()
     rows = spark.createDataFrame(data, "doc_id bigint, text string, y int").select("text", "y")
     model = toxicity.fit(rows)
-    assert "vile weather" in model.exceptions or not model.lexicon
+    assert "vile weather" in model.exceptions and list(model.lexicon) == ["vile "]
     docs = spark.createDataFrame([(1, "so vile a thing", "s"), (2, "vile weather today", "s"), (3, None, "s"), (4, "", "s"), (4, "", "s"), (5, "wab " * 20000, "s")], "doc_id bigint, text string, score string")
     got = [x.score for x in toxicity.score(docs.select("doc_id", "text"), model).orderBy("doc_id").collect()]
     assert got[2] == got[3] == got[4] and all(0 <= x <= 1 for x in got)
@@ -88,7 +89,8 @@ def test_toxicity(spark):
 
 
 def test_toxicity_exceptions():
-    model = toxicity.Model({"vile": 3.0}, {"vile weather"})
+    model = toxicity.Model({"vile ": 3.0, "nasti": 2.0}, {"vile weather"})
+    assert toxicity.features(["nastiest"], model.automaton())[0] == 1 and toxicity.features(["nasty", "dynastic"], model.automaton())[0] == 0
     a = model.automaton()
     assert toxicity.features(["vile", "weather"], a)[0] == 0
     assert toxicity.features(["vile", "weather", "vile"], a)[0] == 1
@@ -202,6 +204,138 @@ def test_range_coder():
     assert range_coder.encode([]) == range_coder.decode([]) == []
 
 
+def plain_decode(data):
+    """One block by loops over single ids, after the description of the format."""
+    import math
+    import struct
+
+    magic, n, bits, crc = struct.unpack_from("<4sIII", data)
+    lanes = max(1, -(-n // 1024))
+    steps = min(1024, n)
+    sizes = struct.unpack_from(f">{lanes}H", data, 16)
+    at = 16 + 2 * lanes
+    coders = []
+    for size in sizes:
+        digits = list(struct.unpack_from(f">{size}H", data, at)) + [0] * 8
+        at += 2 * size
+        coders.append({"code": digits[0] << 32 | digits[1] << 16 | digits[2], "range": 1 << 48, "next": iter(digits[3:] + [0] * 4000)})
+    two, one, counts = {}, {}, {}
+    states = {}  # (sure2, sure1, same) -> outcomes
+    spent, seen, missed, escapes = [0] * 4, [], [], 0
+    slots = [(None, 0, 65536)]
+    cost = [12 * 256] + [round(-math.log2(i / 4096) * 256) for i in range(1, 4097)]
+    weights = [round(65536 * 2 ** (-i / 4)) for i in range(64)] + [0]
+
+    def predictions(s):
+        alike = [lambda k: k == s, lambda k: k[0] == s[0] and k[2] == s[2], lambda k: k[1] == s[1] and k[2] == s[2], lambda k: k[2] == s[2]]
+        sums = [[sum(c[o] for k, c in states.items() if f(k)) for o in range(3)] for f in alike]
+        return [[(2 * x + 1) / (2 * sum(t) + 3) for x in t] for t in sums]
+
+    mixed = {}
+
+    def bounds(s):
+        if s not in mixed:
+            w = [weights[min((x - min(spent)) >> 10, 64)] for x in spent]
+            p = predictions(s)
+            q = [(w[0] * p[0][o] + w[1] * p[1][o] + w[2] * p[2][o] + w[3] * p[3][o]) / sum(w) for o in range(2)]
+            first = min(max(math.floor(q[0] * 65536), 16), 65536 - 4096)
+            mixed[s] = first, min(first + min(max(math.floor(q[1] * 65536), 16), 65536), 65536 - 1024)
+        return mixed[s]
+
+    def renew(c):
+        while c["range"] < 1 << 32:
+            c["range"] <<= 16
+            c["code"] = c["code"] << 16 | next(c["next"])
+
+    got = [[] for _ in range(lanes)]
+    spans = [x for x in [1, 2, 3, 4, 6, *range(8, 1024, 8)] if x < steps] + [steps]
+    renewals = {1 << e for e in range(12)} | {96, 192, 384, 768}
+    start = 0
+    for stop in spans:
+        waiting = []
+        for t in range(start, stop):
+            for c, ids in zip(coders, got):
+                last, before = ((ids[-k] * 0x9E3779B1) & 0xFFFFFFFF if len(ids) >= k else 0 for k in (1, 2))
+                at2 = ((last + (before << 7) + (before >> 9)) & 0xFFFFFFFF) >> (32 - range_coder._TWO)
+                at1 = last >> (32 - range_coder._ONE)
+                (c2, f2), (c1, f1) = two.get(at2, (0, 0)), one.get(at1, (0, 0))
+                # entries are alike where they differ by less than 8 in their bits, which is where the ids are the same
+                s = f2, f1, c2 == c1
+                first, second = bounds(s)
+                part = c["range"] >> 16
+                target = c["code"] // part
+                o = (target >= first) + (target >= second)
+                low, high = ((0, first), (first, second), (second, 65536))[o]
+                c["code"] -= low * part
+                c["range"] = (high - low) * part
+                x = (c2, c1, None)[o]
+                part = c["range"] >> 16
+                escaped = False
+                if o == 2:
+                    place = c["code"] // part
+                    x, low, size = next(v for v in slots if v[1] <= place < v[1] + v[2])
+                    c["code"] -= low * part
+                    c["range"] = size * part
+                    escaped = x is None
+                else:
+                    c["range"] = part << 16
+                renew(c)
+                if escaped:
+                    part = c["range"] >> bits
+                    x = min(c["code"] // part, (1 << bits) - 1)
+                    c["code"] -= x * part
+                    c["range"] = part
+                    renew(c)
+                    escapes += 1
+                ids.append(x)
+                seen.append((s, o))
+                if o == 2:
+                    missed.append(x)
+                waiting.append((at2, (c2, f2), at1, (c1, f1), x))
+        for a2, e2, a1, e1, x in waiting:
+            for table, a, (c, f) in ((two, a2, e2), (one, a1, e1)):
+                table[a] = (x if f < 2 else c, min(f + 1, 7) if c == x else max(f >> 1, 1))
+        if stop in renewals and stop < steps:
+            before = {s: predictions(s) for s, _ in seen}
+            spent = [x >> 1 for x in spent]
+            for s, o in seen:
+                for k in range(4):
+                    spent[k] += cost[math.floor(before[s][k][o] * 4096)]
+            for s, o in seen:
+                states.setdefault(s, [0, 0, 0])[o] += 1
+            for x in missed:
+                counts[x] = counts.get(x, 0) + 1
+            if counts:
+                e = min(max(65536 * (escapes + 1) // (len(missed) + 2), 16), 65536 >> 1)
+                slots, end = [], 0
+                for x in sorted(counts):
+                    size = 1 + counts[x] * (65536 - e - len(counts)) // sum(counts.values())
+                    slots.append((x, end, size))
+                    end += size
+                slots.append((None, end, 65536 - end))
+            seen, missed, escapes = [], [], 0
+            mixed.clear()
+        start = stop
+    out = [x for ids in got for x in ids][:n]
+    assert zlib.crc32(np.array(out, "<u4").tobytes()) == crc
+    return out
+
+
+def test_range_coder_against_a_plain_one():
+    r = np.random.default_rng(9)
+    blocks = [r.zipf(1.4, 300) % 5000, np.concatenate([r.zipf(1.3, 900) % 3000, np.tile(r.integers(0, 60000, 50), 24)]), np.array([7])]
+    for b in blocks:
+        assert plain_decode(range_coder.encode([b])[0]) == b.tolist()
+
+
+def test_range_coder_is_shorter_than_deflate():
+    """On ids drawn with the frequencies of words, and on repeats, in the same blocks."""
+    r = np.random.default_rng(10)
+    ids = np.minimum(r.zipf(1.2, range_coder.BLOCK), 49000)
+    ids[50_000:60_000] = ids[:10_000]
+    assert len(range_coder.encode([ids])[0]) < len(zlib.compress(ids.astype("<u2").tobytes(), 9))
+
+
 def test_token_files(spark, tmp_path, monkeypatch):
     import public_tokenizers
     from tokenizers import Tokenizer

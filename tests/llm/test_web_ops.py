@@ -12,7 +12,13 @@ def test_warc_records_and_reader(spark, tmp_path):
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
     full = [r.rec for r in df.select("page_id", F.concat(warc.record(F.col("url"), F.col("html")), F.lit(warc.TAIL)).alias("rec")).orderBy("page_id").collect()]
     (tmp_path / "a.warc").write_bytes("".join(full).encode())
-    got = warc.read_records(spark, str(tmp_path)).orderBy("offset").collect()
+    import gzip
+
+    packed = tmp_path / "gz"
+    packed.mkdir()
+    (packed / "a.warc.gz").write_bytes(b"".join(gzip.compress(r.encode()) for r in full))  # a member for each record, as is usual
+    got = warc.read_records(spark, str(tmp_path / "a.warc")).orderBy("offset").collect()
+    assert [r[1:] for r in got] == [r[1:] for r in warc.read_records(spark, str(packed)).orderBy("offset").collect()]
     want = warc.layout(df).orderBy("page_id").collect()
     assert [(r.offset, r.length, r.digest) for r in got] == [(r.offset, r.length, r.digest) for r in want]
     assert got[0].digest == hashlib.sha256(full[0].encode()).hexdigest() and bytes(got[2].body).endswith(b"x" * 5000)
