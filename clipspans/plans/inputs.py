@@ -169,6 +169,12 @@ CTES |= {
     "lon_cap": "(select *, case when average_speed_along_heading <= -0.12 then 'Reverse' when average_speed <= 0.12 then 'Stop' when average_acceleration >= 1.4 and delta_velocity >= 0.8 then 'StrongAcceleration' when average_acceleration between 0.15 and 1.4 and delta_velocity >= 0.8 then 'GentleAcceleration' when average_acceleration <= -1.4 and delta_velocity <= -0.8 then 'StrongDeceleration' when average_acceleration between -1.4 and -0.15 and delta_velocity <= -0.8 then 'GentleDeceleration' else 'MaintainSpeed' end as caption from lon_seg)",
     "lat_seg": "(select s.clip_id, s.agent_id, s.start * 0.1e0 as start_time, (s.stop - s.start) * 0.1e0 as duration, sum(turn) as total_heading_change, case when sum(distance) > 1e-6 then sum(turn) / sum(distance) else 0 end as average_turn_rate, sum(distance) as total_distance, avg(speed_along) as average_speed_along_heading, s.start, s.stop from lat_span s join lat_state t on t.clip_id = s.clip_id and t.agent_id = s.agent_id and t.i >= s.start and t.i < s.stop group by s.clip_id, s.agent_id, s.start, s.stop)",
     "lat_cap": "(select *, case when average_speed_along_heading <= -0.1 and average_turn_rate <= -0.002 and total_heading_change <= -0.2 then 'ReverseRight' when average_speed_along_heading <= -0.1 and average_turn_rate >= 0.002 and total_heading_change >= 0.2 then 'ReverseLeft' when average_turn_rate <= -0.05 and total_heading_change <= -0.2 then 'SharpSteerRight' when average_turn_rate >= 0.05 and total_heading_change >= 0.2 then 'SharpSteerLeft' when average_turn_rate <= -0.0015 and total_heading_change <= -0.015 then 'SteerRight' when average_turn_rate >= 0.0015 and total_heading_change >= 0.015 then 'SteerLeft' else 'GoStraight' end as caption from lat_seg)",
+    # cleaning: neighbours of one caption merge, then one span after the other is looked at, done and todo being lists, then they merge again
+    "islands": "(select *, sum(case when caption = before then 0 else 1 end) over (partition by clip_id, agent_id, family order by start) as g from (select *, lag(caption) over (partition by clip_id, agent_id, family order by start) as before from (select clip_id, agent_id, 'longitudinal' as family, start, start_time, duration, caption from lon_cap union all select clip_id, agent_id, 'lateral', start, start_time, duration, caption from lat_cap)))",
+    "begun": "(select clip_id, agent_id, family, list({'c': c, 's': s, 'd': d} order by g) as todo from (select clip_id, agent_id, family, g, any_value(caption) as c, min(start_time) as s, list_reduce(list(duration order by start), lambda a, b: a + b) as d from islands group by all) group by all)",
+    "cleaning(clip_id, agent_id, family, done, todo)": "(select clip_id, agent_id, family, cast([] as struct(c varchar, s double, d double)[]), todo from begun union all select clip_id, agent_id, family, r.done, r.todo from (select *, case when now.d >= least or (len(done) = 0 and len(rest) = 0) then {'done': list_append(done, now), 'todo': rest} when len(done) > 0 and len(rest) > 0 then case when was.c = ahead.c then {'done': done[1:len(done) - 1], 'todo': list_prepend({'c': was.c, 's': was.s, 'd': was.d + now.d + ahead.d}, rest[2:])} else {'done': list_append(done[1:len(done) - 1], {'c': was.c, 's': was.s, 'd': was.d + now.d * 0.5e0}), 'todo': list_prepend({'c': ahead.c, 's': ahead.s - 0.5e0 * now.d, 'd': ahead.d + now.d * 0.5e0}, rest[2:])} end when len(done) > 0 then {'done': list_append(done[1:len(done) - 1], {'c': was.c, 's': was.s, 'd': was.d + now.d}), 'todo': rest} else {'done': done, 'todo': list_prepend({'c': ahead.c, 's': now.s, 'd': ahead.d + now.d}, rest[2:])} end as r from (select *, todo[1] as now, todo[2:] as rest, todo[2] as ahead, done[len(done)] as was, case when family = 'lateral' then 10 when todo[1].c = 'MaintainSpeed' then 12 else 8 end * 0.1e0 as least from cleaning where len(todo) > 0)))",
+    "cleaned": "(select clip_id, agent_id, family, any_value(c) as tag, min(s) as s, list_reduce(list(d order by i), lambda a, b: a + b) as d from (select *, sum(case when c = before then 0 else 1 end) over (partition by clip_id, agent_id, family order by i) as g from (select *, lag(c) over (partition by clip_id, agent_id, family order by i) as before from (select clip_id, agent_id, family, i, done[i].c as c, done[i].s as s, done[i].d as d from (select *, unnest(range(1, len(done) + 1)) as i from cleaning where len(todo) = 0)))) group by clip_id, agent_id, family, g)",
+    "clean_spans": "(select * from (select clip_id, agent_id, family, tag, cast(round_even(round(s, 9) / 0.1e0, 0) as int) as s, cast(round_even(round(s + d, 9) / 0.1e0, 0) as int) as e from cleaned) where e > s)",
     "spans": "(select clip_id, agent_id, 'longitudinal' as family, caption as tag, cast(start as int) as s, cast(stop as int) as e from lon_cap union all select clip_id, agent_id, 'lateral', caption, cast(start as int), cast(stop as int) from lat_cap)",
     "keys": "(select " + "lower(regexp_replace(tag, '([a-z])([A-Z])', '\\1_\\2', 'g')) as meta_action, clip_id, s as event_start_frame, e as event_end_frame, e - s as duration from spans where e - s >= 10 and s between 20 and 135)",
     "numbered": "(select *, 'clip_' || case when i >= 200 then (i // 200) || 'b' else '' end || lpad(cast(user_id as varchar), 6, '0') as clip_id, cast(i % 200 as int) as tick from (select *, row_number() over (partition by user_id order by ts, event_id) - 1 as i from events))",
@@ -178,6 +184,9 @@ CTES |= {
     "log": "(select case when conv_id % 11 <> 0 then 'k' || conv_id end as row_key, conv_id * 1000 + turn as line_no, turn % 3 <> 0 as ok, length(text) as size from conversations)",
     "lane_ticks": "(select clip_id, tick, round(tick * 0.8, 6) as x, round(avg(goal) over (partition by clip_id order by tick rows between 19 preceding and current row), 6) as y from (select *, (first_value(cast(json_extract_string(props, '$.k') as int)) over (partition by clip_id, tick // 25 order by tick) % 3 - 1) * 3.5e0 as goal from numbered))",
     "lane_match": "(select clip_id, tick, y, arg_min(lane, (dist, lane)) as lane_id, arg_min(sign(y - j * 3.5) * dist, (dist, lane)) as lane_offset, count(*) as n from (select *, 'L' || j || '_' || i as lane, sqrt(pow(y - j * 3.5, 2) + pow(greatest(i * 10 - x, 0, x - i * 10 - 10), 2)) as dist from lane_ticks, (select unnest(range(-2, 3)) as j), (select unnest(range(0, 20)) as i)) where dist <= 2 group by 1, 2, 3)",
+    "lane_sets": "(select t.clip_id, t.tick, coalesce(cur, []) as cur, coalesce(nxt, []) as nxt, coalesce(lft, []) as lft, coalesce(rgt, []) as rgt, lane_id from lane_ticks t left join lane_match m using (clip_id, tick) left join (select clip_id, tick, list_distinct(list('L' || j || '_' || i)) as cur, list_distinct(list('L' || j || '_' || (i + k)) filter (k > 0 and i + k < 20)) as nxt, list_distinct(list('L' || (j + 1) || '_' || (i + k)) filter (j < 2 and i + k < 20)) as lft, list_distinct(list('L' || (j - 1) || '_' || (i + k)) filter (j > -2 and i + k < 20)) as rgt from lane_ticks, (select unnest(range(-2, 3)) as j), (select unnest(range(0, 20)) as i), (select unnest(range(0, 6)) as k) where sqrt(pow(y - j * 3.5, 2) + pow(greatest(i * 10 - x, 0, x - i * 10 - 10), 2)) <= 2 group by clip_id, tick) using (clip_id, tick))",
+    "lane_now": "(select *, case when a and b then case when list_contains(rgt, lane_id) and not list_contains(lft, lane_id) then 'right_lane_change' else 'left_lane_change' end when a then 'left_lane_change' when b then 'right_lane_change' else 'keep_lane' end as instant from (select *, list_has_any(cur, lft) as a, list_has_any(cur, rgt) as b from lane_sets))",
+    "lane_votes": "(select *, case when len(ahead) = 0 then instant when l > 0 and r = 0 then 'left_lane_change' when r > 0 and l = 0 then 'right_lane_change' when l > 0 and r > 0 then case when instant <> 'keep_lane' then instant when l >= r then 'left_lane_change' else 'right_lane_change' end else 'keep_lane' end as vote from (select *, len([e for e in ahead if not list_contains(cur, e) and not list_contains(nxt, e) and list_contains(lft, e)]) as l, len([e for e in ahead if not list_contains(cur, e) and not list_contains(nxt, e) and list_contains(rgt, e) and not list_contains(lft, e)]) as r from (select n.*, h, z.cur as ahead from lane_now n join (select clip_id, max(tick) as last from lane_now group by clip_id) using (clip_id), lateral (select unnest([5, 10, 15, 20]) as h) hs join lane_now z on z.clip_id = n.clip_id and z.tick = least(n.tick + h, last))))",
     "labels_in": "(select doc_id as row_index, case when doc_id % 13 <> 0 then 'c' || (doc_id % 50) end as clip_id, case when doc_id % 9 = 0 then 'x1' when doc_id % 7 = 0 then '' else cast(doc_id * 100000 as varchar) end as event_timestamp, ['Change lanes to the left', 'Nudge right to pass', 'Keep lane and stop', 'Turn right', 'Slow down', ' nan '][doc_id % 6 + 1] as coc_label from documents)",
 }
 

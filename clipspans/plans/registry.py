@@ -99,7 +99,9 @@ def _lateral(spark, d):
     return _round(s, "start_time", "duration", "total_heading_change", "average_turn_rate", "total_distance", "average_speed_along_heading", keep=("clip_id", "caption"))
 
 
-@query("g9_label_clips")
+@query("g9_label_clips", """select clip_id, agent_id, family, tag, s as start, e as "end" from clean_spans where family = 'longitudinal' union all
+  select clip_id, agent_id, 'lateral', tag, min(t), max(t) + 1 from (select *, t - row_number() over (partition by clip_id, agent_id, tag, s order by t) as g from (select *, cast(unnest(range(s, e)) as int) as t from clean_spans where family = 'lateral') x
+  where not exists (select 1 from clean_spans p where p.family = 'longitudinal' and p.tag = 'Stop' and p.clip_id = x.clip_id and p.agent_id = x.agent_id and x.t >= p.s and x.t < p.e)) group by clip_id, agent_id, tag, s, g""", "clean_spans")
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Cleaned spans of both families, without stops in the lateral ones."""
     return intervals.remove_stops(intervals.to_tick_spans(segments.label_clips(inputs.ticks(spark, d))))
@@ -234,6 +236,17 @@ def _next(spark, d):
     return lanes.next_lanes(inputs.lanes(spark, d))
 
 
+@query("m6_temporal_vote", """select clip_id, tick, lane_id, instant, cast(left_hits as int) as left_hits, cast(right_hits as int) as right_hits, case when left_hits > 0 and right_hits = 0 then 'left_lane_change' when right_hits > 0 and left_hits = 0 then 'right_lane_change'
+  when left_hits > 0 then case when instant <> 'keep_lane' then instant when left_hits >= right_hits then 'left_lane_change' else 'right_lane_change' end else instant end as voted, n_current, n_next, n_left, n_right
+  from (select clip_id, tick, any_value(lane_id) as lane_id, any_value(instant) as instant, count(*) filter (vote = 'left_lane_change') as left_hits, count(*) filter (vote = 'right_lane_change') as right_hits, cast(any_value(len(cur)) as int) as n_current, cast(any_value(len(nxt)) as int) as n_next, cast(any_value(len(lft)) as int) as n_left, cast(any_value(len(rgt)) as int) as n_right from lane_votes group by clip_id, tick)""", "lane_votes")
+def _votes(spark, d):
+    """Relations of the current lanes, the decision of the instant, and the vote of the ticks ahead."""
+    maps = inputs.lanes(spark, d)
+    t = lanes.temporal_vote(lanes.lane_relations(lanes.match_lanes(inputs.lane_ticks(spark, d), maps), maps))
+    sizes = {"n_current": "current_lanes", "n_next": "next_lanes", "n_left": "left_lanes", "n_right": "right_lanes"}
+    return t.select("clip_id", "tick", "lane_id", "instant", "left_hits", "right_hits", "voted", *[F.size(c).alias(n) for n, c in sizes.items()])
+
+
 @query("m_lane_decisions")
 def _decisions(spark, d):
     t = lanes.label_lane_ticks(inputs.lane_ticks(spark, d), inputs.lanes(spark, d))
