@@ -183,16 +183,24 @@ def _tune(sample: pd.DataFrame, counts: dict[str, tuple[np.ndarray, np.ndarray]]
 
 def fit(rows: DataFrame) -> Model:
     """rows: (text, y), a bounded sample (labelled.py). The driver gets its certain terms and exceptions, and each row's terms."""
-    size = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = size.get(1, 0), size.get(0, 0)
+    size = {(r["y"], r["fold"]): r["n"] for r in rows.groupBy("y", _fold().alias("fold")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n1, n0 = (sum(size.get((y, k), 0) for k in range(FOLDS)) for y in (1, 0))
     if not n1 or not n0:
         p = min(max(n1 / max(1, n0 + n1), 1e-6), 1 - 1e-6)
         return Model({}, set(), np.array([0, 0, 0, math.log(p / (1 - p))]))
-    total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda x, n: x + n)
-    a, b = total(F.col("toxic")) + 0.5, total(F.col("other")) + 0.5
-    odds = F.log(a / (n1 + 1)) - F.log(b / (n0 + 1))
+
+    def odds(without: int | None) -> tuple[Column, Column]:
+        """Log odds of a term in all rows, or in those of the other folds, and their standard error."""
+        a, b = (sum((F.col(c)[k] for k in range(FOLDS) if k != without), F.lit(0.5)) for c in ("toxic", "other"))
+        m1, m0 = n1 - size.get((1, without), 0), n0 - size.get((0, without), 0)
+        return F.log(a / (m1 + 1)) - F.log(b / (m0 + 1)), F.sqrt(1 / a + 1 / b)
+
     with small_batches(rows.sparkSession):
-        certain = (odds >= MIN_WEIGHT) & (odds > CERTAINTIES[0] * F.sqrt(1 / a + 1 / b))
+        # all terms that could enter, by all rows or by any three folds: what a fold's own rows say mustn't choose its terms
+        certain = F.lit(False)
+        for k in (None, *range(FOLDS)):
+            weight, error = odds(k)
+            certain = certain | ((weight >= MIN_WEIGHT) & (weight > CERTAINTIES[0] * error))
         found = _counts(rows, lambda t: {x for w in set(fold(t)) for x in word_terms(w)}).where(certain).collect()
         counts = {r["term"]: (np.array(r["toxic"]), np.array(r["other"])) for r in found}
         given = rows.sparkSession.sparkContext.broadcast(set(counts))  # learned from a bounded sample
@@ -211,7 +219,8 @@ def fit(rows: DataFrame) -> Model:
             known = {w for w in set(words) if any(t in chosen for t in word_terms(w))}
             return {f"{x} {y}" for x, y in zip(words, words[1:]) if x in known or y in known}
 
-        benign = _counts(rows, phrases).where((b - 0.5 >= 5) & (odds < 0)).select("term")
+        other = sum((F.col("other")[k] for k in range(FOLDS)), F.lit(0))
+        benign = _counts(rows, phrases).where((other >= 5) & (odds(None)[0] < 0)).select("term")
         return Model(chosen, {r["term"] for r in benign.collect()}, weights)
 
 
