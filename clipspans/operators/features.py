@@ -162,11 +162,30 @@ def long_lat_speed(ticks: DataFrame) -> DataFrame:
     return ticks.withColumns({"lon_speed": F.col("vx") * c + F.col("vy") * s, "lat_speed": -F.col("vx") * s + F.col("vy") * c})
 
 
-def object_rows(ticks: DataFrame, now: int) -> DataFrame:
-    """One row per agent other than ego, numbered from 0 by name: its past and future path as arrays of points in tick order."""
-    path = lambda cond: F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("tick", "x", "y")))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
-    rows = ticks.where("agent_id <> 'ego'").groupBy("clip_id", "agent_id").agg(path(F.col("tick") <= now).alias("past"), path(F.col("tick") > now).alias("future"))
-    return rows.withColumn("running_id", F.row_number().over(Window.partitionBy("clip_id").orderBy("agent_id")) - 1)
+def ego_state(ticks: DataFrame, now: int) -> DataFrame:
+    """(clip_id, vx, vy, ax, ay, yaw_rate, length, width, speed) of each clip's ego at one tick."""
+    own = angular_velocity(ticks.where("agent_id = 'ego'")).where(F.col("tick") == now)
+    return own.select("clip_id", "vx", "vy", "ax", "ay", F.col("angular_velocity").alias("yaw_rate"), "length", "width", F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy")).alias("speed"))
+
+
+def object_rows(ticks: DataFrame, now: int, rate: int = 1, future_ticks: int | None = None) -> DataFrame:
+    """One row per agent other than ego that is there at ``now``: running_id from 0 by name, id_global (the number that its name ends
+    with), type, box, and its past and future path, every ``rate`` ticks, the future up to ``future_ticks``.
+
+    Paths have x to the right and y to the front. box: x, y, z, width, length, height, heading and two zeros, in the same axes."""
+    point = F.struct("tick", (-F.col("y")).alias("x"), F.col("x").alias("y"))
+    ordered = lambda cond: F.array_sort(F.collect_list(F.when(cond, point)))
+    state = F.max(F.when(F.col("tick") == now, F.struct("x", "y", "z", "heading", "length", "width", "height", "type")))
+    rows = ticks.where("agent_id <> 'ego'").groupBy("clip_id", "agent_id").agg(ordered(F.col("tick") <= now).alias("past"), ordered(F.col("tick") > now).alias("future"), state.alias("s")).where("s is not null")
+    pick = lambda name, keep: F.transform(F.filter(name, keep), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias(name)
+    s, zero = F.col("s"), F.lit(0.0)
+    box = F.array(*[c.cast("double") for c in (-s["y"], s["x"], s["z"], s["width"], s["length"], s["height"], s["heading"], zero, zero)])
+    last = F.lit(1 << 30) if future_ticks is None else F.lit(future_ticks)
+    running = F.row_number().over(Window.partitionBy("clip_id").orderBy("agent_id")) - 1
+    return rows.select(
+        "clip_id", "agent_id", running.alias("running_id"), F.element_at(F.split("agent_id", "_"), -1).try_cast("int").alias("id_global"), s["type"].alias("type"), box.alias("box"),
+        pick("past", lambda p, i: i % rate == 0), pick("future", lambda p, i: (i % rate == rate - 1) & (i < last)),
+    )
 
 
 def resample_linear(ticks: DataFrame, columns: list[str], fps: int = 30, frames: int | None = None) -> DataFrame:
