@@ -36,17 +36,17 @@ def _finite(spark, d):
 
 
 @query("k13_object_rows", """select clip_id, agent_id, cast(row_number() over (partition by clip_id order by agent_id) - 1 as int) as running_id, cast(agent_id[5:] as int) as id_global, type, box, past, future from
-  (select clip_id, 'car_' || k as agent_id, max(case when tick = 10 then 'T' || k end) as type, max(case when tick = 10 then array_to_string([round(v, 3) + 0.0e0 for v in [-(y + k), x, k * 1.0e0, 2.0e0, 4.0e0 + k, 1.5e0, heading]], ' ') end) as box,
-  string_agg(printf('%.3f', -(y + k) + 0.0e0) || ' ' || printf('%.3f', x), ',' order by tick) filter (tick <= 10 and tick % 3 = 0) as past, string_agg(printf('%.3f', -(y + k) + 0.0e0) || ' ' || printf('%.3f', x), ',' order by tick) filter (tick > 10 and tick <= 40 and (tick - 11) % 3 = 2) as future
-  from (select clip_id, tick, round(x, 3) as x, round(y, 3) as y, heading, k from ticks, (select unnest([0, 1, 2]) as k)) group by all) where type is not null""", "ticks")
+  (select clip_id, 'car_' || k as agent_id, max(case when tick = 10 then 'T' || k end) as type, max(case when tick = 10 then array_to_string([round(v, 6) + 0.0e0 for v in [-(y + k), x, k * 1.0e0, 2.0e0, 4.0e0 + k, 1.5e0, heading]], ' ') end) as box,
+  string_agg(printf('%.4f', -(y + k) + 0.0e0) || ' ' || printf('%.4f', x), ',' order by tick) filter (tick <= 10 and tick % 3 = 0) as past, string_agg(printf('%.4f', -(y + k) + 0.0e0) || ' ' || printf('%.4f', x), ',' order by tick) filter (tick > 10 and tick <= 40 and (tick - 11) % 3 = 2) as future
+  from (select clip_id, tick, x, y, heading, k from ticks, (select unnest([0, 1, 2]) as k)) group by all) where type is not null""", "ticks")
 def _objects(spark, d):
     """Three cars beside each ego, which is left out; every third tick, and 30 ticks ahead."""
-    t = inputs.ticks(spark, d).withColumns({"x": F.round("x", 3), "y": F.round("y", 3)})
+    t = inputs.ticks(spark, d)
     k = F.col("k")
     cars = t.withColumn("k", F.explode(F.array(*[F.lit(i) for i in (0, 1, 2)]))).withColumns({"agent_id": F.concat(F.lit("car_"), k.cast("string")), "y": F.col("y") + k, "z": k.cast("double"), "length": 4.0 + k, "width": F.lit(2.0), "height": F.lit(1.5), "type": F.concat(F.lit("T"), k.cast("string"))}).drop("k")
     found = features.object_rows(cars.unionByName(t, allowMissingColumns=True), 10, 3, 30)
-    path = lambda c: F.when(F.size(c) > 0, F.array_join(F.transform(c, lambda p: F.format_string("%.3f %.3f", p["x"] + 0.0, p["y"])), ",")).alias(c)
-    box = F.array_join(F.transform(F.slice("box", 1, 7), lambda v: F.round(v, 3).cast("string")), " ").alias("box")
+    path = lambda c: F.when(F.size(c) > 0, F.array_join(F.transform(c, lambda p: F.format_string("%.4f %.4f", p["x"] + 0.0, p["y"])), ",")).alias(c)
+    box = F.array_join(F.transform(F.slice("box", 1, 7), lambda v: F.round(v, 6).cast("string")), " ").alias("box")
     return found.select("clip_id", "agent_id", "running_id", "id_global", "type", box, path("past"), path("future"))
 
 
