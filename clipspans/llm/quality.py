@@ -167,7 +167,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vector, own = Vector(), given.value
         for batch in texts:
-            yield pd.Series([float(own.scores([vector(t)])[0]) for t in batch], dtype="float64")
+            yield pd.Series(own.scores([vector(t) for t in batch]), dtype="float64")
 
     return rows.select(*[c for c in rows.columns if c != "text"], scored("text").alias("score"))
 

@@ -163,7 +163,7 @@ def _tune(sample: pd.DataFrame, counts: dict[str, tuple[np.ndarray, np.ndarray]]
     """The certainty that predicts rows best with terms of the other folds, and the logistic weights of these predictions.
 
     sample: (y, fold, n, terms), n words and the terms of ``counts`` that a row has, with repeats."""
-    y, fold = sample["y"].to_numpy(), sample["fold"].to_numpy()
+    y, fold, n, terms = sample["y"].to_numpy(), sample["fold"].to_numpy(), sample["n"].tolist(), [list(t) for t in sample["terms"]]
     best = (math.inf, CERTAINTIES[0], np.zeros(4))
     for certainty in CERTAINTIES:
         x = np.zeros((len(y), 3))
@@ -171,8 +171,9 @@ def _tune(sample: pd.DataFrame, counts: dict[str, tuple[np.ndarray, np.ndarray]]
             own = np.flatnonzero(fold == k)
             n1, n0 = int((y[fold != k] == 1).sum()), int((y[fold != k] == 0).sum())
             known = lexicon({t: (a.sum() - a[k], b.sum() - b[k]) for t, (a, b) in counts.items()}, n1, n0, certainty)
-            for i in own:
-                x[i] = _measure(sum(known.get(t, 0.0) for t in sample["terms"].iloc[i]), int(sample["n"].iloc[i]))
+            for i in own.tolist():
+                if terms[i]:
+                    x[i] = _measure(sum(known.get(t, 0.0) for t in terms[i]), n[i])
         weights = logistic(x, y)
         p = np.clip(sigmoid(np.column_stack([x, np.ones(len(x))]) @ weights), 1e-9, 1 - 1e-9)
         loss = -float((y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
