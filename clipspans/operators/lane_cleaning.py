@@ -58,6 +58,7 @@ def merge_equal(rows: list[Row]) -> list[Row]:
     return out
 
 
+# fixed values: all thresholds of the rules from here to the end of the file
 def _late_cut(row: Row, after: Row) -> bool:
     """A very long, hardly moving shift whose end was cut late: a short LaneKeep follows."""
     return (

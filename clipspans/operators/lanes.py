@@ -311,6 +311,7 @@ def segment_lane(ticks: DataFrame) -> DataFrame:
     }).drop("pulse", "seen", "seg", "start", "end")
 
 
+# fixed values: all thresholds of the rules in classify_lane
 def classify_lane(segments: DataFrame) -> DataFrame:
     """Lane captions, by the first of: lane change, turn, slight shift, else LaneKeep. A missing number counts as 0."""
     n = lambda c: F.coalesce(F.when(~F.isnan(c), F.col(c)), F.lit(0.0))
