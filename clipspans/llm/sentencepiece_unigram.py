@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import column, free_name, table
+from clipspans.llm.common import column, free_name, small_batches, stored, table
 from clipspans.llm.pieces import Store, per_list, take
 
 MARK = "▁"
@@ -107,6 +107,10 @@ class Trie:
         self.base, self.check, self.value = base[:end].tolist(), check[:end].tolist(), value[:end].tolist()
 
 
+#: By model file, what a worker process has met; it outlives the tasks and the broadcast models.
+_STORES: dict[str, Store] = {}
+
+
 class Model:
     def __init__(self, path: str) -> None:
         with open(path, "rb") as file:
@@ -133,10 +137,13 @@ class Model:
         self.bytes = {int(t[3:5], 16): i for i, (t, k) in enumerate(zip(self.texts, self.kinds)) if k == BYTE}
         self.unk = self.kinds.index(UNKNOWN)
         self.spelt = {i: b for b, i in self.bytes.items()}
-        self.store: Store | None = None  # a worker's own, as is the table below
+        self.path, self.store = path, None  # the store is a worker's own, as is the table below
         self.table: pa.Array | None = None
         self.shown = [t.replace(MARK, " ") if k in (NORMAL, USER) else " ⁇ " if k == UNKNOWN else "" for t, k in zip(self.texts, self.kinds)]
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"store": None, "table": None}
+
     def best(self, run: str) -> tuple[int, ...]:
         """Viterbi over one run; of equal paths, the one whose last piece is longest."""
         data = run.encode("utf-8", "surrogatepass")
@@ -189,10 +196,11 @@ class Model:
             text = re.sub(" +", " ", text.strip(" "))
         return _RUN.findall(((" " if self.prefix else "") + text).replace(" ", MARK)) if text else []
 
-    def encode_all(self, texts: pa.Array, most: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
+    def encode_all(self, texts: pa.Array, most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
-        if self.store is None:
-            self.store = Store(most)
+        if self.path not in _STORES:
+            _STORES[self.path] = Store(most)
+        self.store = _STORES[self.path]
         texts = pc.fill_null(texts, "")
         # elsewhere a run is a space's place and what follows up to the next space
         odd = pc.match_substring_regex(texts, f"^ |  | $|^$|{MARK}").to_numpy(zero_copy_only=False) | (self.squeeze or not self.prefix)
@@ -302,7 +310,9 @@ def decode(docs: DataFrame, model: str, ids: str = "token_ids") -> DataFrame:
 
 
 def _exact(own: Model, texts: pa.Array, ids: np.ndarray, n: np.ndarray) -> pa.Array:
-    return pc.equal(own.decode_all(ids, n), pc.fill_null(texts, "").cast(pa.large_string()))
+    same = pc.equal(own.decode_all(ids, n), pc.fill_null(texts, "").cast(pa.large_string()))
+    pa.default_memory_pool().release_unused()
+    return same
 
 
 def encode_and_check(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
@@ -352,4 +362,5 @@ def default_model() -> str:
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), default_model())
-    return found.select("doc_id", "pieces.*")
+    with small_batches(spark):
+        return stored(found.select("doc_id", "pieces.*"))

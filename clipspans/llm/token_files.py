@@ -156,6 +156,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", id: st
             stream = np.insert(ids, np.cumsum(n), end)
             cuts = [stream[i : i + range_coder.BLOCK] for i in range(0, len(stream), range_coder.BLOCK)]
             blocks = [b for i in range(0, len(cuts), LANES) for b in range_coder.encode(cuts[i : i + LANES])]
+            pa.default_memory_pool().release_unused()
             return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "ids": [own], "lengths": [(n + 1).tolist()], "n": [len(stream)], "blocks": [blocks]}, schema=_ARROW)
 
         size = 0

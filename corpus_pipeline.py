@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clipspans.llm import decontaminate, exact_dedup, sentencepiece_unigram, simhash, toxicity
-from clipspans.llm.common import stored, table
+from clipspans.llm.common import small_batches, stored, table
 from clipspans.llm.labelled import training_rows
 
 
@@ -31,7 +31,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def with_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentencepiece_unigram.encode_and_check(docs, sentencepiece_unigram.default_model())
+    with small_batches(spark):
+        return stored(sentencepiece_unigram.encode_and_check(docs, sentencepiece_unigram.default_model()))
 
 
 STAGES = [
