@@ -38,6 +38,8 @@ from clipspans.llm.components import components
 CHUNK = 4096
 #: The least Jaccard similarity of near copies, and the most shingles and texts of a part of a candidate component.
 SIMILAR, PART_SHINGLES, PART_TEXTS = 0.8, 1 << 20, 2048
+#: Cells, and parts of candidate components, that a worker holds at a time.
+CELLS, PARTS = 64, 8
 #: (word of the fingerprint, lowest bit, bits, radius). Any distance of 4 is at most 1, 1 and 0 in some of these three.
 SEGMENTS_4 = ((0, 0, 22, 1), (0, 22, 21, 1), (0, 43, 21, 0))
 #: For 128 bits: eight segments of 16 bits, radius 2; every pair up to distance 23, and most beyond.
@@ -61,23 +63,28 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends)), "<u8", len(starts)))
 
 
-def fingerprint(text: str | None, shingle: int, seeds: tuple[int, ...], distinct: bool = False) -> list[int]:
-    """One signed 64-bit word per seed; ``distinct`` counts repeated shingles once."""
+def _majority(hashes: np.ndarray) -> int:
+    """Signed word of the bits that more than half of the hashes have; 0 for none."""
+    total = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 15):  # bounded memory for any length
+        total += np.unpackbits(hashes[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def set_fingerprint(hashes: np.ndarray) -> list[int]:
+    """128 bits of a set of hashes: those of the hashes and those of the hashes mixed once more, as two signed words."""
+    h = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return [_majority(hashes), _majority(h ^ (h >> np.uint64(31)))]
+
+
+def fingerprint(text: str | None, shingle: int, seeds: tuple[int, ...]) -> list[int]:
+    """One signed 64-bit word per seed; repeated shingles count each time."""
     joined, starts, ends = _shingles(text, shingle)
-    if distinct:
-        once = {bytes(joined[a:b]): (a, b) for a, b in zip(starts, ends)}
-        starts, ends = [a for a, _ in once.values()], [b for _, b in once.values()]
     n = len(starts)
     if not n:
         return [0] * len(seeds)
-    hash64, out = xxhash.xxh64_intdigest, []
-    for seed in seeds:
-        total = np.zeros(64, np.int64)
-        for at in range(0, n, 1 << 15):  # bounded memory for any length
-            h = np.array([hash64(joined[a:b], seed) for a, b in zip(starts[at : at + (1 << 15)], ends[at : at + (1 << 15)])], "<u8")
-            total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(2 * total > n, bitorder="little").view("<i8")[0]))
-    return out
+    return [_majority(np.fromiter((xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts, ends)), "<u8", n)) for seed in seeds]
 
 
 def fingerprints(docs: DataFrame, text: str, id: str, shingle: int, seeds: tuple[int, ...]) -> DataFrame:
@@ -195,13 +202,20 @@ def classes(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: in
         rows = stored(fingerprints(located(docs), text, id, shingle, seeds).withColumn("node", node))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "file", "row")
     prints = stored(rows.groupBy("node", *names).agg(F.min(order).alias("first")))
-    roots = components(edges(prints, segments, len(seeds), distance))
-    found = prints.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = found.groupBy("root").agg(F.min("first").alias("least"))
-    found = found.join(least, "root").select("node", "least")
+    with small_batches(docs.sparkSession, CELLS):
+        roots = components(edges(prints, segments, len(seeds), distance))
+    found = _least_of_groups(prints.select("node", "first"), roots)
     return rows.join(found, "node").select("id", "file", "row", F.col("node").alias("fingerprint"), F.col("least.id").alias("component"), order.eqNullSafe(F.col("least")).alias("kept"))
 
 
+def _least_of_groups(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, least) of (node, first): the least ``first`` of a node's component. Nodes without an edge are their own."""
+    grouped = stored(nodes.join(roots, "node"))
+    least = stored(grouped.groupBy("root").agg(F.min("first").alias("least")))
+    least = grouped.join(small(least), "root").select("node", "least")
+    return nodes.join(least, "node", "left").select("node", F.coalesce("least", "first").alias("least"))
+
+
 def _similar(sets: list[np.ndarray], others: list[np.ndarray] | None) -> Iterator[tuple[int, int]]:
     """Positions (in sets + others) of all pairs with a Jaccard similarity of ``SIMILAR`` or more: of sets and others, or within sets."""
     right = sets if others is None else others
@@ -234,7 +248,7 @@ def near_links(docs: DataFrame, text: str, shingle: int, found: DataFrame) -> Da
     with small_batches(docs.sparkSession):
         sets = stored(here.join(small(found), ["file", "row"]).select("root", "node", collect("text").alias("shingles")))
     k = F.ceil(F.greatest(F.sum(F.octet_length("shingles")) / (8 * PART_SHINGLES), F.count(F.lit(1)) / PART_TEXTS, F.lit(1))).cast("int")
-    sets = sets.join(sets.groupBy("root").agg(k.alias("k")), "root").withColumn("c", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+    sets = sets.join(small(stored(sets.groupBy("root").agg(k.alias("k")))), "root").withColumn("c", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda i: F.struct(F.least("c", i).alias("a"), F.greatest("c", i).alias("b")))
     sets = sets.select("root", "node", "shingles", "c", F.explode(pair).alias("p")).select("root", "p.*", F.col("c") == F.col("p.a"), "node", "shingles").toDF("root", "a", "b", "first", "node", "shingles")
     lists = [F.collect_list(F.when(F.col("first") == m, F.struct("node", "shingles"))).alias(n) for m, n in ((True, "left"), (False, "right"))]
@@ -265,14 +279,15 @@ def near_links(docs: DataFrame, text: str, shingle: int, found: DataFrame) -> Da
     return parts.mapInArrow(link, "u string, v string")
 
 
-def near_classes(docs: DataFrame, text: str, id: str, shingle: int, seeds: tuple[int, ...], segments: tuple, distance: int) -> DataFrame:
+def near_classes(docs: DataFrame, text: str, id: str, shingle: int, segments: tuple, distance: int) -> DataFrame:
     """(id, file, row, component, kept) for every row of located ``docs``: components of texts whose shingle sets are similar."""
-    names = [f"f{i}" for i in range(len(seeds))]
+    names = ["f0", "f1"]
 
     @F.pandas_udf(", ".join(f"{n} bigint" for n in names) + ", node string")
     def mark(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            rows = [[*fingerprint(t, shingle, seeds, True), xxhash.xxh3_128_hexdigest(shingle_set(t, shingle).tobytes())] for t in batch]
+            sets = [shingle_set(t, shingle) for t in batch]
+            rows = [[*set_fingerprint(s), xxhash.xxh3_128_hexdigest(s.tobytes())] for s in sets]
             yield pd.DataFrame(rows, columns=[*names, "node"]).astype({n: "int64" for n in names})
 
     marked = docs.select(column(id).cast("bigint").alias("id"), *locator(docs), mark(column(text)).alias("f"))
@@ -281,22 +296,23 @@ def near_classes(docs: DataFrame, text: str, id: str, shingle: int, seeds: tuple
     order = F.struct(F.col("id").isNull().alias("none"), "id", "file", "row")
     # one node per distinct set of shingles
     nodes = stored(rows.groupBy("node", *names).agg(F.min(order).alias("first")).withColumn("print", F.concat(*[F.lpad(F.lower(F.hex(n)), 16, "0") for n in names])))
-    near = components(edges(nodes.select(*names).distinct(), segments, len(seeds), distance)).withColumnRenamed("node", "print")
+    with small_batches(docs.sparkSession, CELLS):
+        near = components(edges(nodes.select(*names).distinct(), segments, 2, distance)).withColumnRenamed("node", "print")
     near = stored(nodes.join(near, "print", "left").select(F.coalesce("root", "print").alias("root"), "node", "first.file", "first.row"))
-    several = near.groupBy("root").count().where("count > 1").select("root")
-    roots = components(near_links(docs, text, shingle, stored(near.join(several, "root"))))
-    found = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    found = found.join(found.groupBy("root").agg(F.min("first").alias("least")), "root").select("node", "least")
+    several = stored(near.groupBy("root").count().where("count > 1").select("root"))
+    with small_batches(docs.sparkSession, PARTS):
+        roots = components(near_links(docs, text, shingle, stored(near.join(small(several), "root"))))
+    found = _least_of_groups(nodes.select("node", "first"), roots)
     return rows.join(found, "node").select("id", "file", "row", F.col("least.id").alias("component"), order.eqNullSafe(F.col("least")).alias("kept"))
 
 
-def deduplicate(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 5, seeds: tuple[int, ...] = (42, 43), segments: tuple = SEGMENTS_128, distance: int = 29) -> DataFrame:
+def deduplicate(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 5, segments: tuple = SEGMENTS_128, distance: int = 29) -> DataFrame:
     """``docs`` with one row of each group of near copies, with all columns.
 
     Five-word shingles and 128 bits: for a Jaccard similarity of 0.8 about 19 bits differ, with a deviation of 4; 29 leaves room
     for chance."""
     docs = located(docs)
-    return without(docs, near_classes(docs, text, id, shingle, seeds, segments, distance).where("not kept"))
+    return without(docs, near_classes(docs, text, id, shingle, segments, distance).where("not kept"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -169,7 +169,12 @@ def test_near_copies_need_similar_sets(spark, monkeypatch, part):
     assert len(got) == 6 + 40 + 1 + 3
 
 
-def test_components(spark):
+@pytest.mark.parametrize("part", [200_000, 9])
+def test_components(spark, monkeypatch, part):
+    """In one part, and in many that leave the groups apart."""
+    from clipspans.llm import components as module
+
+    monkeypatch.setattr(module, "PART_EDGES", part)
     r = np.random.default_rng(3)
     pairs = [(str(a), str(b)) for a, b in r.integers(0, 80, (60, 2))] + [("h", f"h{i}") for i in range(50)] + [("c0", "c0")]
     pairs += [(f"p{i:03}", f"p{i + 1:03}") for i in range(40)]
