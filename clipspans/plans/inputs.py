@@ -4,6 +4,7 @@ Every input has a DuckDB twin in ``CTES``; both name their columns alike."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,10 +36,13 @@ def stored_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share."""
+    """A new path in the folder that driver and executors share. On one machine without that setting it is made there."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
