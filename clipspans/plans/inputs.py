@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,14 +36,18 @@ def stored_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(found.schema).parquet(path)
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-")
+
+
 def shared_path(spark: SparkSession) -> str:
     """A new path in the folder that driver and executors share. On one machine without that setting it is made there."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_folder()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
