@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipspans.llm import decontaminate, exact_dedup, quality, sentencepiece_unigram, sharding, simhash, token_files, toxicity, url_rules, warc
+from clipspans.llm import decontaminate, exact_dedup, prefix_trie, quality, sentencepiece_unigram, sharding, simhash, token_files, toxicity, url_rules, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_url_rules": url_rules.op9_url_rules,
         "op10_token_files": token_files.op10_token_files,
+        "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_audit": warc.SQL, "op5_decontaminate": decontaminate.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_rules": url_rules.SQL}
+    return {"op3_warc_audit": warc.SQL, "op5_decontaminate": decontaminate.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_rules": url_rules.SQL, "op11_prefix_trie": prefix_trie.SQL}
