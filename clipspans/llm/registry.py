@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipspans.llm import decontaminate, exact_dedup, prefix_trie, quality, sentencepiece_unigram, sharding, simhash, token_files, toxicity, url_rules, warc
+from clipspans.llm import byte_bpe, decontaminate, exact_dedup, prefix_trie, quality, sentencepiece_unigram, sharding, simhash, token_files, toxicity, url_rules, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_rules": url_rules.op9_url_rules,
         "op10_token_files": token_files.op10_token_files,
         "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+        "op12_byte_bpe": byte_bpe.op12_byte_bpe,
     }
 
 
