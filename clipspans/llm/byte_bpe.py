@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import ArrayType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from clipspans.llm.common import column, free_name, located, locator, small_batches, stored, table
 from clipspans.llm.pieces import Store, per_list, take
@@ -327,10 +327,11 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, of: Callable[[Encoder, np
     spark = docs.sparkSession
     given = spark.sparkContext.broadcast((read_ranks(ranks), pattern))
     keep = [c for c in docs.columns if c != text]
-    found_name, chunk_name, file_name, row_name = (free_name(docs, n) for n in ("found", "chunks", "file", "row"))
-    rows = docs.select(*[column(c) for c in keep], F.coalesce(column(text).cast("string"), F.lit("")), *locator(docs, file_name, row_name))
+    # columns have plain names inside, as Python stages take no others
+    inner = [f"c{i}" for i in range(len(keep))]
+    rows = docs.select(*[column(c).alias(i) for c, i in zip(keep, inner)], F.coalesce(column(text).cast("string"), F.lit("")).alias("text"), *locator(docs))
     made = StructType.fromDDL(kind)
-    out = StructType([docs.schema[c] for c in keep]).add(file_name, StringType()).add(row_name, LongType()).add(found_name, made).add(chunk_name, ArrayType(StringType()))
+    out = StructType([StructField(i, docs.schema[c].dataType) for c, i in zip(keep, inner)]).add("file", StringType()).add("row", LongType()).add("found", made).add("chunks", ArrayType(StringType()))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Short texts are encoded, long ones cut."""
@@ -345,15 +346,15 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, of: Callable[[Encoder, np
                 for i in np.flatnonzero(is_long.to_numpy(zero_copy_only=False)).tolist():
                     t = texts[i].as_py()
                     cut[i] = [t[a : a + chunk + overlap] for a in range(0, len(t) - overlap, chunk)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *batch.columns[len(keep) + 1 :], of(encoder, ids, n), pa.array(cut, pa.list_(pa.string()))], names=[*keep, file_name, row_name, found_name, chunk_name])
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *batch.columns[len(keep) + 1 :], of(encoder, ids, n), pa.array(cut, pa.list_(pa.string()))], names=out.names)
                 pa.default_memory_pool().release_unused()
 
     with small_batches(spark):
         found = stored(rows.mapInArrow(first, out))
-        kept = [column(c) for c in keep]
-        short = found.where(F.col(chunk_name).isNull())
-        long = found.where(F.col(chunk_name).isNotNull()).select(file_name, row_name, F.size(chunk_name).alias("n"), F.posexplode(chunk_name).alias("k", "text"))
-        long = long.withColumn("last", F.col("k") == F.col("n") - 1).select(F.col(file_name).alias("file"), F.col(row_name).alias("row"), "k", "last", "text")
+        short = found.where("chunks is null")
+        long = found.where("chunks is not null")
+        pieces = long.select("file", "row", F.size("chunks").alias("n"), F.posexplode("chunks").alias("k", "text"))
+        pieces = pieces.select("file", "row", "k", (F.col("k") == F.col("n") - 1).alias("last"), "text")
 
         def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encoder = encoder_of(*given.value)
@@ -366,7 +367,7 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, of: Callable[[Encoder, np
         def stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encoder, now, text = encoder_of(*given.value), None, None
 
-            def out() -> pa.RecordBatch:
+            def whole() -> pa.RecordBatch:
                 ids = text.end()
                 return pa.RecordBatch.from_arrays([pa.array([now[0]]), pa.array([now[1]], pa.int64()), of(encoder, ids, np.array([len(ids)]))], names=["file", "row", "found"])
 
@@ -376,20 +377,18 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, of: Callable[[Encoder, np
                     place = r.column("file")[0].as_py(), r.column("row")[0].as_py()
                     if place != now:
                         if now is not None:
-                            yield out()
+                            yield whole()
                         now, text = place, Stitch(encoder, chunk, overlap)
                     row = {c: (r.column(c)[0].values.to_numpy() if pa.types.is_list(t) else r.column(c)[0].as_py()) for c, t in zip(CHUNKS.names, CHUNKS.types)}
                     text.add(row | {c: row[c].tolist() for c in ("head", "head_ids", "tail", "tail_ids")})
             if now is not None:
-                yield out()
+                yield whole()
 
-        parts = long.repartition("file", "row", "k").mapInArrow(split, f"file string, row bigint, {_CHUNKS}")
+        parts = pieces.repartition("file", "row", "k").mapInArrow(split, f"file string, row bigint, {_CHUNKS}")
         ordered = parts.repartition("file", "row").sortWithinPartitions("file", "row", "k")
         done = stored(ordered.mapInArrow(stitch, f"file string, row bigint, found {made.simpleString()}"))
-    show = [F.col(found_name)[n].alias(free_name(docs, n)) for n in made.names]
-    others = found.where(F.col(chunk_name).isNotNull()).drop(chunk_name, found_name)
-    done = done.select(F.col("file").alias(file_name), F.col("row").alias(row_name), F.col("found").alias(found_name))
-    return short.select(*kept, *show).unionByName(others.join(done, [file_name, row_name]).select(*kept, *show))
+    show = [*[F.col(i).alias(c) for c, i in zip(keep, inner)], *[F.col("found")[n].alias(free_name(docs, n)) for n in made.names]]
+    return short.select(*show).unionByName(long.drop("chunks", "found").join(done, ["file", "row"]).select(*show))
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", **sizes: int) -> DataFrame:
