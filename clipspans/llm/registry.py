@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipspans.llm import byte_bpe, decontaminate, exact_dedup, prefix_trie, quality, sentencepiece_unigram, sharding, simhash, token_files, toxicity, url_rules, warc
+from clipspans.llm import byte_bpe, collocations, decontaminate, exact_dedup, prefix_trie, quality, sentencepiece_unigram, sharding, simhash, token_files, toxicity, url_rules, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,8 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_token_files": token_files.op10_token_files,
         "op11_prefix_trie": prefix_trie.op11_prefix_trie,
         "op12_byte_bpe": byte_bpe.op12_byte_bpe,
+        "op13_collocations": collocations.op13_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_audit": warc.SQL, "op5_decontaminate": decontaminate.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_rules": url_rules.SQL, "op11_prefix_trie": prefix_trie.SQL}
+    return {"op3_warc_audit": warc.SQL, "op5_decontaminate": decontaminate.SQL, "op7_exact_dedup": exact_dedup.SQL, "op9_url_rules": url_rules.SQL, "op11_prefix_trie": prefix_trie.SQL, "op13_collocations": collocations.SQL}
