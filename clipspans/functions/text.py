@@ -60,9 +60,14 @@ def _snake(name: Column) -> Column:
     return F.lower(F.regexp_replace(name, r"(?<!^)(?=[A-Z])", "_"))
 
 
+def strip(text: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def normalize_action(name: Column) -> Column:
     """Canonical snake-case name of an older or camel-case one; null is "none", an unknown name stays as it is (trimmed)."""
-    name = F.regexp_replace(name, r"^\s+|\s+$", "")
+    name = strip(name)
     snake = _snake(name)
     return F.when(name.isNull(), "none").otherwise(F.coalesce(_lookup(ALIASES, name), F.when(snake.isin(*ACTION_TEXTS), snake), name))
 
@@ -144,8 +149,8 @@ def parse_filter(text: str | list[str] | None) -> list[str] | None:
 
 
 def present(value: Column) -> Column:
-    """Trimmed text, or null if it stands for a missing value."""
-    text = F.trim(value.cast("string"))
+    """Text without white space at its ends, or null if it stands for a missing value."""
+    text = strip(value.cast("string"))
     return F.when(~F.lower(text).isin(*MISSING), text)
 
 
@@ -180,9 +185,9 @@ def camera_of(prompts: Column) -> Column:
 
 
 def strip_thinking(text: Column) -> Column:
-    """What follows the first closing think mark, if there is one."""
+    """What follows the first closing think mark, if there is one, without white space at its ends."""
     at = F.locate("</think>", text)
-    return F.trim(F.when(at > 0, F.substring(text, at + 8, F.length(text))).otherwise(text))
+    return strip(F.when(at > 0, F.substring(text, at + 8, F.length(text))).otherwise(text))
 
 
 _OBJECT = "map<string,string>"
@@ -195,7 +200,7 @@ def parse_model_json(text: Column) -> Column:
     fence = F.regexp_extract(text, r"(?s)```(?:json|JSON)?\s*(.*?)```", 1)
     braces = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
     good = []
-    for tried in (text, F.trim(fence), braces):
+    for tried in (text, strip(fence), braces):
         # as the only item of a list, so that a second object behind the first is seen
         items = F.from_json(F.concat(F.lit("["), tried, F.lit("]")), f"array<{_OBJECT}>", _STRICT)
         good.append(F.when(tried.startswith("{") & tried.endswith("}") & (F.size(items) == 1), F.try_element_at(items, F.lit(1))))
@@ -232,14 +237,22 @@ def kept_evaluation(evaluation: Column, keys: list[str]) -> Column:
     return F.when(validate_scores(evaluation, keys).isNull(), F.transform_values(own, number))
 
 
-def row_key(clip_id: Column, timestamp: Column, row_index: Column) -> Column:
-    """``clip_ts_index``; a null time prints None, a row without a clip is ``row_index``."""
-    return F.when(clip_id.isNull(), F.concat(F.lit("row_"), row_index)).otherwise(F.concat_ws("_", clip_id, F.coalesce(timestamp.cast("string"), F.lit("None")), row_index))
+def row_key(clip_id: Column, timestamp: Column, row_index: Column, reject_reason: Column | None = None) -> Column:
+    """``clip_ts_index``; a null time prints None. A row without a clip, or rejected for any other reason, is ``row_index``."""
+    bad = clip_id.isNull() if reject_reason is None else clip_id.isNull() | reject_reason.isNotNull()
+    return F.when(bad, F.concat(F.lit("row_"), row_index)).otherwise(F.concat_ws("_", clip_id, F.coalesce(timestamp.cast("string"), F.lit("None")), row_index))
+
+
+def whole_number(text: Column) -> Column:
+    """The number of a text, cut to a whole one, of either sign; null for anything else."""
+    number = F.when(F.regexp_like(text, F.lit(_NUMBER)), strip(text).try_cast("double"))
+    return F.when(F.abs(number) < 9.2e18, F.coalesce(strip(text).try_cast("bigint"), number.cast("bigint")))
 
 
 def normalize_record(df: DataFrame, label: str = "coc_label") -> DataFrame:
-    """Label rows with reject_reason: missing_clip_id, missing_<label>, invalid_timestamp, or null for a good row."""
+    """Label rows with reject_reason: missing_clip_id, missing_<label>, invalid_timestamp, or null for a good row. A time can be
+    negative; its fraction is cut off."""
     clip, text, raw = present(F.col("clip_id")), present(F.col(label)), present(F.col("event_timestamp"))
-    stamp = valid_timestamp(raw)
+    stamp = whole_number(raw)
     reason = F.when(clip.isNull(), "missing_clip_id").when(text.isNull(), f"missing_{label}").when(raw.isNotNull() & stamp.isNull(), F.concat(F.lit("invalid_timestamp:"), raw))
     return df.withColumns({"clip_id": clip, label: text, "event_timestamp": stamp, "reject_reason": reason})

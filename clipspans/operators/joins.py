@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipspans.functions.text import CAMERA, normalize_clip_id
+from clipspans.functions.text import CAMERA, normalize_clip_id, present
 
 TOLERANCE_US = 1_000_000
 
@@ -46,17 +46,19 @@ def event_time(keyframes: DataFrame, timing: DataFrame, missing: str = "drop") -
     return out.withColumn("event_start_us", F.coalesce(us, F.lit(0).cast("bigint"))).drop("start_us", "dt_us")
 
 
-def nearest_frame(events: DataFrame, frame_ts: DataFrame, at_or_before: bool = False) -> DataFrame:
+def nearest_frame(events: DataFrame, frame_ts: DataFrame, at_or_before: bool = False, key: str = "clip_id") -> DataFrame:
     """Events (clip_id, ts_us, ...) with the nearest frame_index; the earlier one on ties, an error text outside the frames.
 
-    Two fills in one ordered pass per clip give the frame before and the frame after."""
+    The frame before is a fill in order of time, the frame after one in the opposite order: both are running, so a clip's cost
+    is that of sorting its rows. ``key`` names the clip's column on both sides."""
     e = events.withColumns({"_t": F.col("ts_us"), "_side": F.lit(1)})
-    f = frame_ts.select("clip_id", F.col("ts_us").alias("_t"), F.lit(0).alias("_side"), F.struct("ts_us", "frame_index").alias("_f"))
-    w = Window.partitionBy("clip_id").orderBy("_t", "_side", F.col("_f.frame_index").desc())
+    f = frame_ts.select(key, F.col("ts_us").alias("_t"), F.lit(0).alias("_side"), F.struct("ts_us", "frame_index").alias("_f"))
     both = e.unionByName(f, allowMissingColumns=True)
-    both = both.withColumn("_before", F.last("_f", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("_after", F.first("_f", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-    out = both.where("_side = 1")
+    index = F.col("_f.frame_index")
+    onward = Window.partitionBy(key).orderBy("_t", "_side", index.desc_nulls_last())
+    back = Window.partitionBy(key).orderBy(F.desc("_t"), F.desc("_side"), index.asc_nulls_first())
+    running = lambda w: F.last("_f", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    out = both.withColumn("_before", running(onward)).withColumn("_after", running(back)).where("_side = 1")
     exact = F.col("_before.ts_us") == F.col("_t")
     outside = F.col("_before").isNull() | (F.col("_after").isNull() & ~exact)
     later = F.coalesce((F.col("_after.ts_us") - F.col("_t") < F.col("_t") - F.col("_before.ts_us")), F.lit(False)) & F.lit(not at_or_before)
@@ -67,14 +69,30 @@ def nearest_frame(events: DataFrame, frame_ts: DataFrame, at_or_before: bool = F
 
 
 def frame_timestamp(frames: DataFrame, frame_ts: DataFrame) -> DataFrame:
-    """Frames (clip_id, frame_index, ...) with ts_us of the first entry whose index is at least theirs; null beyond the last."""
+    """Frames (clip_id, frame_index, ...) with ts_us of the first entry whose index is at least theirs; null beyond the last.
+    One fill per clip, from the last entry to the first."""
     e = frames.withColumns({"_i": F.col("frame_index"), "_side": F.lit(0)})
     f = frame_ts.select("clip_id", F.col("frame_index").alias("_i"), F.lit(1).alias("_side"), F.col("ts_us").alias("_ts"))
-    w = Window.partitionBy("clip_id").orderBy("_i", "_side").rowsBetween(0, Window.unboundedFollowing)
-    both = e.unionByName(f, allowMissingColumns=True).withColumn("ts_us", F.first("_ts", ignorenulls=True).over(w))
+    back = Window.partitionBy("clip_id").orderBy(F.desc("_i"), F.desc("_side"), F.desc_nulls_last("_ts")).rowsBetween(Window.unboundedPreceding, 0)
+    both = e.unionByName(f, allowMissingColumns=True).withColumn("ts_us", F.last("_ts", ignorenulls=True).over(back))
     return both.where("_side = 0").select(*frames.columns, "ts_us")
 
 
+def sidecar_seconds(rows: DataFrame, frame_ts: DataFrame, fps: float = 30.0) -> DataFrame:
+    """Rows (video_path, event_timestamp, ...) with seconds, the nearest frame of the video's time file over its frame rate, and
+    sidecar_problem, null without a time file or where the lookup worked.
+
+    frame_ts: (video_path, frame_index, ts_us), one row with nulls for a time file without entries; ``fps`` or, where there is one, its
+    column fps. Both sides are one linear pass per video."""
+    rate = F.coalesce(F.max("fps"), F.lit(fps)) if "fps" in frame_ts.columns else F.lit(fps)
+    bounds = frame_ts.groupBy("video_path").agg(F.min("ts_us").alias("_low"), F.max("ts_us").alias("_high"), F.count("ts_us").alias("_n"), rate.alias("_fps"))
+    entries = frame_ts.where("video_path is not null and ts_us is not null").select("video_path", "frame_index", "ts_us")
+    found = nearest_frame(rows.withColumn("ts_us", F.col("event_timestamp")), entries, key="video_path").join(bounds, "video_path", "left")
+    range_text = F.format_string("timestamp_out_of_range:%d:range=%d..%d", "event_timestamp", "_low", "_high")
+    problem = F.when(F.col("_n") == 0, "empty_timestamp_mapping").when(F.col("event_timestamp").isNotNull() & F.col("frame_error").isNotNull() & F.col("_n").isNotNull(), range_text)
+    return found.withColumns({"seconds": F.when(F.col("frame_error").isNull(), F.col("frame_index") / F.col("_fps")), "sidecar_problem": problem}).select(*rows.columns, "seconds", "sidecar_problem")
+
+
 def pending_segments(segments: DataFrame, outputs: DataFrame) -> DataFrame:
     """Segments without a meaningful output; outputs: (clip_id, event_start_us, size, content)."""
     good = outputs.where((F.col("size") > 1) & (F.trim(F.coalesce("content", F.lit(""))) != "") & ~F.trim("content").isin("null", "{}", "[]", "~"))
@@ -135,12 +153,61 @@ def plan_extraction(matched: DataFrame, clips: DataFrame, existing: DataFrame, c
 def resolve_video(labels: DataFrame, files: DataFrame) -> DataFrame:
     """Labels (row_index, clip_id, video_path_hint) with their video: the hint if such a file exists, else the clip's file of
     least priority. files: (path, clip_id, priority, source)."""
-    hinted = labels.where("video_path_hint is not null").join(files.select(F.col("path").alias("video_path_hint")).distinct(), "video_path_hint", "left_semi")
-    best = files.groupBy("clip_id").agg(F.min(F.struct("priority", "path", "source")).alias("b"))
-    out = labels.join(hinted.select("row_index", F.lit(True).alias("_hint")), "row_index", "left").join(best, "clip_id", "left")
-    path = F.when(F.col("_hint"), F.col("video_path_hint")).otherwise(F.col("b.path"))
-    source = F.when(F.col("_hint"), "hint").when(F.col("b").isNotNull(), F.col("b.source"))
-    return out.select(*labels.columns, path.alias("video_path"), source.alias("video_source"))
+    best = files.groupBy("clip_id").agg(F.min(F.struct("priority", "path", "source")).alias("_best"))
+    return _with_video(labels, files, labels.join(best, "clip_id", "left"))
+
+
+def _with_video(labels: DataFrame, files: DataFrame, found: DataFrame) -> DataFrame:
+    """found: labels with _best, a struct of path and source."""
+    there = files.select(F.col("path").alias("video_path_hint"), F.lit(True).alias("_there")).where("video_path_hint is not null").distinct()
+    out = found.join(there, "video_path_hint", "left")
+    hint = F.coalesce(F.col("_there"), F.lit(False))
+    path = F.when(hint, F.col("video_path_hint")).otherwise(F.col("_best.path"))
+    return out.select(*labels.columns, path.alias("video_path"), F.when(hint, "hint").otherwise(F.col("_best.source")).alias("video_source"))
+
+
+# fixed values: where a clip's raw video can lie below the root, by priority; {clip}, {grp} (four characters of it) and {camera} are filled in
+VIDEO_PLACES = (
+    "camera/{clip}.{camera}.mp4",
+    "{clip}.{camera}.mp4",
+    "{clip}_fpv.mp4",
+    "{clip}.mp4",
+    "{grp}/{clip}/recordings/recorder-00/{camera}.mp4",
+    "{clip}/recordings/recorder-00/{camera}.mp4",
+)
+
+
+def find_videos(labels: DataFrame, files: DataFrame, root: str, camera: str = CAMERA) -> DataFrame:
+    """Labels (row_index, clip_id, video_path_hint, maybe camera_name) with video_path and video_source: "hint" if the hint is a file,
+    "video_root" for the clip's first place below ``root`` that has one, nulls if none has. files: (path).
+
+    The row's own camera comes before ``camera``. Beyond ``VIDEO_PLACES``, a video in another recorder's folder is next (first in the clip's
+    group, then in any), then one at any depth of the clip's folder (first at the root, then in its group); of several, the
+    least path. Everything is equi-joins: exact places by path, the others by clip and camera, which a file's path gives."""
+    base = root.rstrip("/") + "/"
+    rows = labels.where("clip_id is not null").select("row_index", "clip_id", F.coalesce(present(F.col("camera_name")), F.lit(camera)).alias("camera") if "camera_name" in labels.columns else F.lit(camera).alias("camera"))
+    below = files.where(F.col("path").startswith(base)).select("path", F.substring("path", len(base) + 1, 1 << 20).alias("rel")).distinct()
+
+    def filled(place: str) -> Column:
+        out = F.lit(place)
+        for name, value in (("{grp}", F.substring("clip_id", 1, 4)), ("{clip}", F.col("clip_id")), ("{camera}", F.col("camera"))):
+            out = F.replace(out, F.lit(name), value)
+        return out
+
+    exact = rows.select("row_index", F.posexplode(F.array(*[filled(p) for p in VIDEO_PLACES])).alias("priority", "rel")).join(below, "rel").select("row_index", "priority", "path")
+    part = F.split("rel", "/")
+    n = F.size(part)
+    deep = below.withColumns({"part": part, "n": n, "camera": F.regexp_extract(F.element_at(part, -1), r"^(.+)\.mp4$", 1)}).where("n >= 2 and camera <> ''")
+    p = lambda i: F.get("part", F.lit(i))
+    in_recorder = (F.col("n") == 5) & (p(2) == "recordings") & p(3).startswith("recorder-")
+    grouped = p(0) == F.substring(p(1), 1, 4)
+    kinds = [(in_recorder & grouped, p(1)), (in_recorder, p(1)), (F.lit(True), p(0)), (grouped & (F.col("n") >= 3), p(1))]
+    at = len(VIDEO_PLACES)
+    options = F.filter(F.array(*[F.when(cond, F.struct(clip.alias("clip_id"), F.lit(at + i).alias("priority"))) for i, (cond, clip) in enumerate(kinds)]), lambda x: x.isNotNull())
+    places = deep.select("path", "camera", F.explode(options).alias("o")).groupBy("o.clip_id", "camera").agg(F.min(F.struct("o.priority", "path")).alias("f"))
+    others = rows.join(places, ["clip_id", "camera"]).select("row_index", "f.priority", "f.path")
+    best = exact.unionByName(others).groupBy("row_index").agg(F.min(F.struct("priority", "path", F.lit("video_root").alias("source"))).alias("_best"))
+    return _with_video(labels, files, labels.join(best, "row_index", "left"))
 
 
 def clip_chunk(clips: DataFrame, index: DataFrame) -> DataFrame:

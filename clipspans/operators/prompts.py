@@ -108,22 +108,32 @@ def stage_prompts(labels: DataFrame, stage: int, template: str, label: str = "co
     return labels.withColumn("prompt", F.format_string(template, own, F.to_json(F.struct(*metadata)))).withColumn("stage", F.lit(stage))
 
 
-def stage_window(labels: DataFrame, stage: int, saved: str = "hint_is_saved_segment", seconds: str | None = None, mode: str = "auto", full: bool = False) -> DataFrame:
-    """start_s, duration_s and window_error of a stage's part of the video.
+VIDEO_MODES = ("auto", "raw", "segment_8s")
 
-    A saved segment begins at the stage's offset. Else the event's second is ``seconds``, a sidecar lookup's (modes auto and sidecar),
-    or the event's time in microseconds, if from 0 to 600 s (auto without a lookup, and relative). Errors:
-    missing_event_timestamp, missing_timestamp_sidecar, timestamp_requires_sidecar, unsupported_timestamp_mode."""
+
+def stage_window(labels: DataFrame, stage: int, saved: str = "hint_is_saved_segment", seconds: str | None = None, problem: str | None = None, source: str | None = None, mode: str = "auto", video_mode: str = "auto", full: bool = False) -> DataFrame:
+    """start_s, duration_s, video_mode and window_error of a stage's part of the video.
+
+    A saved segment begins at the stage's offset. With video_mode auto only a row's own hinted video can be one: ``saved`` says
+    that the hint is, ``source`` names the column that says whether the video is the hint (none: it always is). Else the event's
+    second is ``seconds``, a time file's lookup (modes auto and sidecar), or the event's time in microseconds, if from 0 to
+    600 s (relative, and auto without a time file). ``problem`` names the column that says why a lookup in a time file failed.
+    Errors: missing_event_timestamp, timestamp_sidecar_error, missing_timestamp_sidecar, timestamp_requires_sidecar, unsupported_timestamp_mode."""
+    if video_mode not in VIDEO_MODES:
+        raise ValueError(f"video_mode is one of {VIDEO_MODES}")
     offset, duration = FULL_WINDOW if full and stage == 2 else STAGE_WINDOWS[stage]
     stamp, none = F.col("event_timestamp"), F.lit(None).cast("double")
     relative = F.when((stamp >= 0) & (stamp <= RELATIVE_LIMIT_S * 1e6), stamp / 1e6)
     looked_up = none if seconds is None else F.col(seconds).cast("double")
+    failed = F.lit(None).cast("string") if problem is None or mode == "relative" else F.concat(F.lit("timestamp_sidecar_error:"), F.col(problem))
     second = {"auto": F.coalesce(looked_up, relative), "sidecar": looked_up, "relative": relative}.get(mode, none)
-    problem = {"sidecar": "missing_timestamp_sidecar"}.get(mode, "timestamp_requires_sidecar") if mode in TIME_MODES else f"unsupported_timestamp_mode:{mode}"
-    is_saved = F.coalesce(F.col(saved), F.lit(False))
-    error = F.when(is_saved, F.lit(None).cast("string")).when(stamp.isNull(), "missing_event_timestamp").when(second.isNull(), problem)
+    lacking = {"sidecar": "missing_timestamp_sidecar"}.get(mode, "timestamp_requires_sidecar") if mode in TIME_MODES else f"unsupported_timestamp_mode:{mode}"
+    own = F.coalesce(F.col(saved), F.lit(False)) & (F.lit(True) if source is None else F.coalesce(F.col(source) == "hint", F.lit(False)))
+    is_saved = own if video_mode == "auto" else F.lit(video_mode == "segment_8s")
+    error = F.when(is_saved, F.lit(None).cast("string")).when(stamp.isNull(), "missing_event_timestamp")
+    error = (error.when(failed.isNotNull(), failed) if mode in TIME_MODES else error).when(second.isNull(), lacking)
     start = F.when(is_saved, F.lit(offset)).otherwise(F.greatest(F.lit(0.0), second - 2.0 + offset))
-    return labels.withColumns({"start_s": F.when(error.isNull(), start), "duration_s": F.when(error.isNull(), F.lit(duration)), "window_error": error})
+    return labels.withColumns({"start_s": F.when(error.isNull(), start), "duration_s": F.when(error.isNull(), F.lit(duration)), "video_mode": F.when(is_saved, "segment_8s").otherwise("raw"), "window_error": error})
 
 
 def lane_token(text: Column) -> Column:

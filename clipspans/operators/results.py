@@ -44,20 +44,29 @@ def echo_model(prompts: list[str]) -> list[str]:
     return ["{}" for _ in prompts]
 
 
-def score_with(rows: DataFrame, model: Callable[[list[str]], list[str]] = echo_model, prompt: str = "prompt", parallel: int | None = None) -> DataFrame:
-    """Rows with response and api_error. A failing call marks its rows; it never fails the job. ``parallel`` bounds the calls at a time."""
+ANSWER = "response string, finish_reason string, max_tokens_used bigint"
+
+
+def score_with(rows: DataFrame, model: Callable[[list[str]], list] = echo_model, prompt: str = "prompt", parallel: int | None = None) -> DataFrame:
+    """Rows with response, finish_reason, max_tokens_used and api_error. An answer is a text, or a dict of the first three. A failing
+    call marks its rows; it never fails the job. ``parallel`` bounds the calls at a time."""
     rows = rows if parallel is None else rows.repartition(parallel)
+    names = [f.split()[0] for f in ANSWER.split(", ")]
 
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             try:
-                yield pd.DataFrame({"response": model(batch.tolist()), "api_error": None}, index=batch.index).astype({"api_error": "object"})
+                found = [a if isinstance(a, dict) else {"response": a} for a in model(batch.tolist())]
+                if len(found) != len(batch):
+                    raise ValueError(f"{len(found)} answers to {len(batch)} prompts")
+                out = pd.DataFrame([[a.get(n) for n in names] + [None] for a in found], columns=[*names, "api_error"], index=batch.index)
             except Exception as problem:  # what a user's model raises is a result here
-                yield pd.DataFrame({"response": None, "api_error": f"api_error:{type(problem).__name__}:{problem}"}, index=batch.index).astype("object")
+                out = pd.DataFrame({**dict.fromkeys(names), "api_error": f"api_error:{type(problem).__name__}:{problem}"}, index=batch.index)
+            yield out.astype({n: "object" for n in out} | {"max_tokens_used": "Int64"})
 
     ask.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    call = F.pandas_udf(ask, "response string, api_error string")
-    return rows.withColumn("_r", call(F.col(prompt))).select(*rows.columns, "_r.response", "_r.api_error")
+    call = F.pandas_udf(ask, f"{ANSWER}, api_error string")
+    return rows.withColumn("_r", call(F.col(prompt))).select(*rows.columns, "_r.*")
 
 
 def parse_responses(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -116,6 +116,35 @@ def _video(spark, d):
     return joins.resolve_video(labels, files).select("row_index", "video_path", "video_source")
 
 
+# the places of a clip's video by its number's remainder, as (remainders, place); {g} four characters of the clip
+_PLACES = [
+    ([0, 5], "/v/camera/{c}.{m}.mp4"), ([1, 5], "/v/{c}.{m}.mp4"), ([2, 6], "/v/{c}_fpv.mp4"), ([3, 6], "/v/{c}.mp4"), ([4, 7], "/v/{g}/{c}/recordings/recorder-00/{m}.mp4"), ([8, 7], "/v/{c}/recordings/recorder-00/{m}.mp4"),
+    ([9, 10], "/v/{g}/{c}/recordings/recorder-03/{m}.mp4"), ([10, 11], "/v/other/{c}/recordings/recorder-02/{m}.mp4"), ([12, 13], "/v/{c}/deep/er/{m}.mp4"), ([13, 14], "/v/{g}/{c}/some/{m}.mp4"), ([15], "/w/{c}.mp4"), ([16], "/v/{c}/recordings/recorder-05/wrong.mp4"),
+]
+
+
+def _place(text: str) -> str:
+    return "'" + text.replace("{c}", "' || clip || '").replace("{g}", "' || clip[:4] || '").replace("{m}", "' || cam || '") + "'"
+
+
+_HIT = "case " + " ".join(f"when i % 17 in ({', '.join(map(str, r))}) then {k}" for k, (r, _) in enumerate(_PLACES[:10])) + " end"
+_PATH = "case k " + " ".join(f"when {k} then {_place(p)}" for k, (_, p) in enumerate(_PLACES[:10])) + " end"
+
+
+@query("j10_find_videos", f"""select i as row_index, case when i % 5 = 2 then '/h/' || i || '.mp4' else {_PATH} end as video_path, case when i % 5 = 2 then 'hint' when k is not null then 'video_root' end as video_source from
+  (select *, {_HIT} as k from (select row_index as i, clip_id || '-' || row_index as clip, case when row_index % 3 = 0 then 'camera_rear' else 'cam' end as cam from labels_in where clip_id is not null))""", "labels_in")
+def _find_videos(spark, d):
+    """Every place of a raw video, two at a time for some clips, with the row's own camera for every third row; hints that exist for every
+    fifth row, and hints that are gone for the next."""
+    rows = inputs.labels(spark, d).where("clip_id is not null")
+    i = F.col("row_index")
+    rows = rows.select("row_index", F.concat_ws("-", "clip_id", "row_index").alias("clip_id"), F.when(i % 3 == 0, "camera_rear").when(i % 3 == 1, "").alias("camera_name"), F.when(i % 5 >= 2, F.concat(F.lit("/h/"), i, F.lit(".mp4"))).alias("video_path_hint"))
+    named = rows.withColumn("m", F.when(i % 3 == 0, "camera_rear").otherwise("cam"))
+    put = lambda p: F.replace(F.replace(F.replace(F.lit(p), F.lit("{c}"), F.col("clip_id")), F.lit("{g}"), F.substring("clip_id", 1, 4)), F.lit("{m}"), F.col("m"))
+    there = F.filter(F.array(*[F.when((i % 17).isin(r), put(p)) for r, p in _PLACES], F.when(i % 5 == 2, F.col("video_path_hint"))), lambda x: x.isNotNull())
+    return joins.find_videos(rows, named.select(F.explode(there).alias("path")), "/v", "cam").select("row_index", "video_path", "video_source")
+
+
 @query("j11_clip_chunk", "select clip_id, case when clip_id not like '%5' then length(clip_id) end as chunk from timing", "timing")
 def _chunk(spark, d):
     t = inputs.clip_timing(spark, d)
@@ -176,29 +205,46 @@ def _messages(spark, d):
     return m.select("row_index", F.size("messages").alias("messages"), F.size(F.element_at("messages", 2)["content"]).alias("user_parts"), F.element_at(F.element_at("messages", 2)["content"], 2)["content"].alias("last_content"))
 
 
-@query("e7_stage_prompts", """select row_index, 'Label {"label":"' || coc_label || '"} of {"row_index":' || row_index || '}' as prompt, 2 as stage from labels_in""", "labels_in")
+@query("e7_stage_prompts", """select row_index, 'Label {"label":' || to_json(coc_label)::varchar || '} of {"row_index":' || row_index || '}' as prompt, 2 as stage from labels_in""", "labels_in")
 def _stage_prompts(spark, d):
     return prompts.stage_prompts(inputs.labels(spark, d), 2, "Label %s of %s", metadata=("row_index",)).select("row_index", "prompt", "stage")
 
 
-@query("e8_stage_window", """select row_index, mode, wide, case when saved then o when err is null then greatest(0, sec - 2 + o) end as start_s, case when saved or err is null then d end as duration_s, case when not saved then err end as window_error from
-  (select *, case when us is null then 'missing_event_timestamp' when mode = 'other' then 'unsupported_timestamp_mode:other' when sec is null and mode = 'sidecar' then 'missing_timestamp_sidecar' when sec is null then 'timestamp_requires_sidecar' end as err from
+@query("e8_stage_window", """select row_index, mode, video, wide, case when saved then 'segment_8s' else 'raw' end as video_mode, case when err is null then case when saved then o else greatest(0, sec - 2 + o) end end as start_s, case when err is null then d end as duration_s, err as window_error from
+  (select *, case when saved then null when us is null then 'missing_event_timestamp' when mode = 'other' then 'unsupported_timestamp_mode:other' when bad is not null and mode <> 'relative' then 'timestamp_sidecar_error:' || bad when sec is null and mode = 'sidecar' then 'missing_timestamp_sidecar' when sec is null then 'timestamp_requires_sidecar' end as err from
   (select *, case mode when 'auto' then coalesce(side, rel) when 'sidecar' then side when 'relative' then rel end as sec from
-  (select row_index, mode, wide, row_index % 10 = 0 as saved, case when wide then 0.0e0 else 2.0e0 end as o, case when wide then 8.0e0 else 6.0e0 end as d, us, case when row_index % 4 = 1 then 7.5e0 end as side, case when us between 0 and 600000000 then us / 1e6 end as rel
-  from (select row_index, case when row_index % 7 = 0 then null when row_index % 11 = 0 then -5 else row_index * 1000000 end as us from labels_in), (select unnest(['auto', 'sidecar', 'relative', 'other']) as mode), (select unnest([false, true]) as wide))))""", "labels_in")
+  (select row_index, mode, video, wide, case video when 'auto' then row_index % 10 = 0 and row_index % 20 = 0 when 'raw' then false else true end as saved, case when wide then 0.0e0 else 2.0e0 end as o, case when wide then 8.0e0 else 6.0e0 end as d, us, case when row_index % 4 = 1 then 7.5e0 end as side, case when row_index % 4 = 3 then 'gone' end as bad, case when us between 0 and 600000000 then us / 1e6 end as rel
+  from (select row_index, case when row_index % 7 = 0 then null when row_index % 11 = 0 then -5 else row_index * 1000000 end as us from labels_in), (select unnest(['auto', 'sidecar', 'relative', 'other']) as mode), (select unnest(['auto', 'raw', 'segment_8s']) as video), (select unnest([false, true]) as wide))))""", "labels_in")
 def _stage_window(spark, d):
-    """All time modes, with the usual and the whole window of stage 2; negative, missing and late times."""
+    """All modes, with the usual and the whole window of stage 2; negative, missing and late times; time files without the event; every
+    second hint of a saved segment is gone, so that the raw video is taken."""
     i = F.col("row_index")
     labels = inputs.labels(spark, d).withColumns({
         "event_timestamp": F.when(i % 7 == 0, F.lit(None)).when(i % 11 == 0, -5).otherwise(i * 1000000).cast("bigint"),
-        "hint_is_saved_segment": i % 10 == 0, "side": F.when(i % 4 == 1, 7.5),
+        "hint_is_saved_segment": i % 10 == 0, "video_source": F.when(i % 20 == 0, "hint").otherwise("video_root"), "side": F.when(i % 4 == 1, 7.5), "bad": F.when(i % 4 == 3, "gone"),
     })
-    out = [prompts.stage_window(labels, 2, seconds="side", mode=mode, full=wide).withColumns({"mode": F.lit(mode), "wide": F.lit(wide)}) for mode in ("auto", "sidecar", "relative", "other") for wide in (False, True)]
-    return reduce(lambda a, b: a.unionByName(b), out).select("row_index", "mode", "wide", "start_s", "duration_s", "window_error")
-
-
-@query("e11_needs_repair", """select row_index, case when type = '' then null when k = 3 then 'keep_lane_despite_prior' when t <> type then 'type:' || t || '->' || type when side <> '' and c <> side then 'direction:' || case when c = '' then 'none' else c end || '->' || side end as reason from
-  (select row_index, row_index % 6 + 1 as k, ['lane_change', 'nudge', 'keep_lane', 'turn', 'unknown', 'unknown'][row_index % 6 + 1] as t, ['left', 'right', '', 'right', '', ''][row_index % 6 + 1] as c, ['', 'lane_change', 'nudge'][row_index % 5 % 3 + 1] as type, ['left', 'right', ''][row_index % 7 % 3 + 1] as side from labels_in)""", "labels_in")
+    out = [
+        prompts.stage_window(labels, 2, seconds="side", problem="bad", source="video_source", mode=mode, video_mode=video, full=wide).withColumns({"mode": F.lit(mode), "video": F.lit(video), "wide": F.lit(wide)})
+        for mode in (*prompts.TIME_MODES, "other") for video in prompts.VIDEO_MODES for wide in (False, True)
+    ]
+    return reduce(lambda a, b: a.unionByName(b), out).select("row_index", "mode", "video", "wide", "video_mode", "start_s", "duration_s", "window_error")
+
+
+@query("e8_sidecar_seconds", """select r.row_index, case when us between low and high then nearest / 30.0e0 end as seconds, case when n = 0 then 'empty_timestamp_mapping' when us not between low and high then 'timestamp_out_of_range:' || us || ':range=' || low || '..' || high end as sidecar_problem
+  from (select row_index, clip_id || '.mp4' as video, us from rows_in where us is not null and clip_id is not null) r left join
+  (select row_index, min(ts) as low, max(ts) as high, count(ts) as n, arg_min(f, (abs(ts - us), ts)) as nearest from rows_in join (select 'c' || c as clip_id, f, case when c % 10 <> 4 then c * 70000 + f * 33333 end as ts from range(0, 50) t(c), range(0, 300) u(f) where c % 10 <> 3 and (c % 10 <> 4 or f = 0)) using (clip_id) group by row_index) using (row_index)""", "rows_in")
+def _sidecar_seconds(spark, d):
+    """Videos with a time file of 300 frames, some without one and some with an empty one; events before, in and after them."""
+    rows = text.normalize_record(inputs.labels(spark, d)).where("event_timestamp is not null and clip_id is not null").select("row_index", F.concat("clip_id", F.lit(".mp4")).alias("video_path"), "event_timestamp", "clip_id")
+    c = F.substring("clip_id", 2, 9).cast("bigint")
+    clips = rows.select("video_path", c.alias("c")).distinct().where("c % 10 <> 3")
+    frames = clips.withColumn("frame_index", F.explode(F.when(F.col("c") % 10 == 4, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(299)))))
+    ts = frames.select("video_path", "frame_index", F.when(F.col("c") % 10 != 4, F.col("c") * 70000 + F.col("frame_index") * 33333).alias("ts_us"))
+    return joins.sidecar_seconds(rows, ts).select("row_index", "seconds", "sidecar_problem")
+
+
+@query("e11_needs_repair", """select row_index, case when type = '' then null when t = 'keep_lane' then 'keep_lane_despite_prior' when t <> type then 'type:' || t || '->' || type when side <> '' and c <> side then 'direction:' || case when c = '' then 'none' else c end || '->' || side end as reason from
+  (select row_index, type as t, side as c, ['', 'lane_change', 'nudge'][row_index % 5 % 3 + 1] as type, ['left', 'right', ''][row_index % 7 % 3 + 1] as side from claims_in)""", "claims_in")
 def _needs_repair(spark, d):
     pick = lambda values, by: F.element_at(F.array(*[F.lit(v) for v in values]), (by % 3 + 1).cast("int"))
     labels = inputs.labels(spark, d).withColumns({"expected_type": pick(["", "lane_change", "nudge"], F.col("row_index") % 5), "expected_direction": pick(["left", "right", ""], F.col("row_index") % 7)})
@@ -262,18 +308,30 @@ def _stage(spark, d):
     return out.select("row_index", "ok", F.col("evaluation")["a"].alias("answer"))
 
 
-@query("u4_run_stage", """select row_index, error is null as ok, error, case when error is null then case when row_index % 5 = 0 then 0.0e0 else greatest(0, us / 1e6 - 2) end end as start_s, case when error is null then 'x' || length(coc_label) end as answer, case when error is null then video end as video_path
-  from (select *, case when clip_id is null then 'missing_clip_id' when trim(coc_label) = 'nan' then 'missing_coc_label' when event_timestamp = 'x1' then 'invalid_timestamp:x1' when video is null then 'missing_video' when row_index % 5 = 0 then null when us is null then 'missing_event_timestamp' when us > 600000000 then 'timestamp_requires_sidecar' end as error
-  from (select *, try_cast(event_timestamp as bigint) as us, case when clip_id[-1] in ('1', '2', '3', '4', '5', '6') then clip_id || '.mp4' end as video from labels_in))""", "labels_in")
+# a stage 3 run: hints of saved segments, of which every second is gone; raw videos for some clips; time files for clips ending in 1 or 2, an
+# empty one for those in 2
+_STAGE = """(select *, case when error is null and base is not null then greatest(0, base) end as start_s from (select *, case when reject_reason is not null then reject_reason when video is null then 'missing_video' when saved then null when us is null then 'missing_event_timestamp'
+  when clip_id[-1] = '2' then 'timestamp_sidecar_error:empty_timestamp_mapping' when clip_id[-1] = '1' and us not between 0 and 29900000 then 'timestamp_sidecar_error:timestamp_out_of_range:' || us || ':range=0..29900000' when clip_id[-1] <> '1' and us not between 0 and 600000000 then 'timestamp_requires_sidecar' end as error,
+  case when saved then 0.0e0 when clip_id[-1] = '1' then (us // 100000 + case when us % 100000 > 50000 then 1 else 0 end) / 10.0e0 - 2 else us / 1e6 - 2 end as base from (select *, case when hinted then '/s/' || row_index || '.mp4' when clip_id[-1] in ('1', '2', '3', '4') then '/v/' || clip_id || '.mp4' end as video, coalesce(hinted, false) as saved
+  from (select *, row_index % 10 = 0 as hinted from rows_in))))"""
+
+
+@query("u4_run_stage", f"""select row_index, case when reject_reason is not null then 'row_' || row_index else clip_id || '_' || coalesce(us::varchar, 'None') || '_' || row_index end as row_key, error is null as ok, error, case when reject_reason is null then clip_id end as clip, start_s, case when error is null then 'x' || length(label) end as answer,
+  case when reject_reason is null then video end as video_path, case when reject_reason is null and video is not null then case when saved then 'segment_8s' else 'raw' end end as video_mode, case when error is null then case when saved then video else clip_id || '_' || coalesce(nullif(us, 0), row_index) || '_stage3.mp4' end end as segment,
+  case when error is null then 'stop' end as finish_reason, case when error is null then 'm' end as evaluator_model_name, '8s_full' as video_segment, 3 as stage from {_STAGE}""", "rows_in")
 def _run_stage(spark, d):
     """Two runs of a whole stage; the first model fails on every third row, the second one doesn't."""
-    labels = inputs.labels(spark, d).withColumns({"video_path_hint": F.lit(None).cast("string"), "hint_is_saved_segment": F.col("row_index") % 5 == 0})
-    files = labels.where("substring(clip_id, -1) in ('1', '2', '3', '4', '5', '6')").select(F.concat("clip_id", F.lit(".mp4")).alias("path"), "clip_id", F.lit(1).alias("priority"), F.lit("raw").alias("source")).distinct()
+    i = F.col("row_index")
+    labels = inputs.labels(spark, d).withColumns({"video_path_hint": F.when(i % 5 == 0, F.concat(F.lit("/s/"), i, F.lit(".mp4"))), "hint_is_saved_segment": i % 5 == 0})
+    clips = labels.where("substring(clip_id, -1) in ('1', '2', '3', '4')").select("clip_id").distinct()
+    files = clips.select(F.concat(F.lit("/v/"), "clip_id", F.lit(".mp4")).alias("path")).unionByName(labels.where("row_index % 10 = 0").select(F.col("video_path_hint").alias("path")))
+    timed = clips.select(F.concat(F.lit("/v/"), "clip_id", F.lit(".mp4")).alias("video_path"), F.substring("clip_id", -1, 1).alias("k")).where("k in ('1', '2')")
+    frames = timed.select("video_path", "k", F.explode(F.when(F.col("k") == "1", F.sequence(F.lit(0), F.lit(299))).otherwise(F.array(F.lit(0)))).alias("f")).select("video_path", F.when(F.col("k") == "1", F.col("f")).alias("frame_index"), F.when(F.col("k") == "1", F.col("f") * 100000).cast("bigint").alias("ts_us"))
     path = inputs.shared_path(spark)
-    answer = lambda p: f'{{"s_score": 1, "explanation": "x{len(p)}"}}'
+    answer = lambda p: {"response": f'\n{{"s_score": 1, "explanation": "x{len(p)}"}}\n', "finish_reason": "stop", "max_tokens_used": 9}
     for model in (lambda batch: ["?" if k % 3 == 0 else answer(p) for k, p in enumerate(batch)], lambda batch: [answer(p) for p in batch]):
-        out = stages.run_stage(labels, files, path, 3, F.col("coc_label"), ["s_score", "explanation"], model, mode="relative")
-    return out.select("row_index", "ok", "error", "start_s", F.col("evaluation")["explanation"].alias("answer"), F.when(F.col("ok"), F.col("video_path")).alias("video_path"))
+        out = stages.run_stage(labels, files, path, 3, F.col("coc_label"), ["s_score", "explanation"], model, model_name="m", root="/v", frame_ts=frames, fps=10.0)
+    return out.select("row_index", "row_key", "ok", "error", F.col("clip_id").alias("clip"), F.col("segment_start_sec").alias("start_s"), F.col("evaluation")["explanation"].alias("answer"), F.col("source_video_path").alias("video_path"), "video_mode", F.col("segment_mp4_path").alias("segment"), "finish_reason", "evaluator_model_name", "video_segment", "stage")
 
 
 @query("w1_compact_stream", """select row_key, line_no, ok, size from (select *, row_number() over (partition by row_key order by ok desc, line_no desc) as r from log) where r = 1 or row_key is null""", "log")

@@ -63,7 +63,7 @@ def _segment_lists(spark, d):
     return keyframes.drop_duplicate_segments(tables.read_segment_lists(spark, paths, times=[["none", "event_start_timestamp"], ["ts"], ["when_us", "ts"]]))
 
 
-@query("s8_label_tables", "select row_index, kind, clip_id, case when trim(coc_label) <> 'nan' then coc_label end as coc_label, nullif(event_timestamp, '') as event_timestamp from labels_in, (select unnest(['csv', 'jsonl', 'parquet']) as kind)", "labels_in")
+@query("s8_label_tables", "select row_index, kind, clip_id, case when row_index % 6 <> 5 then regexp_replace(coc_label, '^\\s+|\\s+$', '', 'g') end as coc_label, nullif(trim(event_timestamp, ' ' || chr(10)), '') as event_timestamp from labels_in, (select unnest(['csv', 'jsonl', 'parquet']) as kind)", "labels_in")
 def _label_tables(spark, d):
     base = shared_path(spark)
     labels = inputs.labels(spark, d).withColumnRenamed("coc_label", "label").withColumn("spare", F.lit(None).cast("string"))

@@ -88,15 +88,14 @@ def frame_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Assistant turns as model answers of seven forms: JSON, fenced, after thinking, none, with a bad score, in single quotes, or
-    without a score; an explanation is there where the text's length is even."""
-    c = _read(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", F.length("text").alias("n"))
-    k = (F.col("conv_id") + F.col("turn")) % 7
-    more = F.when(F.col("n") % 2 == 0, ', "explanation": "so"').otherwise("")
-    body = F.concat(F.lit('{"scene_score": "0.'), (F.col("n") % 10).cast("string"), F.lit('", "decision_supported_by_video": "'), F.when(k == 4, "true").otherwise("1"), F.lit('"'), more, F.lit("}"))
+    """Assistant turns as model answers of nine forms, with the turn's text as explanation: JSON, fenced, after thinking and line
+    breaks, none, with a bad score, in single quotes, without a score, only white space, and with text and line breaks around."""
+    c = _read(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", "text", F.length("text").alias("n"))
+    k = (F.col("conv_id") + F.col("turn")) % 9
+    said = F.to_json(F.struct(F.concat(F.lit("0."), (F.col("n") % 10).cast("string")).alias("scene_score"), F.when(k == 4, "true").otherwise("1").alias("decision_supported_by_video"), F.col("text").alias("explanation")))
     text = (
-        F.when(k == 1, F.concat(F.lit("Here:\n```json\n"), body, F.lit("\n```"))).when(k == 2, F.concat(F.lit("<think>a {b} c</think> "), body)).when(k == 3, F.lit("no answer"))
-        .when(k == 5, F.lit("{'scene_score': 1, 'decision_supported_by_video': 1}")).when(k == 6, F.lit('{"decision_supported_by_video": 1}')).otherwise(body)
+        F.when(k == 1, F.concat(F.lit("Here:\n```json\n\t"), said, F.lit("\n\n```"))).when(k == 2, F.concat(F.lit("<think>a {b} c</think>\n\n"), said, F.lit("\n"))).when(k == 3, F.lit("no answer"))
+        .when(k == 5, F.lit("{'scene_score': 1, 'decision_supported_by_video': 1}")).when(k == 6, F.lit('{"decision_supported_by_video": 1}')).when(k == 7, F.lit("<think>what?</think>\n \t\n")).when(k == 8, F.concat(F.lit("\r\nSo it is "), said, F.lit("\r\n."))).otherwise(said)
     )
     return c.select("conv_id", "turn", text.alias("response"), F.lit(None).cast("string").alias("api_error"))
 
@@ -111,12 +110,18 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PHRASES = ["Change lanes to the left", "Nudge right to pass", "Keep lane and stop", "Turn right", "Slow down"]
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label rows of the documents: a phrase and the whole text, a missing label in every sixth; times that are missing, wrong, negative
+    or whole."""
     d = _read(spark, sf_dir, "documents")
-    texts = ["Change lanes to the left", "Nudge right to pass", "Keep lane and stop", "Turn right", "Slow down", " nan "]
-    text = F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("doc_id") % 6 + 1).cast("int"))
-    stamp = F.when(F.col("doc_id") % 9 == 0, "x1").when(F.col("doc_id") % 7 == 0, "").otherwise((F.col("doc_id") * 100000).cast("string"))
-    return d.select(F.col("doc_id").alias("row_index"), F.when(F.col("doc_id") % 13 != 0, F.concat(F.lit("c"), (F.col("doc_id") % 50).cast("string"))).alias("clip_id"), stamp.alias("event_timestamp"), text.alias("coc_label"))
+    k = F.col("doc_id")
+    phrase = F.element_at(F.array(*[F.lit(t) for t in PHRASES], F.lit("")), (k % 6 + 1).cast("int"))
+    label = F.when(k % 6 == 5, "\t nan\n").otherwise(F.concat(phrase, F.lit(". "), F.coalesce("text", F.lit(""))))
+    stamp = F.when(k % 9 == 0, "x1").when(k % 7 == 0, "").when(k % 11 == 0, " -5.7\n").otherwise((k * 100000).cast("string"))
+    return d.select(k.alias("row_index"), F.when(k % 13 != 0, F.concat(F.lit("c"), (k % 50).cast("string"))).alias("clip_id"), stamp.alias("event_timestamp"), label.alias("coc_label"))
 
 
 LANE_PIECES = 20
@@ -196,7 +201,10 @@ CTES |= {
     "lane_sets": "(select t.clip_id, t.tick, coalesce(cur, []) as cur, coalesce(nxt, []) as nxt, coalesce(lft, []) as lft, coalesce(rgt, []) as rgt, lane_id from lane_ticks t left join lane_match m using (clip_id, tick) left join (select clip_id, tick, list_distinct(list('L' || j || '_' || i)) as cur, list_distinct(list('L' || j || '_' || (i + k)) filter (k > 0 and i + k < 20)) as nxt, list_distinct(list('L' || (j + 1) || '_' || (i + k)) filter (j < 2 and i + k < 20)) as lft, list_distinct(list('L' || (j - 1) || '_' || (i + k)) filter (j > -2 and i + k < 20)) as rgt from lane_ticks, (select unnest(range(-2, 3)) as j), (select unnest(range(0, 20)) as i), (select unnest(range(0, 6)) as k) where sqrt(pow(y - j * 3.5, 2) + pow(greatest(i * 10 - x, 0, x - i * 10 - 10), 2)) <= 2 group by clip_id, tick) using (clip_id, tick))",
     "lane_now": "(select *, case when a and b then case when list_contains(rgt, lane_id) and not list_contains(lft, lane_id) then 'right_lane_change' else 'left_lane_change' end when a then 'left_lane_change' when b then 'right_lane_change' else 'keep_lane' end as instant from (select *, list_has_any(cur, lft) as a, list_has_any(cur, rgt) as b from lane_sets))",
     "lane_votes": "(select *, case when len(ahead) = 0 then instant when l > 0 and r = 0 then 'left_lane_change' when r > 0 and l = 0 then 'right_lane_change' when l > 0 and r > 0 then case when instant <> 'keep_lane' then instant when l >= r then 'left_lane_change' else 'right_lane_change' end else 'keep_lane' end as vote from (select *, len([e for e in ahead if not list_contains(cur, e) and not list_contains(nxt, e) and list_contains(lft, e)]) as l, len([e for e in ahead if not list_contains(cur, e) and not list_contains(nxt, e) and list_contains(rgt, e) and not list_contains(lft, e)]) as r from (select n.*, h, z.cur as ahead from lane_now n join (select clip_id, max(tick) as last from lane_now group by clip_id) using (clip_id), lateral (select unnest([5, 10, 15, 20]) as h) hs join lane_now z on z.clip_id = n.clip_id and z.tick = least(n.tick + h, last))))",
-    "labels_in": "(select doc_id as row_index, case when doc_id % 13 <> 0 then 'c' || (doc_id % 50) end as clip_id, case when doc_id % 9 = 0 then 'x1' when doc_id % 7 = 0 then '' else cast(doc_id * 100000 as varchar) end as event_timestamp, ['Change lanes to the left', 'Nudge right to pass', 'Keep lane and stop', 'Turn right', 'Slow down', ' nan '][doc_id % 6 + 1] as coc_label from documents)",
+    "labels_in": "(select doc_id as row_index, case when doc_id % 13 <> 0 then 'c' || (doc_id % 50) end as clip_id, case when doc_id % 9 = 0 then 'x1' when doc_id % 7 = 0 then '' when doc_id % 11 = 0 then ' -5.7' || chr(10) else cast(doc_id * 100000 as varchar) end as event_timestamp, case when doc_id % 6 = 5 then chr(9) || ' nan' || chr(10) else ['" + "', '".join(PHRASES) + "'][doc_id % 6 + 1] || '. ' || coalesce(text, '') end as coc_label from documents)",
+    # what normalising makes of them; times are cut, not rounded
+    "rows_in": "(select row_index, clip_id, case when row_index % 6 <> 5 then regexp_replace(coc_label, '^\\s+|\\s+$', '', 'g') end as label, case when row_index % 9 = 0 then null when row_index % 7 = 0 then null when row_index % 11 = 0 then -5 else row_index * 100000 end as us, case when clip_id is null then 'missing_clip_id' when row_index % 6 = 5 then 'missing_coc_label' when row_index % 9 = 0 then 'invalid_timestamp:x1' end as reject_reason from labels_in)",
+    "claims_in": "(select row_index, case when t like '%lane change%' or t like '%change lane%' then 'lane_change' when t like '%nudge%' or t like '%leftward%' or t like '%rightward%' then 'nudge' when t like '%keep lane%' then 'keep_lane' when t like '%turn%' then 'turn' else 'unknown' end as type, case when l and not r then 'left' when r and not l then 'right' else '' end as side from (select row_index, t, contains(' ' || t, ' left') or contains(t, 'left ') as l, contains(' ' || t, ' right') or contains(t, 'right ') as r from (select row_index, lower(coc_label) as t from labels_in)))",
 }
 
 

@@ -348,27 +348,28 @@ def _prior(spark, d):
     return prompts.lateral_prior(prompts.action_window(events, tracks.withColumn("lane", lane)))
 
 
-@query("e10_claims", """select row_index, case when lower(coc_label) like '%change lane%' then 'lane_change' when lower(coc_label) like '%nudge%' then 'nudge' when lower(coc_label) like '%keep lane%' then 'keep_lane' when lower(coc_label) like '%turn%' then 'turn' else 'unknown' end as type,
-  case when coc_label like '%left%' then 'left' when coc_label like '%right%' then 'right' else '' end as direction from labels_in""", "labels_in")
+@query("e10_claims", "select row_index, type, side as direction from claims_in", "claims_in")
 def _claims(spark, d):
     return inputs.labels(spark, d).select("row_index", prompts.claim_from_text(F.col("coc_label")).alias("c")).select("row_index", "c.*")
 
 
-@query("f9_normalize_record", """select row_index, case when clip_id is null then 'missing_clip_id' when trim(coc_label) = 'nan' then 'missing_coc_label' when event_timestamp = 'x1' then 'invalid_timestamp:x1' end as reject_reason, try_cast(event_timestamp as bigint) as event_timestamp from labels_in""", "labels_in")
+@query("f9_normalize_record", "select row_index, reject_reason, us as event_timestamp, label as coc_label from rows_in", "rows_in")
 def _records(spark, d):
-    return text.normalize_record(inputs.labels(spark, d)).select("row_index", "reject_reason", "event_timestamp")
+    return text.normalize_record(inputs.labels(spark, d)).select("row_index", "reject_reason", "event_timestamp", "coc_label")
 
 
-@query("f12_parse_answers", """select conv_id, turn, k not in (3, 4, 6, 5) as ok, case k when 3 then 'json_parse_failed' when 5 then 'json_parse_failed' when 4 then 'validation_error:invalid_score:decision_supported_by_video' when 6 then 'validation_error:missing_score:scene_score' end as parse_error,
-  case when k not in (3, 4, 5, 6) then '0.' || (n % 10) end as scene_score, case when k not in (3, 4, 5, 6) and n % 2 = 0 then 'so' end as explanation from (select conv_id, turn, length(text) as n, (conv_id + turn) % 7 as k from conversations where role = 'assistant')""")
+@query("f12_parse_answers", """select conv_id, turn, k not in (3, 4, 5, 6, 7) as ok, case k when 3 then 'json_parse_failed' when 5 then 'json_parse_failed' when 7 then 'empty_response' when 4 then 'validation_error:invalid_score:decision_supported_by_video' when 6 then 'validation_error:missing_score:scene_score' end as parse_error,
+  case when k not in (3, 4, 5, 6, 7) then '0.' || (n % 10) end as scene_score, case when k not in (3, 4, 5, 6, 7) then text end as explanation from (select conv_id, turn, text, length(text) as n, (conv_id + turn) % 9 as k from conversations where role = 'assistant')""")
 def _answers(spark, d):
     parsed = results.parse_responses(inputs.answers(spark, d), ["scene_score", "decision_supported_by_video", "explanation"])
     return parsed.select("conv_id", "turn", "ok", "parse_error", F.col("evaluation")["scene_score"].alias("scene_score"), F.col("evaluation")["explanation"].alias("explanation"))
 
 
-@query("f14_row_key", "select row_index, case when clip_id is null then 'row_' || row_index else clip_id || '_' || coalesce(nullif(event_timestamp, ''), 'None') || '_' || row_index end as row_key from labels_in", "labels_in")
+@query("f14_row_key", "select row_index, case when reject_reason is not null then 'row_' || row_index else clip_id || '_' || coalesce(us::varchar, 'None') || '_' || row_index end as row_key from rows_in", "rows_in")
 def _row_key(spark, d):
-    return inputs.labels(spark, d).select("row_index", text.row_key(F.col("clip_id"), text.present(F.col("event_timestamp")), F.col("row_index")).alias("row_key"))
+    """Rows that are rejected for any reason have no clip in their key, though they may have a clip."""
+    rows = text.normalize_record(inputs.labels(spark, d))
+    return rows.select("row_index", text.row_key(F.col("clip_id"), F.col("event_timestamp"), F.col("row_index"), F.col("reject_reason")).alias("row_key"))
 
 
 NAMES = ["KeepSpeed", "Wait", "Accelerate", "Decelerate", "Straight", "KeepLane", "LaneKeep", "LeftLaneChange", "RightLaneChange", "LeftTurn", "RightTurn", "GentleAcceleration", "stop", "  Stop ", "follow_curve_left", "FollowCurveRight", "SlightlyShiftLeft", "None", "none", "Some Thing", "sharp_steer_right", "MaintainSpeed", "turn left"]
