@@ -51,6 +51,47 @@ def _keyframes(spark, d):
     return tables.parse_keyframes(docs.select("value")).drop("ord")
 
 
+_SHAPED = "(select *, event_start_frame % 7 as k, clip_id[-1] in ('1', '4', '7') as listed from keys)"
+
+
+def _index_docs(spark, d):
+    """A document for each clip, of seven kinds of entries: in buckets of one level or three, some of them a bucket's only entry, or in a
+    list at the top for some clips; texts that are file names, numbers and nulls are entries too, or none."""
+    rows = inputs.keyframe_rows(spark, d).withColumns({"k": F.col("event_start_frame") % 7, "listed": F.substring("clip_id", -1, 1).isin("1", "4", "7")})
+    k, name = F.col("k"), lambda c, value: F.concat(F.lit(f'"{c}":'), value)
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    text = lambda c: F.col(c).cast("string")
+    join = lambda *parts: F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    start, end, length, action = name("event_start_frame", text("event_start_frame")), name("event_end_frame", text("event_end_frame")), name("duration", text("duration")), name("meta_action", quoted(F.col("meta_action")))
+    entry = (
+        F.when(k == 0, join(name("clip_id", quoted(F.col("clip_id"))), start, end, action)).when(k == 1, join(name("filename", quoted(F.concat(F.lit("a/"), "clip_id", F.lit(".txt")))), name("start", quoted(text("event_start_frame"))), length, name("action", quoted(F.upper("meta_action")))))
+        .when(k == 2, join(name("file_name", quoted(F.concat("clip_id", F.lit("-2.mp4")))), start, end)).when(k == 3, join(name("video_id", quoted(F.concat("clip_id", F.lit("-3")))), F.lit('"clip_id":null'), start, end)).when(k == 4, quoted(F.concat(F.lit("b/"), "clip_id", F.lit("-4.json"))))
+        .when(k == 5, join(name("clip_id", quoted(F.col("clip_id"))), name("event_start_frame", F.lit('"x"')), end)).otherwise(F.lit("17"))
+    )
+    rows = rows.withColumn("entry", entry)
+    listed = rows.where("listed").groupBy("clip_id").agg(F.concat(F.lit("["), F.array_join(F.collect_list("entry"), ", "), F.lit("]")).alias("value"))
+    lists = rows.where("not listed").groupBy("clip_id", "meta_action").agg(F.collect_list("entry").alias("e"))
+    # one entry of an action with clip_id or filename stands alone, others in a list; every third action lies two buckets deeper
+    alone = (F.size("e") == 1) & (F.element_at("e", 1).contains('"clip_id"') | F.element_at("e", 1).contains('"filename"'))
+    inside = F.when(alone, F.element_at("e", 1)).otherwise(F.concat(F.lit("["), F.array_join("e", ","), F.lit("]")))
+    member = F.concat(quoted(F.col("meta_action")), F.lit(":"), inside)
+    deep = F.concat(F.lit('"x'), F.crc32("meta_action").cast("string"), F.lit('":{"none":3,"y":{'), member, F.lit("}}"))
+    objects = lists.withColumn("part", F.when(F.crc32("meta_action") % 3 == 0, deep).otherwise(member)).groupBy("clip_id").agg(F.concat(F.lit('{"version":"1","empty":{},'), F.array_join(F.collect_list("part"), ","), F.lit("}")).alias("value"))
+    return listed.unionByName(objects).select("value")
+
+
+@query("s5_nested_index", f"select coalesce(case when k = 0 then meta_action when k = 1 then upper(meta_action) when not listed then meta_action end, 'none') as meta_action, clip_id, event_start_frame, event_end_frame, duration from {_SHAPED} where k < 2", "keys")
+def _nested(spark, d):
+    return tables.parse_keyframes(_index_docs(spark, d)).select(F.coalesce("meta_action", F.lit("none")).alias("meta_action"), "clip_id", "event_start_frame", "event_end_frame", "duration")
+
+
+@query("a7_index_clips", f"""select distinct wanted, case when k < 2 or k = 5 then clip_id else clip_id || '-' || k end as clip_id from {_SHAPED}, (select unnest([false, true]) as wanted) where k < 6 and (not wanted or lower(meta_action) in ('stop', 'steer_left') and (k < 2 or not listed))""", "keys")
+def _index_clips(spark, d):
+    docs = _index_docs(spark, d)
+    some = lambda names: tables.index_clip_ids(docs, names).withColumn("wanted", F.lit(names is not None))
+    return some(None).unionByName(some(["STOP", "steer_left"]))
+
+
 @query("s6_segment_lists", "select distinct clip_id, cast(start_us + event_start_frame * dt_us as bigint) as event_start_us from keys join timing using (clip_id)", "keys", "timing")
 def _segment_lists(spark, d):
     """Three lists with rows in common, whose time columns have different names."""

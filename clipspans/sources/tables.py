@@ -15,7 +15,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.functions.text import filename_timestamp, first_present, normalize_clip_id, parse_tag, pick_column, present, valid_timestamp
+from clipspans.functions.text import CAMERA, filename_timestamp, first_present, normalize_clip_id, parse_tag, pick_column, present, valid_timestamp
 
 TICKS = "clip_id string, agent_id string, tick int, x double, y double, z double, vx double, vy double, ax double, ay double, heading double"
 SPAN_LINE = r"^\s*(\w+)\s*-\s*Agent:<ego>,\s*Start:(\d+),\s*End:(\d+)\s*$"
@@ -98,21 +98,66 @@ def write_label_text(lines: DataFrame, path: str) -> None:
     whole.write.partitionBy("clip_id").text(path)
 
 
-KEYFRAME = "meta_action string, clip_id string, filename string, event_start_frame int, start int, event_end_frame int, `end` int, duration int"
+#: Buckets in buckets that an index may have.
+LEVELS = 64
+_MAP, _LIST, _ENTRY = "map<string, variant>", "array<variant>", "struct<bucket: string, ord: int, entry: variant>"
+
+
+def index_entries(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """(bucket, ord, entry) of JSON documents (value), entry as VARIANT: the items of a list at the top (no bucket), and of an object the
+    items of its lists, and the objects with clip_id or filename, under their key; other objects are buckets with the same
+    inside. Other values are no entries; what is no JSON is an error, as are more than ``levels`` buckets in one another.
+
+    Each document is walked in its row, level by level, with the buckets that are still closed; nothing is shuffled."""
+    m = lambda v: f"try_cast({v} as {_MAP})"
+    own = "map_contains_key(n.m, 'clip_id') or map_contains_key(n.m, 'filename')"
+    items = lambda v, bucket: f"transform(coalesce(try_cast({v} as {_LIST}), cast(array() as {_LIST})), (x, i) -> cast(named_struct('bucket', {bucket}, 'ord', i, 'entry', x) as {_ENTRY}))"
+    kids = f"flatten(transform(filter(acc.nodes, n -> not ({own})), n -> transform(map_entries(n.m), e -> named_struct('key', e.key, 'value', e.value))))"
+    known = f"transform(filter(acc.nodes, n -> {own}), n -> cast(named_struct('bucket', n.bucket, 'ord', 0, 'entry', n.v) as {_ENTRY}))"
+    node = f"struct<bucket: string, v: variant, m: {_MAP}>"
+    nodes = f"filter(transform(k, e -> cast(named_struct('bucket', e.key, 'v', e.value, 'm', {m('e.value')}) as {node})), n -> n.m is not null)"
+    found = f"concat(acc.entries, {known}, flatten(transform(k, e -> {items('e.value', 'e.key')})))"
+    # k is computed once: a lambda over an array of one item
+    step = f"element_at(transform(array({kids}), k -> named_struct('nodes', {nodes}, 'entries', {found})), 1)"
+    kind = f"struct<nodes: array<{node}>, entries: array<{_ENTRY}>>"
+    begin = f"cast(named_struct('nodes', filter(array(named_struct('bucket', cast(null as string), 'v', v, 'm', {m('v')})), n -> n.m is not null), 'entries', {items('v', 'cast(null as string)')}) as {kind})"
+    walked = f"aggregate(sequence(1, {levels + 1}), {begin}, (acc, i) -> if(size(acc.nodes) = 0, acc, cast({step} as {kind})))"
+    rows = docs.select(F.parse_json("value").alias("v")).selectExpr(f"{walked} as w")
+    return rows.selectExpr(f"explode(if(size(w.nodes) = 0, w.entries, raise_error('more than {levels} buckets in one another'))) as e").select("e.*")
 
 
 def parse_keyframes(docs: DataFrame) -> DataFrame:
-    """Keyframes of JSON documents (value): action -> list of records, with new or old keys. Rows without a clip, a start, or any of
-    end and duration drop out; the one that is missing follows from the other."""
-    rows = docs.select(F.explode(F.from_json("value", f"map<string, array<struct<{KEYFRAME.replace(' string', ': string').replace(' int', ': int')}>>>")).alias("action", "list"))
-    r = rows.select("action", F.posexplode("list").alias("ord", "r")).select("action", "ord", "r.*")
-    start = F.coalesce("event_start_frame", "start")
-    end = F.coalesce("event_end_frame", "end", start + F.col("duration"))
-    clip = F.coalesce(present(F.col("clip_id")), normalize_clip_id(present(F.col("filename"))))
-    out = r.select(F.coalesce("meta_action", "action").alias("meta_action"), clip.alias("clip_id"), start.alias("event_start_frame"), end.alias("event_end_frame"), F.coalesce("duration", end - start).alias("duration"), "ord")
+    """Keyframes of JSON documents (value) of any shape that ``index_entries`` reads, with new or old keys. Entries without a clip or a start,
+    without end and duration, or with another value than a number drop out; the one of end and duration that is missing
+    follows from the other."""
+    entries = index_entries(docs).withColumn("m", F.expr(f"try_cast(entry as {_MAP})")).where("m is not null")
+    field = lambda name, kind="string": F.expr(f"try_variant_get(entry, '$.{name}', '{kind}')")
+    names = {"start": ("event_start_frame", "start"), "end": ("event_end_frame", "end"), "duration": ("duration",)}
+    # a key that is there, though null, stands before the older one
+    first = lambda keys, of: F.when(F.map_contains_key("m", F.lit(keys[0])), of(keys[0])).otherwise(of(keys[-1]))
+    rows = entries.withColumns({f"_{n}": first(keys, lambda k: field(k, "int")) for n, keys in names.items()} | {f"_{n}_text": first(keys, field) for n, keys in names.items()})
+    for n in names:
+        rows = rows.where(F.col(f"_{n}").isNotNull() | F.col(f"_{n}_text").isNull())
+    start, end = F.col("_start"), F.coalesce("_end", F.col("_start") + F.col("_duration"))
+    clip = F.coalesce(present(field("clip_id")), normalize_clip_id(present(field("filename"))))
+    out = rows.select(F.coalesce(field("meta_action"), field("action"), "bucket").alias("meta_action"), clip.alias("clip_id"), start.alias("event_start_frame"), end.alias("event_end_frame"), F.coalesce("_duration", end - start).alias("duration"), "ord")
     return out.where("clip_id is not null and event_start_frame is not null and event_end_frame is not null")
 
 
+def index_clip_ids(docs: DataFrame, actions: list[str] | None = None, camera: str = CAMERA) -> DataFrame:
+    """Distinct clips that the entries of JSON documents (value) name: texts, or objects by the first of clip_id, filename, file_name and
+    video_id that gives an id. With actions, entries whose bucket or own action is one of them, in any case."""
+    entries = index_entries(docs)
+    field = lambda name: F.expr(f"try_variant_get(entry, '$.{name}', 'string')")
+    if actions is not None:
+        wanted = [a.lower() for a in actions]
+        match = lambda c: F.coalesce(F.lower(c).isin(wanted), F.lit(False))
+        entries = entries.where(match(F.col("bucket")) | match(field("meta_action")) | match(field("action")))
+    text = F.expr("case when schema_of_variant(entry) = 'STRING' then cast(entry as string) end")
+    ids = [normalize_clip_id(c, camera) for c in (text, *[field(k) for k in ("clip_id", "filename", "file_name", "video_id")])]
+    return entries.select(F.coalesce(*ids).alias("clip_id")).where("clip_id is not null").distinct()
+
+
 def read_keyframes(spark: SparkSession, path: str) -> DataFrame:
     return parse_keyframes(spark.read.text(path, wholetext=True))
 
