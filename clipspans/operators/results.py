@@ -19,13 +19,17 @@ def done_keys(log: DataFrame) -> DataFrame:
     return log.where(completed() & F.col("row_key").isNotNull()).select("row_key").distinct()
 
 
+def line_rank(columns: list[str]) -> Column:
+    """The greater, the better a line of its key: completed ones first, then later ones; a hash decides between equal numbers."""
+    return F.struct(completed().alias("c"), "line_no", F.xxhash64(F.to_json(F.struct(*[c for c in columns if c not in ("row_key", "line_no")]))).alias("h"))
+
+
 def compact_results(log: DataFrame) -> DataFrame:
     """One row per key: a completed one before any other, else the latest line; of lines with equal numbers, one. Rows without a
     key all stay. ``position`` is the key's first line. Retries of one key are pre-aggregated by task, so a key with many lines
     isn't gathered whole."""
     keyed = log.where("row_key is not null")
-    rank = F.struct(completed().alias("c"), "line_no", F.xxhash64(F.to_json(F.struct(*[c for c in log.columns if c not in ("row_key", "line_no")]))))
-    chosen = keyed.groupBy("row_key").agg(F.max_by(F.struct(*log.columns), rank).alias("r"), F.min("line_no").alias("position")).select("r.*", "position")
+    chosen = keyed.groupBy("row_key").agg(F.max_by(F.struct(*log.columns), line_rank(log.columns)).alias("r"), F.min("line_no").alias("position")).select("r.*", "position")
     return chosen.select(*log.columns, "position").unionByName(log.where("row_key is null").withColumn("position", F.col("line_no")).select(*log.columns, "position"))
 
 
