@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from clipspans.functions import text
@@ -12,6 +14,7 @@ from clipspans.plans import inputs
 from clipspans.plans.catalog import query
 from clipspans.plans.inputs import shared_path
 from clipspans.sources import tables
+from clipspans.sources.archives import write_archives
 
 
 @query("s1_ticks", "select clip_id, agent_id, tick, x, round(tick * 0.1e0, 6) as time_s from ticks", "ticks")
@@ -22,6 +25,43 @@ def _ticks(spark, d):
     return tables.read_ticks(spark, path).select("clip_id", "agent_id", "tick", "x", F.round("time_s", 6).alias("time_s"))
 
 
+@query("s2_zipped_ticks", "select clip_id, agent_id, tick, x, vx, heading from ticks", "ticks")
+def _zipped_ticks(spark, d):
+    """A Parquet member for each clip in a few archives; half of the columns are read."""
+    path = shared_path(spark)
+    t = inputs.ticks(spark, d).withColumns({"agent_id": F.lit("ego"), "z": F.lit(0.0)}).select("clip_id", "agent_id", "tick", "x", "y", "z", "vx", "vy", "heading")
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        file = io.BytesIO()
+        rows.sort_values("tick").drop(columns=["clip_id", "agent_id"]).to_parquet(file, index=False)
+        return pd.DataFrame({"clip_id": [rows["clip_id"].iloc[0]], "content": [file.getvalue()]})
+
+    write_archives(t.groupBy("clip_id").applyInPandas(pack, "clip_id string, content binary"), path, ".egomotion.parquet")
+    return tables.read_zipped_ticks(spark, path, ["clip_id", "agent_id", "tick", "x", "vx", "heading"])
+
+
+@query("s13_archive_members", "select distinct clip_id || '.txt' as member_name, cast(null as varchar) as problem from spans", "spans")
+def _archive_members(spark, d):
+    path = shared_path(spark)
+    tables.write_packed_label_text(intervals.format_spans(inputs.spans(spark, d)), path)
+    return tables.list_archive_members(spark, f"{path}/*.zip").select("member_name", "problem")
+
+
+@query("s3_packed_tags", "select clip_id, cast(row_number() over (partition by clip_id order by s, tag, e) - 1 as int) as ord, tag, s as start, e as \"end\" from spans", "spans")
+def _packed_tags(spark, d):
+    path = shared_path(spark)
+    s = inputs.numbered(inputs.spans(spark, d))
+    tables.write_packed_tags(s.select("clip_id", F.col("line_no").alias("ord"), text.format_tag(F.col("tag"), F.col("agent_id"), F.col("start"), F.col("end")).alias("tag")), path)
+    return tables.read_packed_tags(spark, path).select("clip_id", "ord", "parsed.tag", "parsed.start", "parsed.end")
+
+
+@query("s4_packed_label_text", "select clip_id, cast(row_number() over (partition by clip_id order by fs, tag, s, e) - 1 as int) as line_no, tag, s as start, e as \"end\" from (select *, min(s) over (partition by clip_id, tag) as fs from spans)", "spans")
+def _packed_label_text(spark, d):
+    path = shared_path(spark)
+    tables.write_packed_label_text(intervals.format_spans(inputs.spans(spark, d)), path)
+    return tables.read_packed_label_text(spark, path)
+
+
 @query("s3_raw_tags", "select clip_id, cast(row_number() over (partition by clip_id order by s, tag, e) - 1 as int) as ord, tag, s as start, e as \"end\" from spans", "spans")
 def _raw_tags(spark, d):
     path = shared_path(spark)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipspans.functions.text import CAMERA, filename_timestamp, first_present, normalize_clip_id, parse_tag, pick_column, present, valid_timestamp
+from clipspans.sources.archives import PARTITION_BYTES, read_archives, write_archives
 
 TICKS = "clip_id string, agent_id string, tick int, x double, y double, z double, vx double, vy double, ax double, ay double, heading double"
 SPAN_LINE = r"^\s*(\w+)\s*-\s*Agent:<ego>,\s*Start:(\d+),\s*End:(\d+)\s*$"
@@ -29,25 +30,16 @@ def read_ticks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TICKS).parquet(path).withColumn("time_s", F.col("tick") * 0.1)
 
 
-def read_zipped_ticks(spark: SparkSession, path: str) -> DataFrame:
-    """Ticks from archives of Parquet members, one clip each; the member's name gives the clip. Bad members are errors. A task holds
-    one member at a time."""
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name in batch["path"]:
-                with _opened(name) as file, zipfile.ZipFile(file) as archive:
-                    for name in archive.namelist():
-                        if name.endswith(".parquet"):
-                            rows = pd.read_parquet(io.BytesIO(archive.read(name)))
-                            leaf = name.rsplit("/", 1)[-1]
-                            rows = rows.assign(clip_id=re.sub(r"(\.egomotion)?\.parquet$", "", leaf))
-                            for c in TICKS.replace(",", "").split()[::2]:
-                                if c not in rows:
-                                    rows[c] = "ego" if c == "agent_id" else range(len(rows)) if c == "tick" else None
-                            yield rows[TICKS.replace(",", "").split()[::2]]
-
-    return _paths(spark, path).mapInPandas(read, TICKS)
+def read_zipped_ticks(spark: SparkSession, path: str, columns: list[str] | None = None, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
+    """Ticks from archives of Parquet members, one clip each; the member's name gives the clip, a row's place its tick, and agents are
+    the ego, where the file doesn't say. Only ``columns`` are read (none: all). Bad members are errors. Members are dealt out by
+    size, and a task holds one at a time."""
+    kinds = {f.split()[0]: f.split()[1] for f in TICKS.split(", ")}
+    wanted = list(kinds) if columns is None else columns
+    schema = [f"{c} {kinds[c]}" for c in wanted] + (["row int"] if "tick" in wanted else [])
+    rows = read_archives(spark, path, ", ".join(schema), kind="parquet", suffix=".parquet", partitionBytes=str(partition_bytes))
+    fill = {"clip_id": F.regexp_replace("clip_id", r"\.egomotion$", ""), "tick": F.coalesce("tick", "row") if "tick" in wanted else None, "agent_id": F.coalesce("agent_id", F.lit("ego")) if "agent_id" in wanted else None}
+    return rows.withColumns({c: v for c, v in fill.items() if c in wanted}).select(*wanted)
 
 
 def _paths(spark: SparkSession, path: str) -> DataFrame:
@@ -74,10 +66,25 @@ def read_raw_tags(spark: SparkSession, path: str, suffix: str = ".json") -> Data
     return rows.select("clip_id", F.posexplode("tags").alias("ord", "tag")).withColumn("parsed", parse_tag(F.col("tag")))
 
 
+def _tag_lists(tags: DataFrame) -> DataFrame:
+    """(clip_id, value): each clip's tags as a JSON list."""
+    return tags.groupBy("clip_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("ord", "tag"))), lambda x: x["tag"])).alias("value"))
+
+
 def write_raw_tags(tags: DataFrame, path: str) -> None:
     """One JSON list per clip, in a folder of that clip; clips without tags write nothing."""
-    lists = tags.groupBy("clip_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("ord", "tag"))), lambda x: x["tag"])).alias("value"))
-    lists.write.partitionBy("clip_id").text(path)
+    _tag_lists(tags).write.partitionBy("clip_id").text(path)
+
+
+def write_packed_tags(tags: DataFrame, path: str) -> None:
+    """The same lists as members of few archives, as many as there are tasks."""
+    write_archives(_tag_lists(tags).withColumnRenamed("value", "content"), path, ".json")
+
+
+def read_packed_tags(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
+    """As ``read_raw_tags``, from archives."""
+    rows = read_archives(spark, path, "clip_id string, content binary", suffix=suffix).select("clip_id", F.from_json(F.col("content").cast("string"), "array<string>").alias("tags"))
+    return rows.select("clip_id", F.posexplode("tags").alias("ord", "tag")).withColumn("parsed", parse_tag(F.col("tag")))
 
 
 def parse_label_lines(lines: DataFrame) -> DataFrame:
@@ -92,10 +99,24 @@ def read_label_text(spark: SparkSession, path: str, suffix: str = ".txt") -> Dat
     return parse_label_lines(files.select("clip_id", F.posexplode("lines").alias("line_no", "line")))
 
 
+def _label_texts(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("clip_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("value"))
+
+
 def write_label_text(lines: DataFrame, path: str) -> None:
     """One text file per clip from (clip_id, line_no, line)."""
-    whole = lines.groupBy("clip_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("value"))
-    whole.write.partitionBy("clip_id").text(path)
+    _label_texts(lines).write.partitionBy("clip_id").text(path)
+
+
+def write_packed_label_text(lines: DataFrame, path: str) -> None:
+    """The same texts as members of few archives, as many as there are tasks."""
+    write_archives(_label_texts(lines).withColumnRenamed("value", "content"), path, ".txt")
+
+
+def read_packed_label_text(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
+    """As ``read_label_text``, from archives."""
+    files = read_archives(spark, path, "clip_id string, content binary", suffix=suffix).select("clip_id", F.split(F.col("content").cast("string"), "\n").alias("lines"))
+    return parse_label_lines(files.select("clip_id", F.posexplode("lines").alias("line_no", "line")))
 
 
 #: Buckets in buckets that an index may have.
