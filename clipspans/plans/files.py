@@ -172,6 +172,13 @@ def _result_log(spark, d):
     return spark.read.schema(log.schema).json(f"{base}/final").select("row_key", "line_no", "ok", "size")
 
 
+@query("s10_result_document", "select row_key, line_no, ok, size from (select *, row_number() over (partition by row_key order by ok desc, line_no desc) as r from log) where r = 1 or row_key is null", "log")
+def _result_document(spark, d):
+    base, log = shared_path(spark), inputs.log(spark, d)
+    tables.finalize_document(log, f"{base}/final", f"{base}/stage")
+    return tables.read_json_document(spark, f"{base}/final", log.schema).select("row_key", "line_no", "ok", "size")
+
+
 @query("s11_clip_list", "select distinct clip_id from keys", "keys")
 def _clip_list(spark, d):
     path = shared_path(spark)

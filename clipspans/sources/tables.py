@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clipspans.functions.text import CAMERA, filename_timestamp, first_present, normalize_clip_id, parse_tag, pick_column, present, valid_timestamp
 from clipspans.sources.archives import PARTITION_BYTES, read_archives, write_archives
@@ -296,10 +297,46 @@ def write_result_log(results: DataFrame, path: str) -> None:
 
 
 def finalize_results(log: DataFrame, path: str) -> None:
-    """The compacted log, in the order of each key's first line."""
+    """The compacted log, in the order of each key's first line: one JSON line per row, in parts that are sorted among each other."""
     from clipspans.operators.results import compact_results
 
-    compact_results(log).orderBy("position").write.mode("overwrite").json(path)
+    rows = compact_results(log)
+    rows.repartitionByRange(_parts(rows.sparkSession), "position").sortWithinPartitions("position").write.mode("overwrite").json(path)
+
+
+def _parts(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def write_json_document(rows: DataFrame, path: str, order: list[str], stage: str) -> None:
+    """``rows`` in order as one JSON list: the parts below ``path``, one after the other by name, are the document, a row in each line.
+
+    The rows are range-partitioned and sorted into a table at ``stage``, where each gets a number; the least and the greatest, all
+    that the driver learns, tell which row opens the list and which one closes it. No task gets more than its range."""
+    spark = rows.sparkSession
+    sorted_rows = rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    keys = [f"o{i}" for i in range(len(order))]
+    sorted_rows.repartitionByRange(_parts(spark), *keys, "value").sortWithinPartitions(*keys, "value").select("value", F.monotonically_increasing_id().alias("at")).write.mode("overwrite").parquet(stage)
+    table = spark.read.schema("value string, at bigint").parquet(stage)
+    first, last = table.agg(F.min("at"), F.max("at")).first()
+    if first is None:
+        spark.createDataFrame([("[]",)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return
+    lines = F.concat(F.when(F.col("at") == first, "[").otherwise(","), "value", F.when(F.col("at") == last, "]").otherwise(""))
+    table.repartitionByRange(_parts(spark), "at").sortWithinPartitions("at").select(lines.alias("value")).write.mode("overwrite").text(path)
+
+
+def read_json_document(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """The rows of a document that ``write_json_document`` wrote."""
+    text = F.regexp_replace(F.regexp_replace("value", r"^[\[,]", ""), r"\]$", "")
+    return spark.read.text(path).select(text.alias("value")).where("value <> ''").select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+def finalize_document(log: DataFrame, path: str, stage: str) -> None:
+    """The compacted log as one JSON list, in the order of each key's first line."""
+    from clipspans.operators.results import compact_results
+
+    write_json_document(compact_results(log), path, ["position"], stage)
 
 
 def read_clip_list(spark: SparkSession, path: str) -> DataFrame | None:

@@ -104,3 +104,32 @@ def test_lists_and_layout(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "k")).first().meta_action == "stop"
     spark.createDataFrame([("c", "ego", 3) + (0.0,) * 8], tables.TICKS).write.parquet(str(tmp_path / "t"))
     assert round(tables.read_ticks(spark, str(tmp_path / "t")).first().time_s, 6) == 0.3
+
+
+def test_one_json_document(spark, tmp_path):
+    """Parts that are put one after the other are one JSON list in order, whatever their number; also for one row and none."""
+    import json
+    import random
+
+    from pyspark.sql import functions as F
+
+    from clipspans.operators import results
+
+    def document(path):
+        return "".join((path / n).read_text() for n in sorted(p.name for p in path.iterdir()) if n.startswith("part-"))
+
+    r = random.Random(2)
+    schema = "row_key string, line_no bigint, ok boolean, error string, parse_error string, evaluation map<string,string>"
+    rows = [(None if i % 9 == 0 else f"k{r.randrange(90)}", i, r.random() < 0.5, None, None, {"a": f'],[{{"é\n,{i}'}) for i in range(400)]
+    r.shuffle(rows)
+    log = spark.createDataFrame(rows, schema)
+    tables.finalize_document(log, str(tmp_path / "a"), str(tmp_path / "s"))
+    got = json.loads(document(tmp_path / "a"))
+    want = [json.loads(x.j) for x in results.compact_results(log).orderBy("position").select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).collect()]
+    assert got == want and len(list((tmp_path / "a").glob("part-*"))) > 1
+    back = tables.read_json_document(spark, str(tmp_path / "a"), schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, results.compact_results(log).drop("position").collect()))
+    for n in (0, 1):
+        tables.write_json_document(log.limit(n), str(tmp_path / f"n{n}"), ["line_no"], str(tmp_path / "s"))
+        assert len(json.loads(document(tmp_path / f"n{n}"))) == n
+        assert tables.read_json_document(spark, str(tmp_path / f"n{n}"), schema).count() == n
