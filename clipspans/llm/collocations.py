@@ -2,16 +2,17 @@
 
 The documents lie in ``SHARDS`` shards, scanned in a cycle: pass p reads shard p mod ``SHARDS`` and counts phrases of all lengths at
 once. Words are counted from the first pass on. A longer phrase is activated at the first stop between two passes at which
-both its subphrases (all words but the last, and but the first) have the threshold; it is counted in the passes from there on until it has been through
-each shard once. A phrase that has the threshold has subphrases that do, so none is missed, and each counted one is counted whole.
+both its subphrases (all words but the last, and but the first) have the threshold; it is counted in the passes from there on until it has been
+through each shard once. A phrase that has the threshold has subphrases that do, so none is missed.
 
-What is active is kept by slot, a hash of language and phrase: one byte a slot for words and one for pairs says at which stop the
-first phrase of that slot had the threshold. These two arrays have a fixed size (``SLOTS``) and are all that is broadcast; the stops' new
-slots come to the driver as bitmaps, at most ``SLOTS`` bits. Phrases of one slot share the earlier stop: it only makes more phrases
-be counted, over a whole cycle too, so counts are exact whatever collides.
+Most phrases of frequent parts are rare, so a count goes without its name first: phrases are counted by a hash of language and words
+(``KEY_BITS`` bits in a bucket), in sorted arrays of five bytes a phrase, one row a bucket and task. What has the threshold at a
+stop is then counted by name, over a whole cycle from that stop on. Phrases of one hash share the earlier stop, which
+only makes more of them be counted by name, so the counts are exact whatever collides.
 
-A task counts blocks of text over distinct words, as numbers; Spark sums blocks' counts in the task before it shuffles them, so
-a frequent phrase is one row a task. Nothing is collected but slots.
+At which stop a hash had the threshold is kept for its first 24 bits, in one byte (``SLOTS``) for each length. These three arrays have
+a fixed size and are rebuilt in the tasks from the stops' new slots, which come to the driver as bitmaps, at most ``SLOTS`` bits, and
+are broadcast once each. Nothing else is collected or broadcast.
 
 Defined results: null texts have no words, a null language is ``und``. Phrases don't cross documents or pieces; a word is any run of
 other characters than blank, tab and those that part pieces. Repeated rows count each time; ids and other columns, whatever their names, aren't
@@ -32,14 +33,19 @@ from pyspark.sql import functions as F
 
 from clipspans.llm.common import ascii_lower, column, located, locator, shared_dir, small_batches, stored, table
 
-SHARDS, SLOTS = 4, 1 << 24
-LEAST, TOP, MOST_WORDS = 10, 2000, 3
+SHARDS, SLOT_BITS, KEY_BITS = 3, 24, 32
+SLOTS = 1 << SLOT_BITS
+LEAST, TOP = 10, 2000
 #: A candidate goes if a longer one that has it has at least so many hundredths of its occurrences.
 INSIDE = 50
-TOGETHER = 8 << 20
-NEVER = 255
-COUNTS = "n int, lang string, phrase string, slot int, c bigint"
-_ARROW = pa.schema([("n", pa.int32()), ("lang", pa.string()), ("phrase", pa.string()), ("slot", pa.int32()), ("c", pa.int64())])
+#: Bytes of text that are counted at a time, and unnamed counts that a task holds.
+TOGETHER, HELD = 8 << 20, 4_000_000
+#: No stop; the most that an unnamed count tells.
+NEVER = MOST = 255
+LENGTHS = (1, 2, 3)
+#: Phrases by name: n words, language, phrase, c occurrences; n = 0 counts all words of a language. Unnamed counts: of n words, activated at a stop, a bucket's keys and counts.
+FOUND = "n int, lang string, phrase string, c bigint, stop int, bucket int, keys binary, counts binary"
+_ARROW = pa.schema([("n", pa.int32()), ("lang", pa.string()), ("phrase", pa.string()), ("c", pa.int64()), ("stop", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 _PARTS = r"[.,;:!?\n-\r]+"
 _CUT = "\n"
 
@@ -58,74 +64,139 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return code, own, found.dictionary
 
 
-def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, n = np.unique(keys, return_counts=True)
-    return found, n.astype(np.int64)
+def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of two words from theirs."""
+    with np.errstate(over="ignore"):
+        x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(32))
 
 
-def count_block(texts: pa.Array, langs: list[str], act: tuple[np.ndarray, np.ndarray], at: int, shards: int = SHARDS) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases that pass ``at`` counts; act: the stop at which each slot's words, and pairs, had the threshold."""
+def slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order, and their counts up to ``MOST``."""
+    if not len(hashes):
+        return hashes, counts.astype(np.uint8)
+    order = np.argsort(hashes, kind="stable")
+    hashes, counts = hashes[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+    return hashes[first], np.minimum(np.add.reduceat(counts.astype(np.int64), first), MOST).astype(np.uint8)
+
+
+def count_block(texts: pa.Array, langs: list[str], act: list[np.ndarray], at: int, shards: int) -> tuple[list[tuple], dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]]:
+    """What pass ``at`` counts: by name as (n, languages, phrases, counts), and without, by length and stop of activation, as (hashes, counts).
+    act: for each length, the stop at which each slot had the threshold."""
     code, own, words = tokens(texts)
-    slots = len(act[0])
     names = sorted(set(langs))
     lang = np.array([names.index(x) for x in langs], np.int64)[own]
     word = code != pc.index(words, _CUT).as_py()
-    # a word of a language is one number: u; -1 for cuts
-    keys = lang * len(words) + code
-    found, inverse, n = np.unique(keys[word], return_inverse=True, return_counts=True)
+    # a word of a language is one number, u; -1 for cuts
+    found, inverse, n = np.unique((lang * len(words) + code)[word], return_inverse=True, return_counts=True)
     if not len(found):
-        return
+        return [], {}
     u = np.full(len(code), -1, np.int64)
     u[word] = inverse
-    which = found % len(words)
-    shown, spoken = words.take(pa.array(which)), pa.array(names).take(pa.array(found // len(words)))
-    seeds = [xxhash.xxh64_intdigest(x) for x in names]
-    slot = np.array([xxhash.xxh64_intdigest(w, s) & (slots - 1) for w, s in zip(shown.to_pylist(), np.array(seeds, np.uint64)[found // len(words)].tolist())], np.int64)
+    which, spoken = found % len(words), found // len(words)
+    shown, languages = words.take(pa.array(which)), pa.array(names)
+    seeds = np.array([xxhash.xxh64_intdigest(x) for x in names], np.uint64)[spoken].tolist()
+    hashes = word_hashes = np.array([xxhash.xxh64_intdigest(w, s) for w, s in zip(shown.to_pylist(), seeds)], np.uint64)
+    goes = lambda stop: (stop <= at) & (at < stop + shards)
+    join = lambda *parts: pc.binary_join_element_wise(*[shown.take(pa.array(p)) for p in parts], " ")
+    named, unnamed = [], {}
 
-    def out(length: int, lang: pa.Array, phrase: pa.Array, slot: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), length, np.int32)), lang, phrase, pa.array(slot, pa.int32()), pa.array(n, pa.int64())], schema=_ARROW)
+    def hold(length: int, stop: np.ndarray) -> None:
+        for one in np.unique(stop[goes(stop)]).tolist():
+            i = np.flatnonzero(stop == one)
+            unnamed[length, one] = hashes[i], n[i]
 
     if at < shards:
-        yield out(1, spoken, shown, slot, n)
-    counted = lambda stop: (stop <= at) & (at < stop + shards)
-    since = act[0][slot].astype(np.int16)
-    if not (since < NEVER).any():
-        return
+        unnamed[1, 0] = hashes, n
+        total = np.bincount(spoken, n, len(names)).astype(np.int64)
+        named.append((0, languages, pa.array([""] * len(names)), total))
+    since = act[0][slot(hashes)].astype(np.int16)
+    i = np.flatnonzero(goes(since) & (since < NEVER))
+    named.append((1, languages.take(pa.array(spoken[i])), shown.take(pa.array(i)), n[i]))
+
     own_stop = np.where(u >= 0, since[u], NEVER)
-    pair = (u[:-1] >= 0) & (u[1:] >= 0) & (own[:-1] == own[1:])
-    stop = np.where(pair, np.maximum(own_stop[:-1], own_stop[1:]), NEVER)
-    i = np.flatnonzero(counted(stop) & (stop < NEVER))
-    join = lambda *parts: pc.binary_join_element_wise(*[shown.take(pa.array(p)) for p in parts], " ")
-    both = lambda a, b: (slot[a] * 0x9E3779B1 + slot[b]) & (slots - 1)
-    if len(i):
-        pairs, n = _unique(u[i] * len(found) + u[i + 1])
-        a, b = pairs // len(found), pairs % len(found)
-        yield out(2, spoken.take(pa.array(a)), join(a, b), both(a, b), n)
-    if not (act[1] < NEVER).any():
-        return
-    j = np.flatnonzero(stop < NEVER)
-    pair_stop = np.full(len(u), NEVER, np.int16)
-    pair_stop[j] = act[1][both(u[j], u[j + 1])]
-    stop = np.maximum(pair_stop[:-1], pair_stop[1:])[: max(0, len(u) - 2)]
-    i = np.flatnonzero(counted(stop) & (stop < NEVER))
-    if len(i):
-        pairs, inverse = np.unique(u[i] * len(found) + u[i + 1], return_inverse=True)
-        triples, n = _unique(inverse * len(found) + u[i + 2])
-        a, b, c = pairs[triples // len(found)] // len(found), pairs[triples // len(found)] % len(found), triples % len(found)
-        yield out(3, spoken.take(pa.array(a)), join(a, b, c), np.zeros(len(n), np.int32), n)
-
-
-def _scan(shard: DataFrame, act: tuple[np.ndarray, np.ndarray], at: int, shards: int) -> DataFrame:
-    given = shard.sparkSession.sparkContext.broadcast(act)  # of fixed size
+    pair = (own[:-1] == own[1:]) & (own_stop[:-1] < NEVER) & (own_stop[1:] < NEVER)
+    j = np.flatnonzero(pair)
+    if not len(j):
+        return named, unnamed
+    pairs, inverse, n = np.unique(u[j] * len(found) + u[j + 1], return_inverse=True, return_counts=True)
+    a, b = pairs // len(found), pairs % len(found)
+    hashes = pair_hash(hashes[a], hashes[b])
+    hold(2, np.maximum(since[a], since[b]))
+    pair_since = act[1][slot(hashes)].astype(np.int16)
+    i = np.flatnonzero(goes(pair_since) & (pair_since < NEVER))
+    named.append((2, languages.take(pa.array(spoken[a[i]])), join(a[i], b[i]), n[i]))
+
+    # triples of two active pairs, which stand side by side in j
+    k = np.flatnonzero(j[1:] == j[:-1] + 1)
+    k = k[(pair_since[inverse[k]] < NEVER) & (pair_since[inverse[k + 1]] < NEVER)]
+    if len(k):
+        triples, first, n = np.unique(inverse[k] * len(found) + u[j[k] + 2], return_index=True, return_counts=True)
+        p, q, c = triples // len(found), inverse[k[first] + 1], triples % len(found)
+        hashes = pair_hash(hashes[p], word_hashes[c])
+        hold(3, np.maximum(pair_since[p], pair_since[q]))
+        since = act[2][slot(hashes)].astype(np.int16)
+        i = np.flatnonzero(goes(since) & (since < NEVER))
+        named.append((3, languages.take(pa.array(spoken[c[i]])), join(a[p[i]], b[p[i]], c[i]), n[i]))
+    return named, unnamed
+
+
+def dense(news: list[tuple[int, list[np.ndarray]]]) -> list[np.ndarray]:
+    """For each length and slot the first stop at which it was new; news: (stop, new slots of each length)."""
+    act = [np.full(SLOTS, NEVER, np.uint8) for _ in LENGTHS]
+    for stop, found in sorted(news, key=lambda x: -x[0]):
+        for kind, own in zip(act, found):
+            kind[own] = stop
+    return act
+
+
+def _scan(shard: DataFrame, news: list, at: int, shards: int, buckets: int) -> DataFrame:
+    """Rows of ``FOUND`` of one pass. news: broadcasts of each stop's new slots, each sent once."""
+    shift = np.uint64(64 - (buckets.bit_length() - 1) - KEY_BITS)
+
+    def rows(**columns) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in _ARROW], schema=_ARROW)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        act = dense([n.value for n in news])
         waiting, size = [], 0
+        held: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def block() -> Iterator[pa.RecordBatch]:
             texts = pa.chunked_array([b.column("text") for b in waiting]).combine_chunks()
-            yield from count_block(texts, pa.chunked_array([b.column("lang") for b in waiting]).to_pylist(), given.value, at, shards)
+            named, unnamed = count_block(texts, pa.chunked_array([b.column("lang") for b in waiting]).to_pylist(), act, at, shards)
+            for n, lang, phrase, c in named:
+                if len(c):
+                    yield rows(n=np.full(len(c), n, np.int32), lang=lang, phrase=phrase, c=c)
+            for key, (hashes, n) in unnamed.items():
+                kind = held.setdefault(key, [])
+                kind.append((hashes >> shift, n))
+                if sum(len(h) for h, _ in kind) > HELD:
+                    kind[:] = [summed(np.concatenate([h for h, _ in kind]), np.concatenate([c for _, c in kind]))]
+            if sum(len(h) for kind in held.values() for h, _ in kind) > HELD:
+                yield from give()
             pa.default_memory_pool().release_unused()
 
+        def give() -> Iterator[pa.RecordBatch]:
+            for (n, stop), kind in held.items():
+                hashes, counts = summed(np.concatenate([h for h, _ in kind]), np.concatenate([c for _, c in kind]))
+                cuts = np.searchsorted(hashes, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(KEY_BITS))
+                keys = (hashes & np.uint64((1 << KEY_BITS) - 1)).astype("<u4")
+                full = np.flatnonzero(np.diff(cuts))
+                for some in np.array_split(full, max(1, len(full) // 1000)):
+                    if len(some):
+                        part = [(cuts[k], cuts[k + 1]) for k in some]
+                        same = lambda v: np.full(len(some), v, np.int32)  # noqa: B023, E731
+                        yield rows(n=same(n), stop=same(stop), bucket=some.astype(np.int32), keys=[keys[x:y].tobytes() for x, y in part], counts=[counts[x:y].tobytes() for x, y in part])
+            held.clear()
+
         for batch in batches:
             waiting.append(batch)
             size += batch.nbytes
@@ -134,46 +205,77 @@ def _scan(shard: DataFrame, act: tuple[np.ndarray, np.ndarray], at: int, shards:
                 waiting, size = [], 0
         if waiting:
             yield from block()
+        yield from give()
 
-    found = shard.mapInArrow(count, COUNTS)
-    return found.groupBy("n", "lang", "phrase").agg(F.max("slot").alias("slot"), F.sum("c").alias("c"))
+    return shard.mapInArrow(count, FOUND)
 
 
-def _reached(counts: DataFrame, least: int) -> list[tuple[int, int, bytes]]:
-    """Slots of phrases with the threshold, as (length, number of a bitmap, bitmap)."""
-    found = counts.groupBy("n", "lang", "phrase").agg(F.max("slot").alias("slot"), F.sum("c").alias("c")).where(F.col("c") >= least)
-    place = F.col("slot") + 1  # bitmaps begin at 1
-    bits = found.groupBy("n", F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    return [(r["n"], r["bucket"], bytes(r["bits"])) for r in bits.collect()]
+def _reached(unnamed: DataFrame, least: int, buckets: int) -> list[tuple[int, int, bytes]]:
+    """Slots of hashes with the threshold, as (n, bucket, bits of the bucket's slots). A bucket is one sorted run of rows of arrays."""
+    slots = SLOTS // buckets
+    schema = pa.schema([("n", pa.int32()), ("bucket", pa.int32()), ("bits", pa.binary())])
 
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
 
-def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
-    """(n, lang, phrase, c): all words, and all phrases of two and three words that can have ``least`` occurrences, with exact counts."""
+        def out() -> Iterator[pa.RecordBatch]:
+            keys, counts = summed(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
+            bits = np.zeros(slots, bool)
+            bits[keys[counts >= min(least, MOST)] >> np.uint32(KEY_BITS - slots.bit_length() + 1)] = True
+            if bits.any():
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((now[0], now[2], np.packbits(bits, bitorder="little").tobytes()), schema)], schema=schema)
+
+        for batch in batches:
+            for n, stop, bucket, keys, counts in zip(*[batch.column(c).to_pylist() for c in ("n", "stop", "bucket", "keys", "counts")]):
+                if (n, stop, bucket) != now:
+                    if held:
+                        yield from out()
+                    now, held = (n, stop, bucket), []
+                held.append((np.frombuffer(keys, "<u4"), np.frombuffer(counts, np.uint8)))
+                if sum(len(k) for k, _ in held) > HELD:
+                    held = [summed(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))]
+        if held:
+            yield from out()
+
+    ordered = unnamed.repartition("n", "stop", "bucket").sortWithinPartitions("n", "stop", "bucket")
+    return [(r["n"], r["bucket"], bytes(r["bits"])) for r in ordered.mapInArrow(sums, "n int, bucket int, bits binary").collect()]
+
+
+def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, shards: int = SHARDS) -> DataFrame:
+    """(n, lang, phrase, c): the words and the phrases of two and three words that can have ``least`` occurrences, with exact counts, and
+    for n = 0 the number of all words of a language. ``least`` is ``MOST`` at most."""
+    if not 1 <= least <= MOST:
+        raise ValueError(f"the threshold must be from 1 to {MOST}")
     docs = located(docs)
     spark = docs.sparkSession
+    buckets = 1 << min(14, max(8, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
     base = shared_dir(spark)
     rows = docs.select(F.coalesce(column(lang).cast("string"), F.lit("und")).alias("lang"), ascii_lower(F.coalesce(column(text), F.lit(""))).alias("text"), (locator(docs)[1] % shards).alias("shard"))
     rows.write.partitionBy("shard").parquet(f"{base}/texts")
-    act = tuple(np.full(slots, NEVER, np.uint8) for _ in range(2))
+    known = [np.zeros(SLOTS, bool) for _ in LENGTHS]
+    news: list = []
     passes: list[DataFrame] = []
-    # words run through the first cycle, pairs end one later, triples one after that; each is over early when nothing is activated any more
-    last_new = {1: 0, 2: None}
-    at = 0
+    # until a cycle after the last stop at which something new had the threshold
+    last_new = at = 0
     with small_batches(spark, 1000):
-        while at < shards or any(last is not None and at < last + shards for last in last_new.values()):
+        while at < last_new + shards:
             shard = spark.read.schema("lang string, text string, shard int").parquet(f"{base}/texts").where(F.col("shard") == at % shards).select("lang", "text")
-            passes.append(stored(_scan(shard, act, at, shards)))
+            passes.append(stored(_scan(shard, news, at, shards, buckets)))
             at += 1
-            going = [n for n in (1, 2) if at <= n * shards]
-            if going:
-                counts = reduce(DataFrame.unionByName, passes).where(F.col("n").isin(going))
-                for n, bucket, bits in _reached(counts, least):
-                    part = act[n - 1][(bucket - 1) * 32768 : bucket * 32768]
-                    new = (np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")[: len(part)] == 1) & (part == NEVER)
-                    if new.any():
-                        part[new] = at
-                        last_new[n] = at
-    return reduce(DataFrame.unionByName, passes).groupBy("n", "lang", "phrase").agg(F.sum("c").alias("c"))
+            # phrases of earlier stops have been through all shards before
+            unnamed = reduce(DataFrame.unionByName, passes).where((F.col("stop") + shards >= at) & F.col("bucket").isNotNull())
+            new = [np.zeros(SLOTS, bool) for _ in LENGTHS]
+            size = SLOTS // buckets
+            for n, bucket, bits in _reached(unnamed.select("n", "stop", "bucket", "keys", "counts"), least, buckets):
+                new[n - 1][bucket * size : (bucket + 1) * size] |= np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")[:size] == 1
+            for kind, own in zip(known, new):
+                own &= ~kind
+                kind |= own
+            last_new = at if any(own.any() for own in new) else last_new
+            news.append(spark.sparkContext.broadcast((at, [np.flatnonzero(own).astype(np.int32) for own in new])))
+    for n in news:
+        n.destroy()
+    return reduce(DataFrame.unionByName, passes).where("bucket is null").groupBy("n", "lang", "phrase").agg(F.sum("c").alias("c"))
 
 
 def _score(a: str, l: str, r: str) -> F.Column:  # noqa: E741
@@ -185,8 +287,8 @@ def _score(a: str, l: str, r: str) -> F.Column:  # noqa: E741
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, top: int = TOP, **cycle: int) -> DataFrame:
     """Each language's first ``top`` phrases: lang, rank, phrase, a, l, r, n, score."""
     counts = stored(phrase_counts(docs, text, lang, least, **cycle))
-    total = counts.where("n = 1").groupBy("lang").agg(F.sum("c").alias("n"))  # a row a language
-    f = stored(counts.where(F.col("c") >= least))
+    total = counts.where("n = 0").select("lang", F.col("c").alias("n"))  # a row a language
+    f = stored(counts.where((F.col("n") > 0) & (F.col("c") >= least)))
     words = F.split("phrase", " ")
     part = lambda first, length: F.array_join(F.slice("w", first, length), " ")
     long = f.where("n > 1").select("lang", "phrase", "n", F.col("c").alias("a"), words.alias("w"))
