@@ -39,30 +39,51 @@ def match_lanes(poses: DataFrame, lanes: DataFrame, max_dist: float = 2.0, max_h
 
     piece = piece.withColumn("cx", F.explode(cells("ax", "sx"))).withColumn("cy", F.explode(cells("ay", "sy")))
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < 1e300)
-    here = poses.where(finite("x") & finite("y") & finite("heading")).select(*KEYS, "tick", "map_id", "x", "y", "heading", F.floor(F.col("x") / CELL).alias("cx"), F.floor(F.col("y") / CELL).alias("cy"))
+    good = finite("x") & finite("y") & finite("heading")
+    cell = lambda c: F.when(good, F.floor(F.col(c) / CELL))
+    here = poses.select(*poses.columns, cell("x").alias("cx"), cell("y").alias("cy"))
     px, py = F.col("x") - F.col("ax"), F.col("y") - F.col("ay")
     norm = F.greatest(F.col("sx") * F.col("sx") + F.col("sy") * F.col("sy"), F.lit(1e-9))
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (px * F.col("sx") + py * F.col("sy")) / norm))
     dx, dy = px - share * F.col("sx"), py - share * F.col("sy")
-    pairs = here.join(piece, ["map_id", "cx", "cy"]).withColumns({"dist": F.sqrt(dx * dx + dy * dy), "side": F.signum(F.col("sx") * py - F.col("sy") * px), "turn": F.abs(wrap(F.col("heading") - F.atan2("sy", "sx")))})
-    best = pairs.groupBy(*KEYS, "tick", "lane_id").agg(F.min(F.struct("dist", "side", "turn")).alias("m"))
-    best = best.where((F.col("m.dist") <= max_dist) & (F.col("m.turn") <= max_heading_error))
-    lists = best.groupBy(*KEYS, "tick").agg(F.array_sort(F.collect_list(F.struct(F.col("m.dist").alias("dist"), "lane_id", (F.col("m.side") * F.col("m.dist")).alias("offset")))).alias("candidates"))
-    out = poses.join(lists, [*KEYS, "tick"], "left")
+    found = F.struct(F.sqrt(dx * dx + dy * dy).alias("dist"), F.signum(F.col("sx") * py - F.col("sy") * px).alias("side"), F.abs(wrap(F.col("heading") - F.atan2("sy", "sx"))).alias("turn"))
+    # poses without a piece stay, so that they needn't be joined again; one exchange by clip serves both groupings and what follows
+    pairs = here.join(piece, ["map_id", "cx", "cy"], "left").select(*poses.columns, "lane_id", F.when(F.col("lane_id").isNotNull(), found).alias("m")).repartition(*KEYS)
+    best = pairs.groupBy(*KEYS, "tick", "lane_id").agg(F.min("m").alias("m"), _rest(poses))
+    fits = (F.col("m.dist") <= max_dist) & (F.col("m.turn") <= max_heading_error)
+    one = F.when(fits, F.struct(F.col("m.dist").alias("dist"), "lane_id", (F.col("m.side") * F.col("m.dist")).alias("offset")))
+    lists = best.groupBy(*KEYS, "tick").agg(F.array_sort(F.collect_list(one)).alias("candidates"), F.first("_rest").alias("_rest"))
+    out = lists.select(*_columns(poses), F.when(F.size("candidates") > 0, F.col("candidates")).alias("candidates"))
     first = F.try_element_at("candidates", F.lit(1))
     return out.withColumns({"lane_id": first["lane_id"], "lane_offset": first["offset"], "current_lanes": F.coalesce(F.array_sort(F.transform("candidates", lambda c: c["lane_id"])), _empty())})
 
 
+def _rest(rows: DataFrame) -> Column:
+    """All columns of one row of a (clip, agent, tick), as the aggregate ``_rest``."""
+    return F.first(F.struct(*rows.columns)).alias("_rest")
+
+
+def _columns(rows: DataFrame) -> list[Column]:
+    return [F.col("_rest")[c].alias(c) for c in rows.columns]
+
+
 def _reach(lanes: DataFrame, depth: int) -> DataFrame:
-    """(map_id, lane_id, reach): the sorted lanes within ``depth`` steps ahead; "-1" is no lane. Each step is one equi-join and one grouping
-    on top of the step before, which the plan holds once."""
-    step = lanes.select("map_id", "lane_id", F.explode("next").alias("next_id")).where("next_id <> '-1'").distinct()
-    reach = step.groupBy("map_id", "lane_id").agg(F.array_sort(F.collect_set("next_id")).alias("reach"))
-    for _ in range(depth - 1):
-        ahead = step.join(reach.select("map_id", F.col("lane_id").alias("next_id"), "reach"), ["map_id", "next_id"], "left")
-        further = F.array_union(F.collect_set("next_id"), F.flatten(F.collect_list(F.coalesce("reach", _empty()))))
-        reach = ahead.groupBy("map_id", "lane_id").agg(F.array_sort(further).alias("reach"))
-    return reach
+    """(map_id, lane_id, reach): the sorted lanes within ``depth`` steps ahead; "-1" is no lane. By doubling: lanes within 2n steps are
+    those within n and those within n of these, so 5 steps take three joins."""
+    names = ("map_id", "lane_id", "next_id")
+    one = lanes.select("map_id", "lane_id", F.explode("next").alias("next_id")).where("next_id <> '-1'").distinct()
+
+    def after(a: DataFrame, b: DataFrame) -> DataFrame:
+        """Pairs within as many steps as a and b have together."""
+        far = a.withColumnRenamed("next_id", "mid").join(b.select("map_id", F.col("lane_id").alias("mid"), "next_id"), ["map_id", "mid"]).select(*names)
+        return a.unionByName(far).distinct()
+
+    reach = one
+    for bit in bin(depth)[3:]:
+        reach = after(reach, reach)
+        if bit == "1":
+            reach = after(one, reach)
+    return reach.groupBy("map_id", "lane_id").agg(F.array_sort(F.collect_set("next_id")).alias("reach"))
 
 
 def next_lanes(lanes: DataFrame, depth: int = 5) -> DataFrame:
@@ -79,15 +100,15 @@ def lane_neighbours(lanes: DataFrame, depth: int = 5) -> DataFrame:
     return sides.groupBy("map_id", "lane_id").agg(flat("left").alias("left_lanes"), flat("right").alias("right_lanes"), F.first("reach").alias("next_lanes"))
 
 
-def lane_relations(matched: DataFrame, lanes: DataFrame, depth: int = 5) -> DataFrame:
-    """Matched ticks with the sets next_lanes, left_lanes and right_lanes of their current lanes."""
-    ids = matched.select(*KEYS, "tick", "map_id", F.explode("current_lanes").alias("_id"))
-    sets = ids.join(lane_neighbours(lanes, depth).withColumnRenamed("lane_id", "_id"), ["map_id", "_id"])
+def lane_relations(matched: DataFrame, lanes: DataFrame | None, depth: int = 5, neighbours: DataFrame | None = None) -> DataFrame:
+    """Matched ticks with the sets next_lanes, left_lanes and right_lanes of their current lanes. ``neighbours``: the result of
+    ``lane_neighbours``, where it is stored; else it is found from ``lanes``."""
+    near = lane_neighbours(lanes, depth) if neighbours is None else neighbours
     names = ("next_lanes", "left_lanes", "right_lanes")
-    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(c), _empty())))))
-    sets = sets.groupBy(*KEYS, "tick").agg(*[flat(n).alias(n) for n in names])
-    out = matched.join(sets, [*KEYS, "tick"], "left")
-    return out.withColumns({n: F.coalesce(n, _empty()) for n in names})
+    rows = matched.withColumn("_id", F.explode_outer("current_lanes")).join(near.withColumnRenamed("lane_id", "_id"), ["map_id", "_id"], "left")
+    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(c), _empty()))))).alias(c)
+    sets = rows.repartition(*KEYS).groupBy(*KEYS, "tick").agg(*[flat(n) for n in names], _rest(matched))
+    return sets.select(*_columns(matched), *names)
 
 
 def instant_decision() -> Column:
@@ -259,9 +280,10 @@ def confidence_label(score: Column) -> Column:
     return F.when(score >= 0.80, "high").when(score >= 0.60, "medium").otherwise("low")
 
 
-def label_lane_ticks(poses: DataFrame, lanes: DataFrame) -> DataFrame:
-    """All per-tick lane columns: match, relations, vote, decision, kinematics and confidence. This is also the debug table."""
-    matched = lane_relations(match_lanes(poses, lanes), lanes)
+def label_lane_ticks(poses: DataFrame, lanes: DataFrame, neighbours: DataFrame | None = None) -> DataFrame:
+    """All per-tick lane columns: match, relations, vote, decision, kinematics and confidence. This is also the debug table.
+    ``neighbours`` as in ``lane_relations``. Ticks are known by clip, agent and number, of which each has one pose."""
+    matched = lane_relations(match_lanes(poses, lanes), lanes, neighbours=neighbours)
     return lane_confidence(add_lane_kinematics(lane_decisions(temporal_vote(matched))))
 
 

@@ -30,10 +30,14 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans written to the shared folder and read back, for queries that take them more than once."""
-    path = shared_path(spark)
-    found = spans(spark, sf_dir)
-    found.write.parquet(path)
-    return spark.read.schema(found.schema).parquet(path)
+    return stored(spans(spark, sf_dir))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = shared_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @lru_cache(maxsize=1)

@@ -247,21 +247,27 @@ def _votes(spark, d):
     return t.select("clip_id", "tick", "lane_id", "instant", "left_hits", "right_hits", "voted", *[F.size(c).alias(n) for n, c in sizes.items()])
 
 
+def _lane_labels(spark, d):
+    """Labelled lane ticks, with the maps and what their lanes lead to stored once."""
+    maps = inputs.stored(inputs.lanes(spark, d))
+    return lanes.label_lane_ticks(inputs.lane_ticks(spark, d), maps, inputs.stored(lanes.lane_neighbours(maps)))
+
+
 @query("m_lane_decisions")
 def _decisions(spark, d):
-    t = lanes.label_lane_ticks(inputs.lane_ticks(spark, d), inputs.lanes(spark, d))
+    t = _lane_labels(spark, d)
     return t.select("clip_id", "tick", "lane_id", "instant", "left_hits", "right_hits", "voted", "lane_decision", "reason", F.round("lane_confidence", 6).alias("lane_confidence"), "lane_confidence_label")
 
 
 @query("g4_segment_lane")
 def _lane_segments(spark, d):
-    s = lanes.classify_lane(lanes.segment_lane(lanes.label_lane_ticks(inputs.lane_ticks(spark, d), inputs.lanes(spark, d))))
+    s = lanes.classify_lane(lanes.segment_lane(_lane_labels(spark, d)))
     return _round(s, "start_time", "duration", "max_abs_offset", "average_lateral_rate", "pulse_rise", "pulse_fall", keep=("clip_id", "caption", "lane_decision", "pulse_dir"))
 
 
 @query("g8_clean_lane")
 def _clean_lane(spark, d):
-    s = lanes.classify_lane(lanes.segment_lane(lanes.label_lane_ticks(inputs.lane_ticks(spark, d), inputs.lanes(spark, d))))
+    s = lanes.classify_lane(lanes.segment_lane(_lane_labels(spark, d)))
     return _round(lane_cleaning.clean_lane(s), "start_time", "duration", "average_lateral_rate", "lane_confidence", keep=("clip_id", "caption", "lane_decision", "lane_confidence_label"))
 
 
