@@ -85,13 +85,27 @@ class Model:
 
 
 def features(words: list[str], automaton: ahocorasick.Automaton | None) -> tuple[float, float, float]:
-    """Any match, log of the summed weights, and summed weights by the root of the length."""
+    """Any match, log of the summed weights, and summed weights by the root of the length. Matches come in order of their end, so that
+    each one's exceptions are looked up, in as much time as there are matches."""
     if automaton is None or not words:
         return 0.0, 0.0, 0.0
-    terms, free = [], []
+    terms, ends, starts = [], [], []
     for end, (length, weight) in automaton.iter(f" {' '.join(words)} "):
-        (terms if weight else free).append((end - length + 1, end, weight))
-    total = sum(w for a, b, w in terms if not any(x <= a and b <= y for x, y, _ in free)) if free else sum(w for _, _, w in terms)
+        if weight:
+            terms.append((end - length + 1, end, weight))
+        else:
+            ends.append(end)
+            starts.append(end - length + 1)
+    if not ends:
+        return _measure(sum(w for _, _, w in terms), len(words))
+    # an exception holds a match if one that ends no earlier begins no later
+    first = np.minimum.accumulate(np.array(starts)[::-1])[::-1].tolist() + [math.inf]
+    total, i = 0.0, 0
+    for a, b, weight in terms:
+        while i < len(ends) and ends[i] < b:
+            i += 1
+        if first[i] > a:
+            total += weight
     return _measure(total, len(words))
 
 
@@ -151,29 +165,46 @@ def log_odds(toxic: float, other: float, n1: int, n0: int) -> tuple[float, float
 
 def lexicon(terms: dict[str, tuple[float, float]], n1: int, n0: int, certainty: float) -> dict[str, float]:
     """Of terms (toxic, other rows) the chosen ones that are toxic and certain enough, with their weights."""
-    candidates = {}
-    for term, (toxic, other) in terms.items():
-        weight, error = log_odds(toxic, other, n1, n0)
-        if weight >= MIN_WEIGHT and weight > certainty * error:
-            candidates[term] = (weight - certainty * error, weight)
-    return choose(candidates)
+    counts = np.array(list(terms.values()), float).reshape(-1, 2)
+    return _lexicon(list(terms), *_odds(counts[:, 0], counts[:, 1], n1, n0), certainty)
 
 
-def _tune(sample: pd.DataFrame, counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> tuple[float, np.ndarray]:
+def _odds(toxic: np.ndarray, other: np.ndarray, n1: int, n0: int) -> tuple[np.ndarray, np.ndarray]:
+    """``log_odds`` of many terms."""
+    a, b = toxic + 0.5, other + 0.5
+    return np.log(a / (n1 + 1)) - np.log(b / (n0 + 1)), np.sqrt(1 / a + 1 / b)
+
+
+def _lexicon(names: list[str], weight: np.ndarray, error: np.ndarray, certainty: float) -> dict[str, float]:
+    good = np.flatnonzero((weight >= MIN_WEIGHT) & (weight > certainty * error)).tolist()
+    return choose({names[i]: (float(weight[i] - certainty * error[i]), float(weight[i])) for i in good})
+
+
+def _tune(sample: pd.DataFrame, names: list[str], toxic: np.ndarray, other: np.ndarray) -> tuple[float, np.ndarray]:
     """The certainty that predicts rows best with terms of the other folds, and the logistic weights of these predictions.
 
-    sample: (y, fold, n, terms), n words and the terms of ``counts`` that a row has, with repeats."""
-    y, fold, n, terms = sample["y"].to_numpy(), sample["fold"].to_numpy(), sample["n"].tolist(), [list(t) for t in sample["terms"]]
+    sample: (y, fold, n, terms), n words and the numbers of ``names`` that a row has, with repeats; toxic, other: counts of each
+    name by fold."""
+    y, fold, n = sample["y"].to_numpy(), sample["fold"].to_numpy(), sample["n"].to_numpy()
+    # rows' terms one after the other
+    size = np.array([len(t) for t in sample["terms"]], np.int64)
+    owner = np.repeat(np.arange(len(y)), size)
+    flat = np.concatenate([np.asarray(t, np.int64) for t in sample["terms"]]) if size.sum() else np.zeros(0, np.int64)
+    place = {t: i for i, t in enumerate(names)}
+    odds = []
+    for k in range(FOLDS):
+        rest = fold != k
+        odds.append(_odds(toxic.sum(axis=1) - toxic[:, k], other.sum(axis=1) - other[:, k], int((y[rest] == 1).sum()), int((y[rest] == 0).sum())))
     best = (math.inf, CERTAINTIES[0], np.zeros(4))
     for certainty in CERTAINTIES:
-        x = np.zeros((len(y), 3))
+        total = np.zeros(len(y))
         for k in range(FOLDS):
-            own = np.flatnonzero(fold == k)
-            n1, n0 = int((y[fold != k] == 1).sum()), int((y[fold != k] == 0).sum())
-            known = lexicon({t: (a.sum() - a[k], b.sum() - b[k]) for t, (a, b) in counts.items()}, n1, n0, certainty)
-            for i in own.tolist():
-                if terms[i]:
-                    x[i] = _measure(sum(known.get(t, 0.0) for t in terms[i]), n[i])
+            weights = np.zeros(len(names))
+            for term, weight in _lexicon(names, *odds[k], certainty).items():
+                weights[place[term]] = weight
+            own = fold == k
+            total[own] = np.bincount(owner, weights[flat], len(y))[own]
+        x = np.column_stack([total > 0, np.log1p(total), total / np.sqrt(np.maximum(1, n))]).astype(float)
         weights = logistic(x, y)
         p = np.clip(sigmoid(np.column_stack([x, np.ones(len(x))]) @ weights), 1e-9, 1 - 1e-9)
         loss = -float((y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
@@ -203,25 +234,26 @@ def fit(rows: DataFrame) -> Model:
             weight, error = odds(k)
             certain = certain | ((weight >= MIN_WEIGHT) & (weight > CERTAINTIES[0] * error))
         found = _counts(rows, lambda t: {x for w in set(fold(t)) for x in word_terms(w)}).where(certain).collect()
-        counts = {r["term"]: (np.array(r["toxic"]), np.array(r["other"])) for r in found}
-        given = rows.sparkSession.sparkContext.broadcast(set(counts))  # learned from a bounded sample
+        names = [r["term"] for r in found]
+        toxic, other = (np.array([r[c] for r in found], float).reshape(-1, FOLDS) for c in ("toxic", "other"))
+        given = rows.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(names)})  # learned from a bounded sample
 
-        @F.pandas_udf("n int, terms array<string>")
+        @F.pandas_udf("n int, terms array<int>")
         def terms(texts: pd.Series) -> pd.DataFrame:
-            words = [fold(t) for t in texts]
-            return pd.DataFrame({"n": [len(w) for w in words], "terms": [[x for one in w for x in word_terms(one) if x in given.value] for w in words]})
+            words, place = [fold(t) for t in texts], given.value
+            return pd.DataFrame({"n": [len(w) for w in words], "terms": [[place[x] for one in w for x in word_terms(one) if x in place] for w in words]})
 
         sample = rows.select("y", _fold().alias("fold"), terms("text").alias("t")).select("y", "fold", "t.*").toPandas()
-        certainty, weights = _tune(sample, counts)
-        chosen = lexicon({t: (int(x.sum()), int(z.sum())) for t, (x, z) in counts.items()}, n1, n0, certainty)
+        certainty, weights = _tune(sample, names, toxic, other)
+        chosen = _lexicon(names, *_odds(toxic.sum(axis=1), other.sum(axis=1), n1, n0), certainty)
 
         def phrases(text: str) -> set[str]:
             words = fold(text)
             known = {w for w in set(words) if any(t in chosen for t in word_terms(w))}
             return {f"{x} {y}" for x, y in zip(words, words[1:]) if x in known or y in known}
 
-        other = sum((F.col("other")[k] for k in range(FOLDS)), F.lit(0))
-        benign = _counts(rows, phrases).where((other >= 5) & (odds(None)[0] < 0)).select("term")
+        rest = sum((F.col("other")[k] for k in range(FOLDS)), F.lit(0))
+        benign = _counts(rows, phrases).where((rest >= 5) & (odds(None)[0] < 0)).select("term")
         return Model(chosen, {r["term"] for r in benign.collect()}, weights)
 
 
