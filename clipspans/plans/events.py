@@ -10,6 +10,7 @@ from clipspans.functions import text
 from clipspans.operators import features, intervals, joins, keyframes, prompts, results, stages
 from clipspans.plans import inputs
 from clipspans.plans.catalog import query
+from clipspans.sources.buckets import write_bucketed
 from clipspans.streaming.compact import compact_stream
 
 
@@ -159,6 +160,18 @@ def _assemble(spark, d):
     return joins.assemble(e, part).select("clip_id", "event_start_us", F.col("speed").isNotNull().alias("has_speed"))
 
 
+@query("j12_bucketed", "select clip_id, event_start_us, speed, later is not null as has_later from (select distinct clip_id, cast(start_us + event_start_frame * dt_us as bigint) as event_start_us, event_start_frame as f from keys join timing using (clip_id)) left join (select clip_id, tick as f, round(speed, 6) + 0.0e0 as speed from motion) using (clip_id, f) left join (select clip_id, tick - 40 as f, tick as later from motion) using (clip_id, f)", "keys", "timing", "motion")
+def _bucketed(spark, d):
+    """Events and ticks in buckets by clip and frame: the speeds of events are found without an exchange of ticks."""
+    base = inputs.shared_path(spark)
+    e = _events(spark, d).select("clip_id", "event_start_us", "event_start_frame").distinct()
+    ticks = features.add_speed(inputs.ticks(spark, d)).select("clip_id", F.col("tick").alias("event_start_frame"), F.round("speed", 6).alias("speed"))
+    keys = ("clip_id", "event_start_frame")
+    events, ticks = (write_bucketed(t, f"{base}/{n}", keys) for t, n in ((e, "events"), (ticks, "ticks")))
+    later = ticks.select("clip_id", (F.col("event_start_frame") - 40).alias("event_start_frame"), F.lit(True).alias("later"))
+    return joins.assemble(events, ticks, later, keys=keys).select("clip_id", "event_start_us", "speed", F.col("later").isNotNull().alias("has_later"))
+
+
 @query("e2_action_text", """select clip_id, event_start_frame, 'Meta actions:' || chr(10) || string_agg('(t=' || printf('%+.1f', (f - event_start_frame) * 0.1) || 's) longitudinal: ' || lon || ', lateral: -, lane: Not Available', chr(10) order by f) as action_text from
   (select k.clip_id, k.event_start_frame, f, coalesce((select arg_max(tag, s) from spans p where p.family = 'longitudinal' and p.clip_id = k.clip_id and f >= s and f < e), 'Not Available') as lon from (select distinct clip_id, event_start_frame from keys) k,
   lateral (select unnest(range(greatest(k.event_start_frame - 20, 0), k.event_start_frame, 5)) as f union all select unnest(range(k.event_start_frame, least(k.event_start_frame + 60, 200), 5))) g) group by 1, 2""", "keys", "spans")
