@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,19 +97,49 @@ def locator(docs: DataFrame, file: str = "file", row: str = "row") -> list[Colum
     return [place["file_path"].alias(file), place["row_index"].alias(row)]
 
 
-#: Locators that are broadcast at most (about 100 bytes each); their number is counted first.
-MAX_LOCATORS = 200_000
+#: Narrow rows that are broadcast at most (about 100 bytes each); their number is counted first.
+MAX_NARROW = 200_000
+#: Rows of a file that one bitmap tells (4 KB), and bitmaps that one scan of the documents gets (64 MB).
+BITMAP_ROWS, MAX_BITMAPS = 1 << 15, 1 << 14
 
 
 def small(df: DataFrame, n: int | None = None) -> DataFrame:
-    """``df``, marked for broadcast if it is counted (``n`` rows, or by reading a stored table) at ``MAX_LOCATORS`` rows or fewer."""
-    return F.broadcast(df) if (df.count() if n is None else n) <= MAX_LOCATORS else df
+    """``df``, of narrow rows, marked for broadcast if it is counted (``n`` rows, or by reading a stored table) at ``MAX_NARROW`` rows or fewer."""
+    return F.broadcast(df) if (df.count() if n is None else n) <= MAX_NARROW else df
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of located ``docs`` whose (file, row) isn't in ``dropped``, with all their columns. Texts are shuffled only where the
-    locators to drop are too many to broadcast."""
-    file, row = free_name(docs, "file"), free_name(docs, "row")
-    dropped = stored(dropped.select(F.col("file").alias(file), F.col("row").alias(row)))
-    here = docs.select(*[column(c) for c in docs.columns], *locator(docs, file, row))
-    return here.join(small(dropped), [file, row], "left_anti").select(*[column(c) for c in docs.columns])
+def _chosen(docs: DataFrame, rows: DataFrame, inside: bool, locate: bool, max_bitmaps: int) -> DataFrame:
+    """The rows of located ``docs`` that are, or aren't, in ``rows`` (file, row): no text is shuffled, however many there are.
+
+    The chosen rows are one bit each, in bitmaps of ``BITMAP_ROWS`` rows of a file. They are broadcast to the scan of the documents;
+    when they are too many for one, files are dealt into groups, and each group's files are scanned with their own bitmaps."""
+    file, row, block, bits = (free_name(docs, n) for n in ("file", "row", "block", "bits"))
+    place = F.col("row") % BITMAP_ROWS
+    maps = rows.groupBy(F.col("file").alias(file), F.floor(F.col("row") / BITMAP_ROWS).cast("bigint").alias(block)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place + 1)).alias(bits))
+    maps = stored(maps)
+    groups = max(1, -(-maps.count() // max_bitmaps))
+    group = lambda path: F.pmod(F.xxhash64(path), F.lit(groups))
+
+    def scan(part: int) -> DataFrame:
+        own, some = docs, maps
+        if groups > 1:  # a filter by path: other files aren't opened
+            own, some = docs.where(group(locator(docs)[0]) == part), maps.where(group(F.col(file)) == part)
+        here = own.select(*[column(c) for c in docs.columns], *locator(docs, file, row)).withColumn(block, F.floor(F.col(row) / BITMAP_ROWS).cast("bigint"))
+        byte = F.conv(F.hex(F.expr(f"substring({bits}, cast({row} % {BITMAP_ROWS} div 8 as int) + 1, 1)")), 16, 10).cast("int")
+        there = F.coalesce(F.expr(f"shiftright({byte_name}, cast({row} % 8 as int))").bitwiseAND(F.lit(1)) == 1, F.lit(False))
+        found = here.join(F.broadcast(some), [file, block], "inner" if inside else "left").withColumn(byte_name, byte)
+        return found.where(there if inside else ~there)
+
+    byte_name = free_name(docs, "byte")
+    kept = [column(c) for c in docs.columns] + ([F.col(file), F.col(row)] if locate else [])
+    return reduce(DataFrame.unionByName, [scan(k).select(*kept) for k in range(groups)])
+
+
+def without(docs: DataFrame, dropped: DataFrame, max_bitmaps: int = MAX_BITMAPS) -> DataFrame:
+    """The rows of located ``docs`` whose (file, row) isn't in ``dropped``, with all their columns."""
+    return _chosen(docs, dropped, False, False, max_bitmaps)
+
+
+def within(docs: DataFrame, chosen: DataFrame, max_bitmaps: int = MAX_BITMAPS) -> DataFrame:
+    """The rows of located ``docs`` whose (file, row) is in ``chosen``, with all their columns, which have no names like these two, and these."""
+    return _chosen(docs, chosen, True, True, max_bitmaps)

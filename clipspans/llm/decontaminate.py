@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import ascii_lower, column, located, locator, small, stored, table, without
+from clipspans.llm.common import ascii_lower, column, located, locator, small, stored, table, within, without
 
 SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -50,8 +50,8 @@ def _blocks(w: Column, length: int) -> Column:
 def found(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """One row per row of located ``docs`` that has a window: file, row (its locator), n_hit, items (sorted ids), spans.
 
-    spans holds struct<start,end>, words counted from 1, end exclusive, one for each occurrence of a window. No text is shuffled,
-    but of rows with near blocks, where these are too many to broadcast their locators."""
+    spans holds struct<start,end>, words counted from 1, end exclusive, one for each occurrence of a window. No text is shuffled;
+    of rows with near blocks the words are, where these rows are too many to broadcast what their blocks are."""
     grams = stored(windows(benchmark, size=size))
     lengths = sorted(r["len"] for r in grams.select("len").distinct().collect())  # at most ``size`` numbers
     near = F.broadcast if grams.count() * size <= max_broadcast_rows else (lambda df: df)
@@ -72,7 +72,8 @@ def found(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int =
     met = stored(met.groupBy("file", "row").agg(F.collect_list(F.struct("len", "at")).alias("near")))
 
     # the words of all windows that can cover a block, from word ``lo``
-    around = rows.join(small(met), ["file", "row"]).select("file", "row", "w", F.explode("near").alias("x")).select("file", "row", "w", "x.len", "x.at")
+    again = within(docs.select(column(text).alias("text")), met.select("file", "row")).select("file", "row", words(F.col("text")).alias("w"))
+    around = again.join(small(met), ["file", "row"]).select("file", "row", "w", F.explode("near").alias("x")).select("file", "row", "w", "x.len", "x.at")
     lo = F.greatest(F.lit(1), F.col("at") - F.col("len") + F.expr("(len + 1) div 2").cast("int"))
     hi = F.least(F.size("w"), F.col("at") + F.col("len") - 1)
     around = around.select("file", "row", F.struct("len", lo.alias("lo"), F.slice("w", lo, hi - lo + 1).alias("w")).alias("x"))
@@ -83,20 +84,23 @@ def found(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int =
     return stored(full.withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1))))).cast("bigint")))
 
 
-def _with_hits(docs: DataFrame, here: list[Column], benchmark: DataFrame, text: str, size: int, max_broadcast_rows: int) -> DataFrame:
-    """The columns ``here`` of located ``docs`` with n_words, n_hit, items and spans."""
-    own = docs.select(*here, F.size(words(column(text))).cast("bigint").alias("n_words"), *locator(docs, "of_file", "of_row"))
-    full = found(docs, benchmark, text, size, max_broadcast_rows)
-    none = lambda c, kind: F.coalesce(F.col(c), F.expr(f"cast(array() as {kind})")).alias(c)
-    return own.join(small(full.withColumnsRenamed({"file": "of_file", "row": "of_row"}), full.count()), ["of_file", "of_row"], "left").select(
-        *[own[c] for c in own.columns[:-2]], F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), none("items", "array<string>"), none("spans", "array<struct<start: bigint, end: bigint>>")
-    )
+def _none(found: DataFrame) -> list[Column]:
+    """n_hit, items and spans, of rows with and without them."""
+    empty = lambda c, kind: F.coalesce(F.col(c), F.expr(f"cast(array() as {kind})")).alias(c)
+    return [F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), empty("items", "array<string>"), empty("spans", "array<struct<start: bigint, end: bigint>>")]
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """One row per row of ``docs``: row (a struct of its columns), n_words, n_hit, items (sorted ids), spans (as in ``found``)."""
+    """One row per row of ``docs``: row (a struct of its columns), n_words, n_hit, items (sorted ids), spans (as in ``found``). Only rows
+    with hits are joined with them."""
     docs = located(docs)
-    return _with_hits(docs, [F.struct(*[column(c) for c in docs.columns]).alias("row")], benchmark, text, size, max_broadcast_rows)
+    full = found(docs, benchmark, text, size, max_broadcast_rows)
+    whole = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("whole"))
+    n_words = F.size(words(F.col("whole")[text])).cast("bigint").alias("n_words")
+    none = full.limit(0).select("n_hit", "items", "spans").schema
+    clean = without(whole, full.select("file", "row")).select("whole", n_words, *[F.lit(None).cast(f.dataType).alias(f.name) for f in none])
+    dirty = within(whole, full.select("file", "row")).join(small(full, full.count()), ["file", "row"]).select("whole", n_words, *none.names)
+    return clean.unionByName(dirty).select(F.col("whole").alias("row"), "n_words", *_none(full))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW) -> DataFrame:
@@ -115,7 +119,10 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", size
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with_hits = _with_hits(table(spark, sf_dir, "documents"), [F.col("doc_id")], table(spark, sf_dir, "benchmark"), "text", WINDOW, MAX_BROADCAST_ROWS)
+    docs = table(spark, sf_dir, "documents")
+    full = found(docs, table(spark, sf_dir, "benchmark"))
+    own = docs.select("doc_id", F.size(words(F.col("text"))).cast("bigint").alias("n_words"), *locator(docs))  # narrow rows
+    with_hits = own.join(small(full, full.count()), ["file", "row"], "left").select("doc_id", "n_words", *_none(full))
     return with_hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 

@@ -20,11 +20,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import ascii_lower, column, located, locator, shared_dir, small, stored, table, without
+from clipspans.llm.common import MAX_NARROW, ascii_lower, column, located, locator, shared_dir, stored, table, within, without
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Set while a state stream runs. Without the second, each state partition reserves 4 MB for its log files in advance.
 STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+#: Rows of a digest from which its rows aren't gathered.
+HOT = 10_000
 ARRIVAL = "digest string, id bigint, file string, row bigint"
 
 
@@ -32,9 +34,10 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def _keyed(docs: DataFrame, text: str, id: str, digest: Callable[[Column], Column]) -> DataFrame:
-    norm = ascii_lower(F.coalesce(column(text), F.lit("")))
-    return docs.select(column(id).cast("bigint").alias("id"), norm.alias("norm"), *locator(docs)).withColumn("digest", digest(F.col("norm")))
+def _keyed(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    """``docs`` with norm and digest in place of text."""
+    norm = ascii_lower(F.coalesce("text", F.lit("")))
+    return docs.withColumn("norm", norm).drop("text").withColumn("digest", digest(F.col("norm")))
 
 
 def update_state(arrivals: DataFrame, sink: str, checkpoint: str) -> None:
@@ -69,29 +72,37 @@ def classes(docs: DataFrame, text: str = "text", id: str = "doc_id", digest: Cal
     """One row per row of ``docs``: file, row (its locator), id, digest, keep_id, group_size, kept."""
     docs = located(docs)
     spark = docs.sparkSession
-    rows = _keyed(docs, text, id, digest)
+    rows = _keyed(docs.select(column(id).cast("bigint").alias("id"), column(text).alias("text"), *locator(docs)), digest)
     base = shared_dir(spark)
     rows.select("digest", "id", "file", "row").write.parquet(f"{base}/arrivals")
     arrivals = spark.read.schema(ARRIVAL).parquet(f"{base}/arrivals")
     update_state(spark.readStream.schema(ARRIVAL).parquet(f"{base}/arrivals"), f"{base}/state", f"{base}/stream")
     state = stored(retained(spark, f"{base}/state"))
 
-    # Full bytes of every hit and of the row that stays: a digest's texts are equal where the least is the greatest. Only texts
-    # whose digest came more than once are read for it, and each task reduces a hot digest to two texts before the shuffle.
-    hits = stored(arrivals.join(state.where("n > 1").select("digest"), "digest").select("digest", "file", "row"))
-    texts = docs.select(*locator(docs), ascii_lower(F.coalesce(column(text), F.lit(""))).alias("norm")).join(small(hits), ["file", "row"])
-    unequal = stored(texts.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high")).where("low <> high").select("digest"))
-
     def out(found: DataFrame) -> DataFrame:
         here = F.struct("id", "file", "row")
         return found.select("file", "row", "id", "digest", F.col("keep.id").alias("keep_id"), F.col("n").alias("group_size"), here.eqNullSafe(F.col("keep")).alias("kept"))
 
-    plain = arrivals.join(state, "digest")
+    plain = stored(out(_with_state(arrivals, state)))
+
+    # Full bytes of every hit and of the row that stays: a digest's texts are equal where the least is the greatest. Only texts
+    # whose digest came more than once are read for it, and each task reduces a hot digest to two texts before the shuffle.
+    texts = _keyed(within(docs.select(column(text).alias("text")), plain.where("group_size > 1").select("file", "row")), digest)
+    unequal = stored(texts.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high")).where("low <> high").select("digest"))
     if unequal.isEmpty():
-        return out(plain)
+        return plain
     again = rows.join(unequal, "digest")
     groups = again.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "file", "row")).alias("keep"))
-    return out(plain.join(unequal, "digest", "left_anti")).unionByName(out(again.join(groups, ["digest", "norm"])))
+    return plain.join(unequal, "digest", "left_anti").unionByName(out(again.join(groups, ["digest", "norm"])))
+
+
+def _with_state(arrivals: DataFrame, state: DataFrame) -> DataFrame:
+    """Arrivals with their digest's state. Digests of over ``HOT`` rows are few, and are broadcast; no other task gets more than that of one."""
+    hot = stored(state.where(F.col("n") > HOT))
+    if hot.count() > MAX_NARROW:  # of over 2,000,000,000 rows; their tasks are split as Spark sees them
+        return arrivals.join(state, "digest")
+    rest = arrivals.join(F.broadcast(hot.select("digest")), "digest", "left_anti")
+    return arrivals.join(F.broadcast(hot), "digest").unionByName(rest.join(state.where(F.col("n") <= HOT), "digest"))
 
 
 def deduplicate(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipspans.llm.common import LOWER_BYTES, column, located, locator, small, small_batches, stored, table, without
+from clipspans.llm.common import LOWER_BYTES, column, located, locator, small, small_batches, stored, table, within, without
 from clipspans.llm.components import components
 
 CHUNK = 4096
@@ -244,9 +244,9 @@ def near_links(docs: DataFrame, text: str, shingle: int, found: DataFrame) -> Da
         for batch in texts:
             yield pd.Series([shingle_set(t, shingle).tobytes() for t in batch], dtype=object)
 
-    here = docs.select(*locator(docs), column(text).alias("text"))
+    here = within(docs.select(column(text).alias("text")), found.select("file", "row")).select("file", "row", collect("text").alias("shingles"))
     with small_batches(docs.sparkSession):
-        sets = stored(here.join(small(found), ["file", "row"]).select("root", "node", collect("text").alias("shingles")))
+        sets = stored(here.join(small(found), ["file", "row"]).select("root", "node", "shingles"))
     k = F.ceil(F.greatest(F.sum(F.octet_length("shingles")) / (8 * PART_SHINGLES), F.count(F.lit(1)) / PART_TEXTS, F.lit(1))).cast("int")
     sets = sets.join(small(stored(sets.groupBy("root").agg(k.alias("k")))), "root").withColumn("c", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda i: F.struct(F.least("c", i).alias("a"), F.greatest("c", i).alias("b")))
