@@ -81,6 +81,52 @@ def expand_to_frames(spans: DataFrame, clips: DataFrame, frames: int = FRAMES, t
     return grid.join(best, ["clip_id", "frame"], "left").fillna("Not Available", list(tracks))
 
 
+def _cells(points: Column) -> Column:
+    """Neighbouring points as array of struct(a, b)."""
+    p = F.array_sort(F.array_distinct(points))
+    return F.transform(F.slice(p, F.lit(1), F.greatest(F.size(p) - 1, F.lit(0))), lambda a, i: F.struct(a.alias("a"), F.get(p, i + 1).alias("b")))
+
+
+def _ends(spans: Column) -> Column:
+    return F.flatten(F.transform(spans, lambda x: F.array(x["start"], x["end"])))
+
+
+def _label(spans: Column, cell: Column) -> Column:
+    """The tag of the last of ``spans`` (in order of line_no) that holds a cell."""
+    return F.try_element_at(F.filter(spans, lambda x: (x["start"] <= cell["a"]) & (x["end"] > cell["a"])), F.lit(-1))["tag"]
+
+
+def _sorted(where: Column | None = None) -> Column:
+    row = F.struct("line_no", "start", "end", "tag")
+    return F.array_sort(F.collect_list(row if where is None else F.when(where, row)))
+
+
+def timeline(spans: DataFrame, frames: int | None = FRAMES) -> DataFrame:
+    """(clip_id, track, start, end, tag): pieces without overlap, in which the later line wins, of (clip_id, track, tag, start, end, line_no).
+
+    Between two neighbouring starts or ends the label is one, so a clip costs what its spans do, whatever the number of frames.
+    Reversed spans are skipped, and the rest is cut to [0, frames)."""
+    rows = _cut(spans, frames).groupBy("clip_id", "track").agg(_sorted().alias("s"))
+    cells = F.transform(_cells(_ends(F.col("s"))), lambda c: F.struct(c["a"].alias("start"), c["b"].alias("end"), _label(F.col("s"), c).alias("tag")))
+    return rows.select("clip_id", "track", F.explode(cells).alias("c")).select("clip_id", "track", "c.*").where("tag is not null")
+
+
+def _cut(spans: DataFrame, frames: int | None) -> DataFrame:
+    own = spans.where("end > start")
+    return own if frames is None else own.withColumns({"start": F.greatest("start", F.lit(0)), "end": F.least("end", F.lit(frames))}).where("end > start")
+
+
+def span_agreement(predicted: DataFrame, truth: DataFrame, frames: int | None = FRAMES) -> DataFrame:
+    """(track, frames, equal): frames that both sides label, and those with equal labels, from spans as in ``timeline``. One grouping by clip
+    and track; no span is spread over its frames."""
+    names = ["clip_id", "track", "tag", "start", "end", "line_no"]
+    both = _cut(predicted, frames).select(*names, F.lit(0).alias("side")).unionByName(_cut(truth, frames).select(*names, F.lit(1).alias("side")))
+    rows = both.groupBy("clip_id", "track").agg(_sorted(F.col("side") == 0).alias("p"), _sorted(F.col("side") == 1).alias("t")).where("size(p) > 0 and size(t) > 0")
+    cells = F.transform(_cells(F.concat(_ends(F.col("p")), _ends(F.col("t")))), lambda c: F.struct((c["b"] - c["a"]).alias("n"), _label(F.col("p"), c).alias("p"), _label(F.col("t"), c).alias("t")))
+    found = rows.select("track", F.explode(cells).alias("c")).select("track", "c.*").where("p is not null and t is not null")
+    return found.groupBy("track").agg(F.sum("n").cast("bigint").alias("frames"), F.coalesce(F.sum(F.when(F.col("p") == F.col("t"), F.col("n"))), F.lit(0)).cast("bigint").alias("equal"))
+
+
 def frame_counters(spans: DataFrame, frames: int = FRAMES) -> DataFrame:
     """Per clip: spans that are reversed or empty, and spans that reach outside the frames."""
     bad = F.col("end") <= F.col("start")

@@ -225,6 +225,14 @@ def _agreement(spark, d):
     return keyframes.agreement(here(0), here(2), ("longitudinal",))
 
 
+@query("a9_span_agreement", """select track, count(*) as frames, count(*) filter (p = t) as equal from (select f.clip_id, f.f, f.family as track, arg_max(f.tag, f.s) as p, arg_max(g.tag, g.s) as t
+  from (select s.*, unnest(range(s.s, s.e)) as f from spans s) f join (select s.*, unnest(range(s.s + 2, s.e + 2)) as f from spans s) g on f.clip_id = g.clip_id and f.family = g.family and f.f = g.f where f.f < 200 group by f.clip_id, f.family, f.f) group by track""", "spans")
+def _span_agreement(spark, d):
+    """Both tracks against themselves, two ticks later, without rows for frames."""
+    s = inputs.numbered(inputs.stored_spans(spark, d)).withColumn("track", F.col("family"))
+    return intervals.span_agreement(s, s.withColumns({"start": F.col("start") + 2, "end": F.col("end") + 2}))
+
+
 @query("m1_match_lanes", "select clip_id, tick, lane_id, round(lane_offset, 6) as lane_offset, cast(n as int) as n from lane_match", "lane_match")
 def _match(spark, d):
     m = lanes.match_lanes(inputs.lane_ticks(spark, d), inputs.lanes(spark, d))
