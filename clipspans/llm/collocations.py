@@ -43,6 +43,8 @@ TOGETHER, HELD = 8 << 20, 4_000_000
 #: No stop; the most that an unnamed count tells.
 NEVER = MOST = 255
 LENGTHS = (1, 2, 3)
+#: Shards and counts are read more than once, and take room meanwhile.
+CODEC = {"compression": "zstd"}
 #: Phrases by name: n words, language, phrase, c occurrences; n = 0 counts all words of a language. Unnamed counts: of n words, activated at a stop, a bucket's keys and counts.
 FOUND = "n int, lang string, phrase string, c bigint, stop int, bucket int, keys binary, counts binary"
 _ARROW = pa.schema([("n", pa.int32()), ("lang", pa.string()), ("phrase", pa.string()), ("c", pa.int64()), ("stop", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -251,7 +253,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     buckets = 1 << min(14, max(8, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
     base = shared_dir(spark)
     rows = docs.select(F.coalesce(column(lang).cast("string"), F.lit("und")).alias("lang"), ascii_lower(F.coalesce(column(text), F.lit(""))).alias("text"), (locator(docs)[1] % shards).alias("shard"))
-    rows.write.partitionBy("shard").parquet(f"{base}/texts")
+    rows.write.partitionBy("shard").options(**CODEC).parquet(f"{base}/texts")
     known = [np.zeros(SLOTS, bool) for _ in LENGTHS]
     news: list = []
     passes: list[DataFrame] = []
@@ -260,7 +262,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     with small_batches(spark, 1000):
         while at < last_new + shards:
             shard = spark.read.schema("lang string, text string, shard int").parquet(f"{base}/texts").where(F.col("shard") == at % shards).select("lang", "text")
-            passes.append(stored(_scan(shard, news, at, shards, buckets)))
+            passes.append(stored(_scan(shard, news, at, shards, buckets), **CODEC))
             at += 1
             # phrases of earlier stops have been through all shards before
             unnamed = reduce(DataFrame.unionByName, passes).where((F.col("stop") + shards >= at) & F.col("bucket").isNotNull())

@@ -32,10 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as a Parquet table in the shared folder and read back: cuts the lineage, outlives lost executors."""
+def stored(df: DataFrame, **options: str) -> DataFrame:
+    """``df`` written as a Parquet table in the shared folder and read back: cuts the lineage, outlives lost executors. Options as the
+    writer's, such as compression."""
     path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
