@@ -7,8 +7,8 @@ through each shard once. A phrase that has the threshold has subphrases that do,
 
 Most phrases of frequent parts are rare, so a count goes without its name first: phrases are counted by a hash of language and words
 (``KEY_BITS`` bits in a bucket), in sorted arrays of five bytes a phrase, one row a bucket and task. What has the threshold at a
-stop is then counted by name, over a whole cycle from that stop on. Phrases of one hash share the earlier stop, which
-only makes more of them be counted by name, so the counts are exact whatever collides.
+stop is then counted by name, over a whole cycle from that stop on. Phrases of one hash share the earlier stop, but none is counted by name
+before its own parts are active, so that each goes through one whole cycle and the counts are exact whatever collides.
 
 At which stop a hash had the threshold is kept for its first 24 bits, in one byte (``SLOTS``) for each length. These three arrays have
 a fixed size and are rebuilt in the tasks from the stops' new slots, which come to the driver as bitmaps, at most ``SLOTS`` bits, and
@@ -130,8 +130,10 @@ def count_block(texts: pa.Array, langs: list[str], act: list[np.ndarray], at: in
     pairs, inverse, n = np.unique(u[j] * len(found) + u[j + 1], return_inverse=True, return_counts=True)
     a, b = pairs // len(found), pairs % len(found)
     hashes = pair_hash(hashes[a], hashes[b])
-    hold(2, np.maximum(since[a], since[b]))
-    pair_since = act[1][slot(hashes)].astype(np.int16)
+    active = np.maximum(since[a], since[b])
+    hold(2, active)
+    # a slot can be another phrase's, and older than this one's parts; it is counted from when both are there
+    pair_since = np.maximum(act[1][slot(hashes)].astype(np.int16), active)
     i = np.flatnonzero(goes(pair_since) & (pair_since < NEVER))
     named.append((2, languages.take(pa.array(spoken[a[i]])), join(a[i], b[i]), n[i]))
 
@@ -142,8 +144,9 @@ def count_block(texts: pa.Array, langs: list[str], act: list[np.ndarray], at: in
         triples, first, n = np.unique(inverse[k] * len(found) + u[j[k] + 2], return_index=True, return_counts=True)
         p, q, c = triples // len(found), inverse[k[first] + 1], triples % len(found)
         hashes = pair_hash(hashes[p], word_hashes[c])
-        hold(3, np.maximum(pair_since[p], pair_since[q]))
-        since = act[2][slot(hashes)].astype(np.int16)
+        active = np.maximum(pair_since[p], pair_since[q])
+        hold(3, active)
+        since = np.maximum(act[2][slot(hashes)].astype(np.int16), active)
         i = np.flatnonzero(goes(since) & (since < NEVER))
         named.append((3, languages.take(pa.array(spoken[c[i]])), join(a[p[i]], b[p[i]], c[i]), n[i]))
     return named, unnamed

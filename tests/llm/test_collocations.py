@@ -87,6 +87,26 @@ def test_collisions_change_no_count():
         assert got == f
 
 
+def test_slots_older_than_the_parts_of_a_phrase_change_no_count():
+    """Where another phrase made a pair's or triple's slot active before its own words or pairs are, it still goes through one whole cycle."""
+    rows = drawn(11, 60)
+    f, _ = plain_counts(rows)
+    texts = [(t or "").translate(str.maketrans(UPPER, UPPER.lower())) for _, t, _ in rows]
+    langs = ["und" if x is None else x for _, _, x in rows]
+    for stops in ((2, 1, 1), (3, 4, 2), (3, 1, 5)):
+        got = Counter()
+        for at in range(12):
+            # a stop is known from its pass on
+            act = [np.full(collocations.SLOTS, s if s <= at else collocations.NEVER, np.uint8) for s in stops]
+            own = [i for i in range(len(rows)) if i % 3 == at % 3]
+            named, _ = collocations.count_block(pa.array([texts[i] for i in own]), [langs[i] for i in own], act, at, 3)
+            for n, lang, phrase, c in named:
+                if n:
+                    for key, x, k in zip(lang.to_pylist(), phrase.to_pylist(), c.tolist()):
+                        got[(key, *x.split(" "))] += k
+        assert got == f
+
+
 def test_unnamed_counts_saturate():
     r = np.random.default_rng(3)
     h, c = r.integers(0, 50, 4000).astype(np.uint64), r.integers(1, 20, 4000)
