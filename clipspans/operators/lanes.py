@@ -5,7 +5,7 @@ lanes: (map_id, lane_id, center array<struct<x, y>>, next, left, right array<str
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,8 @@ def match_lanes(poses: DataFrame, lanes: DataFrame, max_dist: float = 2.0, max_h
     """Poses with ``candidates``: lanes within both limits as struct(dist, lane_id, offset), nearest first, then by id.
 
     Each centre-line piece goes to the grid cells that its box, widened by max_dist, meets; a pose to its own cell; so the join
-    is an equi-join on (map, cell). A pose with a missing or infinite coordinate has no candidates. offset is left-positive."""
+    is an equi-join on (map, cell). Pieces, like all that is unfolded from maps here, are merged and never broadcast: Spark's
+    estimate of their size doesn't know what ``explode`` adds. A pose with a missing or infinite coordinate has no candidates. offset is left-positive."""
     piece = lanes.select("map_id", "lane_id", F.explode(F.arrays_zip(F.slice("center", 1, F.greatest(F.size("center") - 1, F.lit(0))).alias("a"), F.slice("center", 2, F.greatest(F.size("center") - 1, F.lit(0))).alias("b"))).alias("s"))
     piece = piece.select("map_id", "lane_id", F.col("s.a.x").alias("ax"), F.col("s.a.y").alias("ay"), (F.col("s.b.x") - F.col("s.a.x")).alias("sx"), (F.col("s.b.y") - F.col("s.a.y")).alias("sy"))
 
@@ -48,7 +49,7 @@ def match_lanes(poses: DataFrame, lanes: DataFrame, max_dist: float = 2.0, max_h
     dx, dy = px - share * F.col("sx"), py - share * F.col("sy")
     found = F.struct(F.sqrt(dx * dx + dy * dy).alias("dist"), F.signum(F.col("sx") * py - F.col("sy") * px).alias("side"), F.abs(wrap(F.col("heading") - F.atan2("sy", "sx"))).alias("turn"))
     # poses without a piece stay, so that they needn't be joined again; one exchange by clip serves both groupings and what follows
-    pairs = here.join(piece, ["map_id", "cx", "cy"], "left").select(*poses.columns, "lane_id", F.when(F.col("lane_id").isNotNull(), found).alias("m")).repartition(*KEYS)
+    pairs = here.join(piece.hint("merge"), ["map_id", "cx", "cy"], "left").select(*poses.columns, "lane_id", F.when(F.col("lane_id").isNotNull(), found).alias("m")).repartition(*KEYS)
     best = pairs.groupBy(*KEYS, "tick", "lane_id").agg(F.min("m").alias("m"), _rest(poses))
     fits = (F.col("m.dist") <= max_dist) & (F.col("m.turn") <= max_heading_error)
     one = F.when(fits, F.struct(F.col("m.dist").alias("dist"), "lane_id", (F.col("m.side") * F.col("m.dist")).alias("offset")))
@@ -67,35 +68,40 @@ def _columns(rows: DataFrame) -> list[Column]:
     return [F.col("_rest")[c].alias(c) for c in rows.columns]
 
 
-def _reach(lanes: DataFrame, depth: int) -> DataFrame:
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def _reach(lanes: DataFrame, depth: int, keep: Keep = lambda df: df) -> DataFrame:
     """(map_id, lane_id, reach): the sorted lanes within ``depth`` steps ahead; "-1" is no lane. By doubling: lanes within 2n steps are
-    those within n and those within n of these, so 5 steps take three joins."""
+    those within n and those within n of these, so 5 steps take three joins.
+    ``keep`` may store what it gets and return it read back: every doubling takes its input three times."""
     names = ("map_id", "lane_id", "next_id")
     one = lanes.select("map_id", "lane_id", F.explode("next").alias("next_id")).where("next_id <> '-1'").distinct()
+    one = keep(one)
 
     def after(a: DataFrame, b: DataFrame) -> DataFrame:
         """Pairs within as many steps as a and b have together."""
-        far = a.withColumnRenamed("next_id", "mid").join(b.select("map_id", F.col("lane_id").alias("mid"), "next_id"), ["map_id", "mid"]).select(*names)
+        far = a.withColumnRenamed("next_id", "mid").join(b.select("map_id", F.col("lane_id").alias("mid"), "next_id").hint("merge"), ["map_id", "mid"]).select(*names)
         return a.unionByName(far).distinct()
 
     reach = one
     for bit in bin(depth)[3:]:
-        reach = after(reach, reach)
+        reach = keep(after(reach, reach))
         if bit == "1":
             reach = after(one, reach)
     return reach.groupBy("map_id", "lane_id").agg(F.array_sort(F.collect_set("next_id")).alias("reach"))
 
 
-def next_lanes(lanes: DataFrame, depth: int = 5) -> DataFrame:
+def next_lanes(lanes: DataFrame, depth: int = 5, keep: Keep = lambda df: df) -> DataFrame:
     """(map_id, lane_id, next_id): lanes within ``depth`` steps ahead; "-1" is no lane."""
-    return _reach(lanes, depth).select("map_id", "lane_id", F.explode("reach").alias("next_id"))
+    return _reach(lanes, depth, keep).select("map_id", "lane_id", F.explode("reach").alias("next_id"))
 
 
-def lane_neighbours(lanes: DataFrame, depth: int = 5) -> DataFrame:
+def lane_neighbours(lanes: DataFrame, depth: int = 5, keep: Keep = lambda df: df) -> DataFrame:
     """Per lane: next_lanes, and the left and right lanes of itself and of those, once per map."""
-    own = lanes.select("map_id", "lane_id").distinct().join(_reach(lanes, depth), ["map_id", "lane_id"], "left").withColumn("reach", F.coalesce("reach", _empty()))
+    own = lanes.select("map_id", "lane_id").distinct().join(_reach(lanes, depth, keep).hint("merge"), ["map_id", "lane_id"], "left").withColumn("reach", F.coalesce("reach", _empty()))
     near = own.select("map_id", "lane_id", "reach", F.explode(F.array_union("reach", F.array("lane_id"))).alias("next_id"))
-    sides = near.join(lanes.select("map_id", F.col("lane_id").alias("next_id"), "left", "right"), ["map_id", "next_id"])
+    sides = near.join(lanes.select("map_id", F.col("lane_id").alias("next_id"), "left", "right").hint("merge"), ["map_id", "next_id"])
     flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(c), _empty())))))
     return sides.groupBy("map_id", "lane_id").agg(flat("left").alias("left_lanes"), flat("right").alias("right_lanes"), F.first("reach").alias("next_lanes"))
 
@@ -105,7 +111,7 @@ def lane_relations(matched: DataFrame, lanes: DataFrame | None, depth: int = 5,
     ``lane_neighbours``, where it is stored; else it is found from ``lanes``."""
     near = lane_neighbours(lanes, depth) if neighbours is None else neighbours
     names = ("next_lanes", "left_lanes", "right_lanes")
-    rows = matched.withColumn("_id", F.explode_outer("current_lanes")).join(near.withColumnRenamed("lane_id", "_id"), ["map_id", "_id"], "left")
+    rows = matched.withColumn("_id", F.explode_outer("current_lanes")).join(near.withColumnRenamed("lane_id", "_id").hint("merge"), ["map_id", "_id"], "left")
     flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(c), _empty()))))).alias(c)
     sets = rows.repartition(*KEYS).groupBy(*KEYS, "tick").agg(*[flat(n) for n in names], _rest(matched))
     return sets.select(*_columns(matched), *names)
@@ -256,7 +262,7 @@ def lane_decisions(ticks: DataFrame) -> DataFrame:
             yield pd.Series(out)
 
     decide = F.pandas_udf(run_typed(run), "array<struct<tick: int, lane_decision: string, reason: string>>")
-    return ticks.join(lists.select(*KEYS, F.inline(decide("rows"))), [*KEYS, "tick"])
+    return ticks.join(lists.select(*KEYS, F.inline(decide("rows"))).hint("merge"), [*KEYS, "tick"])
 
 
 def lane_confidence(ticks: DataFrame) -> DataFrame:

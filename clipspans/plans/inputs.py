@@ -40,6 +40,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt_out(df: DataFrame, key: str) -> DataFrame:
+    """``df`` in all shuffle partitions by ``key``: its rows are narrow, but what is made of each of them isn't, which coalescing by bytes
+    doesn't see."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 @lru_cache(maxsize=1)
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="spark-")
@@ -133,7 +139,7 @@ LANE_PIECES = 20
 
 def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per clip a map of five straight lanes, 3.5 m apart, in pieces of 10 m."""
-    maps = _numbered_events(spark, sf_dir).select(F.col("clip_id").alias("map_id")).distinct()
+    maps = dealt_out(_numbered_events(spark, sf_dir).select(F.col("clip_id").alias("map_id")).distinct(), "map_id")
     rows = maps.select("map_id", F.explode(F.sequence(F.lit(-2), F.lit(2))).alias("j")).select("map_id", "j", F.explode(F.sequence(F.lit(0), F.lit(LANE_PIECES - 1))).alias("i"))
     name = lambda j, i: F.concat(F.lit("L"), j.cast("string"), F.lit("_"), i.cast("string"))
     j, i, y = F.col("j"), F.col("i"), F.col("j") * 3.5
