@@ -73,12 +73,23 @@ def expand_to_frames(spans: DataFrame, clips: DataFrame, frames: int = FRAMES, t
     """One row per clip and frame with a column per track; the later line wins, frames without a span say Not Available.
 
     spans: (clip_id, tag, start, end, line_no); reversed spans are skipped and the rest is cut to [0, frames)."""
-    own = spans.where("end > start").withColumn("track", _track(F.col("tag"))).where(F.col("track").isin(*tracks))
-    own = own.withColumns({"start": F.greatest("start", F.lit(0)), "end": F.least("end", F.lit(frames))}).where("end > start")
-    hits = own.select("clip_id", F.explode(F.sequence("start", F.col("end") - 1)).alias("frame"), "track", "tag", "line_no")
-    best = hits.groupBy("clip_id", "frame").agg(*[F.max_by(F.when(F.col("track") == t, F.col("tag")), F.when(F.col("track") == t, F.col("line_no"))).alias(t) for t in tracks])
-    grid = clips.select("clip_id").distinct().withColumn("frame", F.explode(F.sequence(F.lit(0), F.lit(frames - 1))))
-    return grid.join(best, ["clip_id", "frame"], "left").fillna("Not Available", list(tracks))
+    lists = frame_lists(spans, clips, frames, tracks)
+    return lists.withColumn("frame", F.explode(F.sequence(F.lit(0), F.lit(frames - 1)))).select("clip_id", "frame", *[frame_label(F.col(t), F.col("frame")).alias(t) for t in tracks])
+
+
+def frame_lists(spans: DataFrame, clips: DataFrame, frames: int = FRAMES, tracks: tuple[str, ...] = ("longitudinal", "lane")) -> DataFrame:
+    """One row per clip with a column per track: its spans in order of their lines, for ``frame_label``. One exchange of spans; frames are
+    neither shuffled nor joined, as a clip's spans tell the label of each. Arguments as in ``expand_to_frames``."""
+    own = _cut(spans, frames).where("clip_id is not null and line_no is not null").withColumn("track", _track(F.col("tag"))).where(F.col("track").isin(*tracks))
+    row = F.struct("line_no", "start", "end", "tag")
+    both = own.select("clip_id", F.lit(False).alias("listed"), "track", row.alias("s")).unionByName(clips.select("clip_id").distinct().withColumn("listed", F.lit(True)), allowMissingColumns=True)
+    lists = both.groupBy("clip_id").agg(F.bool_or("listed").alias("listed"), *[F.array_sort(F.collect_list(F.when(F.col("track") == t, F.col("s")))).alias(t) for t in tracks])
+    return lists.where("listed").drop("listed")
+
+
+def frame_label(spans: Column, frame: Column) -> Column:
+    """The label of a frame by a list of ``frame_lists``."""
+    return F.coalesce(_label(spans, frame), F.lit("Not Available"))
 
 
 def _cells(points: Column) -> Column:
@@ -91,9 +102,9 @@ def _ends(spans: Column) -> Column:
     return F.flatten(F.transform(spans, lambda x: F.array(x["start"], x["end"])))
 
 
-def _label(spans: Column, cell: Column) -> Column:
-    """The tag of the last of ``spans`` (in order of line_no) that holds a cell."""
-    return F.try_element_at(F.filter(spans, lambda x: (x["start"] <= cell["a"]) & (x["end"] > cell["a"])), F.lit(-1))["tag"]
+def _label(spans: Column, at: Column) -> Column:
+    """The tag of the last of ``spans`` (in order of line_no) that holds a frame."""
+    return F.try_element_at(F.filter(spans, lambda x: (x["start"] <= at) & (x["end"] > at)), F.lit(-1))["tag"]
 
 
 def _sorted(where: Column | None = None) -> Column:
@@ -107,7 +118,7 @@ def timeline(spans: DataFrame, frames: int | None = FRAMES) -> DataFrame:
     Between two neighbouring starts or ends the label is one, so a clip costs what its spans do, whatever the number of frames.
     Reversed spans are skipped, and the rest is cut to [0, frames)."""
     rows = _cut(spans, frames).groupBy("clip_id", "track").agg(_sorted().alias("s"))
-    cells = F.transform(_cells(_ends(F.col("s"))), lambda c: F.struct(c["a"].alias("start"), c["b"].alias("end"), _label(F.col("s"), c).alias("tag")))
+    cells = F.transform(_cells(_ends(F.col("s"))), lambda c: F.struct(c["a"].alias("start"), c["b"].alias("end"), _label(F.col("s"), c["a"]).alias("tag")))
     return rows.select("clip_id", "track", F.explode(cells).alias("c")).select("clip_id", "track", "c.*").where("tag is not null")
 
 
@@ -122,7 +133,7 @@ def span_agreement(predicted: DataFrame, truth: DataFrame, frames: int | None =
     names = ["clip_id", "track", "tag", "start", "end", "line_no"]
     both = _cut(predicted, frames).select(*names, F.lit(0).alias("side")).unionByName(_cut(truth, frames).select(*names, F.lit(1).alias("side")))
     rows = both.groupBy("clip_id", "track").agg(_sorted(F.col("side") == 0).alias("p"), _sorted(F.col("side") == 1).alias("t")).where("size(p) > 0 and size(t) > 0")
-    cells = F.transform(_cells(F.concat(_ends(F.col("p")), _ends(F.col("t")))), lambda c: F.struct((c["b"] - c["a"]).alias("n"), _label(F.col("p"), c).alias("p"), _label(F.col("t"), c).alias("t")))
+    cells = F.transform(_cells(F.concat(_ends(F.col("p")), _ends(F.col("t")))), lambda c: F.struct((c["b"] - c["a"]).alias("n"), _label(F.col("p"), c["a"]).alias("p"), _label(F.col("t"), c["a"]).alias("t")))
     found = rows.select("track", F.explode(cells).alias("c")).select("track", "c.*").where("p is not null and t is not null")
     return found.groupBy("track").agg(F.sum("n").cast("bigint").alias("frames"), F.coalesce(F.sum(F.when(F.col("p") == F.col("t"), F.col("n"))), F.lit(0)).cast("bigint").alias("equal"))
 
@@ -138,6 +149,16 @@ def change_points(frames: DataFrame, track: str) -> DataFrame:
     return frames.withColumn("_b", before).where(F.col("_b").isNotNull() & (F.col("_b") != F.col(track))).drop("_b")
 
 
+def span_change_points(spans: DataFrame, clips: DataFrame, track: str, frames: int = FRAMES) -> DataFrame:
+    """``change_points`` of the frames of ``expand_to_frames``, (clip_id, frame, track), from each clip's spans: a label changes only where one
+    of them starts or ends, so no frames are sorted."""
+    lists = frame_lists(spans, clips, frames, (track,))
+    ends = F.array_distinct(_ends(F.col(track)))
+    at = lists.withColumn("frame", F.explode(ends)).where((F.col("frame") > 0) & (F.col("frame") < frames))
+    labels = at.select("clip_id", "frame", frame_label(F.col(track), F.col("frame")).alias(track), frame_label(F.col(track), F.col("frame") - 1).alias("_b"))
+    return labels.where(F.col("_b") != F.col(track)).drop("_b")
+
+
 def expand_gt(gt: DataFrame, fps: int = 30, frames: int = 600) -> DataFrame:
     """Ground-truth spans in milliseconds as video frames, later rows first served: (clip_id, frame, longitudinal, lateral, lane).
 

@@ -110,7 +110,7 @@ def balance(keyframes: DataFrame, target: int, custom: list[str] | None = None)
 
 def agreement(predicted: DataFrame, truth: DataFrame, tracks: tuple[str, ...] = ("longitudinal", "lateral", "lane")) -> DataFrame:
     """Frames of both that agree, per track: (track, frames, equal)."""
-    both = predicted.join(truth.select("clip_id", "frame", *[F.col(t).alias(f"t_{t}") for t in tracks]), ["clip_id", "frame"])
+    both = predicted.join(truth.select("clip_id", "frame", *[F.col(t).alias(f"t_{t}") for t in tracks]).hint("merge"), ["clip_id", "frame"])
     rows = both.select(F.explode(F.array(*[F.struct(F.lit(t).alias("track"), F.col(t).alias("p"), F.col(f"t_{t}").alias("t")) for t in tracks])).alias("r")).select("r.*")
     return rows.groupBy("track").agg(F.count(F.lit(1)).alias("frames"), F.count_if(F.col("p") == F.col("t")).alias("equal"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipspans.functions.text import action_text
-from clipspans.operators.intervals import FRAMES
+from clipspans.operators.intervals import FRAMES, frame_label, frame_lists
 
 HISTORY, FUTURE, STEP = 20, 60, 5
 
@@ -15,6 +15,20 @@ def action_window(events: DataFrame, frame_actions: DataFrame, n: int = FRAMES,
     """Sampled actions around events (clip_id, event_start_frame, ...): ts counts frames from the event; phase history or future.
 
     Both phases step from their own start; a null event takes the whole clip from frame 0."""
+    rows = _sampled(events, events.columns, n, history, future, step)
+    return rows.join(frame_actions.hint("merge"), ["clip_id", "frame"])
+
+
+def span_action_window(events: DataFrame, spans: DataFrame, clips: DataFrame, tracks: tuple[str, ...] = ("longitudinal", "lane"), n: int = FRAMES, history: int = HISTORY, future: int = FUTURE, step: int = STEP) -> DataFrame:
+    """``action_window`` on the frames of ``expand_to_frames``, from each clip's spans: only sampled frames are made."""
+    lists = frame_lists(spans, clips, n, tracks)
+    rows = _sampled(events.join(lists.hint("merge"), "clip_id"), [*events.columns, *tracks], n, history, future, step)
+    first = ["clip_id", "frame", *[c for c in events.columns if c != "clip_id"], "phase", "ts"]
+    return rows.select(*first, *[frame_label(F.col(t), F.col("frame")).alias(t) for t in tracks])
+
+
+def _sampled(events: DataFrame, columns: list[str], n: int, history: int, future: int, step: int) -> DataFrame:
+    """A row for each sampled frame of an event, with frame, phase and ts."""
     if step < 1:
         raise ValueError("step must be above 0")
     ev = F.least(F.greatest(F.col("event_start_frame"), F.lit(0)), F.lit(n))
@@ -26,8 +40,7 @@ def action_window(events: DataFrame, frame_actions: DataFrame, n: int = FRAMES,
 
     whole = samples(F.lit(0), F.lit(n), "whole")
     both = F.when(ev.isNull(), whole).otherwise(F.concat(samples(lo, ev, "history"), samples(ev, hi, "future")))
-    rows = events.withColumn("s", F.explode(both)).select(*events.columns, "s.frame", "s.phase", (F.col("s.frame") - F.coalesce(ev, F.lit(0))).alias("ts"))
-    return rows.join(frame_actions, ["clip_id", "frame"])
+    return events.withColumn("s", F.explode(both)).select(*columns, "s.frame", "s.phase", (F.col("s.frame") - F.coalesce(ev, F.lit(0))).alias("ts"))
 
 
 def action_text_block(window: DataFrame, keys: tuple[str, ...] = ("clip_id", "event_start_frame")) -> DataFrame:

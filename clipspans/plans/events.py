@@ -178,8 +178,8 @@ def _bucketed(spark, d):
 def _action_text(spark, d):
     spans = inputs.stored_spans(spark, d)
     s = inputs.numbered(spans)
-    frames = intervals.expand_to_frames(s, spans).withColumn("lateral", F.lit("-"))
-    return prompts.action_text_block(prompts.action_window(inputs.keyframe_rows(spark, d, spans).select("clip_id", "event_start_frame").distinct(), frames))
+    window = prompts.span_action_window(inputs.keyframe_rows(spark, d, spans).select("clip_id", "event_start_frame").distinct(), s, spans)
+    return prompts.action_text_block(window.withColumn("lateral", F.lit("-")))
 
 
 _SAMPLES = "string_agg('(t=' || printf('%.1f', (tick - e) * 0.1e0) || 's, v_{0}=' || printf('%.3f', {0}_speed) || ' m/s)', ', ' order by tick) filter ({1})"

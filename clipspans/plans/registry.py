@@ -144,7 +144,8 @@ def _frames(spark, d):
 @query("i7_change_points", """select clip_id, frame, longitudinal from (select *, lag(longitudinal) over (partition by clip_id order by frame) as b from (select c.clip_id, cast(f as int) as frame, coalesce(arg_max(tag, s) filter (tag is not null), 'Not Available') as longitudinal
   from (select distinct clip_id from spans) c cross join (select unnest(range(0, 200)) as f) g left join (select * from spans where family = 'longitudinal') p on p.clip_id = c.clip_id and f >= s and f < e group by c.clip_id, f)) where b <> longitudinal""", "spans")
 def _changes(spark, d):
-    return intervals.change_points(_frames(spark, d), "longitudinal")
+    spans = inputs.stored_spans(spark, d)
+    return intervals.span_change_points(inputs.numbered(spans), spans, "longitudinal")
 
 
 @query("i9_overlap", """select clip_id, cast(round_even(greatest(0, -shift) * 30 / 1e6, 0) as int) as video_start, cast(round_even(greatest(0, shift) * 30 / 1e6, 0) as int) as clip_start, cast(round_even((least(20000000, shift + long) - greatest(0, shift)) * 30 / 1e6, 0) as int) as n_frames
@@ -339,7 +340,7 @@ def _members(spark, d):
 def _action_window(spark, d):
     spans = inputs.stored_spans(spark, d)
     events = inputs.keyframe_rows(spark, d, spans).select("clip_id", "event_start_frame").distinct()
-    return prompts.action_window(events, intervals.expand_to_frames(inputs.numbered(spans), spans)).select("clip_id", "event_start_frame", "frame", "phase", "ts")
+    return prompts.span_action_window(events, inputs.numbered(spans), spans).select("clip_id", "event_start_frame", "frame", "phase", "ts")
 
 
 @query("e4_frame_plan", "select clip_id, event_start_frame, 3 as interval, event_start_frame % 3 as \"offset\", event_start_frame // 3 as sampled_event, len([x for x in range(event_start_frame // 3 - 20, event_start_frame // 3 + 61, 5) if x >= 0]) as n_frames from (select distinct clip_id, event_start_frame from keys)", "keys")
@@ -360,10 +361,10 @@ def _plan(spark, d):
 def _prior(spark, d):
     """Priors of timelines whose lane tokens come from the lateral track."""
     spans = inputs.stored_spans(spark, d)
-    tracks = intervals.expand_to_frames(inputs.numbered(spans), spans, tracks=("longitudinal", "lateral"))
     lane = F.when(F.col("lateral") == "SteerLeft", "Left Lane Change").when(F.col("lateral") == "SteerRight", "Slightly Shift Right").otherwise("Keep Lane")
     events = inputs.keyframe_rows(spark, d, spans).select("clip_id", "event_start_frame").distinct()
-    return prompts.lateral_prior(prompts.action_window(events, tracks.withColumn("lane", lane)))
+    window = prompts.span_action_window(events, inputs.numbered(spans), spans, ("longitudinal", "lateral"))
+    return prompts.lateral_prior(window.withColumn("lane", lane))
 
 
 @query("e10_claims", "select row_index, type, side as direction from claims_in", "claims_in")
