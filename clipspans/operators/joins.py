@@ -46,14 +46,15 @@ def event_time(keyframes: DataFrame, timing: DataFrame, missing: str = "drop") -
     return out.withColumn("event_start_us", F.coalesce(us, F.lit(0).cast("bigint"))).drop("start_us", "dt_us")
 
 
-def nearest_frame(events: DataFrame, frame_ts: DataFrame, at_or_before: bool = False, key: str = "clip_id") -> DataFrame:
+def nearest_frame(events: DataFrame, frame_ts: DataFrame, at_or_before: bool = False, key: str = "clip_id", parts: int | None = None) -> DataFrame:
     """Events (clip_id, ts_us, ...) with the nearest frame_index; the earlier one on ties, an error text outside the frames.
 
     The frame before is a fill in order of time, the frame after one in the opposite order: both are running, so a clip's cost
-    is that of sorting its rows. ``key`` names the clip's column on both sides."""
+    is that of sorting its rows. ``key`` names the clip's column on both sides. ``parts``: into how many tasks the clips go; frames take
+    so few bytes in a shuffle that coalescing by bytes puts too many of them into one task."""
     e = events.withColumns({"_t": F.col("ts_us"), "_side": F.lit(1)})
     f = frame_ts.select(key, F.col("ts_us").alias("_t"), F.lit(0).alias("_side"), F.struct("ts_us", "frame_index").alias("_f"))
-    both = e.unionByName(f, allowMissingColumns=True)
+    both = _dealt(e.unionByName(f, allowMissingColumns=True), parts, key)
     index = F.col("_f.frame_index")
     onward = Window.partitionBy(key).orderBy("_t", "_side", index.desc_nulls_last())
     back = Window.partitionBy(key).orderBy(F.desc("_t"), F.desc("_side"), index.asc_nulls_first())
@@ -68,13 +69,17 @@ def nearest_frame(events: DataFrame, frame_ts: DataFrame, at_or_before: bool = F
     }).select(*events.columns, "frame_index", "frame_error")
 
 
-def frame_timestamp(frames: DataFrame, frame_ts: DataFrame) -> DataFrame:
+def _dealt(rows: DataFrame, parts: int | None, key: str) -> DataFrame:
+    return rows if parts is None else rows.repartition(parts, key)
+
+
+def frame_timestamp(frames: DataFrame, frame_ts: DataFrame, parts: int | None = None) -> DataFrame:
     """Frames (clip_id, frame_index, ...) with ts_us of the first entry whose index is at least theirs; null beyond the last.
-    One fill per clip, from the last entry to the first."""
+    One fill per clip, from the last entry to the first. ``parts`` as in ``nearest_frame``."""
     e = frames.withColumns({"_i": F.col("frame_index"), "_side": F.lit(0)})
     f = frame_ts.select("clip_id", F.col("frame_index").alias("_i"), F.lit(1).alias("_side"), F.col("ts_us").alias("_ts"))
     back = Window.partitionBy("clip_id").orderBy(F.desc("_i"), F.desc("_side"), F.desc_nulls_last("_ts")).rowsBetween(Window.unboundedPreceding, 0)
-    both = e.unionByName(f, allowMissingColumns=True).withColumn("ts_us", F.last("_ts", ignorenulls=True).over(back))
+    both = _dealt(e.unionByName(f, allowMissingColumns=True), parts, "clip_id").withColumn("ts_us", F.last("_ts", ignorenulls=True).over(back))
     return both.where("_side = 0").select(*frames.columns, "ts_us")
 
 

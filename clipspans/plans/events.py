@@ -204,9 +204,10 @@ def _speed_text(spark, d):
 
 @query("e5_manifest", "select clip_id, event_start_us, clip_id || '_' || event_start_us || '.mp4' as segment_file, 3 as n, printf('frame_%06d.jpg', f * 3) as first_file, t.ts_us as first_ts from (select distinct clip_id, cast(start_us + event_start_frame * dt_us as bigint) as event_start_us, event_start_frame as f from keys join timing using (clip_id)) left join (select clip_id, frame_index, ts_us from frame_ts) t using (clip_id) where t.frame_index = f * 3", "keys", "timing", "frame_ts")
 def _manifest(spark, d):
-    e = _events(spark, d).select("clip_id", "event_start_us", "event_start_frame").distinct()
+    timing = inputs.stored(inputs.clip_timing(spark, d))
+    e = joins.event_time(inputs.keyframe_rows(spark, d), timing).select("clip_id", "event_start_us", "event_start_frame").distinct()
     wanted = e.withColumn("frame_index", F.explode(F.array(*[F.col("event_start_frame") * 3 + k for k in (0, 3, 6)])))
-    m = prompts.frame_manifest(joins.frame_timestamp(wanted.drop("event_start_frame"), inputs.frame_ts(spark, d)))
+    m = prompts.frame_manifest(joins.frame_timestamp(wanted.drop("event_start_frame"), inputs.frame_ts(spark, d, timing), inputs.frame_parts(timing)))
     first = F.element_at("manifest", 1)
     return m.select("clip_id", "event_start_us", "segment_file", F.size("manifest").alias("n"), first["file"].alias("first_file"), first["ts_us"].alias("first_ts"))
 

@@ -46,6 +46,11 @@ def dealt_out(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
+def frame_parts(timing: DataFrame) -> int:
+    """Into how many tasks the frames of stored ``clip_timing`` go: under half a million to each, on average."""
+    return max(int(timing.sparkSession.conf.get("spark.sql.shuffle.partitions")), timing.count() * 620 // 500_000 + 1)
+
+
 @lru_cache(maxsize=1)
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="spark-")
@@ -91,9 +96,10 @@ def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.join(clip_timing(spark, sf_dir), "clip_id").select("clip_id", (F.col("start_us") + F.col("tick") * 100000 + (F.col("event_id") % 7) * 10000).alias("time_us"))
 
 
-def frame_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def frame_ts(spark: SparkSession, sf_dir: str, timing: DataFrame | None = None) -> DataFrame:
     """A 30 fps grid of 620 frames that begins 0.25 s before the clip, with up to 1 ms of jitter."""
-    return clip_timing(spark, sf_dir).select("clip_id", F.explode(F.sequence(F.lit(0), F.lit(619))).alias("frame_index"), "start_us").select(
+    timing = clip_timing(spark, sf_dir) if timing is None else timing
+    return timing.select("clip_id", F.explode(F.sequence(F.lit(0), F.lit(619))).alias("frame_index"), "start_us").select(
         "clip_id", "frame_index", (F.col("start_us") - 250000 + F.expr("frame_index * 100000 div 3") + (F.col("frame_index") * 37 % 11) * 100).alias("ts_us"))
 
 

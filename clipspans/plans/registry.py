@@ -306,14 +306,16 @@ def _asof(spark, d):
 @query("j2_nearest_frame", """select clip_id, us as ts_us, case when us between min(f.ts_us) and max(f.ts_us) then arg_min(f.frame_index, (abs(f.ts_us - us), f.ts_us)) end as frame_index from
   (select distinct clip_id, cast(start_us + event_start_frame * dt_us as bigint) as us from keys join timing using (clip_id)) k join frame_ts f using (clip_id) group by clip_id, us""", "keys", "timing", "frame_ts")
 def _nearest(spark, d):
-    k = joins.event_time(inputs.keyframe_rows(spark, d), inputs.clip_timing(spark, d)).select("clip_id", F.col("event_start_us").alias("ts_us")).distinct()
-    return joins.nearest_frame(k, inputs.frame_ts(spark, d)).drop("frame_error")
+    timing = inputs.stored(inputs.clip_timing(spark, d))
+    k = joins.event_time(inputs.keyframe_rows(spark, d), timing).select("clip_id", F.col("event_start_us").alias("ts_us")).distinct()
+    return joins.nearest_frame(k, inputs.frame_ts(spark, d, timing), parts=inputs.frame_parts(timing)).drop("frame_error")
 
 
 @query("j3_frame_timestamp", "select k.clip_id, k.frame_index, f.ts_us from (select distinct clip_id, event_start_frame * 3 as frame_index from keys) k left join frame_ts f using (clip_id, frame_index)", "keys", "frame_ts")
 def _frame_time(spark, d):
     k = inputs.keyframe_rows(spark, d).select("clip_id", (F.col("event_start_frame") * 3).alias("frame_index")).distinct()
-    return joins.frame_timestamp(k, inputs.frame_ts(spark, d))
+    timing = inputs.stored(inputs.clip_timing(spark, d))
+    return joins.frame_timestamp(k, inputs.frame_ts(spark, d, timing), inputs.frame_parts(timing))
 
 
 @query("j4_event_time", "select clip_id, meta_action, event_start_frame, cast(start_us + event_start_frame * dt_us as bigint) as event_start_us from keys join timing using (clip_id)", "keys", "timing")
