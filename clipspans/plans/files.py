@@ -136,7 +136,7 @@ def _index_clips(spark, d):
 def _segment_lists(spark, d):
     """Three lists with rows in common, whose time columns have different names."""
     base = shared_path(spark)
-    e = joins.event_time(inputs.keyframe_rows(spark, d), inputs.clip_timing(spark, d))
+    e = inputs.stored(joins.event_time(inputs.keyframe_rows(spark, d), inputs.clip_timing(spark, d)))
     paths = []
     for i, name in enumerate(("event_start_timestamp", "ts", "when_us")):
         paths.append(f"{base}/{i}")
