@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from clipspans.operators import intervals, keyframes, lanes, prompts
+from clipspans.operators import intervals, joins, keyframes, lanes, prompts
 
 SPANS = "clip_id string, tag string, start int, end int, line_no int"
 LANES = "map_id string, lane_id string, center array<struct<x: double, y: double>>, next array<string>, left array<string>, right array<string>"
@@ -56,3 +56,12 @@ def test_no_unfolded_rows_are_broadcast(spark):
         matched, lanes.next_lanes(maps), lanes.lane_neighbours(maps), lanes.lane_decisions(lanes.temporal_vote(lanes.lane_relations(matched, maps))),
     ):
         assert "Broadcast" not in plan(df)
+
+
+def test_frames_of_clips_go_into_as_many_parts_as_told(spark):
+    frames = spark.createDataFrame([(c, i, i * 100) for c in "abc" for i in range(9)], "clip_id string, frame_index int, ts_us bigint")
+    events = spark.createDataFrame([("a", 140), ("b", 160), ("none", 1)], "clip_id string, ts_us bigint")
+    near = joins.nearest_frame(events, frames, parts=7)
+    assert near.rdd.getNumPartitions() == 7
+    assert sorted((x.clip_id, x.frame_index) for x in near.collect()) == [("a", 1), ("b", 2), ("none", None)]
+    assert joins.frame_timestamp(events.select("clip_id", F.lit(2).alias("frame_index")), frames, parts=7).rdd.getNumPartitions() == 7
