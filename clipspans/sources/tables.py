@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clipspans.functions.text import CAMERA, filename_timestamp, first_present, normalize_clip_id, parse_tag, pick_column, present, valid_timestamp
-from clipspans.sources.archives import PARTITION_BYTES, read_archives, write_archives
+from clipspans.sources.archives import PARTITION_BYTES, parts_of, read_archives, read_files, write_archives, write_files
 
 TICKS = "clip_id string, agent_id string, tick int, x double, y double, z double, vx double, vy double, ax double, ay double, heading double"
 SPAN_LINE = r"^\s*(\w+)\s*-\s*Agent:<ego>,\s*Start:(\d+),\s*End:(\d+)\s*$"
@@ -61,9 +61,16 @@ def _clip_of_file(suffix: str) -> Column:
     return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]+?)" + re.escape(suffix) + "$", 1))
 
 
+def _whole_files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """(clip_id, value) of the files, as this library wrote them or in any layout that Spark's reader takes."""
+    if parts_of(path):
+        return read_files(spark, path).select("clip_id", F.col("content").cast("string").alias("value"))
+    return spark.read.text(path, wholetext=True).select(_clip_of_file(suffix).alias("clip_id"), "value")
+
+
 def read_raw_tags(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
     """(clip_id, ord, tag, parsed) of files that hold one JSON list of tags each."""
-    rows = spark.read.text(path, wholetext=True).select(_clip_of_file(suffix).alias("clip_id"), F.from_json("value", "array<string>").alias("tags"))
+    rows = _whole_files(spark, path, suffix).select("clip_id", F.from_json("value", "array<string>").alias("tags"))
     return rows.select("clip_id", F.posexplode("tags").alias("ord", "tag")).withColumn("parsed", parse_tag(F.col("tag")))
 
 
@@ -72,9 +79,14 @@ def _tag_lists(tags: DataFrame) -> DataFrame:
     return tags.groupBy("clip_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("ord", "tag"))), lambda x: x["tag"])).alias("value"))
 
 
+def _write_lines(texts: DataFrame, path: str, suffix: str) -> None:
+    """(clip_id, value) as files that end with a line break."""
+    write_files(texts.select("clip_id", F.concat("value", F.lit("\n")).alias("content")), path, suffix)
+
+
 def write_raw_tags(tags: DataFrame, path: str) -> None:
     """One JSON list per clip, in a folder of that clip; clips without tags write nothing."""
-    _tag_lists(tags).write.partitionBy("clip_id").text(path)
+    _write_lines(_tag_lists(tags), path, ".json")
 
 
 def write_packed_tags(tags: DataFrame, path: str) -> None:
@@ -96,7 +108,7 @@ def parse_label_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_label_text(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
-    files = spark.read.text(path, wholetext=True).select(_clip_of_file(suffix).alias("clip_id"), F.split("value", "\n").alias("lines"))
+    files = _whole_files(spark, path, suffix).select("clip_id", F.split("value", "\n").alias("lines"))
     return parse_label_lines(files.select("clip_id", F.posexplode("lines").alias("line_no", "line")))
 
 
@@ -106,7 +118,7 @@ def _label_texts(lines: DataFrame) -> DataFrame:
 
 def write_label_text(lines: DataFrame, path: str) -> None:
     """One text file per clip from (clip_id, line_no, line)."""
-    _label_texts(lines).write.partitionBy("clip_id").text(path)
+    _write_lines(_label_texts(lines), path, ".txt")
 
 
 def write_packed_label_text(lines: DataFrame, path: str) -> None:
