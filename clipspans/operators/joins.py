@@ -88,14 +88,27 @@ def sidecar_seconds(rows: DataFrame, frame_ts: DataFrame, fps: float = 30.0) ->
     sidecar_problem, null without a time file or where the lookup worked.
 
     frame_ts: (video_path, frame_index, ts_us), one row with nulls for a time file without entries; ``fps`` or, where there is one, its
-    column fps. Both sides are one linear pass per video."""
+    column fps. The distinct times of a video, without the rows' other columns, and its entries are one linear pass."""
     rate = F.coalesce(F.max("fps"), F.lit(fps)) if "fps" in frame_ts.columns else F.lit(fps)
     bounds = frame_ts.groupBy("video_path").agg(F.min("ts_us").alias("_low"), F.max("ts_us").alias("_high"), F.count("ts_us").alias("_n"), rate.alias("_fps"))
     entries = frame_ts.where("video_path is not null and ts_us is not null").select("video_path", "frame_index", "ts_us")
-    found = nearest_frame(rows.withColumn("ts_us", F.col("event_timestamp")), entries, key="video_path").join(bounds, "video_path", "left")
+    times = rows.where("video_path is not null").select("video_path", "event_timestamp", F.col("event_timestamp").alias("ts_us")).distinct()
+    found = nearest_frame(times, entries, key="video_path").join(bounds, "video_path", "left")
     range_text = F.format_string("timestamp_out_of_range:%d:range=%d..%d", "event_timestamp", "_low", "_high")
     problem = F.when(F.col("_n") == 0, "empty_timestamp_mapping").when(F.col("event_timestamp").isNotNull() & F.col("frame_error").isNotNull() & F.col("_n").isNotNull(), range_text)
-    return found.withColumns({"seconds": F.when(F.col("frame_error").isNull(), F.col("frame_index") / F.col("_fps")), "sidecar_problem": problem}).select(*rows.columns, "seconds", "sidecar_problem")
+    found = found.select("video_path", "event_timestamp", F.when(F.col("frame_error").isNull(), F.col("frame_index") / F.col("_fps")).alias("seconds"), problem.alias("sidecar_problem"))
+    return _looked_up(rows, found, "video_path", "event_timestamp")
+
+
+def _looked_up(rows: DataFrame, found: DataFrame, key: str, *keys: str) -> DataFrame:
+    """Rows with the columns of ``found`` of the same keys, nulls where there are none. A null ``key`` matches nothing, one of the others
+    matches null. Rows with a null key are dealt out by all they hold, as they would otherwise be one task's."""
+    plain = [c for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    named = {k: f"_of_{k}" for k in (key, *keys)}
+    left = rows.withColumn("_deal", F.when(F.col(key).isNull(), F.xxhash64(*plain)).otherwise(F.xxhash64(*named)))
+    right = found.withColumnsRenamed(named).withColumn("_of_deal", F.xxhash64(*named.values()))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(named[k])) for k in keys], (F.col("_deal") == F.col("_of_deal")) & (F.col(key) == F.col(named[key])))
+    return left.join(right, same, "left").drop("_deal", "_of_deal", *named.values())
 
 
 def pending_segments(segments: DataFrame, outputs: DataFrame) -> DataFrame:
@@ -159,13 +172,13 @@ def resolve_video(labels: DataFrame, files: DataFrame) -> DataFrame:
     """Labels (row_index, clip_id, video_path_hint) with their video: the hint if such a file exists, else the clip's file of
     least priority. files: (path, clip_id, priority, source)."""
     best = files.groupBy("clip_id").agg(F.min(F.struct("priority", "path", "source")).alias("_best"))
-    return _with_video(labels, files, labels.join(best, "clip_id", "left"))
+    return _with_video(labels, files, _looked_up(labels, best, "clip_id"))
 
 
 def _with_video(labels: DataFrame, files: DataFrame, found: DataFrame) -> DataFrame:
     """found: labels with _best, a struct of path and source."""
     there = files.select(F.col("path").alias("video_path_hint"), F.lit(True).alias("_there")).where("video_path_hint is not null").distinct()
-    out = found.join(there, "video_path_hint", "left")
+    out = _looked_up(found, there, "video_path_hint")
     hint = F.coalesce(F.col("_there"), F.lit(False))
     path = F.when(hint, F.col("video_path_hint")).otherwise(F.col("_best.path"))
     return out.select(*labels.columns, path.alias("video_path"), F.when(hint, "hint").otherwise(F.col("_best.source")).alias("video_source"))
