@@ -1,7 +1,7 @@
 """Token-id files: texts tokenized, coded by the range coder, written in id order, and read back.
 
-Documents are range-partitioned and sorted by id. A task tokenizes about ``TOGETHER`` bytes of text at a time and codes their ids as
-one segment: a stream of whole documents, cut into blocks of ``range_coder.BLOCK`` ids. A segment is one row of a
+Documents are range-partitioned and sorted by id. A task tokenizes about ``TOGETHER`` bytes of text at a time (the last time up to half as many
+more, as a short segment takes as many steps as a long one) and codes their ids as one segment: a stream of whole documents, cut into blocks of ``range_coder.BLOCK`` ids. A segment is one row of a
 Parquet file in the shared folder: its place (part, seq), its documents and their lengths, and its coded blocks. Spark's
 writer commits files whole, so a lost executor leaves none half-written. The parts' totals, one number per partition,
 give every document its place in the whole stream.
@@ -140,6 +140,13 @@ def tokens_of(path: str) -> PieceTokens:
     return _TOKENS[path]
 
 
+def side_by_side(blocks: list) -> list[list]:
+    """Blocks in the fewest groups of at most LANES, of nearly equal sizes."""
+    groups = -(-len(blocks) // LANES)
+    cuts = [len(blocks) * i // groups for i in range(groups + 1)] if groups else [0]
+    return [blocks[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", id: str = "doc_id", end: int = END) -> None:
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -155,19 +162,24 @@ def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", id: st
             own = pa.chunked_array([b.column("id") for b in waiting]).to_pylist()
             stream = np.insert(ids, np.cumsum(n), end)
             cuts = [stream[i : i + range_coder.BLOCK] for i in range(0, len(stream), range_coder.BLOCK)]
-            blocks = [b for i in range(0, len(cuts), LANES) for b in range_coder.encode(cuts[i : i + LANES])]
+            blocks = [b for some in side_by_side(cuts) for b in range_coder.encode(some)]
             pa.default_memory_pool().release_unused()
             return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "ids": [own], "lengths": [(n + 1).tolist()], "n": [len(stream)], "blocks": [blocks]}, schema=_ARROW)
 
-        size = 0
+        later: list[pa.RecordBatch] = []
+        size = more = 0
         for batch in batches:
-            waiting.append(batch)
-            size += batch.nbytes
-            if size >= TOGETHER:
+            if size < TOGETHER:
+                waiting.append(batch)
+                size += batch.nbytes
+                continue
+            later.append(batch)
+            more += batch.nbytes
+            if more >= TOGETHER // 2:  # enough for a segment of its own
                 yield out()
-                waiting.clear()
-                seq, size = seq + 1, 0
-        if size:
+                waiting, later, seq, size, more = later, [], seq + 1, more, 0
+        waiting += later
+        if waiting:
             yield out()
 
     with small_batches(spark):
@@ -193,7 +205,7 @@ def _read(spark: SparkSession, path: str, column: str, of) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                stream = np.concatenate([b for i in range(0, len(row["blocks"]), LANES) for b in range_coder.decode(row["blocks"][i : i + LANES])])
+                stream = np.concatenate([b for some in side_by_side(row["blocks"]) for b in range_coder.decode(some)])
                 ends = np.cumsum(row["lengths"])
                 starts = ends - row["lengths"]
                 got = [of(stream[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
