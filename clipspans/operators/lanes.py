@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from clipspans.operators.features import DT, add_lane_kinematics, by_clip, by_tick, wrap
 from clipspans.operators.segments import KEYS, cut_on_state_change, run_typed, state_code
 
-CELL = 8.0
+CELL = 16.0
 HORIZONS = (5, 10, 15, 20)
 LEFT, RIGHT, KEEP = "left_lane_change", "right_lane_change", "keep_lane"
 NONE = "array<string>"
@@ -29,32 +30,36 @@ def match_lanes(poses: DataFrame, lanes: DataFrame, max_dist: float = 2.0, max_h
     """Poses with ``candidates``: lanes within both limits as struct(dist, lane_id, offset), nearest first, then by id.
 
     Each centre-line piece goes to the grid cells that its box, widened by max_dist, meets; a pose to its own cell; so the join
-    is an equi-join on (map, cell). Pieces, like all that is unfolded from maps here, are merged and never broadcast: Spark's
+    is an equi-join on (map, cell). A pose's pieces all lie in its cell's task, so its candidates are found there, and no pair of a pose
+    and a piece is ever exchanged. Pieces, like all that is unfolded from maps here, are merged and never broadcast: Spark's
     estimate of their size doesn't know what ``explode`` adds. A pose with a missing or infinite coordinate has no candidates. offset is left-positive."""
     piece = lanes.select("map_id", "lane_id", F.explode(F.arrays_zip(F.slice("center", 1, F.greatest(F.size("center") - 1, F.lit(0))).alias("a"), F.slice("center", 2, F.greatest(F.size("center") - 1, F.lit(0))).alias("b"))).alias("s"))
-    piece = piece.select("map_id", "lane_id", F.col("s.a.x").alias("ax"), F.col("s.a.y").alias("ay"), (F.col("s.b.x") - F.col("s.a.x")).alias("sx"), (F.col("s.b.y") - F.col("s.a.y")).alias("sy"))
+    piece = piece.select(F.col("map_id").alias("_map"), F.col("lane_id").alias("_lane"), F.col("s.a.x").alias("ax"), F.col("s.a.y").alias("ay"), (F.col("s.b.x") - F.col("s.a.x")).alias("sx"), (F.col("s.b.y") - F.col("s.a.y")).alias("sy"))
 
     def cells(at: str, step: str) -> Column:
         a, b = F.col(at), F.col(at) + F.col(step)
         return F.sequence(F.floor((F.least(a, b) - max_dist) / CELL), F.floor((F.greatest(a, b) + max_dist) / CELL))
 
-    piece = piece.withColumn("cx", F.explode(cells("ax", "sx"))).withColumn("cy", F.explode(cells("ay", "sy")))
+    piece = piece.withColumn("_px", F.explode(cells("ax", "sx"))).withColumn("_py", F.explode(cells("ay", "sy")))
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < 1e300)
     good = finite("x") & finite("y") & finite("heading")
     cell = lambda c: F.when(good, F.floor(F.col(c) / CELL))
-    here = poses.select(*poses.columns, cell("x").alias("cx"), cell("y").alias("cy"))
+    here = poses.select(*poses.columns, cell("x").alias("_cx"), cell("y").alias("_cy"))
     px, py = F.col("x") - F.col("ax"), F.col("y") - F.col("ay")
     norm = F.greatest(F.col("sx") * F.col("sx") + F.col("sy") * F.col("sy"), F.lit(1e-9))
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (px * F.col("sx") + py * F.col("sy")) / norm))
     dx, dy = px - share * F.col("sx"), py - share * F.col("sy")
-    found = F.struct(F.sqrt(dx * dx + dy * dy).alias("dist"), F.signum(F.col("sx") * py - F.col("sy") * px).alias("side"), F.abs(wrap(F.col("heading") - F.atan2("sy", "sx"))).alias("turn"))
-    # poses without a piece stay, so that they needn't be joined again; one exchange by clip serves both groupings and what follows
-    pairs = here.join(piece.hint("merge"), ["map_id", "cx", "cy"], "left").select(*poses.columns, "lane_id", F.when(F.col("lane_id").isNotNull(), found).alias("m")).repartition(*KEYS)
-    best = pairs.groupBy(*KEYS, "tick", "lane_id").agg(F.min("m").alias("m"), _rest(poses))
-    fits = (F.col("m.dist") <= max_dist) & (F.col("m.turn") <= max_heading_error)
-    one = F.when(fits, F.struct(F.col("m.dist").alias("dist"), "lane_id", (F.col("m.side") * F.col("m.dist")).alias("offset")))
-    lists = best.groupBy(*KEYS, "tick").agg(F.array_sort(F.collect_list(one)).alias("candidates"), F.first("_rest").alias("_rest"))
-    out = lists.select(*_columns(poses), F.when(F.size("candidates") > 0, F.col("candidates")).alias("candidates"))
+    dist = F.sqrt(dx * dx + dy * dy)
+    # poses without a piece stay; of a lane only pieces within the limit count, as its nearest one is among them if any is
+    near = (F.col("map_id") == F.col("_map")) & (F.col("_cx") == F.col("_px")) & (F.col("_cy") == F.col("_py")) & (dist <= max_dist)
+    pairs = here.join(piece.hint("merge"), near, "left")
+    found = F.struct(F.col("_lane").alias("lane_id"), dist.alias("dist"), F.signum(F.col("sx") * py - F.col("sy") * px).alias("side"), F.abs(wrap(F.col("heading") - F.atan2("sy", "sx"))).alias("turn"))
+    rows = pairs.groupBy("map_id", "_cx", "_cy", *KEYS, "tick").agg(F.array_sort(F.collect_list(F.when(F.col("_lane").isNotNull(), found))).alias("_all"), _rest(poses))
+    nearest = F.filter("_all", lambda m, i: (i == 0) | (F.get("_all", i - 1)["lane_id"] != m["lane_id"]))
+    fits = F.filter(nearest, lambda m: m["turn"] <= max_heading_error)
+    one = F.array_sort(F.transform(fits, lambda m: F.struct(m["dist"].alias("dist"), m["lane_id"].alias("lane_id"), (m["side"] * m["dist"]).alias("offset"))))
+    lists = rows.select(*_columns(poses), one.alias("candidates"))
+    out = lists.select(*poses.columns, F.when(F.size("candidates") > 0, F.col("candidates")).alias("candidates"))
     first = F.try_element_at("candidates", F.lit(1))
     return out.withColumns({"lane_id": first["lane_id"], "lane_offset": first["offset"], "current_lanes": F.coalesce(F.array_sort(F.transform("candidates", lambda c: c["lane_id"])), _empty())})
 
@@ -97,24 +102,42 @@ def next_lanes(lanes: DataFrame, depth: int = 5, keep: Keep = lambda df: df) ->
     return _reach(lanes, depth, keep).select("map_id", "lane_id", F.explode("reach").alias("next_id"))
 
 
-def lane_neighbours(lanes: DataFrame, depth: int = 5, keep: Keep = lambda df: df) -> DataFrame:
-    """Per lane: next_lanes, and the left and right lanes of itself and of those, once per map."""
-    own = lanes.select("map_id", "lane_id").distinct().join(_reach(lanes, depth, keep).hint("merge"), ["map_id", "lane_id"], "left").withColumn("reach", F.coalesce("reach", _empty()))
-    near = own.select("map_id", "lane_id", "reach", F.explode(F.array_union("reach", F.array("lane_id"))).alias("next_id"))
-    sides = near.join(lanes.select("map_id", F.col("lane_id").alias("next_id"), "left", "right").hint("merge"), ["map_id", "next_id"])
+def lane_neighbours(lanes: DataFrame, depth: int = 5, of: DataFrame | None = None) -> DataFrame:
+    """Per lane: next_lanes, and the left and right lanes of itself and of those, once per map. ``of``: (map_id, lane_id) of the lanes
+    that are asked for; else all are.
+
+    A step ahead is one join of the lanes reached so far with the map's lanes, which are exchanged once for all steps."""
+    step = F.filter("next", lambda n: n != "-1")
+    look = lanes.select("map_id", F.col("lane_id").alias("_at"), F.struct(step.alias("next"), "left", "right").alias("_r"))
+    at = (lanes if of is None else of).select("map_id", "lane_id").distinct().withColumn("_at", F.col("lane_id"))
+    seen = []
+    for k in range(depth + 1):
+        met = at.repartition("map_id", "_at").distinct().join(look.hint("merge"), ["map_id", "_at"], "left")
+        seen.append(met.select("map_id", "lane_id", (F.col("_at") if k else F.lit(None).cast("string")).alias("next_id"), F.col("_r.left").alias("left"), F.col("_r.right").alias("right")))
+        at = met.select("map_id", "lane_id", F.explode("_r.next").alias("_at"))
+    sides = reduce(DataFrame.unionByName, seen)
     flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(c), _empty())))))
-    return sides.groupBy("map_id", "lane_id").agg(flat("left").alias("left_lanes"), flat("right").alias("right_lanes"), F.first("reach").alias("next_lanes"))
+    return sides.groupBy("map_id", "lane_id").agg(flat("left").alias("left_lanes"), flat("right").alias("right_lanes"), F.array_sort(F.collect_set("next_id")).alias("next_lanes"))
+
+
+def current_lanes(matched: DataFrame) -> DataFrame:
+    """(clip_id, agent_id, map_id, lane_id): the lanes that each clip's ticks are on."""
+    return matched.select(*KEYS, "map_id", F.explode("current_lanes").alias("lane_id")).distinct()
 
 
 def lane_relations(matched: DataFrame, lanes: DataFrame | None, depth: int = 5, neighbours: DataFrame | None = None) -> DataFrame:
     """Matched ticks with the sets next_lanes, left_lanes and right_lanes of their current lanes. ``neighbours``: the result of
-    ``lane_neighbours``, where it is stored; else it is found from ``lanes``."""
-    near = lane_neighbours(lanes, depth) if neighbours is None else neighbours
+    ``lane_neighbours``, where it is there; else it is found from ``lanes``.
+
+    A clip gets its lanes' neighbours as one list, once, and its ticks pick from it."""
     names = ("next_lanes", "left_lanes", "right_lanes")
-    rows = matched.withColumn("_id", F.explode_outer("current_lanes")).join(near.withColumnRenamed("lane_id", "_id").hint("merge"), ["map_id", "_id"], "left")
-    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(F.col(c), _empty()))))).alias(c)
-    sets = rows.repartition(*KEYS).groupBy(*KEYS, "tick").agg(*[flat(n) for n in names], _rest(matched))
-    return sets.select(*_columns(matched), *names)
+    own = current_lanes(matched)
+    near = lane_neighbours(lanes, depth, own) if neighbours is None else neighbours
+    lists = own.join(near.hint("merge"), ["map_id", "lane_id"]).groupBy(*KEYS).agg(F.collect_list(F.struct("map_id", "lane_id", *names)).alias("_near"))
+    rows = matched.join(lists.hint("merge"), KEYS, "left")
+    rows = rows.withColumn("_near", F.filter("_near", lambda n: (n["map_id"] == F.col("map_id")) & F.array_contains("current_lanes", n["lane_id"])))
+    flat = lambda c: F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.transform("_near", lambda n: n[c])))), _empty()).alias(c)
+    return rows.select(*matched.columns, *[flat(n) for n in names])
 
 
 def instant_decision() -> Column:
@@ -128,22 +151,38 @@ def _resolve(left: Column, right: Column, instant: Column, otherwise: Column) ->
     return F.when((left > 0) & (right == 0), LEFT).when((right > 0) & (left == 0), RIGHT).when((left > 0) & (right > 0), F.when(instant != KEEP, instant).when(left >= right, LEFT).otherwise(RIGHT)).otherwise(otherwise)
 
 
+def look_ahead(ticks: DataFrame, horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
+    """Matched ticks with ``ahead``, the current lanes of a look at each horizon, and ``goal``, the lane LOOK_AHEAD ticks ahead. A look past
+    the end takes the last tick. Before ``lane_relations`` this sorts narrow rows, after it those with all sets."""
+    seen = F.struct("current_lanes", "lane_id")
+    last = F.last(seen).over(by_clip_ordered())
+    look = lambda h: F.coalesce(F.lead(seen, h).over(by_tick()), last)
+    t = ticks.withColumns({**{f"_e{h}": look(h) for h in horizons}, "_goal": look(LOOK_AHEAD)})
+    return t.select(*ticks.columns, F.array(*[F.col(f"_e{h}.current_lanes") for h in horizons]).alias("ahead"), F.col("_goal.lane_id").alias("goal"))
+
+
 def temporal_vote(ticks: DataFrame, horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
-    """Ticks with instant, left_hits, right_hits and voted: how many looks ahead end in a left or right lane of this tick.
+    """Ticks with instant, left_hits, right_hits and voted: how many looks ahead end in a left or right lane of this tick. by_goal is what
+    the lane LOOK_AHEAD ticks ahead says: left or right if it is such a lane and neither a current nor a next one, else the instant decision.
 
-    A look past the end takes the last tick; a look at a tick without lanes votes the instant decision."""
-    t = ticks.withColumn("instant", instant_decision())
-    last = F.last("current_lanes").over(by_clip_ordered())
-    t = t.withColumns({f"_e{h}": F.coalesce(F.lead("current_lanes", h).over(by_tick()), last) for h in horizons})
+    A look past the end takes the last tick; a look at a tick without lanes votes the instant decision. Where ticks have ``ahead`` and ``goal``
+    of ``look_ahead`` for the same horizons, these are taken."""
+    t = ticks if {"ahead", "goal"} <= set(ticks.columns) else look_ahead(ticks, horizons)
+    t = t.withColumn("instant", instant_decision()).withColumns({f"_e{h}": F.get("ahead", F.lit(i)) for i, h in enumerate(horizons)})
     votes = []
     for h in horizons:
         new = F.filter(f"_e{h}", lambda e: ~F.array_contains("current_lanes", e) & ~F.array_contains("next_lanes", e))
         left = F.size(F.filter(new, lambda e: F.array_contains("left_lanes", e)))
         right = F.size(F.filter(new, lambda e: F.array_contains("right_lanes", e) & ~F.array_contains("left_lanes", e)))
         votes.append(F.when(F.size(f"_e{h}") == 0, F.col("instant")).otherwise(_resolve(left, right, F.col("instant"), F.lit(KEEP))))
-    count = lambda side: sum((F.when(v == side, 1).otherwise(0) for v in votes), F.lit(0))
+    # one array of votes, so that none is worked out once for each side
+    t = t.withColumn("_votes", F.array(*votes))
+    count = lambda side: F.size(F.filter("_votes", lambda v: v == side))
     t = t.withColumns({"left_hits": count(LEFT), "right_hits": count(RIGHT)})
-    return t.withColumn("voted", _resolve(F.col("left_hits"), F.col("right_hits"), F.col("instant"), F.col("instant"))).drop(*[f"_e{h}" for h in horizons])
+    has = lambda c: F.array_contains(c, F.col("goal"))
+    by_goal = F.when(F.col("goal").isNull() | has("current_lanes") | has("next_lanes"), F.col("instant")).when(has("left_lanes"), LEFT).when(has("right_lanes"), RIGHT).otherwise(F.col("instant"))
+    t = t.withColumns({"voted": _resolve(F.col("left_hits"), F.col("right_hits"), F.col("instant"), F.col("instant")), "by_goal": by_goal})
+    return t.drop("ahead", "goal", "_votes", *[f"_e{h}" for h in horizons])
 
 
 def by_clip_ordered():
@@ -157,13 +196,9 @@ MIN_SHIFT_M, SHORT_RUN, LONG_RUN, MIN_RUN, LOOK_AHEAD = 0.35, 24, 60, 4, 20
 class _Clip:
     """One clip's arrays, for the rules that look at runs of ticks."""
 
-    def __init__(self, rows: pd.DataFrame | list[dict]) -> None:
-        get = lambda name: [r[name] for r in rows]
-        self.x, self.y, self.heading = (np.array(get(n), float) for n in ("x", "y", "heading"))
-        self.lane, self.relations = get("lane_id"), [(set(r["current_lanes"]), set(r["next_lanes"]), set(r["left_lanes"]), set(r["right_lanes"])) for r in rows]
-        self.offset = np.array([np.nan if v is None else v for v in get("lane_offset")], float)
-        self.voted, self.instant = get("voted"), get("instant")
-        self.hits = np.array(get("left_hits")) + np.array(get("right_hits"))
+    def __init__(self, x: np.ndarray, y: np.ndarray, heading: np.ndarray, lane: list, offset: np.ndarray, voted: list, by_goal: list, hits: np.ndarray) -> None:
+        self.x, self.y, self.heading, self.offset = (np.asarray(v, float) for v in (x, y, heading, offset))
+        self.lane, self.voted, self.by_goal, self.hits = list(lane), list(voted), list(by_goal), np.asarray(hits)
 
     def shift(self, a: int, b: int) -> float | None:
         """Metres to the left from tick a to b in the frame of a; by the lane offsets where poses are missing."""
@@ -193,11 +228,7 @@ class _Clip:
             for moved in (self.shift(i, to), self.offset_shift(i, to)):
                 if moved is not None and abs(moved) >= MIN_SHIFT_M:
                     return LEFT if moved > 0 else RIGHT
-        current, ahead, left, right = self.relations[i]
-        goal = self.lane[last]
-        if goal is None or goal in current or goal in ahead:
-            return self.instant[i]
-        return LEFT if goal in left else RIGHT if goal in right else self.instant[i]
+        return self.by_goal[i]
 
     def align(self, decisions: list[str]) -> tuple[list[str], list[str]]:
         """Runs of lane changes in which no tick has a hit take one direction, or are suppressed; with a reason per tick."""
@@ -248,21 +279,26 @@ def drop_short_runs(decisions: list[str], least: int = MIN_RUN) -> list[str]:
 
 
 def lane_decisions(ticks: DataFrame) -> DataFrame:
-    """Voted ticks with lane_decision and reason. A clip's ticks are one list, many clips share a batch."""
-    columns = ["tick", "x", "y", "heading", "lane_id", "lane_offset", "current_lanes", "next_lanes", "left_lanes", "right_lanes", "voted", "instant", "left_hits", "right_hits"]
-    lists = ticks.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("tick", F.struct(*columns[1:]).alias("r")))).alias("rows"))
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Voted ticks with lane_decision and reason. A clip's ticks are one list, many clips share a batch; the list is unfolded again, so ticks
+    aren't joined with themselves, and Python gets only the numbers and labels that the rules use."""
+    lists = ticks.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("tick", F.struct(*ticks.columns).alias("r")))).alias("rows"))
+    each = lambda of: F.transform("rows", lambda x: of(x["r"]))
+    names = ("x", "y", "heading", "lane_id", "lane_offset", "voted", "by_goal")
+    given = [*[each(lambda r, c=c: r[c]) for c in names], each(lambda r: r["left_hits"] + r["right_hits"])]
+
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for rows in batch:
-                clip = _Clip([r["r"] for r in rows])
-                aligned, reasons = clip.align([clip.decide(i) for i in range(len(rows))])
-                out.append([{"tick": r["tick"], "lane_decision": d, "reason": why} for r, d, why in zip(rows, drop_short_runs(aligned), reasons)])
-            yield pd.Series(out)
+            for arrays in zip(*batch):
+                clip = _Clip(*arrays)
+                aligned, reasons = clip.align([clip.decide(i) for i in range(len(clip.lane))])
+                out.append((drop_short_runs(aligned), reasons))
+            yield pd.DataFrame(out, columns=["lane_decision", "reason"])
 
-    decide = F.pandas_udf(run_typed(run), "array<struct<tick: int, lane_decision: string, reason: string>>")
-    return ticks.join(lists.select(*KEYS, F.inline(decide("rows"))).hint("merge"), [*KEYS, "tick"])
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.DataFrame]}
+    decide = F.pandas_udf(run, "lane_decision array<string>, reason array<string>")
+    done = lists.withColumn("d", decide(*given)).select(F.inline(F.arrays_zip("rows", F.col("d.lane_decision").alias("lane_decision"), F.col("d.reason").alias("reason"))))
+    return done.select("rows.r.*", "lane_decision", "reason")
 
 
 def lane_confidence(ticks: DataFrame) -> DataFrame:
@@ -286,11 +322,16 @@ def confidence_label(score: Column) -> Column:
     return F.when(score >= 0.80, "high").when(score >= 0.60, "medium").otherwise("low")
 
 
-def label_lane_ticks(poses: DataFrame, lanes: DataFrame, neighbours: DataFrame | None = None) -> DataFrame:
-    """All per-tick lane columns: match, relations, vote, decision, kinematics and confidence. This is also the debug table.
-    ``neighbours`` as in ``lane_relations``. Ticks are known by clip, agent and number, of which each has one pose."""
-    matched = lane_relations(match_lanes(poses, lanes), lanes, neighbours=neighbours)
-    return lane_confidence(add_lane_kinematics(lane_decisions(temporal_vote(matched))))
+SETS = ("candidates", "current_lanes", "next_lanes", "left_lanes", "right_lanes")
+
+
+def label_lane_ticks(poses: DataFrame | None, lanes: DataFrame | None, neighbours: DataFrame | None = None, matched: DataFrame | None = None, sets: bool = True) -> DataFrame:
+    """All per-tick lane columns: match, relations, vote, decision, kinematics and confidence. This is also the debug table; without
+    ``sets`` it lacks the lists of lanes, and rows stay narrow. ``neighbours`` as in ``lane_relations``; ``matched``: the result of
+    ``match_lanes``, where it is stored. Ticks are known by clip, agent and number, of which each has one pose."""
+    matched = match_lanes(poses, lanes) if matched is None else matched
+    voted = temporal_vote(lane_relations(look_ahead(add_lane_kinematics(matched)), lanes, neighbours=neighbours))
+    return lane_confidence(lane_decisions(voted if sets else voted.drop(*SETS))).drop("by_goal")
 
 
 def offset_pulse(offsets: Column) -> Column:

@@ -157,7 +157,7 @@ def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lane_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poses along those lanes: y follows a command held for 25 ticks, smoothed over 20."""
     by = Window.partitionBy("clip_id").orderBy("tick")
-    e = _numbered_events(spark, sf_dir)
+    e = _numbered_events(spark, sf_dir).repartition("clip_id")  # one exchange for the windows by block and by clip
     e = e.withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumn("block", F.floor(F.col("tick") / 25))
     e = e.withColumn("goal", (F.pmod(F.first("k").over(Window.partitionBy("clip_id", "block").orderBy("tick")), F.lit(3)) - 1) * 3.5)
     e = e.withColumns({"y": F.round(F.avg("goal").over(by.rowsBetween(-19, 0)), 6), "x": F.round(F.col("tick") * 0.8, 6)})

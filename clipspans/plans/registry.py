@@ -245,8 +245,10 @@ def _next(spark, d):
     return lanes.next_lanes(inputs.lanes(spark, d), keep=inputs.stored)
 
 
-def _neighbours(maps):
-    return inputs.stored(lanes.lane_neighbours(maps, keep=inputs.stored))
+def _matched(spark, d):
+    """The maps, and the ticks with their current lanes, both stored once."""
+    maps = inputs.stored(inputs.lanes(spark, d))
+    return maps, inputs.stored(lanes.match_lanes(inputs.lane_ticks(spark, d), maps))
 
 
 @query("m6_temporal_vote", """select clip_id, tick, lane_id, instant, cast(left_hits as int) as left_hits, cast(right_hits as int) as right_hits, case when left_hits > 0 and right_hits = 0 then 'left_lane_change' when right_hits > 0 and left_hits = 0 then 'right_lane_change'
@@ -254,16 +256,16 @@ def _neighbours(maps):
   from (select clip_id, tick, any_value(lane_id) as lane_id, any_value(instant) as instant, count(*) filter (vote = 'left_lane_change') as left_hits, count(*) filter (vote = 'right_lane_change') as right_hits, cast(any_value(len(cur)) as int) as n_current, cast(any_value(len(nxt)) as int) as n_next, cast(any_value(len(lft)) as int) as n_left, cast(any_value(len(rgt)) as int) as n_right from lane_votes group by clip_id, tick)""", "lane_votes")
 def _votes(spark, d):
     """Relations of the current lanes, the decision of the instant, and the vote of the ticks ahead."""
-    maps = inputs.stored(inputs.lanes(spark, d))
-    t = lanes.temporal_vote(lanes.lane_relations(lanes.match_lanes(inputs.lane_ticks(spark, d), maps), maps, neighbours=_neighbours(maps)))
+    maps, matched = _matched(spark, d)
+    t = lanes.temporal_vote(lanes.lane_relations(lanes.look_ahead(matched), maps))
     sizes = {"n_current": "current_lanes", "n_next": "next_lanes", "n_left": "left_lanes", "n_right": "right_lanes"}
     return t.select("clip_id", "tick", "lane_id", "instant", "left_hits", "right_hits", "voted", *[F.size(c).alias(n) for n, c in sizes.items()])
 
 
 def _lane_labels(spark, d):
-    """Labelled lane ticks, with the maps and what their lanes lead to stored once."""
-    maps = inputs.stored(inputs.lanes(spark, d))
-    return lanes.label_lane_ticks(inputs.lane_ticks(spark, d), maps, _neighbours(maps))
+    """Labelled lane ticks, without the sets of lanes."""
+    maps, matched = _matched(spark, d)
+    return lanes.label_lane_ticks(None, maps, matched=matched, sets=False)
 
 
 @query("m_lane_decisions")
