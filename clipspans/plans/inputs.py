@@ -42,8 +42,8 @@ def stored(df: DataFrame) -> DataFrame:
 
 def dealt_out(df: DataFrame, key: str) -> DataFrame:
     """``df`` in all shuffle partitions by ``key``: its rows are narrow, but what is made of each of them isn't, which coalescing by bytes
-    doesn't see."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    doesn't see. By a hash of the key, as Spark leaves out a repartition by what rows are already dealt out by, and then coalesces these."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(key))
 
 
 def frame_parts(timing: DataFrame) -> int:

@@ -1,9 +1,15 @@
 """What lane matching and relations exchange: narrow rows, about as many as there are lanes and ticks, and no unfolded pairs."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from clipspans.operators import lanes
+from clipspans.plans import inputs, registry
 
+SF = "/root/testdata/sf0.001"
+tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 SCHEMA = "map_id string, lane_id string, center array<struct<x: double, y: double>>, next array<string>, left array<string>, right array<string>"
 PIECES, TICKS = 20, 30
 
@@ -19,12 +25,12 @@ def city(clips):
     return maps, ticks
 
 
-def shuffled(spark, df):
-    """Rows of ``df``, and how many rows all of its exchanges wrote."""
+def shuffled(spark, made):
+    """Rows of what ``made`` returns, and how many rows all exchanges wrote for it."""
     store = spark.sparkContext._jsc.sc().statusStore()
     stages = lambda: {(s.stageId(), s.attemptId()): s.shuffleWriteRecords() for s in (lambda x: [x.apply(i) for i in range(x.size())])(store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None))}
     before = stages()
-    rows = df.collect()
+    rows = made().collect()
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     return rows, sum(n for k, n in stages().items() if k not in before)
 
@@ -34,11 +40,11 @@ def test_exchanged_rows_grow_with_lanes_and_ticks(spark):
     maps, ticks = city(n)
     maps = spark.createDataFrame(maps, SCHEMA)
     poses = spark.createDataFrame(ticks, "clip_id string, agent_id string, tick int, map_id string, x double, y double, heading double")
-    matched, wrote = shuffled(spark, lanes.match_lanes(poses, maps))
+    matched, wrote = shuffled(spark, lambda: lanes.match_lanes(poses, maps))
     # each tick and each lane in the cells that it meets; pairs of ticks and pieces would be some 300 more to a clip
     assert len(matched) == n * TICKS and wrote <= n * (TICKS + 5 * PIECES * 2.5)
-    matched = spark.createDataFrame(matched, lanes.match_lanes(poses, maps).schema)
-    decided, wrote = shuffled(spark, lanes.label_lane_ticks(None, maps, matched=matched, sets=False))
+    stored = spark.createDataFrame(matched, lanes.match_lanes(poses, maps).schema)
+    decided, wrote = shuffled(spark, lambda: lanes.label_lane_ticks(None, maps, matched=stored, sets=False))
     # the lanes, for the steps ahead and for what lies beside them; few rows for the lanes that ticks are on; the ticks
     assert len(decided) == n * TICKS and {r.lane_decision for r in decided} == {"keep_lane", "left_lane_change"}
     assert wrote <= n * (2 * 5 * PIECES + 3 * TICKS + 150)
@@ -64,3 +70,18 @@ def test_a_look_ahead_made_before_or_after_relations_is_the_same(spark):
     wide, narrow = lanes.label_lane_ticks(poses, maps), lanes.label_lane_ticks(poses, maps, sets=False)
     assert set(wide.columns) - set(narrow.columns) == set(lanes.SETS)
     assert sorted(map(str, wide.select(*narrow.columns).collect())) == sorted(map(str, narrow.collect()))
+
+
+@tables
+def test_maps_are_made_in_all_partitions(spark):
+    """Their clips are few bytes, which would be coalesced into one task."""
+    maps = inputs.lanes(spark, SF)
+    assert maps.rdd.getNumPartitions() == 4 and maps.select(F.spark_partition_id()).distinct().count() > 1
+
+
+@tables
+@pytest.mark.parametrize("name", ["m_lane_decisions", "g4_segment_lane"])
+def test_queries_exchange_few_rows(spark, name):
+    ticks = inputs.lane_ticks(spark, SF).count()
+    rows, wrote = shuffled(spark, lambda: registry.queries()[name](spark, SF))
+    assert rows and wrote <= 8 * (ticks + inputs.lanes(spark, SF).count())
