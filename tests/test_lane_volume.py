@@ -80,7 +80,7 @@ def test_maps_are_made_in_all_partitions(spark):
 
 
 @tables
-@pytest.mark.parametrize("name", ["m_lane_decisions", "g4_segment_lane", "g8_clean_lane"])
+@pytest.mark.parametrize("name", ["m_lane_decisions", "g4_segment_lane", "g8_clean_lane", "m6_temporal_vote"])
 def test_queries_exchange_few_rows(spark, name):
     ticks = inputs.lane_ticks(spark, SF).count()
     rows, wrote = shuffled(spark, lambda: registry.queries()[name](spark, SF))
